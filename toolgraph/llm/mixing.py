@@ -75,7 +75,7 @@ def domain_of(source: Column) -> Column:
 
 
 def token_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long")
 
 
 def mix(docs: DataFrame, weights: dict[tuple, float], share: float = SHARE, max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
