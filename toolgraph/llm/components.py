@@ -21,8 +21,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for each node that has an edge to another; component is the least node reachable. Empty edges: no rows."""
     edges = materialise(edges.select("u", "v").where("u <> v").distinct(), "edges")
-    before = None
-    while True:
+    before = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    while before[0]:
         edges = materialise(_star(_star(edges, True), False), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
@@ -30,3 +30,13 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
     # a star forest now: every node points at its component's least node
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+
+
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """The labels (node, component) after more edges (u, v): only the components that edges join are worked on. Nodes without a label are their own component."""
+    a = labels.select(F.col("node").alias("u"), F.col("component").alias("cu"))
+    b = labels.select(F.col("node").alias("v"), F.col("component").alias("cv"))
+    joined = edges.join(a, "u", "left").join(b, "v", "left").select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))
+    moved = components(joined).select(F.col("node").alias("old"), F.col("component").alias("new"))
+    known = labels.unionAll(moved.join(labels, F.col("old") == F.col("node"), "left_anti").select(F.col("old").alias("node"), F.col("old").alias("component")))
+    return materialise(known.join(moved, F.col("component") == F.col("old"), "left").select("node", F.coalesce("new", "component").alias("component")), "labels")

@@ -22,12 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_chunks, materialise, mix64, word_hashes
-from .components import components
+from .components import components, merged
 
 SHINGLE, SAMPLES, BANDS, ROWS, SKETCH_BITS = 5, 128, 28, 3, 1024
 XOR_LIMIT = 132
-#: Buckets up to this size compare all members; larger ones go by leaders, as many a round.
-SMALL, LEADERS = 24, 24
+#: Buckets up to SMALL compare all members; larger ones go by leaders, up to LEADERS a round.
+SMALL, LEADERS = 64, 256
 
 _rng = np.random.default_rng(5)
 _ODD = (_rng.integers(0, 2**31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -132,54 +132,47 @@ def _near(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     slots = classes.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
     sizes = slots.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1")
     members = materialise(slots.join(sizes, "bucket"), "buckets")
-    crowded = members.where(f"size > {SMALL}")
     few = members.where(f"size <= {SMALL}").select("bucket", "node")
     lists = few.groupBy("bucket").agg(F.sort_array(F.collect_list("node")).alias("all"))
     # within a small bucket: each member with those after it
     small = lists.select(F.explode(F.transform("all", lambda v, i: F.struct(v.alias("u"), F.slice("all", i + 2, SMALL).alias("rest")))).alias("x")).select("x.u", F.explode("x.rest").alias("v"))
-    stars = crowded.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v"))
-    needed = members.select("node").distinct()
-    texts = classes.join(needed, "node", "left_semi").select("node", "doc_id")
-    rows = features.where("n_shingles > 0").select("doc_id", "node").distinct()
-    sets = _sets(docs, texts, rows)
     light = classes.select("node", "n", "sketch")
-    links = materialise(_verified(small.unionAll(stars).distinct(), light, sets), "links")
+    crowded = materialise(members.where(f"size > {SMALL}").join(light, "node"), "crowded")
+    stars = crowded.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v"))
+    sets = _sets(docs, classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id"))
+    links = materialise(_verified(_likely(small.unionAll(stars).distinct(), light), sets), "links")
+    groups = materialise(components(links), "labels")
     done = crowded.select("bucket", F.col("leader").alias("node")).distinct()
+    turn = 0
     while True:
-        groups = components(links)
-        placed = crowded.select("bucket", "node").join(groups, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+        turn += 1
+        placed = crowded.join(groups, "node", "left").select("bucket", "node", "n", "sketch", F.coalesce("component", "node").alias("component"))
         held = placed.groupBy("bucket", "component").agg(F.count("*").alias("held"))
         most = held.groupBy("bucket").agg(F.max_by("component", F.struct("held", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1")
         outside = placed.join(most, "bucket").where("component <> largest").join(done, ["bucket", "node"], "left_anti")
-        # a few of each bucket: those with the least hashes, kept by a bounded aggregate
-        chosen = outside.groupBy("bucket").agg(F.slice(F.sort_array(_least("node", LEADERS)), 1, LEADERS).alias("nodes"))
-        chosen = materialise(chosen.select("bucket", F.explode("nodes").alias("node")).join(placed, ["bucket", "node"]), "leaders")
+        outside = materialise(outside.select("bucket", "node", "n", "sketch", "component"), "outside")
+        sizes = outside.groupBy("bucket").agg((F.count("*") <= LEADERS).alias("all"))
+        # all of a few, else one of each hash slot: a bounded number of leaders for a bucket of any size
+        slot = F.when(F.col("all"), F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(LEADERS)))
+        leaders = outside.join(sizes, "bucket").groupBy("bucket", slot.alias("slot")).agg(F.min("node").alias("node")).select("bucket", "node")
+        chosen = materialise(leaders.join(outside, ["bucket", "node"]), "leaders")
         if chosen.isEmpty():
-            return features, groups
+            break
         done = materialise(done.unionAll(chosen.select("bucket", "node")), "done")
-        pairs = (
-            placed.join(chosen.select("bucket", F.col("node").alias("leader"), F.col("component").alias("theirs")), "bucket").where("component <> theirs")
-            .select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v")).distinct()
-        )
-        links = materialise(links.unionAll(_verified(pairs, light, sets)), "links")
-
-
-def _least(column: str, k: int) -> Column:
-    """About the k least values of a group, as an array: approx_top_k has no order, so distinct values are thinned by rank of hash slots.
+        theirs = chosen.select("bucket", F.col("node").alias("leader"), F.col("n").alias("n_l"), F.col("sketch").alias("s_l"), F.col("component").alias("c_l"))
+        pairs = placed.join(theirs, "bucket").where(F.col("component") != F.col("c_l")).where(may_link("n", "n_l", "sketch", "s_l"))
+        found = materialise(_verified(pairs.select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v")).distinct(), sets), "links")
+        if not found.isEmpty():
+            groups = merged(groups, found)
+    return features, groups
 
-    min_by over k hash slots keeps one value each: a bounded buffer whatever the group's size; a group with values gives one at least.
-    """
-    slot = F.pmod(F.xxhash64(column, F.lit(7)), F.lit(k))
-    return F.array_compact(F.array(*(F.min(F.when(slot == i, F.col(column))) for i in range(k))))
 
-
-def _sets(docs: DataFrame, texts: DataFrame, rows: DataFrame) -> DataFrame:
-    """(node, items): the sets of the given classes, computed again from one text of each."""
-    keyed = docs.where("text is not null").withColumn("text_key", F.xxhash64("text"))
-    found = keyed.join(texts.select(F.col("doc_id").alias("d"), F.col("node").alias("want")), F.col("doc_id").eqNullSafe(F.col("d"))).select("doc_id", "text", "want")
-    made = found.select(F.col("want").alias("node"), "text").mapInArrow(lambda it: _checked_sets(it), "node long, items binary, sig binary")
-    good = made.where(F.col("node") == F.xxhash64("sig")).select("node", "items")
-    return materialise(good.dropDuplicates(["node"]), "sets")
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, items): the sets of the wanted classes (node, doc_id), computed again from one text of each."""
+    found = docs.where("text is not null").join(wanted.withColumnRenamed("doc_id", "d"), F.col("doc_id").eqNullSafe(F.col("d"))).select("node", "text")
+    made = found.mapInArrow(_checked_sets, "node long, items binary, sig binary")
+    # ids may repeat with other texts: those have other sets
+    return materialise(made.where(F.col("node") == F.xxhash64("sig")).select("node", "items").dropDuplicates(["node"]), "sets")
 
 
 def _checked_sets(batches):
@@ -189,11 +182,15 @@ def _checked_sets(batches):
             yield out.append_column("sig", pa.array([blake2b(x.as_buffer() if x.is_valid else b"", digest_size=16).digest() for x in items], pa.binary()))
 
 
-def _verified(pairs: DataFrame, light: DataFrame, sets: DataFrame) -> DataFrame:
+def _likely(pairs: DataFrame, light: DataFrame) -> DataFrame:
+    """The pairs (u, v) that sizes and sketches let pass."""
     a = light.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("sketch").alias("s_u"))
     b = light.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("sketch").alias("s_v"))
-    likely = pairs.join(a, "u").join(b, "v").where(may_link("n_u", "n_v", "s_u", "s_v")).select("u", "v")
-    both = likely.join(sets.select(F.col("node").alias("v"), F.col("items").alias("y")), "v").join(sets.select(F.col("node").alias("u"), F.col("items").alias("x")), "u")
+    return pairs.join(a, "u").join(b, "v").where(may_link("n_u", "n_v", "s_u", "s_v")).select("u", "v")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    both = pairs.join(sets.select(F.col("node").alias("v"), F.col("items").alias("y")), "v").join(sets.select(F.col("node").alias("u"), F.col("items").alias("x")), "u")
     return both.select("u", "v", "x", "y").mapInArrow(verify_rows, "u long, v long")
 
 
