@@ -3,11 +3,12 @@
 A text's set holds its distinct five-word shingles (fewer words: the whole sequence; no words: the empty set, linked with nothing). Texts with
 equal sets form one class and only classes are compared. A class has 128 MinHash samples; 84 make 28 bands of three (a pair at similarity 0.75 shares none
 with probability 2e-7), and all are folded into a 1024-bit parity bitmap, the odd sketch. Two samples that differ flip two random bits, so XOR's population
-count bounds the number that differ: more than ``XOR_LIMIT`` set bits need 67 differing samples or more of 128, which similarity 0.75 gives with a probability under 1e-11.
+count bounds the number that differ: more than ``XOR_LIMIT`` set bits need 55 differing samples or more of 128, which similarity 0.75 gives with a probability of about 5e-6.
 
-Buckets of a band are never expanded into all pairs: small ones compare every two members, larger ones compare all members with a few leaders, links are closed
-into components, and rounds go on with new leaders among the members outside a bucket's largest component until none is left that wasn't compared
-with every member of another component. So each link's two ends come out in one component.
+Buckets of a band are never expanded into all pairs: first all members of each are compared with one leader and links are closed into components. Then small buckets
+compare the members of different components. Larger ones that still hold several components are dealt again, by the shingles that are rare among their members: two sets can only
+link if they share one of the first n - ceil(0.75 n) + 1 of their n shingles, rarest first, early enough in both. There, rounds go on with leaders among the members outside
+a shingle's largest component, until none is left that wasn't compared with every member of another component. So each link's two ends come out in one component.
 
 Edge cases: null texts are empty; repeated rows and equal ids are kept as rows; component_id ignores null ids unless all of a component's are null; an empty table gives an empty one.
 """
@@ -25,9 +26,11 @@ from .common import byte_chunks, materialise, mix64, word_hashes
 from .components import components, merged
 
 SHINGLE, SAMPLES, BANDS, ROWS, SKETCH_BITS = 5, 128, 28, 3, 1024
-XOR_LIMIT = 132
-#: Buckets up to SMALL compare all members; larger ones go by leaders, up to LEADERS a round.
-SMALL, LEADERS = 64, 256
+XOR_LIMIT = 108
+#: Buckets up to SMALL compare all members of different components; rare shingles go by leaders, up to LEADERS in the first round and twice as many in each next.
+SMALL, LEADERS = 32, 256
+#: Up to so many pairs, they are broadcast to the sets instead of shuffling all sets.
+FEW_PAIRS = 200_000
 
 _rng = np.random.default_rng(5)
 _ODD = (_rng.integers(0, 2**31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -132,41 +135,76 @@ def _near(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     slots = classes.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
     sizes = slots.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1")
     members = materialise(slots.join(sizes, "bucket"), "buckets")
-    few = members.where(f"size <= {SMALL}").select("bucket", "node")
-    lists = few.groupBy("bucket").agg(F.sort_array(F.collect_list("node")).alias("all"))
-    # within a small bucket: each member with those after it
-    small = lists.select(F.explode(F.transform("all", lambda v, i: F.struct(v.alias("u"), F.slice("all", i + 2, SMALL).alias("rest")))).alias("x")).select("x.u", F.explode("x.rest").alias("v"))
     light = classes.select("node", "n", "sketch")
-    crowded = materialise(members.where(f"size > {SMALL}").join(light, "node"), "crowded")
-    stars = crowded.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v"))
     sets = _sets(docs, classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id"))
-    links = materialise(_verified(_likely(small.unionAll(stars).distinct(), light), sets), "links")
-    groups = materialise(components(links), "labels")
-    done = crowded.select("bucket", F.col("leader").alias("node")).distinct()
+    stars = members.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v"))
+    groups = materialise(components(_verified(_likely(stars.distinct(), light), sets)), "labels")
+    # within a small bucket: each member but the leader with those after it that are of other components
+    few = members.where(f"size > 2 and size <= {SMALL} and node <> leader").join(groups, "node", "left").select("bucket", F.struct("node", F.coalesce("component", "node").alias("c")).alias("x"))
+    lists = few.groupBy("bucket").agg(F.sort_array(F.collect_list("x")).alias("all"))
+    later = F.transform("all", lambda x, i: F.struct(x["node"].alias("u"), F.filter(F.slice("all", i + 2, SMALL), lambda y: y["c"] != x["c"]).alias("rest")))
+    small = lists.select(F.explode(later).alias("x")).select("x.u", F.explode("x.rest.node").alias("v"))
+    found = _verified(_likely(small.distinct(), light), sets)
+    if not found.isEmpty():
+        groups = merged(groups, found)
+    crowded = materialise(_rare(members.where(f"size > {SMALL}").select("bucket", "node"), groups, sets).join(light, "node"), "crowded")
+    done = crowded.select("bucket", "node").limit(0)
     turn = 0
     while True:
         turn += 1
-        placed = crowded.join(groups, "node", "left").select("bucket", "node", "n", "sketch", F.coalesce("component", "node").alias("component"))
+        placed = crowded.join(groups, "node", "left").select("bucket", "node", "n", "pos", "sketch", F.coalesce("component", "node").alias("component"))
         held = placed.groupBy("bucket", "component").agg(F.count("*").alias("held"))
         most = held.groupBy("bucket").agg(F.max_by("component", F.struct("held", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1")
         outside = placed.join(most, "bucket").where("component <> largest").join(done, ["bucket", "node"], "left_anti")
-        outside = materialise(outside.select("bucket", "node", "n", "sketch", "component"), "outside")
-        sizes = outside.groupBy("bucket").agg((F.count("*") <= LEADERS).alias("all"))
+        outside = materialise(outside.select("bucket", "node", "n", "pos", "sketch", "component"), "outside")
+        limit = LEADERS << min(turn - 1, 4)
+        sizes = outside.groupBy("bucket").agg((F.count("*") <= limit).alias("all"))
         # all of a few, else one of each hash slot: a bounded number of leaders for a bucket of any size
-        slot = F.when(F.col("all"), F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(LEADERS)))
+        slot = F.when(F.col("all"), F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(limit)))
         leaders = outside.join(sizes, "bucket").groupBy("bucket", slot.alias("slot")).agg(F.min("node").alias("node")).select("bucket", "node")
         chosen = materialise(leaders.join(outside, ["bucket", "node"]), "leaders")
         if chosen.isEmpty():
             break
         done = materialise(done.unionAll(chosen.select("bucket", "node")), "done")
-        theirs = chosen.select("bucket", F.col("node").alias("leader"), F.col("n").alias("n_l"), F.col("sketch").alias("s_l"), F.col("component").alias("c_l"))
-        pairs = placed.join(theirs, "bucket").where(F.col("component") != F.col("c_l")).where(may_link("n", "n_l", "sketch", "s_l"))
-        found = materialise(_verified(pairs.select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v")).distinct(), sets), "links")
+        theirs = chosen.select("bucket", F.col("node").alias("leader"), F.col("n").alias("n_l"), F.col("pos").alias("pos_l"), F.col("sketch").alias("s_l"), F.col("component").alias("c_l"))
+        pairs = placed.join(theirs, "bucket").where(F.col("component") != F.col("c_l"))
+        # what both may share lies at or after this shingle
+        pairs = pairs.where((F.least(F.col("n") - F.col("pos"), F.col("n_l") - F.col("pos_l")) * 175 >= (F.col("n") + F.col("n_l")) * 75) & may_link("n", "n_l", "sketch", "s_l"))
+        found = _verified(pairs.select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v")).distinct(), sets)
         if not found.isEmpty():
             groups = merged(groups, found)
     return features, groups
 
 
+def _several(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows (bucket, node, ...) of buckets whose members are of several components."""
+    placed = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("bucket")
+    return placed.join(mixed, "bucket", "left_semi").drop("component")
+
+
+def _rare(crowds: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """(bucket, node, pos): the shingles, as buckets, at which members of crowds (bucket, node) can link others, and their place in the node's set, rarest first."""
+    nodes = _several(crowds, groups).select("node").distinct()
+    tokens = materialise(sets.join(nodes, "node", "left_semi").mapInArrow(token_rows, "node long, size long, token long"), "tokens")
+    often = tokens.groupBy("token").agg(F.count("*").alias("often")).where("often > 1")
+    shared = tokens.join(often, "token").groupBy("node").agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("often", "token"))).alias("all"))
+    # shingles that no other set has come first and can't meet
+    alone = F.col("size") - F.size("all")
+    most = F.col("size") - F.ceil(F.col("size") * 75 / 100) + 1
+    first = shared.select("node", alone.alias("alone"), F.slice("all", 1, F.greatest(F.lit(0), most - alone).cast("int")).alias("first"))
+    places = first.select("node", "alone", F.posexplode("first").alias("i", "x")).select(F.col("x.token").alias("bucket"), "node", (F.col("alone") + F.col("i")).alias("pos"))
+    return _several(materialise(places, "rare"), groups)
+
+
+def token_rows(batches):
+    for batch in batches:
+        for i in range(len(batch)):
+            token = np.frombuffer(batch.column("items")[i].as_buffer(), np.int64)
+            node, size = batch.column("node")[i].as_py(), len(token)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(size, node)), pa.array(np.full(size, size)), pa.array(token)], ["node", "size", "token"])
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, items): the sets of the wanted classes (node, doc_id), computed again from one text of each."""
     found = docs.where("text is not null").join(wanted.withColumnRenamed("doc_id", "d"), F.col("doc_id").eqNullSafe(F.col("d"))).select("node", "text")
@@ -190,8 +228,15 @@ def _likely(pairs: DataFrame, light: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    both = pairs.join(sets.select(F.col("node").alias("v"), F.col("items").alias("y")), "v").join(sets.select(F.col("node").alias("u"), F.col("items").alias("x")), "u")
-    return both.select("u", "v", "x", "y").mapInArrow(verify_rows, "u long, v long")
+    """The pairs (u, v) whose sets link, written."""
+    pairs = materialise(pairs, "pairs")
+    few = pairs.count() <= FEW_PAIRS
+    held = F.broadcast if few else lambda x: x
+    x = sets.select(F.col("node").alias("u"), F.col("items").alias("x")).join(held(pairs), "u")
+    y = sets.select(F.col("node").alias("v"), F.col("items").alias("y"))
+    if few:  # only the sets that pairs name are shuffled
+        y = y.join(F.broadcast(pairs.select("v").distinct()), "v", "left_semi")
+    return materialise(x.join(y, "v").select("u", "v", "x", "y").mapInArrow(verify_rows, "u long, v long"), "links")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
