@@ -138,7 +138,7 @@ def _near(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     light = classes.select("node", "n", "sketch")
     sets = _sets(docs, classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id"))
     stars = members.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v"))
-    groups = materialise(components(_verified(_likely(stars.distinct(), light), sets)), "labels")
+    groups = components(_verified(_likely(stars.distinct(), light), sets))
     # within a small bucket: each member but the leader with those after it that are of other components
     few = members.where(f"size > 2 and size <= {SMALL} and node <> leader").join(groups, "node", "left").select("bucket", F.struct("node", F.coalesce("component", "node").alias("c")).alias("x"))
     lists = few.groupBy("bucket").agg(F.sort_array(F.collect_list("x")).alias("all"))
@@ -154,18 +154,16 @@ def _near(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         turn += 1
         placed = crowded.join(groups, "node", "left").select("bucket", "node", "n", "pos", "sketch", F.coalesce("component", "node").alias("component"))
         held = placed.groupBy("bucket", "component").agg(F.count("*").alias("held"))
-        most = held.groupBy("bucket").agg(F.max_by("component", F.struct("held", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1")
+        most = held.groupBy("bucket").agg(F.max_by("component", F.struct("held", "component")).alias("largest"), (F.sum("held") - F.max("held")).alias("others")).where("others > 0")
         outside = placed.join(most, "bucket").where("component <> largest").join(done, ["bucket", "node"], "left_anti")
-        outside = materialise(outside.select("bucket", "node", "n", "pos", "sketch", "component"), "outside")
-        limit = LEADERS << min(turn - 1, 4)
-        sizes = outside.groupBy("bucket").agg((F.count("*") <= limit).alias("all"))
         # all of a few, else one of each hash slot: a bounded number of leaders for a bucket of any size
-        slot = F.when(F.col("all"), F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(limit)))
-        leaders = outside.join(sizes, "bucket").groupBy("bucket", slot.alias("slot")).agg(F.min("node").alias("node")).select("bucket", "node")
-        chosen = materialise(leaders.join(outside, ["bucket", "node"]), "leaders")
+        limit = LEADERS << min(turn - 1, 4)
+        slot = F.when(F.col("others") <= limit, F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(limit)))
+        chosen = outside.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "n", "pos", "sketch", "component")).alias("x"))
+        chosen = materialise(chosen.select("bucket", "x.*"), "leaders")
         if chosen.isEmpty():
             break
-        done = materialise(done.unionAll(chosen.select("bucket", "node")), "done")
+        done = done.unionAll(chosen.select("bucket", "node"))
         theirs = chosen.select("bucket", F.col("node").alias("leader"), F.col("n").alias("n_l"), F.col("pos").alias("pos_l"), F.col("sketch").alias("s_l"), F.col("component").alias("c_l"))
         pairs = placed.join(theirs, "bucket").where(F.col("component") != F.col("c_l"))
         # what both may share lies at or after this shingle
