@@ -168,7 +168,16 @@ def _near(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         pairs = placed.join(theirs, "bucket").where(F.col("component") != F.col("c_l"))
         # what both may share lies at or after this shingle
         pairs = pairs.where((F.least(F.col("n") - F.col("pos"), F.col("n_l") - F.col("pos_l")) * 175 >= (F.col("n") + F.col("n_l")) * 75) & may_link("n", "n_l", "sketch", "s_l"))
-        found = _verified(pairs.select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v")).distinct(), sets)
+        of = [F.least("component", "c_l").alias("a"), F.greatest("component", "c_l").alias("b"), xor_count("sketch", "s_l").alias("x")]
+        pairs = materialise(pairs.select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v"), *of).distinct(), "candidates")
+        # of two components the likeliest pair goes first: if it links, the others need no look
+        best = pairs.groupBy("a", "b").agg(F.min(F.struct("x", "u", "v")).alias("best")).select("best.u", "best.v")
+        found = _verified(best, sets)
+        if not found.isEmpty():
+            groups = merged(groups, found)
+        new = [groups.select(F.col("node").alias(x), F.col("component").alias(f"new_{x}")) for x in ("a", "b")]
+        apart = pairs.join(new[0], "a", "left").join(new[1], "b", "left").where(F.coalesce("new_a", "a") != F.coalesce("new_b", "b")).select("u", "v").join(best, ["u", "v"], "left_anti")
+        found = _verified(apart, sets)
         if not found.isEmpty():
             groups = merged(groups, found)
     return features, groups
