@@ -200,6 +200,15 @@ def test_near_duplicates(spark, docs, nothing, monkeypatch):
     monkeypatch.setattr(minhash_dedup, "LEADERS", 4)
     got = sorted((key(r.doc_id), r.n_shingles, key(r.component_id)) for r in minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect())
     assert got == brute_components(rows)
+    # crowded buckets whose members share several passages, with other texts of their own around them
+    r = random.Random(11)
+    passages = [[f"p{k}_{i}" for i in range(30)] for k in range(4)]
+    rows = []
+    for i in range(80):
+        own = [f"o{r.randrange(4)}_{j}" for j in range(r.choice([4, 12, 20, 40]))]
+        rows.append((i, " ".join(sum((p for p in passages if r.random() < 0.8), []) + own), "en"))
+    got = sorted((key(x.doc_id), x.n_shingles, key(x.component_id)) for x in minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect())
+    assert got == brute_components(rows)
 
 
 def test_odd_sketches_follow_similarity():

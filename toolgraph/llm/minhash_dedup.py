@@ -152,20 +152,21 @@ def _near(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     turn = 0
     while True:
         turn += 1
-        placed = crowded.join(groups, "node", "left").select("bucket", "node", "n", "pos", "sketch", F.coalesce("component", "node").alias("component"))
+        placed = crowded.join(groups, "node", "left").select("bucket", "node", "n", "pos", "prev", "sketch", F.coalesce("component", "node").alias("component"))
         held = placed.groupBy("bucket", "component").agg(F.count("*").alias("held"))
         most = held.groupBy("bucket").agg(F.max_by("component", F.struct("held", "component")).alias("largest"), (F.sum("held") - F.max("held")).alias("others")).where("others > 0")
         outside = placed.join(most, "bucket").where("component <> largest").join(done, ["bucket", "node"], "left_anti")
         # all of a few, else one of each hash slot: a bounded number of leaders for a bucket of any size
         limit = LEADERS << min(turn - 1, 4)
         slot = F.when(F.col("others") <= limit, F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(limit)))
-        chosen = outside.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "n", "pos", "sketch", "component")).alias("x"))
+        chosen = outside.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "n", "pos", "prev", "sketch", "component")).alias("x"))
         chosen = materialise(chosen.select("bucket", "x.*"), "leaders")
         if chosen.isEmpty():
             break
         done = done.unionAll(chosen.select("bucket", "node"))
-        theirs = chosen.select("bucket", F.col("node").alias("leader"), F.col("n").alias("n_l"), F.col("pos").alias("pos_l"), F.col("sketch").alias("s_l"), F.col("component").alias("c_l"))
-        pairs = placed.join(theirs, "bucket").where(F.col("component") != F.col("c_l"))
+        theirs = chosen.select("bucket", F.col("node").alias("leader"), F.col("n").alias("n_l"), F.col("pos").alias("pos_l"), F.col("prev").alias("prev_l"), F.col("sketch").alias("s_l"), F.col("component").alias("c_l"))
+        # with the same shingle before this one, both meet there
+        pairs = placed.join(theirs, "bucket").where((F.col("component") != F.col("c_l")) & F.coalesce(F.col("prev") != F.col("prev_l"), F.lit(True)))
         # what both may share lies at or after this shingle
         pairs = pairs.where((F.least(F.col("n") - F.col("pos"), F.col("n_l") - F.col("pos_l")) * 175 >= (F.col("n") + F.col("n_l")) * 75) & may_link("n", "n_l", "sketch", "s_l"))
         of = [F.least("component", "c_l").alias("a"), F.greatest("component", "c_l").alias("b"), xor_count("sketch", "s_l").alias("x")]
@@ -191,17 +192,23 @@ def _several(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _rare(crowds: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """(bucket, node, pos): the shingles, as buckets, at which members of crowds (bucket, node) can link others, and their place in the node's set, rarest first."""
+    """(bucket, node, pos, prev): the shingles, as buckets, at which members of crowds (bucket, node) can link others, their place in the node's set, rarest first, and the shared one before.
+
+    Equally rare shingles of the same sets stand together, so pairs that share a run of them meet once; a bucket whose members all have one shingle before it is left out, as they meet there.
+    """
     nodes = _several(crowds, groups).select("node").distinct()
     tokens = materialise(sets.join(nodes, "node", "left_semi").mapInArrow(token_rows, "node long, size long, token long"), "tokens")
-    often = tokens.groupBy("token").agg(F.count("*").alias("often")).where("often > 1")
-    shared = tokens.join(often, "token").groupBy("node").agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("often", "token"))).alias("all"))
+    often = tokens.groupBy("token").agg(F.count("*").alias("often"), F.bit_xor(F.xxhash64("node")).alias("who")).where("often > 1")
+    shared = tokens.join(often, "token").groupBy("node").agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("often", "who", "token"))).alias("all"))
     # shingles that no other set has come first and can't meet
     alone = F.col("size") - F.size("all")
     most = F.col("size") - F.ceil(F.col("size") * 75 / 100) + 1
     first = shared.select("node", alone.alias("alone"), F.slice("all", 1, F.greatest(F.lit(0), most - alone).cast("int")).alias("first"))
-    places = first.select("node", "alone", F.posexplode("first").alias("i", "x")).select(F.col("x.token").alias("bucket"), "node", (F.col("alone") + F.col("i")).alias("pos"))
-    return _several(materialise(places, "rare"), groups)
+    both = F.transform("first", lambda x, i: F.struct(x["token"].alias("bucket"), F.get("first", i - 1)["token"].alias("prev")))
+    places = first.select("node", "alone", F.posexplode(both).alias("i", "x")).select("x.bucket", "node", (F.col("alone") + F.col("i")).alias("pos"), "x.prev")
+    rare = materialise(places, "rare")
+    before = rare.groupBy("bucket").agg((F.count("*") - F.count("prev")).alias("firsts"), F.min("prev").alias("a"), F.max("prev").alias("b"))
+    return _several(rare.join(before.where("firsts > 0 or a <> b").select("bucket"), "bucket", "left_semi"), groups)
 
 
 def token_rows(batches):
