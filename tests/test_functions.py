@@ -69,6 +69,24 @@ def test_tool_mapper(spark):
     assert (triples.SC + "citation", "https://doi.org/10.1/%5Bx%5D", "iri") in got and (triples.SC + "citation", "pubmed:7", "literal") in got
 
 
+def test_legacy_node_mapper(spark):
+    link = "array<struct<uri:string,title:string>>"
+    doc = spark.createDataFrame(
+        [([("/icy",)], [("software",)], [("Icy",)], [("<p>a &amp; b</p>",)], [("u-1",), ("http://e.org/t",), (None,)], [(7,), (None,)], [(9,)], [("http://d.org/a b", "D"), ("", "E"), (None, None)], [(0,), (86400,), (90061,)]), ([("x",)], *[None] * 8)],
+        "path array<struct<alias:string>>, type array<struct<target_id:string>>, title array<struct<value:string>>, body array<struct<value:string>>, field_has_function array<struct<target_uuid:string>>,"
+        f"field_platform array<struct<target_id:int>>, field_is_dependent_of array<struct<target_id:int>>, field_has_documentation {link}, created array<struct<value:long>>",
+    )
+    at = triples.LEGACY
+    want = {
+        (triples.TYPE, "http://biii.eu/software", "iri"), (triples.DC + "title", "Icy", "literal"), ("http://www.w3.org/2000/01/rdf-schema#comment", "a & b", "literal"),
+        (at + "hasFunction", "http://biii.eu/u-1", "iri"), (at + "hasFunction", "http://e.org/t", "iri"), (at + "hasPlatform", "http://biii.eu/taxonomy/term/7", "iri"),
+        (at + "requires", "http://biii.eu/node/9", "iri"), (at + "hasDocumentation", "http://d.org/a%20b", "iri"), (at + "hasDocumentation", "D", "literal"), (at + "hasDocumentation", "E", "literal"),
+        (triples.DC + "created", "1970-01-02T01:01:01", "literal"),
+    }
+    got = triples.legacy_node_triples(doc).collect()
+    assert {(r.p, r.o, r.o_kind) for r in got} == want and {r.s for r in got} == {"http://biii.eu/icy"}
+
+
 def test_readers_and_sinks(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"b": {"x": 1}, "a": {"x": 2}}')
     (tmp_path / "bad.json").write_text("{")

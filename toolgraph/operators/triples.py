@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import ntriples_escape, percent_escape_doi, percent_escape_url
+from ..functions.text import html_text, ntriples_escape, percent_escape_doi, percent_escape_url, url_quote
 
 TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 SC, BSC, DCT = "http://schema.org/", "http://bioschemas.org/", "http://purl.org/dc/terms/"
@@ -120,6 +120,52 @@ def mapper(fields: dict[str, tuple[str, str]], type_: str = "SoftwareApplication
     return _plain(fields) | {"*type": Rule(TYPE, F.lit(SC + type_), True)}
 
 
+LEGACY, NODES, DC = "http://bise-eu.info/core-ontology#", "http://biii.eu/", "http://dcterms/"
+# List column of a raw node -> (property, form). A link has a uri and a title, a term or node a target_id.
+LEGACY_NODE = {
+    "field_image": ("hasIllustration", "url"), "field_has_author": ("hasAuthor", "value"), "field_has_function": ("hasFunction", "target_uuid"), "field_has_topic": ("hasTopic", "target_uuid"),
+    "field_is_dependent_of": ("requires", "node"), "field_has_reference_publication": ("hasReferencePublication", "link"), "field_has_location": ("hasLocation", "link"), "field_has_license": ("hasLicense", "value"),
+    "field_license_openness": ("openess", "term"), "field_has_implementation": ("hasImplementation", "term"), "field_type": ("hasType", "term"), "field_has_programming_language": ("hasProgrammingLanguage", "term"),
+    "field_platform": ("hasPlatform", "term"), "field_supported_image_dimension": ("hasSupportedImageDimension", "term"), "field_is_covered_by_training_mat": ("hasTrainingMaterial", "node"),
+    "field_has_documentation": ("hasDocumentation", "link"), "field_has_comparison": ("hasComparison", "link"), "field_has_usage_example": ("hasUsageExample", "link"), "field_has_doi": ("hasDOI", "link"),
+}
+
+
+def _node_iri(v: Column) -> Column:
+    """An absolute IRI as it is, else one below the nodes' base."""
+    return F.when(F.rlike(v, F.lit("^[A-Za-z][A-Za-z0-9+.-]*:")), v).otherwise(F.concat(F.lit(NODES), F.regexp_replace(v, "^/", "")))
+
+
+def _legacy(column: str, property_: str, form: str) -> list[Rule]:
+    each = lambda f: F.transform(column, f)
+    at = LEGACY + property_
+    if form == "link":
+        return [Rule(at, each(lambda x: F.when(x["uri"] != "", _node_iri(url_quote(x["uri"])))), True, True), Rule(at, each(lambda x: x["title"]), many=True)]
+    if form in ("term", "node"):
+        below = NODES + {"term": "taxonomy/term/", "node": "node/"}[form]
+        return [Rule(at, each(lambda x: F.concat(F.lit(below), x["target_id"].cast("string"))), True, True)]
+    if form == "target_uuid":
+        return [Rule(at, each(lambda x: _node_iri(x["target_uuid"])), True, True)]
+    return [Rule(at, each(lambda x: x[form]), many=True)]
+
+
+def legacy_node_triples(nodes: DataFrame) -> DataFrame:
+    """Raw nodes in the older ontology; columns that they lack give no triples, every link of a list counts, and of several dates the last does (in the session's time zone)."""
+    first = lambda c, f: F.get(F.col(c), F.lit(0))[f]
+    date = lambda c: F.date_format(F.timestamp_seconds(F.try_element_at(F.filter(c, lambda x: x["value"] != 0), F.lit(-1))["value"]), "yyyy-MM-dd'T'HH:mm:ss")
+    have = set(nodes.columns)
+    rules = [r for c, (p, form) in LEGACY_NODE.items() if c in have for r in _legacy(c, p, form)]
+    rules += [Rule(DC + p, date(c)) for c, p in (("created", "created"), ("changed", "modified")) if c in have]
+    if "type" in have:
+        rules.append(Rule(TYPE, _node_iri(first("type", "target_id")), True))
+    if "title" in have:
+        rules.append(Rule(DC + "title", first("title", "value")))
+    if "body" in have:
+        nodes = nodes.withColumn("_body", html_text(first("body", "value")))
+        rules.append(Rule("http://www.w3.org/2000/01/rdf-schema#comment", F.col("_body")))
+    return triples(nodes, _node_iri(first("path", "alias")), rules)
+
+
 def debian_identifiers(name: Column, entry: Column) -> Column:
     """The identifier of one registry entry: an IRI for known registries, else ``name:entry``."""
     at = lambda p: F.concat(F.lit(PREFIXES[p]), entry)
