@@ -69,6 +69,23 @@ def test_tool_mapper(spark):
     assert (triples.SC + "citation", "https://doi.org/10.1/%5Bx%5D", "iri") in got and (triples.SC + "citation", "pubmed:7", "literal") in got
 
 
+def test_recipe_mapper(spark):
+    docs = [
+        '{"package": {"name": "foo", "version": "1.10"}, "about": {"summary": "S", "home": "http://h"}, "source": {"url": ["http://a", "http://b"]}, "extra": {"identifiers": ["biotools:Foo", "DOI:10.1/x", "usegalaxy-eu:foo"], "recipe-maintainers": ["m"]}}',
+        '{"package": {"name": "bar"}, "about": {"description": "D", "summary": "S"}, "source": {"url": "http://c"}}', '{"package": {"name": "list"}, "source": [{"url": "http://d"}]}', '{"about": {}}', '{"package": {"name": "empty"}, "extra": null}',
+    ]
+    flat = triples.flatten_recipes(spark.createDataFrame([(d,) for d in docs], "j string").select(F.parse_json("j").alias("doc")))
+    rows = {r.name: r for r in flat.collect()}
+    assert set(rows) == {"foo", "bar", "list", "empty"} and set(flat.columns) == set(triples.RECIPE)
+    assert rows["foo"].asDict() == {
+        "name": "foo", "description": "S", "home": "http://h", "dois": ["DOI:10.1/x"], "identifiers": ["usegalaxy-eu:foo"], "biotools": "https://bio.tools/foo", "license": None, "version": "1.10",
+        "summary": "S", "source_urls": ["http://a", "http://b"], "software_help": None, "maintainers": ["m"],
+    }
+    assert rows["bar"].source_urls == ["http://c"] and rows["bar"].description == "D" and rows["list"].source_urls == [] == rows["empty"].dois
+    got = {(r.s, r.p, r.o) for r in triples.triples(flat, F.concat(F.lit(triples.PREFIXES["bioconda"]), "name"), list(triples.mapper(triples.RECIPE).values())).collect()}
+    assert (triples.PREFIXES["bioconda"] + "foo", triples.SC + "downloadUrl", "http://b") in got and (triples.PREFIXES["bioconda"] + "bar", triples.TYPE, triples.SC + "SoftwareApplication") in got
+
+
 def test_legacy_node_mapper(spark):
     link = "array<struct<uri:string,title:string>>"
     doc = spark.createDataFrame(

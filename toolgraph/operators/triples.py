@@ -120,6 +120,26 @@ def mapper(fields: dict[str, tuple[str, str]], type_: str = "SoftwareApplication
     return _plain(fields) | {"*type": Rule(TYPE, F.lit(SC + type_), True)}
 
 
+def flatten_recipes(recipes: DataFrame) -> DataFrame:
+    """The columns that RECIPE names, from recipes (doc VARIANT). Absent or empty parts are null or empty lists; a source that isn't one object gives no urls, a recipe without name no row.
+
+    ``biotools`` is the IRI of the first such identifier; whether it and the help page resolve is for a join with url statuses to say.
+    """
+    text = lambda path: F.try_variant_get("doc", f"$.{path}", "string")
+    many = lambda path: F.filter(F.coalesce(F.try_variant_get("doc", path, "array<string>"), F.array().cast("array<string>")), lambda x: x.isNotNull())
+    starts = lambda x, prefix: F.startswith(F.lower(x), F.lit(prefix))
+    ids = many("$.extra.identifiers")
+    tool = F.get(F.filter(ids, lambda x: starts(x, "biotools:")), F.lit(0))
+    urls = many("$.source.url")
+    return recipes.select(
+        text("package.name").alias("name"), F.coalesce(text("about.description"), text("about.summary")).alias("description"), text("about.home").alias("home"),
+        F.filter(ids, lambda x: starts(x, "doi:")).alias("dois"), F.filter(ids, lambda x: ~starts(x, "doi:") & ~starts(x, "biotools:")).alias("identifiers"),
+        F.concat(F.lit(PREFIXES["biotools"]), F.lower(F.substring(tool, 10, 1 << 20))).alias("biotools"), text("about.license").alias("license"), text("package.version").alias("version"),
+        text("about.summary").alias("summary"), F.when(F.size(urls) > 0, urls).otherwise(F.array_compact(F.array(text("source.url")))).alias("source_urls"), text("about.software_help").alias("software_help"),
+        many("$.extra['recipe-maintainers']").alias("maintainers"),
+    ).where("name <> ''")
+
+
 LEGACY, NODES, DC = "http://bise-eu.info/core-ontology#", "http://biii.eu/", "http://dcterms/"
 # List column of a raw node -> (property, form). A link has a uri and a title, a term or node a target_id.
 LEGACY_NODE = {
