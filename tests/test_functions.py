@@ -86,6 +86,23 @@ def test_recipe_mapper(spark):
     assert (triples.PREFIXES["bioconda"] + "foo", triples.SC + "downloadUrl", "http://b") in got and (triples.PREFIXES["bioconda"] + "bar", triples.TYPE, triples.SC + "SoftwareApplication") in got
 
 
+def test_node_mapper(spark):
+    nodes = spark.createDataFrame(
+        [([("/icy",)], [("software",)], [("Icy",)], [("<b>a</b>",)], [("u-1",), (None,)], [(" http://p.org/1 ", "P")], [("GPL",), ("MIT",)], [("2020",), ("2021",), ("",)], [(9,)]), ([("",)], [("software",)], [("A/B c",)], *[None] * 6), ([("/t",)], [("training",)], *[None] * 7)],
+        "path array<struct<alias:string>>, type array<struct<target_id:string>>, title array<struct<value:string>>, body array<struct<value:string>>, field_has_function array<struct<target_uuid:string>>,"
+        "field_has_reference_publication array<struct<uri:string,title:string>>, field_has_license array<struct<value:string>>, changed array<struct<value:string>>, field_is_dependent_of array<struct<target_id:int>>",
+    )
+    flat = triples.flatten_nodes(nodes)
+    assert set(flat.columns) == {"node", *triples.NODE}
+    got = {(r.s, r.p.removeprefix(triples.SC), r.o, r.o_kind) for r in triples.triples(flat, F.col("node"), list(triples.mapper(triples.NODE).values())).collect()}
+    icy, other = "http://biii.eu/icy", "http://biii.eu/ab-c"
+    assert got == {
+        (icy, triples.TYPE, triples.SC + "SoftwareApplication", "iri"), (icy, "name", "Icy", "literal"), (icy, "description", "a", "literal"), (icy, "featureList", "http://biii.eu/u-1", "iri"),
+        (icy, "citation", "http://p.org/1", "iri"), (icy, "citation", "P", "literal"), (icy, "license", "GPL", "literal"), (icy, "license", "MIT", "literal"), (icy, "dateModified", "2021", "literal"),
+        (icy, "softwareRequirements", "http://biii.eu/node/9", "iri"), (other, triples.TYPE, triples.SC + "SoftwareApplication", "iri"), (other, "name", "A/B c", "literal"),
+    }
+
+
 def test_legacy_node_mapper(spark):
     link = "array<struct<uri:string,title:string>>"
     doc = spark.createDataFrame(

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import html_text, ntriples_escape, percent_escape_doi, percent_escape_url, url_quote
+from ..functions.text import html_text, ntriples_escape, percent_escape_doi, percent_escape_url, slug, url_quote
 
 TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 SC, BSC, DCT = "http://schema.org/", "http://bioschemas.org/", "http://purl.org/dc/terms/"
@@ -112,7 +112,7 @@ WORKFLOW = {
 }
 NODE = {
     "body": ("description", "L"), "title": ("name", "L"), "functions": ("featureList", "I*"), "topics": ("applicationSubCategory", "I*"), "citations": ("citation", "I*"), "citation_titles": ("citation", "L*"),
-    "license": ("license", "L"), "authors": ("publisher", "L*"), "created": ("dateCreated", "L"), "changed": ("dateModified", "L"), "requires": ("softwareRequirements", "I*"),
+    "license": ("license", "L*"), "authors": ("publisher", "L*"), "created": ("dateCreated", "L"), "changed": ("dateModified", "L"), "requires": ("softwareRequirements", "I*"),
 }
 
 
@@ -169,6 +169,23 @@ def _legacy(column: str, property_: str, form: str) -> list[Rule]:
     return [Rule(at, each(lambda x: x[form]), many=True)]
 
 
+def flatten_nodes(nodes: DataFrame) -> DataFrame:
+    """The columns that NODE names, and ``node`` (the subject: alias, else the title's slug), of raw nodes of the software type. Lists that nodes lack are empty; of several dates the last counts."""
+    have = set(nodes.columns)
+    none = F.array().cast("array<string>")
+    each = lambda c, f: F.coalesce(F.transform(c, f), none) if c in have else none
+    first = lambda c, f: F.nullif(F.get(F.col(c), F.lit(0))[f], F.lit("")) if c in have else F.lit(None).cast("string")
+    last = lambda c: F.try_element_at(F.filter(each(c, lambda x: x["value"]), lambda x: x != ""), F.lit(-1))
+    title = first("title", "value")
+    return nodes.where(first("type", "target_id") == "software").select(
+        _node_iri(F.coalesce(first("path", "alias"), slug(title))).alias("node"), html_text(first("body", "value")).alias("body"), title.alias("title"),
+        each("field_has_function", lambda x: _node_iri(x["target_uuid"])).alias("functions"), each("field_has_topic", lambda x: _node_iri(x["target_uuid"])).alias("topics"),
+        each("field_has_reference_publication", lambda x: F.trim(x["uri"])).alias("citations"), each("field_has_reference_publication", lambda x: x["title"]).alias("citation_titles"),
+        each("field_has_license", lambda x: x["value"]).alias("license"), each("field_has_author", lambda x: x["value"]).alias("authors"), last("created").alias("created"), last("changed").alias("changed"),
+        each("field_is_dependent_of", lambda x: F.concat(F.lit(NODES + "node/"), F.trim(x["target_id"].cast("string")))).alias("requires"),
+    )
+
+
 def legacy_node_triples(nodes: DataFrame) -> DataFrame:
     """Raw nodes in the older ontology; columns that they lack give no triples, every link of a list counts, and of several dates the last does (in the session's time zone)."""
     first = lambda c, f: F.get(F.col(c), F.lit(0))[f]
