@@ -146,6 +146,23 @@ def test_lm_model_is_a_distribution():
     assert -model.score(again, np.arange(3, len(again))).sum() / math.log10(2) / total < 1.5
 
 
+def test_lm_contexts_are_kept_by_their_own_count(spark, docs):
+    rows = fixture_rows()
+    held = [zlib.crc32(b"" if r[0] is None else str(r[0]).encode()) % 10 == 0 for r in rows]
+    depth, bufs = ctw.DEPTH, [b"\0" * ctw.DEPTH + low(r[1]).encode() + b"\0" for r in rows]
+    tables = [{} for _ in range(depth + 1)]
+    for buf, h in zip(bufs, held, strict=True):
+        for i in range(depth, 0 if h else len(buf)):
+            for d in range(depth + 1):
+                tables[d].setdefault(int.from_bytes(buf[i - d : i], "big"), np.zeros(256, np.int64))[buf[i]] += 1
+    model = ctw.Model([tables[0], *({c: t for c, t in x.items() if t.sum() >= 2} for x in tables[1:])], depth)
+    want = sorted((key(r[0]), len(b), model.score(np.frombuffer(b, np.uint8), np.arange(depth, len(b))).sum()) for r, b in zip(rows, bufs, strict=True))
+    for grams, words in ((10**6, 10**6), (0, 10**6), (0, 0)):
+        got = sorted((key(r.doc_id), r.n_bytes + 1 + depth, r.score) for r in ctw.lm_scores(docs, ctw.crc_mod(F.col("doc_id"), 10) == 0, vocab_limit=words, gram_limit=grams).collect())
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert np.allclose([g[2] for g in got], [w[2] for w in want], rtol=1e-3, atol=0.01)
+
+
 def test_language_id(spark, docs, nothing):
     got = langid.documents_identified(docs).collect()
     rows = Counter(map(key, (r[0] for r in fixture_rows())))

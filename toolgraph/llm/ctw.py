@@ -2,8 +2,12 @@
 
 Each byte is coded as eight binary decisions (its bits, high first). In every context of up to ``depth`` preceding bytes each of the 255
 decision nodes keeps a Krichevsky-Trofimov estimate, and the weighting mixes the estimates of all depths. A context is a node of the tree
-if it holds at least 1/``breadth`` of the training bytes, so no depth has more than ``breadth`` nodes whatever the corpus: that is the size bound of the
-broadcast model. The other contexts of a node share one leaf, so the leaves partition all contexts and the mixture is a proper probability.
+if it occurs ``LEAST`` times or more in the training texts, however large those are. The other contexts of a node share one leaf, so the leaves
+partition all contexts and the mixture is a proper probability.
+
+A byte's probability depends only on the gram of the byte and its context, so the model is a table of the log probability of each gram that any text has. Grams are dealt by the two
+bytes before the last, each task weighs the whole subtrees of its contexts, and the driver only the contexts of up to two bytes, of which there are 65,793 at most. Up to ``GRAM_LIMIT`` grams
+the table is broadcast; beyond it, texts are dealt in groups of ``GROUP_BYTES`` and each group is joined with the grams it has.
 
 Gram and token counts come from all training texts, summed by a shuffle with map-side folding. Edge cases: a null text is empty;
 a null id counts as the empty text for the split; without training texts every decision has probability 1/2 and every token count is 0
@@ -12,16 +16,22 @@ a null id counts as the empty text for the split; without training texts every d
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER_LUT, Counts, byte_chunks, crc_mod, materialise, padded, word_hashes
 
-DEPTH, BREADTH = 6, 32768
+DEPTH, LEAST, BORDER = 6, 2, 2
 #: Token table rows that are broadcast at most (16 bytes each); beyond it counts are joined in.
 VOCAB_LIMIT = 6_000_000
+#: Likewise for grams; the bytes of text in a group beyond it, and the grams that a task weighs.
+GRAM_LIMIT, GROUP_BYTES, TASK_GRAMS = 6_000_000, 32 << 20, 50_000
+GRAM_SCHEMA, CELL_SCHEMA = "key long, logp double", "cell long, zeros double, ones double, log_w double"
 COUNT_SCHEMA = "kind int, key long, n long"
 OUT_SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
 
@@ -36,28 +46,37 @@ def grams(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray
     return buf, where, first
 
 
+def gram_keys(buf: np.ndarray, where: np.ndarray, depth: int) -> np.ndarray:
+    """Each position's byte (lowest) and the depth bytes before it, as one integer."""
+    key = np.zeros(len(buf), np.uint64)
+    for d in range(depth, -1, -1):
+        key[depth:] = (key[depth:] << np.uint64(8)) | buf[depth - d : len(buf) - d]
+    return key[where]
+
+
 def count_rows(batches, depth: int):
-    """Counts of byte grams (kind 1) and word hashes (kind 0) over all texts of a task."""
-    both = {0: Counts(), 1: Counts()}
+    """Counts of byte grams (kind 1) and word hashes (kind 0) over all texts of a task; the grams of held-out texts count 0."""
+    words, learnt, others = Counts(), Counts(), Counts()
 
     def out(limit: int):
-        for kind, c in both.items():
+        for kind, c in ((0, words), (1, learnt), (1, others)):
             if len(c.keys) > limit:
                 keys, n = c.drain()
+                n = n * (c is not others)
                 for i in range(0, len(keys), 100_000):
                     k = keys[i : i + 100_000]
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k.view(np.int64)), pa.array(n[i : i + 100_000])], ["kind", "key", "n"])
 
     for batch in batches:
-        for _, _, data, offsets in byte_chunks(batch.column("text")):
-            both[0].add(word_hashes(data, offsets)[0])
-            buf, where, _ = grams(data, offsets, depth)
-            key = np.zeros(len(buf), np.uint64)
-            for d in range(depth, -1, -1):
-                key[depth:] = (key[depth:] << np.uint64(8)) | buf[depth - d : len(buf) - d]
-            both[1].add(key[where])
+        for held in (False, True):
+            part = batch.filter(pc.equal(batch.column("held_out"), held))
+            for _, _, data, offsets in byte_chunks(part.column("text")) if len(part) else ():
+                buf, where, _ = grams(data, offsets, depth)
+                (others if held else learnt).add(gram_keys(buf, where, depth))
+                if not held:
+                    words.add(word_hashes(data, offsets)[0])
         yield from out(4_000_000)
-    for c in both.values():
+    for c in (words, learnt, others):
         c._fold()
     yield from out(0)
 
@@ -88,7 +107,7 @@ def kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """next state by preceding byte, and log10 probability of each next byte, by state."""
+    """The same model with dense tables in one process, for small trees: next state by preceding byte, and log10 probability of each next byte, by state."""
 
     def __init__(self, tables: list[dict[int, np.ndarray]], depth: int):
         """tables[d]: context (an integer of d bytes, the latest lowest) -> counts of the next byte, for the contexts that are nodes."""
@@ -180,36 +199,133 @@ class Model:
         return self.logp.reshape(-1)[(state - self.inner) * 256 + buf[where]].astype(np.float64)
 
 
-def tables_of(counts: DataFrame, depth: int, breadth: int) -> list[dict[int, np.ndarray]]:
-    """Next-byte counts of the contexts that hold 1/breadth of all bytes or more, by depth: at most breadth contexts of 256 counts each."""
-    gram = counts.where("kind = 1")
-    total = gram.agg(F.sum("n")).first()[0] or 0
-    out: list[dict[int, np.ndarray]] = []
-    for d in range(depth + 1):
-        by = gram.groupBy(F.col("key").bitwiseAND((1 << 8 * (d + 1)) - 1).alias("key")).agg(F.sum("n").alias("n"))
-        if d:
-            kept = by.groupBy(F.shiftrightunsigned("key", 8).alias("context")).agg(F.sum("n").alias("held")).where(F.col("held") * breadth >= total)
-            by = by.withColumn("context", F.shiftrightunsigned("key", 8)).join(kept.select("context"), "context")
-        got = by.select("key", "n").toArrow()
-        key, n = got.column("key").to_numpy(), got.column("n").to_numpy()
-        table: dict[int, np.ndarray] = {}
-        order = np.argsort(key, kind="stable")
-        key, n = key[order], n[order]
-        context = key >> 8
-        at = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(key) else []
-        for i, j in zip(at, [*at[1:], len(key)][: len(at)], strict=True):
-            row = np.zeros(256, np.int64)
-            row[key[i:j] & 255] = n[i:j]
-            table[int(context[i])] = row
-        out.append(table)
-    return out
-
-
-def score_rows(batches, model, vocab, totals):
-    """One row a text. vocab: sorted word hashes and their counts, or None if the counts are joined in later."""
+def below(keys: np.ndarray, size: int) -> np.ndarray:
+    """The lowest bytes of keys."""
+    return keys & np.uint64((1 << 8 * size) - 1)
+
+
+def level(cells: np.ndarray, zeros: np.ndarray, ones: np.ndarray, d: int, least: int) -> SimpleNamespace:
+    """The decision nodes of the contexts of d bytes; cells (sorted) are context << 8 | decision node."""
+    held = (zeros + ones)[np.searchsorted(cells, cells & ~np.uint64(255) | np.uint64(1))]
+    zeros, ones = zeros.astype(float), ones.astype(float)
+    est = kt(zeros, ones)
+    return SimpleNamespace(cells=cells, zeros=zeros, ones=ones, node=(held >= least) | (d == 0), est=est, log_w=est, p=(ones + 0.5) / (zeros + ones + 1))
+
+
+def weigh(upper: SimpleNamespace, lower: SimpleNamespace, d: int) -> None:
+    """Weights of the contexts of d bytes, from those of one byte more."""
+    lower.up = np.searchsorted(upper.cells, below(lower.cells, d + 1))
+    own = lower.up[lower.node]
+    fold = lambda x: np.bincount(own, x[lower.node], len(upper.cells))
+    zeros, ones = upper.zeros - fold(lower.zeros), upper.ones - fold(lower.ones)
+    sums = fold(lower.log_w) + kt(zeros, ones)
+    upper.log_w = np.logaddexp(upper.est, sums) - np.log(2)
+    upper.share = 1 / (1 + np.exp(-np.clip(upper.est - sums, -700, 700)))
+    upper.rest = (ones + 0.5) / (zeros + ones + 1)
+
+
+def subtrees(keys: np.ndarray, n: np.ndarray, depth: int, low: int, least: int) -> tuple[dict[int, SimpleNamespace], np.ndarray]:
+    """The levels depth to low of the sorted grams, and the cells of each gram's eight decisions at depth."""
+    levels: dict[int, SimpleNamespace] = {}
+    shift = np.arange(8, 0, -1, dtype=np.uint64)
+    for d in range(depth, low - 1, -1):
+        keys, where = np.unique(below(keys, d + 1), return_inverse=True)
+        n = np.bincount(where, n, len(keys))
+        cell = (keys & ~np.uint64(255))[:, None] | ((keys & np.uint64(255) | np.uint64(256))[:, None] >> shift)
+        one = ((keys[:, None] >> (shift - np.uint64(1))) & np.uint64(1)).astype(bool)
+        cells, of = np.unique(cell.ravel(), return_inverse=True)
+        total, ones = np.bincount(of, np.repeat(n, 8), len(cells)), np.bincount(of, (n[:, None] * one).ravel(), len(cells))
+        levels[d] = level(cells, total - ones, ones, d, least)
+        if d == depth:
+            at = of.reshape(-1, 8)
+        else:
+            weigh(levels[d], levels[d + 1], d)
+    return levels, at
+
+
+def _grams_of(batches) -> tuple[np.ndarray, np.ndarray]:
+    got = [(b.column("key").to_numpy().view(np.uint64), b.column("n").to_numpy()) for b in batches]
+    keys, n = (np.concatenate(x) for x in zip(*got, strict=True)) if got else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    order = np.argsort(keys)
+    return keys[order], n[order]
+
+
+def cell_rows(batches, depth: int, low: int, least: int):
+    """The weighed cells of the contexts of low bytes."""
+    keys, n = _grams_of(batches)
+    if len(keys):
+        x = subtrees(keys, n, depth, low, least)[0][low]
+        yield pa.RecordBatch.from_arrays([pa.array(x.cells.view(np.int64)), pa.array(x.zeros), pa.array(x.ones), pa.array(x.log_w)], ["cell", "zeros", "ones", "log_w"])
+
+
+def gram_rows(batches, depth: int, low: int, least: int, top):
+    """log10 probability of each gram's byte after its context."""
+    keys, n = _grams_of(batches)
+    if not len(keys):
+        return
+    levels, at = subtrees(keys, n, depth, low, least)
+    levels[low].up = np.searchsorted(top.value[low - 1].cells, below(levels[low].cells, low))
+    p, live = levels[depth].p[at], levels[depth].node[at]
+    for d in range(depth - 1, -1, -1):
+        lower, x = levels[d + 1] if d + 1 >= low else top.value[d + 1], levels[d] if d >= low else top.value[d]
+        at = lower.up[at]
+        # below the deepest node of a gram's path, the leaf that its rarer contexts share
+        p = np.where(live, p, x.rest[at])
+        live = x.node[at]
+        p = np.where(live, x.share[at] * x.p[at] + (1 - x.share[at]) * p, p)
+    one = ((keys[:, None] >> np.arange(7, -1, -1, dtype=np.uint64)) & np.uint64(1)).astype(bool)
+    logp = np.log10(np.where(one, p, 1 - p)).sum(axis=1)
+    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(logp)], ["key", "logp"])
+
+
+def gram_table(counts: DataFrame, depth: int, least: int) -> tuple[DataFrame, int]:
+    """(key, logp) of every gram, written, and their number."""
+    spark, low = counts.sparkSession, min(BORDER, depth)
+    gram = counts.where("kind = 1").select("key", "n")
+    size = gram.count()
+    context = F.shiftrightunsigned("key", 8).bitwiseAND((1 << 8 * low) - 1)
+    dealt = gram.repartition(max(8, size // TASK_GRAMS + 1), context)
+    got = dealt.mapInArrow(lambda it: cell_rows(it, depth, low, least), CELL_SCHEMA).toArrow()
+    cells = got.column("cell").to_numpy().view(np.uint64)
+    order = np.argsort(cells)
+    cells, zeros, ones, log_w = cells[order], *(got.column(c).to_numpy()[order] for c in ("zeros", "ones", "log_w"))
+    top = {low: level(cells, zeros, ones, low, least)}
+    top[low].log_w = log_w
+    for d in range(low - 1, -1, -1):
+        x = top[d + 1]
+        keys, where = np.unique(below(x.cells, d + 1), return_inverse=True)
+        top[d] = level(keys, np.bincount(where, x.zeros, len(keys)), np.bincount(where, x.ones, len(keys)), d, least)
+        weigh(top[d], x, d)
+    del top[low]
+    held = spark.sparkContext.broadcast(top)
+    return materialise(dealt.mapInArrow(lambda it: gram_rows(it, depth, low, least, held), GRAM_SCHEMA), "ctw-grams"), size
+
+
+def sorted_table(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    key, logp = table.column("key").to_numpy().view(np.uint64), table.column("logp").to_numpy()
+    order = np.argsort(key)
+    return key[order], logp[order]
+
+
+def distinct_rows(batches, depth: int):
+    """(part, key): the grams that a group's texts have, repeated at most once a chunk."""
+    for batch in batches:
+        part = batch.column("part").to_numpy()
+        for x in np.unique(part).tolist():
+            texts = batch.filter(pa.array(part == x)).column("text")
+            for _, _, data, offsets in byte_chunks(texts, 1 << 23):
+                buf, where, _ = grams(data, offsets, depth)
+                keys = np.unique(gram_keys(buf, where, depth))
+                for i in range(0, len(keys), 100_000):
+                    k = keys[i : i + 100_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), x)), pa.array(k.view(np.int64))], ["part", "key"])
+
+
+def score_rows(batches, model, vocab, totals, depth):
+    """One row a text. model: sorted grams and their log probabilities; vocab: sorted word hashes and their counts, or None if the counts are joined in later."""
     n_all, n_distinct, end_count = totals
     under = n_all + 0.1 * (n_distinct + 1)
-    m = model.value
+    grams_known, logp = model.value
     known = vocab.value if vocab else None
     for batch in batches:
         cols: list[list] = [[] for _ in range(5)]
@@ -224,8 +340,9 @@ def score_rows(batches, model, vocab, totals):
                 base = np.array([value[a:b].sum() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)])
                 seen = np.concatenate([[0], np.cumsum(c > 0)])
                 hits = seen[first[1:]] - seen[first[:-1]]
-            buf, where, begin = grams(data, offsets, m.depth)
-            score = np.add.reduceat(m.score(buf, where), begin[:-1])
+            buf, where, begin = grams(data, offsets, depth)
+            keys, of = np.unique(gram_keys(buf, where, depth), return_inverse=True)
+            score = np.add.reduceat(logp[np.searchsorted(grams_known, keys)][of], begin[:-1])
             for to, x in zip(cols, (n, hits, base, score, np.diff(offsets)), strict=True):
                 to.append(x)
         if not cols[0]:
@@ -250,7 +367,7 @@ def word_rows(batches):
                     yield pa.RecordBatch.from_arrays([*same, pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["doc_id", "text_key", "key", "n"])
 
 
-def lm_scores(docs: DataFrame, held_out, depth: int = DEPTH, breadth: int = BREADTH, vocab_limit: int = VOCAB_LIMIT) -> DataFrame:
+def lm_scores(docs: DataFrame, held_out, depth: int = DEPTH, least: int = LEAST, vocab_limit: int = VOCAB_LIMIT, gram_limit: int = GRAM_LIMIT) -> DataFrame:
     """Scores every text; ``held_out`` (a Column over docs) marks the rows that are not learnt from.
 
     Returns OUT_SCHEMA: the unigram baseline (base_score), the context-tree model's log10 probability of the text and its end (score),
@@ -260,19 +377,22 @@ def lm_scores(docs: DataFrame, held_out, depth: int = DEPTH, breadth: int = BREA
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), held_out.alias("held_out"))
     train = rows.where(~F.col("held_out"))
     n_train = train.select(F.count("*")).first()[0]
-    counted = train.select("text").mapInArrow(lambda it: count_rows(it, depth), COUNT_SCHEMA)
+    counted = rows.select("text", "held_out").mapInArrow(lambda it: count_rows(it, depth), COUNT_SCHEMA)
     counts = materialise(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "ctw-counts")
     words = counts.where("kind = 0").select("key", "n")
     got = words.agg(F.count("*"), F.sum("n")).first()
     n_all, distinct = (got[1] or 0) + n_train, got[0] + (n_train > 0)
-    model = spark.sparkContext.broadcast(Model(tables_of(counts, depth, breadth), depth))
+    table, size = gram_table(counts, depth, least)
+    model = spark.sparkContext.broadcast(sorted_table(table.toArrow())) if size <= gram_limit else None
     totals = n_all, distinct, n_train
     if got[0] <= vocab_limit:
-        table = words.toArrow()
-        key, n = table.column("key").to_numpy().view(np.uint64), table.column("n").to_numpy()
+        got = words.toArrow()
+        key, n = got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy()
         order = np.argsort(key)
         vocab = spark.sparkContext.broadcast((key[order], n[order]))
-        return rows.mapInArrow(lambda it: score_rows(it, model, vocab, totals), OUT_SCHEMA)
+        if model:
+            return rows.mapInArrow(lambda it: score_rows(it, model, vocab, totals, depth), OUT_SCHEMA)
+        return _by_group(rows, table, lambda it, m: score_rows(it, m, vocab, totals, depth), OUT_SCHEMA, depth)
     # counts joined by word: rows of the same id and text have the same sums
     keyed = rows.withColumn("text_key", F.xxhash64("text"))
     under = n_all + 0.1 * (distinct + 1)
@@ -282,7 +402,11 @@ def lm_scores(docs: DataFrame, held_out, depth: int = DEPTH, breadth: int = BREA
         .groupBy("doc_id", "text_key")
         .agg(F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.1) / under)).alias("words_score"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("words_known"))
     )
-    keyed_scores = keyed.mapInArrow(lambda it: _with_key(it, model, totals), OUT_SCHEMA + ", text_key long")
+    schema = OUT_SCHEMA + ", text_key long"
+    if model:
+        keyed_scores = keyed.mapInArrow(lambda it: _with_key(it, model, totals, depth), schema)
+    else:
+        keyed_scores = _by_group(keyed, table, lambda it, m: _with_key(it, m, totals, depth), schema, depth)
     a, b = keyed_scores.alias("a"), sums.alias("b")
     return a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_key") == F.col("b.text_key")), "left").select(
         "a.doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("words_known", F.lit(0))).alias("n_known"), "train_tokens",
@@ -290,9 +414,22 @@ def lm_scores(docs: DataFrame, held_out, depth: int = DEPTH, breadth: int = BREA
     )
 
 
-def _with_key(batches, model, totals):
+def _by_group(rows: DataFrame, table: DataFrame, score, schema: str, depth: int) -> DataFrame:
+    """score(batches, model) of groups of texts, each with the grams that it has."""
+    parts = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // GROUP_BYTES + 1
+    dealt = materialise(rows.withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts))), "ctw-parts")
+    found = dealt.select("part", "text").mapInArrow(lambda it: distinct_rows(it, depth), "part long, key long").distinct().join(table, "key")
+
+    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        model = SimpleNamespace(value=sorted_table(right))
+        return pa.Table.from_batches(list(score(left.combine_chunks().to_batches(), model)))
+
+    return dealt.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(scored, schema)
+
+
+def _with_key(batches, model, totals, depth):
     for batch in batches:
-        for out in score_rows([batch], model, None, totals):
+        for out in score_rows([batch], model, None, totals, depth):
             yield out.append_column("text_key", batch.column("text_key"))
 
 
