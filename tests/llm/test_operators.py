@@ -249,6 +249,15 @@ def test_license_scan(spark, docs, nothing):
     assert license_scan.scan_licenses(docs).count() == 0 and license_scan.scan_licenses(nothing).count() == 0
 
 
+def test_license_scan_reports_notices_repeated_close_by(spark):
+    mit, cc = "Released under the MIT License.", "Licensed under CC BY 4.0."
+    texts = [f"{mit} {mit}", f"{cc} and so {cc}", f"{cc} {mit} " * 40, f"{mit} {mit} {mit} {cc} {cc}"]
+    got = license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for i, t in enumerate(texts):
+        want = sorted((m.start(), m.end() - 1, name) for name, x in (("MIT", mit), ("CC-BY-4.0", cc)) for m in re.finditer(re.escape(x), t))
+        assert sorted((r.start_byte, r.end_byte, r.license) for r in got if r.doc_id == i) == want
+
+
 def test_budgets_redistribute_among_siblings_first():
     leaves = {("a", "x", "1"): 10, ("a", "x", "2"): 1000, ("a", "y", "1"): 1000, ("b", "x", "1"): 1000}
     got = mixing.budgets(leaves, {("a",): 1.0, ("b",): 1.0}, 800, 1)

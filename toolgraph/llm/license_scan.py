@@ -3,7 +3,8 @@
 Texts and templates are words of letters and digits (A-Z lowered). Three-word shingles are hashed, and of every three neighbouring shingles the least hash (the last of
 equal ones) is a fingerprint, so any five words in common share one. An inverted index fingerprint -> (template, place) gives candidate places in the
 text; hits near one diagonal form a candidate, and a banded alignment of the template with the text around it reports the words that match, the coverage
-(matched / template words) and the span in bytes. Of overlapping spans of a text the one with most matched words stays.
+(matched / template words) and the span in bytes. Of overlapping spans of a text the one with most matched words stays;
+what a candidate has before and after the span taken is aligned again, until nothing reaches the coverage, so notices that are repeated close by are each reported.
 
 Edge cases: null and empty texts match nothing; repeated rows are scanned each; equal matches go to the template first in order; an empty table gives an empty one. Work is in
 proportion to the text, and alignments to the candidates (each as wide as a template).
@@ -11,7 +12,9 @@ proportion to the text, and alignments to the candidates (each as wide as a temp
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from hashlib import blake2b
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -96,29 +99,46 @@ class Index:
 
     def scan(self, h: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(matched, template, first word, last word) of the places ``at`` whose shingle is in the index."""
-        found: dict[tuple[int, int], None] = {}
+        found: dict[tuple[int, int], list[int]] = {}
         n = len(h) - SHINGLE + 1
         for p in at.tolist():
             g = int(mix64(sum(h[p + j : p + j + 1] * _LEAD[j] for j in range(SHINGLE)))[0]) if p < n else 0
             i = int(np.searchsorted(self.hashes, np.uint64(g)))
             while i < len(self.hashes) and int(self.hashes[i]) == g:
                 t, place = self.entries[i]
-                found.setdefault((t, (p - place) // BAND), None)
+                found.setdefault((t, (p - place) // BAND), []).append(p)
                 i += 1
-        spans = set()
+        best: list[tuple] = []
+
+        def propose(t: int, slot: int, a: int, b: int) -> None:
+            """The best span of a candidate within the words a to b, if one of its hits lies there."""
+            if any(a <= p and p + SHINGLE <= b for p in found[t, slot]) and (got := align(self.words[t], h, slot * BAND, a, b)):
+                matched, x, y = got
+                if matched >= COVERAGE * len(self.words[t]):
+                    heappush(best, (-matched, y - x, t, x, y, slot, a, b))
+
         for t, slot in found:
-            if best := align(self.words[t], h, slot * BAND):
-                if best[0] >= COVERAGE * len(self.words[t]):
-                    spans.add((best[0], t, best[1], best[2]))
+            propose(t, slot, 0, len(h))
         kept: list[tuple[int, int, int, int]] = []
-        for s in sorted(spans, key=lambda s: (-s[0], s[3] - s[2], s[1], s[2])):
-            if all(s[3] < k[2] or s[2] > k[3] for k in kept):
-                kept.append(s)
+        starts: list[int] = []
+        while best:
+            matched, _, t, x, y, slot, a, b = heappop(best)
+            # spans kept lie apart, so the first that ends at or after x is the only one to ask
+            i = max(0, bisect_left(starts, x) - 1)
+            i += i < len(kept) and kept[i][3] < x
+            if i < len(kept) and kept[i][2] <= y:
+                x, y = kept[i][2:]
+            else:
+                kept.insert(i, (-matched, t, x, y))
+                starts.insert(i, x)
+            # what the candidate has beside the span that is taken
+            propose(t, slot, a, min(b, x))
+            propose(t, slot, max(a, y + 1), b)
         return kept
 
 
-def align(t: np.ndarray, h: np.ndarray, diagonal: int) -> tuple[int, int, int] | None:
-    """Most words of template t in order within text h, near text place = template place + diagonal (diagonal to diagonal + BAND, and BAND around).
+def align(t: np.ndarray, h: np.ndarray, diagonal: int, a: int, b: int) -> tuple[int, int, int] | None:
+    """Most words of template t in order within the words a to b of text h, near text place = template place + diagonal (diagonal to diagonal + BAND, and BAND around).
 
     Cells hold (matched words, -text words passed over, first and last matched place).
     """
@@ -133,7 +153,7 @@ def align(t: np.ndarray, h: np.ndarray, diagonal: int) -> tuple[int, int, int] |
             if c and new[c - 1][0]:
                 left = new[c - 1]
                 best = max(best, (left[0], left[1] - 1, left[2], left[3]))
-            if 0 <= p < len(h) and int(h[p]) == word:
+            if a <= p < b and int(h[p]) == word:
                 m, gap, first, _ = row[c]
                 best = max(best, (m + 1, gap, first if m else p, p))
             new[c] = best
