@@ -228,6 +228,18 @@ def test_near_duplicates(spark, docs, nothing, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_one_of_each_group_keeps_null_and_reused_ids_apart(spark):
+    r = random.Random(5)
+    a, b, c, d, e = (" ".join(f"{x}{r.randrange(10**6)}" for _ in range(60)) for x in "abcde")
+    near = a.replace(a.split(" ")[30], "changed")
+    # a: the least id; b and c: two texts without id; d and e: two texts of id 7, of which d has a copy with a lesser id
+    rows = [(1, a), (2, near), (None, a), (None, b), (None, b), (None, c), (7, d), (7, e), (7, e), (3, d), (None, ""), (None, None), (9, " "), (9, "\n")]
+    for parts in (1, 3):
+        got = minhash_dedup.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts))
+        assert got.columns == ["doc_id", "text"]
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [(1, a), (None, b), (None, c), (3, d), (7, e), (None, ""), (None, None), (9, " "), (9, "\n")]))
+
+
 def test_odd_sketches_follow_similarity():
     r = np.random.default_rng(1)
     a = np.unique(r.integers(0, 2**63, 1000, dtype=np.uint64))

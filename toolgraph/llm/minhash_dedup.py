@@ -37,7 +37,7 @@ _ODD = (_rng.integers(0, 2**31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.ui
 _WORD = _rng.integers(0, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SAMPLE = _rng.integers(0, 2**63, SAMPLES, dtype=np.uint64)
 _BAND = (_rng.integers(0, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2)) + np.uint64(1)
-FEATURES = "doc_id long, n_shingles long, sig binary, bands array<long>, sketch array<long>"
+FEATURES = "doc_id long, text_key long, n_shingles long, sig binary, bands array<long>, sketch array<long>"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -82,12 +82,13 @@ def feature_rows(batches):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(i, j - i),
+                    batch.column("text_key").slice(i, j - i),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                     pa.array([x and x[0] for x in done], pa.list_(pa.int64())),
                     pa.array([x and x[1] for x in done], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "sig", "bands", "sketch"],
+                ["doc_id", "text_key", "n_shingles", "sig", "bands", "sketch"],
             )
 
 
@@ -129,7 +130,7 @@ def may_link(n_a: str, n_b: str, s_a: str, s_b: str) -> Column:
 def _near(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(features with their node, (node, component) of linked classes)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    features = materialise(docs.mapInArrow(feature_rows, FEATURES).withColumn("node", F.xxhash64("sig")), "minhash")
+    features = materialise(docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(feature_rows, FEATURES).withColumn("node", F.xxhash64("sig")), "minhash")
     some = features.where("n_shingles > 0")
     classes = materialise(some.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc_id")), "classes")
     slots = classes.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
@@ -265,6 +266,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that near_duplicates keeps; of repeated rows with one id, one."""
-    keep = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id"])
+    """One row of ``docs`` of each component: that of the least id, null the last, and of one id's texts that of the least hash. Texts without words all stay."""
+    features, groups = _near(docs)
+    placed = features.where("n_shingles > 0").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    first = placed.groupBy("component").agg(F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "text_key")).alias("first"))
+    keep = first.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.text_key").alias("_kept_key"))
+    keyed = docs.withColumn("_key", F.xxhash64("text"))
+    worded = F.coalesce(F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    # rows that repeat both id and text are of one component
+    chosen = keyed.where(worded).join(keep, F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_key") == F.col("_kept_key")), "left_semi").dropDuplicates(["doc_id", "_key"])
+    return chosen.unionByName(keyed.where(~worded)).drop("_key")
