@@ -270,6 +270,20 @@ def test_license_scan_reports_notices_repeated_close_by(spark):
         assert sorted((r.start_byte, r.end_byte, r.license) for r in got if r.doc_id == i) == want
 
 
+def test_license_scan_names_the_licences_that_the_repository_knows(spark):
+    from toolgraph.functions import licenses
+
+    known = {re.sub("-(only|or-later)$", "", x) for x in licenses.SPDX}
+    assert known - set(license_scan.TEMPLATES) == {"CECT-1.0"}
+    names = sorted(license_scan.TEMPLATES)
+    table = spark.createDataFrame([(i, f"zzz {license_scan.TEMPLATES[n]} zzz") for i, n in enumerate(names)], "doc_id long, text string")
+    got = license_scan.scan_licenses(table).collect()
+    assert sorted((r.doc_id, r.license, r.coverage) for r in got) == [(i, n, 1.0) for i, n in enumerate(names)]
+    gpl2 = license_scan.TEMPLATES["GPL-3.0-notice"].replace("version 3", "version 2")
+    got = license_scan.scan_licenses(spark.createDataFrame([(0, gpl2), (1, "Licensed under CC BY-SA 4.0")], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.license) for r in got) == [(0, "GPL-2.0-notice"), (1, "CC-BY-SA-4.0")]
+
+
 def test_budgets_redistribute_among_siblings_first():
     leaves = {("a", "x", "1"): 10, ("a", "x", "2"): 1000, ("a", "y", "1"): 1000, ("b", "x", "1"): 1000}
     got = mixing.budgets(leaves, {("a",): 1.0, ("b",): 1.0}, 800, 1)

@@ -6,7 +6,7 @@ text; hits near one diagonal form a candidate, and a banded alignment of the tem
 (matched / template words) and the span in bytes. Of overlapping spans of a text the one with most matched words stays;
 what a candidate has before and after the span taken is aligned again, until nothing reaches the coverage, so notices that are repeated close by are each reported.
 
-Edge cases: null and empty texts match nothing; repeated rows are scanned each; equal matches go to the template first in order; an empty table gives an empty one. Work is in
+Edge cases: null and empty texts match nothing; repeated rows are scanned each; equal matches go to the shorter template, then to the first in order; an empty table gives an empty one. Work is in
 proportion to the text, and alignments to the candidates (each as wide as a template).
 """
 
@@ -25,7 +25,7 @@ from .common import _BYTE_HASH, _R, LOWER_LUT, byte_chunks, mix64, padded
 
 SHINGLE, WINNOW, BAND, COVERAGE = 3, 3, 8, 0.6
 SCHEMA = "doc_id long, license string, coverage double, matched long, start_byte long, end_byte long"
-#: Public licence notices in short form.
+#: Public licence lines and notices in short form, of the SPDX ids that functions/licenses.py knows but CECT-1.0; no full texts.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
@@ -36,7 +36,45 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MIT-notice": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
     "BSD-notice": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "BSD-3-Clause-notice": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "BSD-4-Clause-notice": "All advertising materials mentioning features or use of this software must display the following acknowledgement",
+    "0BSD": "Released under the Zero-Clause BSD License.",
+    "0BSD-notice": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "MPL-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "EPL-1.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    "EPL-2.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "CC0-1.0": "Released under CC0 1.0.",
+    "CC0-1.0-notice": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty.",
+    "Unlicense": "Released under the Unlicense.",
+    "Unlicense-notice": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software",
+    "Zlib": "Released under the zlib License.",
+    "Zlib-notice": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+    "GPL-1.0": "Licensed under the GNU General Public License, version 1.",
+    "GPL-2.0": "Licensed under the GNU General Public License, version 2.",
+    "LGPL-2.0": "Licensed under the GNU Library General Public License, version 2.",
+    "LGPL-2.1": "Licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0": "Licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-1.0": "Licensed under the Affero General Public License, version 1.",
+    "AGPL-3.0": "Licensed under the GNU Affero General Public License, version 3.",
 }
+_GNU = "This {} is free software; you can redistribute it and/or modify it under the terms of the {} General Public License as published by the {}; either version {}, or (at your option) any later version."
+_FSF = "Free Software Foundation"
+for _name, _what, _kind, _of, _version in (
+    ("GPL-1.0", "program", "GNU", _FSF, "1"), ("GPL-2.0", "program", "GNU", _FSF, "2 of the License"), ("LGPL-2.0", "library", "GNU Library", _FSF, "2 of the License"),
+    ("LGPL-2.1", "library", "GNU Lesser", _FSF, "2.1 of the License"), ("LGPL-3.0", "library", "GNU Lesser", _FSF, "3 of the License"),
+    ("AGPL-1.0", "program", "Affero", "Affero, Inc.", "1 of the License"), ("AGPL-3.0", "program", "GNU Affero", _FSF, "3 of the License"),
+):
+    TEMPLATES[f"{_name}-notice"] = _GNU.format(_what, _kind, _of, _version)
+for _name, _long in (
+    ("AFL", "Academic Free"), ("Artistic", "Artistic"), ("MPL", "Mozilla Public"), ("EPL", "Eclipse Public"), ("CPL", "Common Public"), ("CDDL", "Common Development and Distribution"),
+):
+    for _version in {"AFL": ("1.1", "1.2", "2.0", "2.1", "3.0"), "Artistic": ("1.0", "2.0"), "MPL": ("2.0",), "EPL": ("1.0", "2.0"), "CPL": ("1.0",), "CDDL": ("1.0", "1.1")}[_name]:
+        TEMPLATES[f"{_name}-{_version}"] = f"Licensed under the {_long} License, version {_version}."
+for _name, _long in (("", ""), ("-NC", "-NonCommercial"), ("-SA", "-ShareAlike"), ("-ND", "-NoDerivatives"), ("-NC-SA", "-NonCommercial-ShareAlike"), ("-NC-ND", "-NonCommercial-NoDerivatives")):
+    TEMPLATES[f"CC-BY{_name}-4.0"] = f"Licensed under CC BY{_name} 4.0."
+    TEMPLATES[f"CC-BY{_name}-4.0-notice"] = f"This work is licensed under a Creative Commons Attribution{_long} 4.0 International License."
+for _n in "234":
+    TEMPLATES[f"BSD-{_n}-Clause"] = f"Released under the BSD {_n}-Clause License."
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True
 _LEAD = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
@@ -115,14 +153,14 @@ class Index:
             if any(a <= p and p + SHINGLE <= b for p in found[t, slot]) and (got := align(self.words[t], h, slot * BAND, a, b)):
                 matched, x, y = got
                 if matched >= COVERAGE * len(self.words[t]):
-                    heappush(best, (-matched, y - x, t, x, y, slot, a, b))
+                    heappush(best, (-matched, len(self.words[t]), y - x, t, x, y, slot, a, b))
 
         for t, slot in found:
             propose(t, slot, 0, len(h))
         kept: list[tuple[int, int, int, int]] = []
         starts: list[int] = []
         while best:
-            matched, _, t, x, y, slot, a, b = heappop(best)
+            matched, _, _, t, x, y, slot, a, b = heappop(best)
             # spans kept lie apart, so the first that ends at or after x is the only one to ask
             i = max(0, bisect_left(starts, x) - 1)
             i += i < len(kept) and kept[i][3] < x
