@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -14,19 +17,76 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (unset, as in tests) a temporary one of our own."""
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if path is None:
+    """The folder that driver and executors share: spark.checkpoint.dir. Unset, a session on one machine (as in tests) gets a temporary one; on a cluster that is an error."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir isn't set: a cluster needs a folder that the driver and all executors share")
         path = getattr(spark.sparkContext, "_toolgraph_dir", None) or tempfile.mkdtemp(prefix="toolgraph-")
         spark.sparkContext._toolgraph_dir = path
     return path.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it back: cuts lineage, survives lost executors."""
+#: The folders that the innermost open scratch() is to delete.
+_OPEN: ContextVar[list[str] | None] = ContextVar("open", default=None)
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Writes df as Parquet to the shared folder and reads it back: cuts lineage, survives lost executors. Also says where it is."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """stored, in a folder that goes with the scratch() around, if any."""
+    out, path = stored(df, name)
+    if (folders := _OPEN.get()) is not None:
+        folders.append(path)
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whichever store its path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """What materialise writes inside goes at the end, so a result has to be stored by then."""
+    token = _OPEN.set([])
+    try:
+        yield
+    finally:
+        folders = _OPEN.get()
+        _OPEN.reset(token)
+        for path in folders:
+            remove(spark, path)
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that no column of df has (columns compare without case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"{name}_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def rows_where(docs: DataFrame, judge, keep) -> DataFrame:
+    """The rows of docs for which keep(judged) holds; judge(batches of doc_id, held_out, text) gives one batch a batch, row by row. Other columns of any name pass through."""
+
+    def rows(batches):
+        for batch in batches:
+            marked = pa.RecordBatch.from_arrays([pa.nulls(len(batch), pa.int64()), pa.nulls(len(batch), pa.bool_()), batch.column("text")], ["doc_id", "held_out", "text"])
+            mask = np.concatenate([np.asarray(keep(out), bool) for out in judge([marked])])
+            yield batch.filter(pa.array(mask))
+
+    return docs.mapInArrow(rows, docs.schema)
 
 
 def ascii_lower(c: Column) -> Column:
