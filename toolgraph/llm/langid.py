@@ -1,8 +1,8 @@
 """Language identification as a mixture of languages, fitted to each document by expectation-maximisation.
 
-Learnt: for each language the counts of byte trigrams (A-Z lowered, other ASCII a space, texts framed by spaces), hashed to 65,536 slots,
-which bounds the broadcast table at 65,536 numbers a language. A document's trigrams are drawn from a mixture of the languages; EM
-estimates the proportions. The language set is then chosen: the k languages of the largest proportions, for the k whose own fit has the greatest log-likelihood
+Learnt: for each language the counts of byte trigrams (A-Z lowered, other ASCII a space, texts framed by spaces). With 155 symbols left there are 3.7 million
+trigrams at most, whatever the corpus, and the broadcast table has a row for each that a training text has, so no two share a count; all others share one row of
+smoothing. A document's trigrams are drawn from a mixture of the languages; EM estimates the proportions. The language set is then chosen: the k languages of the largest proportions, for the k whose own fit has the greatest log-likelihood
 less ``PENALTY * log(trigrams)`` for each language (a proportion under ``LEAST`` never enters). Predicted is the set's largest proportion, which is the score.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0, and so is every text if no language was learnt; equal proportions go to the language first in
@@ -16,41 +16,49 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_chunks, crc_mod, padded
+from .common import Counts, byte_chunks, crc_mod, padded, rows_where
 
-SLOTS, SMOOTHING, ROUNDS, PENALTY, LEAST = 1 << 16, 0.5, 10, 4.0, 0.02
+SMOOTHING, ROUNDS, PENALTY, LEAST = 0.5, 10, 4.0, 0.02
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, languages map<string,double>"
-_LUT = np.full(256, 32, np.uint8)
-_LUT[97:123] = np.arange(97, 123)
-_LUT[65:91] = np.arange(97, 123)
-_LUT[128:] = np.arange(128, 256)
+#: Symbols: 0 a space, 1 to 26 letters, then the bytes from 128 on.
+SYMBOLS = 155
+CODES = SYMBOLS**3
+_LUT = np.zeros(256, np.uint8)
+_LUT[97:123] = _LUT[65:91] = np.arange(1, 27)
+_LUT[128:] = np.arange(27, SYMBOLS)
 
 
 def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of all trigrams but those of spaces only around their middle, and each one's text."""
+    """Codes of all trigrams but those of spaces only around their middle, and each one's text."""
     buf, starts = padded(data, offsets, 2, 32)
     buf = _LUT[buf].astype(np.uint32)
     a, b, c = buf[:-2], buf[1:-1], buf[2:]
-    code = ((a << 16 | b << 8 | c) * np.uint32(0x9E3779B1)) >> np.uint32(16)
-    keep = np.flatnonzero((b != 32) | ((a != 32) & (c != 32)))
+    code = (a * SYMBOLS + b) * SYMBOLS + c
+    keep = np.flatnonzero((b != 0) | ((a != 0) & (c != 0)))
     text = np.searchsorted(starts - 1, keep, "right") - 1
     return code[keep], text
 
 
 def count_rows(batches):
-    sums: dict[str, np.ndarray] = {}
+    """(lang, slot, n): sums of a task, given out whenever four million pairs have gathered."""
+    index: dict[str, int] = {}
+    sums = Counts()
+
+    def out():
+        keys, n = sums.drain()
+        names = pa.array(list(index), pa.string())
+        for i in range(0, len(keys), 100_000):
+            k = keys[i : i + 100_000].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(k // CODES)), pa.array((k % CODES).astype(np.int32)), pa.array(n[i : i + 100_000])], ["lang", "slot", "n"])
+
     for batch in batches:
-        langs = batch.column("lang").to_pylist()
+        of = np.array([index.setdefault(x, len(index)) for x in batch.column("lang").to_pylist()], np.uint64)
         for i, j, data, offsets in byte_chunks(batch.column("text")):
             code, text = trigrams(data, offsets)
-            names = sorted(set(langs[i:j]))
-            index = np.array([names.index(x) for x in langs[i:j]])
-            both = np.bincount(index[text] * SLOTS + code, minlength=len(names) * SLOTS).reshape(-1, SLOTS)
-            for name, row in zip(names, both, strict=True):
-                sums[name] = sums[name] + row if name in sums else row
-    for name, row in sums.items():
-        at = np.flatnonzero(row)
-        yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(row[at].astype(np.int64))], ["lang", "slot", "n"])
+            sums.add(of[i:j][text] * np.uint64(CODES) + code)
+        if len(sums.keys) > 4_000_000:
+            yield from out()
+    yield from out()
 
 
 def fit(p: np.ndarray, n: np.ndarray, first: np.ndarray, mask: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
@@ -69,13 +77,13 @@ def fit(p: np.ndarray, n: np.ndarray, first: np.ndarray, mask: np.ndarray, round
     return pi, np.add.reduceat(n * np.log(s).astype(np.float64), first)
 
 
-def proportions(table: np.ndarray, code: np.ndarray, text: np.ndarray, n_texts: int) -> np.ndarray:
-    """Each text's proportions over its chosen language set; zeros for texts without trigrams."""
+def proportions(rows: np.ndarray, table: np.ndarray, code: np.ndarray, text: np.ndarray, n_texts: int) -> np.ndarray:
+    """Each text's proportions over its chosen language set; zeros for texts without trigrams. rows: code -> row of the table."""
     out = np.zeros((n_texts, table.shape[1]))
-    key, n = np.unique(text.astype(np.int64) * SLOTS + code, return_counts=True)
+    key, n = np.unique(text.astype(np.int64) * CODES + code, return_counts=True)
     if not len(key):
         return out
-    owner, p, n = key // SLOTS, table[key % SLOTS], n.astype(np.float32)
+    owner, p, n = key // CODES, table[rows[key % CODES]], n.astype(np.float32)
     first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
     ids = owner[first]
     total = np.add.reduceat(n, first)
@@ -106,17 +114,19 @@ def proportions(table: np.ndarray, code: np.ndarray, text: np.ndarray, n_texts:
 
 
 def predict_rows(batches, model):
-    names, table = model.value
+    names, known, table = model.value
+    rows = np.zeros(CODES, np.int32)
+    rows[known] = np.arange(1, len(known) + 1)
     for batch in batches:
         texts = batch.column("text")
         pred, score, mix = [], [], []
         for i, j, data, offsets in byte_chunks(texts):
             if names:
-                pi = proportions(table, *trigrams(data, offsets), j - i)
+                pi = proportions(rows, table, *trigrams(data, offsets), j - i)
                 top, most = pi.argmax(axis=1).tolist(), pi.max(axis=1).tolist()
             else:
                 pi, top, most = np.zeros((j - i, 0)), [0] * (j - i), [0.0] * (j - i)
-            letters = (_LUT[data] != 32) & (data < 128)
+            letters = (_LUT[data] != 0) & (data < 128)
             sums = np.concatenate([[0], np.cumsum(letters)])
             plain = sums[offsets[1:]] > sums[offsets[:-1]]
             for r in range(j - i):
@@ -132,23 +142,29 @@ def predict_rows(batches, model):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(mix, kind)], ["doc_id", "held_out", "lang_pred", "score", "languages"])
 
 
-def learn(train: DataFrame) -> tuple[list[str], np.ndarray]:
-    """From (lang, text): the languages in order, and trigram probabilities (slots x languages)."""
+def learn(train: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """From (lang, text): the languages in order, the codes found, and the probabilities by row (0: a code that wasn't, then those found) and language."""
     got = train.where("lang is not null and text is not null").select("lang", "text").mapInArrow(count_rows, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
-    lang, slot, n = got.column("lang").to_pylist(), got.column("slot").to_numpy(), got.column("n").to_numpy()
-    names = sorted(set(lang))
-    index = {x: i for i, x in enumerate(names)}
-    table = np.full((SLOTS, len(names)), SMOOTHING)
+    lang, slot, n = got.column("lang").combine_chunks().dictionary_encode(), got.column("slot").to_numpy(), got.column("n").to_numpy()
+    lang = lang.combine_chunks() if isinstance(lang, pa.ChunkedArray) else lang
+    found = lang.dictionary.to_pylist()
+    names = sorted(found)
+    known, row = np.unique(slot, return_inverse=True)
+    table = np.full((len(known) + 1, len(names)), SMOOTHING)
     if names:
-        table[slot, np.array([index[x] for x in lang])] += n
+        table[row + 1, np.array([names.index(x) for x in found])[lang.indices.to_numpy()]] += n
         table /= table.sum(axis=0)
-    return names, table.astype(np.float32)
+    return names, known, table.astype(np.float32)
+
+
+def _learnt(rows: DataFrame):
+    return rows.sparkSession.sparkContext.broadcast(learn(rows.where(~F.col("held_out"))))
 
 
 def identify(docs: DataFrame, held_out) -> DataFrame:
     """doc_id, held_out, lang_pred, score and the proportions of each row; learns from the rows whose held_out is false."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", held_out.alias("held_out"))
-    model = docs.sparkSession.sparkContext.broadcast(learn(rows.where(~F.col("held_out"))))
+    model = _learnt(rows)
     return rows.select("doc_id", "held_out", "text").mapInArrow(lambda it: predict_rows(it, model), SCHEMA)
 
 
@@ -157,14 +173,7 @@ def documents_identified(docs: DataFrame) -> DataFrame:
 
 
 def confident(docs: DataFrame, held_out, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` with a language that has ``least`` of the mixture or more; texts without letters go."""
-    rows = docs.select(F.col("doc_id"), "text", "lang", held_out.alias("held_out"))
-    model = docs.sparkSession.sparkContext.broadcast(learn(rows.where(~F.col("held_out"))))
-
-    def keep(batches):
-        for batch in batches:
-            marked = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.nulls(len(batch), pa.bool_()), batch.column("text")], ["doc_id", "held_out", "text"])
-            for out in predict_rows([marked], model):
-                yield batch.filter(pa.array([x != "und" and s >= least for x, s in zip(out.column("lang_pred").to_pylist(), out.column("score").to_pylist(), strict=True)], pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)
+    """The rows of ``docs``, all columns, with a language that has ``least`` of the mixture or more; texts without letters go. Each row is judged by its text alone."""
+    model = _learnt(docs.select("text", "lang", held_out.alias("held_out")))
+    known = lambda out: np.array([x != "und" and s >= least for x, s in zip(out.column("lang_pred").to_pylist(), out.column("score").to_pylist(), strict=True)], bool)
+    return rows_where(docs, lambda it: predict_rows(it, model), known)
