@@ -3,10 +3,12 @@
 A text is cut into blocks of 2,048 bytes (all of it); each block is compressed with either dictionary. The normalised difference of the
 summed sizes, (bad - good) / (bad + good), goes through a logistic curve whose two parameters are fitted on labelled texts that the dictionaries haven't seen.
 
-Learnt from a bounded sample: of each label up to ``SAMPLE`` texts, those with the least hash of their id; half make the dictionary, half calibrate.
+Learnt from a bounded sample: of each label up to ``SAMPLE`` texts, those with the least hash of their id, in turn one for the dictionary and one to calibrate. A dictionary
+is trained on up to ``SPREAD`` blocks of each of its texts, evenly spread, so the driver gets ``SAMPLE * SPREAD * BLOCK`` bytes at most (12 MB) however long texts are; the
+differences to calibrate by are taken on the executors, over whole texts.
 
-Edge cases: null and empty texts have difference 0; a document with both labels counts as its mean label (0.5 or more: good); with a label
-missing the score is the share of label 1 among the sample (0.5 without any); repeated rows are scored each; an empty table gives an empty one.
+Edge cases: null and empty texts have difference 0; a document with both labels counts as its mean label (0.5 or more: good); of one id's texts
+the one with the least hash is learnt from; with a label missing the score is the share of label 1 among the sample (0.5 without any); repeated rows are scored each; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -17,9 +19,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import crc_mod, materialise, rows_where
 
-SAMPLE, BLOCK, DICTIONARY, LEVEL = 1500, 2048, 65536, 1
+SAMPLE, SPREAD, BLOCK, DICTIONARY, LEVEL = 1500, 4, 2048, 65536, 1
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, difference double"
 
 
@@ -27,14 +29,22 @@ def blocks(text: bytes) -> list[bytes]:
     return [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)]
 
 
-def dictionary(texts: list[bytes]) -> bytes:
-    samples = [b for t in texts for b in blocks(t)]
+def dictionary(samples: list[bytes]) -> bytes:
     try:
         return zstandard.train_dictionary(DICTIONARY, samples, level=LEVEL).as_bytes()
     except zstandard.ZstdError:  # too little to train on: the text itself serves
         return b"".join(samples)[-DICTIONARY:]
 
 
+def block_rows(batches):
+    """(good, turn, place, block): up to SPREAD blocks of each text."""
+    for batch in batches:
+        for good, turn, text in zip(batch.column("good").to_pylist(), batch.column("turn").to_pylist(), batch.column("text").cast(pa.large_binary()), strict=True):
+            parts = blocks(text.as_py())
+            at = range(len(parts)) if len(parts) <= SPREAD else [i * (len(parts) - 1) // (SPREAD - 1) for i in range(SPREAD)]
+            yield pa.RecordBatch.from_arrays([pa.array([good] * len(at), pa.bool_()), pa.array([turn] * len(at), pa.int64()), pa.array(list(at), pa.int64()), pa.array([parts[i] for i in at], pa.binary())], ["good", "turn", "place", "block"])
+
+
 class Sizes:
     """Compressed sizes under the two dictionaries."""
 
@@ -70,24 +80,33 @@ def calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def learn(docs: DataFrame, labels: DataFrame, held_out) -> dict:
     """The model: dictionaries and calibration, or a constant."""
+    spark = docs.sparkSession
     marked = labels.where("quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg("quality") >= 0.5).alias("good"))
     rows = docs.where(~held_out).where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ids = rows.select("doc_id").distinct().join(marked, "doc_id")
-    order = F.xxhash64("doc_id", F.lit(9))
-    sample = ids.where("good").orderBy(order, "doc_id").limit(SAMPLE).unionAll(ids.where("not good").orderBy(order, "doc_id").limit(SAMPLE))
-    got = rows.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).orderBy(order, "doc_id").select("good", "text").toArrow()
-    good, texts = got.column("good").to_pylist(), [t.encode("utf-8", "replace") for t in got.column("text").to_pylist()]
-    sides = {side: [t for g, t in zip(good, texts, strict=True) if g == side] for side in (False, True)}
-    if min(len(x) for x in sides.values()) < 2:
-        return {"constant": sum(good) / len(good) if good else 0.5}
-    model = {"bad": dictionary(sides[False][::2]), "good": dictionary(sides[True][::2])}
-    sizes = Sizes(model["bad"], model["good"])
-    x = np.array([sizes.difference(t) for side in (False, True) for t in sides[side][1::2]])
-    y = np.array([float(side) for side in (False, True) for _ in sides[side][1::2]])
-    model["a"], model["b"] = calibrate(x, y)
+    ids = rows.select("doc_id").distinct().join(marked, "doc_id").withColumn("order", F.xxhash64("doc_id", F.lit(9)))
+    sample = [ids.where(side).orderBy("order", "doc_id").limit(SAMPLE).collect() for side in ("not good", "good")]
+    if min(map(len, sample)) < 2:
+        known = sum(map(len, sample))
+        return {"constant": len(sample[1]) / known if known else 0.5}
+    # at most 2 * SAMPLE rows
+    turns = spark.createDataFrame([(r["doc_id"], r["good"], i) for side in sample for i, r in enumerate(side)], "doc_id long, good boolean, turn long")
+    texts = materialise(rows.join(F.broadcast(turns), "doc_id").groupBy("doc_id", "good", "turn").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")), "quality-sample")
+    got = texts.where("turn % 2 = 0").mapInArrow(block_rows, "good boolean, turn long, place long, block binary").orderBy("turn", "place").toArrow()
+    good, parts = got.column("good").to_pylist(), got.column("block").to_pylist()
+    model = {name: dictionary([p for g, p in zip(good, parts, strict=True) if g == side]) for name, side in (("bad", False), ("good", True))}
+    sizes = spark.sparkContext.broadcast(model)
+    seen = texts.where("turn % 2 = 1").mapInArrow(lambda it: difference_rows(it, sizes), "turn long, good boolean, difference double").orderBy("turn", "good").toArrow()
+    model["a"], model["b"] = calibrate(seen.column("difference").to_numpy(), seen.column("good").to_numpy(zero_copy_only=False).astype(float))
     return model
 
 
+def difference_rows(batches, model):
+    sizes = Sizes(model.value["bad"], model.value["good"])
+    for batch in batches:
+        x = [sizes.difference(t.as_py()) for t in batch.column("text").cast(pa.large_binary())]
+        yield pa.RecordBatch.from_arrays([batch.column("turn"), batch.column("good"), pa.array(x, pa.float64())], ["turn", "good", "difference"])
+
+
 def score_rows(batches, model):
     m = model.value
     sizes = Sizes(m["bad"], m["good"]) if "a" in m else None
@@ -98,9 +117,13 @@ def score_rows(batches, model):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= 0.5).astype(np.int32)), pa.array(x)], ["doc_id", "held_out", "score", "predicted", "difference"])
 
 
+def _learnt(docs: DataFrame, labels: DataFrame, held_out):
+    return docs.sparkSession.sparkContext.broadcast(learn(docs.select("doc_id", "text"), labels.select("doc_id", "quality"), held_out))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, held_out) -> DataFrame:
     """doc_id, held_out, score (probability of label 1), predicted and the size difference of each row; learns labels where held_out is false."""
-    model = docs.sparkSession.sparkContext.broadcast(learn(docs.select("doc_id", "text"), labels.select("doc_id", "quality"), held_out))
+    model = _learnt(docs, labels, held_out)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text")
     return rows.mapInArrow(lambda it: score_rows(it, model), SCHEMA)
 
@@ -110,13 +133,6 @@ def documents_rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def good(docs: DataFrame, labels: DataFrame, held_out, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score ``least`` or more."""
-    model = docs.sparkSession.sparkContext.broadcast(learn(docs.select("doc_id", "text"), labels.select("doc_id", "quality"), held_out))
-
-    def keep(batches):
-        for batch in batches:
-            marked = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.nulls(len(batch), pa.bool_()), batch.column("text")], ["doc_id", "held_out", "text"])
-            for out in score_rows([marked], model):
-                yield batch.filter(pa.array(out.column("score").to_numpy() >= least))
-
-    return docs.mapInArrow(keep, docs.schema)
+    """The rows of ``docs``, all columns, that score ``least`` or more; each row is judged by its text alone."""
+    model = _learnt(docs, labels, held_out)
+    return rows_where(docs, lambda it: score_rows(it, model), lambda out: out.column("score").to_numpy() >= least)
