@@ -2,11 +2,12 @@
 
 Texts and templates are words of letters and digits (A-Z lowered). Three-word shingles are hashed, and of every three neighbouring shingles the least hash (the last of
 equal ones) is a fingerprint, so any five words in common share one. An inverted index fingerprint -> (template, place) gives candidate places in the
-text; hits near one diagonal form a candidate, and a banded alignment of the template with the text around it reports the words that match, the coverage
-(matched / template words) and the span in bytes. Of overlapping spans of a text the one with most matched words stays;
+text. A template of fewer than ``SHORT`` words can reach the coverage without five words in a row, so the index also holds its rarest words, one more than may be missing: a
+notice must have one of them. Hits near one diagonal form a candidate; if enough of the template's words are near, and a banded alignment of the template with the text around it reports the words that match, the coverage
+(matched / template words) and the span in bytes. Of longer templates those are missed that have no five words of the template in a row. Of overlapping spans of a text the one with most matched words stays;
 what a candidate has before and after the span taken is aligned again, until nothing reaches the coverage, so notices that are repeated close by are each reported.
 
-Edge cases: null and empty texts match nothing; repeated rows are scanned each; equal matches go to the shorter template, then to the first in order; an empty table gives an empty one. Work is in
+Edge cases: null and empty texts match nothing; repeated rows are scanned each; equal matches go to the shorter template, then to the first in order; an empty table, or no templates, give an empty one. Work is in
 proportion to the text, and alignments to the candidates (each as wide as a template).
 """
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from hashlib import blake2b
 from heapq import heappop, heappush
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,9 @@ from pyspark.sql import functions as F
 
 from .common import _BYTE_HASH, _R, LOWER_LUT, byte_chunks, mix64, padded
 
-SHINGLE, WINNOW, BAND, COVERAGE = 3, 3, 8, 0.6
+SHINGLE, WINNOW, BAND, COVERAGE, SHORT = 3, 3, 8, 0.6, 14
+#: Words of short templates that tell little; the others count as the rarer the longer they are.
+COMMON = "the of and to in by or any is for with as this that it be not on are".split()
 SCHEMA = "doc_id long, license string, coverage double, matched long, start_byte long, end_byte long"
 #: Public licence lines and notices in short form, of the SPDX ids that functions/licenses.py knows but CECT-1.0; no full texts.
 TEMPLATES = {
@@ -122,35 +126,41 @@ def fingerprints(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Index:
-    """Templates as word hashes, and their fingerprints sorted by hash."""
+    """Templates as word hashes, and sorted by hash the fingerprints and the single words that lead to them."""
 
     def __init__(self, templates: dict[str, str]):
-        self.names, self.words, entries = sorted(templates), [], []
+        self.names, self.words, marks, single = sorted(templates), [], [], []
         for i, name in enumerate(self.names):
             data = np.frombuffer(templates[name].encode(), np.uint8)
-            h = words(data, np.array([0, len(data)]))[0]
+            h, begin, end, _ = words(data, np.array([0, len(data)]))
             self.words.append(h)
-            entries += [(int(x), i, int(p)) for p, x in zip(*fingerprints(h), strict=True)]
-        entries.sort()
-        self.hashes = np.array([e[0] for e in entries], np.uint64)
-        self.entries = [e[1:] for e in entries]
-
-    def scan(self, h: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(matched, template, first word, last word) of the places ``at`` whose shingle is in the index."""
-        found: dict[tuple[int, int], list[int]] = {}
-        n = len(h) - SHINGLE + 1
-        for p in at.tolist():
-            g = int(mix64(sum(h[p + j : p + j + 1] * _LEAD[j] for j in range(SHINGLE)))[0]) if p < n else 0
-            i = int(np.searchsorted(self.hashes, np.uint64(g)))
-            while i < len(self.hashes) and int(self.hashes[i]) == g:
-                t, place = self.entries[i]
-                found.setdefault((t, (p - place) // BAND), []).append(p)
-                i += 1
+            marks += [(int(x), i, int(p)) for p, x in zip(*fingerprints(h), strict=True)]
+            if len(h) < SHORT:
+                spelt = [data[a:b].tobytes().decode().lower() for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+                rarest = sorted(range(len(h)), key=lambda p: (spelt[p] in COMMON, -len(spelt[p]), p))
+                single += [(int(h[p]), i, p) for p in rarest[: len(h) - ceil(COVERAGE * len(h)) + 1]]
+        self.sets = [set(h.tolist()) for h in self.words]
+        self.marks, self.single = _Lookup(marks), _Lookup(single)
+
+    def scan(self, h: np.ndarray, shingles: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(matched, template, first word, last word) in the words h; ``shingles``: hashes of the shingles at the places ``at`` that are in the index."""
+        found: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        here = self.single.hits(h)
+        for size, lookup, hashes, places in ((SHINGLE, self.marks, shingles, at), (1, self.single, h[here], here)):
+            for g, p in zip(hashes.tolist(), places.tolist(), strict=True):
+                for t, place in lookup.of(g):
+                    found.setdefault((t, (p - place) // BAND), []).append((p, size))
         best: list[tuple] = []
 
         def propose(t: int, slot: int, a: int, b: int) -> None:
-            """The best span of a candidate within the words a to b, if one of its hits lies there."""
-            if any(a <= p and p + SHINGLE <= b for p in found[t, slot]) and (got := align(self.words[t], h, slot * BAND, a, b)):
+            """The best span of a candidate within the words a to b, if one of its hits and enough words of its template lie there."""
+            if not any(a <= p and p + size <= b for p, size in found[t, slot]):
+                return
+            # no alignment goes beyond these words
+            near = self.sets[t].intersection(h[max(a, (slot - 1) * BAND) : max(0, min(b, (slot + 2) * BAND + len(self.words[t]) + 1))].tolist())
+            if sum(w in near for w in self.words[t].tolist()) < COVERAGE * len(self.words[t]):
+                return
+            if got := align(self.words[t], h, slot * BAND, a, b):
                 matched, x, y = got
                 if matched >= COVERAGE * len(self.words[t]):
                     heappush(best, (-matched, len(self.words[t]), y - x, t, x, y, slot, a, b))
@@ -175,6 +185,26 @@ class Index:
         return kept
 
 
+class _Lookup:
+    """hash -> (template, place) of all entries."""
+
+    def __init__(self, entries: list[tuple[int, int, int]]):
+        self.by: dict[int, list[tuple[int, int]]] = {}
+        for g, t, place in entries:
+            self.by.setdefault(g, []).append((t, place))
+        self.hashes = np.array(sorted(self.by), np.uint64)
+
+    def hits(self, hashes: np.ndarray) -> np.ndarray:
+        """Where the given hashes are in the index."""
+        if not len(self.hashes):
+            return np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.flatnonzero(self.hashes[at] == hashes)
+
+    def of(self, g: int) -> list[tuple[int, int]]:
+        return self.by.get(g, [])
+
+
 def align(t: np.ndarray, h: np.ndarray, diagonal: int, a: int, b: int) -> tuple[int, int, int] | None:
     """Most words of template t in order within the words a to b of text h, near text place = template place + diagonal (diagonal to diagonal + BAND, and BAND around).
 
@@ -207,18 +237,17 @@ def scan_rows(batches, templates):
         out: list[tuple] = []
         for i, _, data, offsets in byte_chunks(batch.column("text")):
             h, begin, end, first = words(data, offsets)
-            n = len(h) - SHINGLE + 1
-            if n < 1:
-                continue
+            n = max(0, len(h) - SHINGLE + 1)
             g = mix64(sum(h[j : j + n] * _LEAD[j] for j in range(SHINGLE)))
-            at = np.minimum(np.searchsorted(index.hashes, g), len(index.hashes) - 1)
-            hit = np.flatnonzero(index.hashes[at] == g)
+            hit = index.marks.hits(g)
             owner = np.searchsorted(first, hit, "right") - 1
-            for r in np.unique(owner).tolist():
+            whole = hit + SHINGLE <= first[owner + 1]  # no shingle of two texts
+            hit, owner = hit[whole], owner[whole]
+            some = np.searchsorted(first, index.single.hits(h), "right") - 1
+            for r in np.unique(np.concatenate([owner, some])).tolist():
                 a, b = int(first[r]), int(first[r + 1])
-                own = hit[owner == r] - a
-                own = own[own + SHINGLE <= b - a]
-                for matched, t, x, y in index.scan(h[a:b], own):
+                own = hit[owner == r]
+                for matched, t, x, y in index.scan(h[a:b], g[own], own - a):
                     out.append((ids[i + r].as_py(), index.names[t], matched / len(index.words[t]), matched, int(begin[a + x]), int(end[a + y])))
         if out:
             kinds = (pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
