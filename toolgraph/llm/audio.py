@@ -5,6 +5,9 @@ computed from the samples read back out of that file: polyphase resampling to 8
 bands, and segments by hysteresis (a segment opens where the frame's energy is half a deviation above the mean and closes where it falls under the mean). The log-mel
 frames are cut into tiles of 16 x 20 (the last one padded with zeros) and stored as an Arrow stream of fixed_shape_tensor<float>[16, 20] rows with their start and end seconds.
 
+All of it is computed in double precision; log energies are rounded to 1/1024 before they are stored and segments are cut by the rounded ones, so that
+machines whose last bits differ agree.
+
 Edge cases: a null or empty text is 192 spaces; repeated rows give equal rows; an empty table gives an empty one; the features take memory in proportion to one text.
 """
 
@@ -17,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-UNIT, RATE, UP, DOWN, TAPS, FRAME, HOP, MELS, TILE = 192, 12_000, 2, 3, 16, 256, 128, 20, 16
+UNIT, RATE, UP, DOWN, TAPS, FRAME, HOP, MELS, TILE, STEP = 192, 12_000, 2, 3, 16, 256, 128, 20, 16, 1024
 OUT_RATE = RATE * UP // DOWN
-SCHEMA = "doc_id long, n_bytes long, media binary, tensors binary, segments array<struct<start_s:double,end_s:double>>"
+SCHEMA = "doc_id long, n_bytes long, media binary, samples binary, tensors binary, segments array<struct<start_s:double,end_s:double>>"
 
 
 def wav(payload: bytes) -> bytes:
@@ -42,7 +45,7 @@ def _filters() -> np.ndarray:
     n = np.arange(UP * TAPS) - (UP * TAPS - 1) / 2
     h = np.sinc(n / max(UP, DOWN)) * np.hanning(UP * TAPS + 2)[1:-1]
     phases = h.reshape(TAPS, UP).T
-    return (phases / phases.sum(axis=1, keepdims=True))[:, ::-1].astype(np.float32)
+    return (phases / phases.sum(axis=1, keepdims=True))[:, ::-1]
 
 
 def _mel_bank() -> np.ndarray:
@@ -50,10 +53,10 @@ def _mel_bank() -> np.ndarray:
     edges = 700 * (10 ** (np.linspace(mel(60), mel(OUT_RATE / 2), MELS + 2) / 2595) - 1)
     f = np.fft.rfftfreq(FRAME, 1 / OUT_RATE)[:, None]
     low, mid, high = edges[:-2], edges[1:-1], edges[2:]
-    return np.maximum(0, np.minimum((f - low) / (mid - low), (high - f) / (high - mid))).astype(np.float32)
+    return np.maximum(0, np.minimum((f - low) / (mid - low), (high - f) / (high - mid)))
 
 
-_PHASES, _BANK, _WINDOW = _filters(), _mel_bank(), np.hanning(FRAME).astype(np.float32)
+_PHASES, _BANK, _WINDOW = _filters(), _mel_bank(), np.hanning(FRAME)
 TENSOR = pa.fixed_shape_tensor(pa.float32(), [TILE, MELS])
 _TILES = pa.schema([("start_s", pa.float64()), ("end_s", pa.float64()), ("log_mel", TENSOR)])
 
@@ -62,7 +65,7 @@ def resample(x: np.ndarray) -> np.ndarray:
     """UP / DOWN polyphase: output n has phase n * DOWN mod UP at input n * DOWN // UP."""
     n_out = -(-len(x) * UP // DOWN)
     windows = np.lib.stride_tricks.sliding_window_view(np.pad(x, (TAPS // 2, TAPS)), TAPS)
-    out = np.empty(n_out, np.float32)
+    out = np.empty(n_out)
     for first in range(UP):
         phase, at = first * DOWN % UP, first * DOWN // UP
         count = len(out[first::UP])
@@ -79,8 +82,8 @@ def log_mel(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for i in range(0, count, 2048):
         spectrum = np.fft.rfft(windows[i : i + 2048] * _WINDOW)
         power = spectrum.real**2 + spectrum.imag**2
-        mels.append(np.log(power @ _BANK + 1e-6))
-        energies.append(np.log(power.sum(axis=1) + 1e-6))
+        mels.append(np.round(np.log(power @ _BANK + 1e-6) * STEP) / STEP)
+        energies.append(np.round(np.log(power.sum(axis=1) + 1e-6) * STEP) / STEP)
     return np.concatenate(mels).astype(np.float32), np.concatenate(energies)
 
 
@@ -115,16 +118,17 @@ def media_rows(batches):
         for i in range(len(batch)):
             text = texts[i].as_py() or b""
             media = wav(text + b" " * (max(UNIT, -(-len(text) // UNIT) * UNIT) - len(text)))
-            mel, energy = log_mel(resample(samples_of(media).astype(np.float32) / 128 - 1))
-            out.append((len(text), media, tensors(mel), [{"start_s": a, "end_s": b} for a, b in segments(energy)]))
+            samples = samples_of(media)
+            mel, energy = log_mel(resample(samples.astype(float) / 128 - 1))
+            out.append((len(text), media, samples.tobytes(), tensors(mel), [{"start_s": a, "end_s": b} for a, b in segments(energy)]))
             held += len(media)
             if held > 4 << 20 or i + 1 == len(batch):
                 span = pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())]))
-                cols = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary(), span), strict=True)]
-                yield pa.RecordBatch.from_arrays([ids.slice(begin, i + 1 - begin), *cols], ["doc_id", "n_bytes", "media", "tensors", "segments"])
+                cols = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary(), span), strict=True)]
+                yield pa.RecordBatch.from_arrays([ids.slice(begin, i + 1 - begin), *cols], ["doc_id", "n_bytes", "media", "samples", "tensors", "segments"])
                 out, held, begin = [], 0, i + 1
 
 
 def media_columns(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, the WAV file, the tensors' Arrow stream, and energy segments in seconds, of each row's whole text."""
+    """doc_id, n_bytes, the WAV file, the samples read back out of it, the tensors' Arrow stream, and energy segments in seconds, of each row's whole text."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(media_rows, SCHEMA)
