@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from toolgraph.llm import compression_quality, decontaminate, langid, minhash_dedup, mixing
-from toolgraph.llm.common import crc_mod, materialise, read
+from toolgraph.llm.common import crc_mod, read, remove, scratch, stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """The last stage's rows. Once a stage's result is written, the folders that it worked in go, and so does its predecessor's result."""
+    docs, last = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch(spark):
+            docs, path = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        if last:
+            remove(spark, last)
+        last = path
     return docs
