@@ -44,7 +44,10 @@ def test_canonical_forms(spark):
 
 def test_matching_vectors(spark):
     def pairs(rows):
-        return {(r.f1, r.f2) for r in matching.assign(spark.createDataFrame(rows, "f1 string, f2 string")).collect()}
+        # each pair shares a value of its own
+        left, right = ([(r[i], "m", "-".join(r)) for r in rows] for i in (0, 1))
+        schema = "file string, method string, value string"
+        return {(r.f1, r.f2) for r in matching.assign(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)).collect()}
 
     assert pairs([("L1", "R1"), ("L2", "R1"), ("L2", "R2")]) == {("L1", "R1"), ("L2", "R2")}
     assert pairs([("L1", "R1"), ("L1", "R2"), ("L2", "R1")]) == {("L1", "R1")}
@@ -65,7 +68,7 @@ def test_tool_mapper(spark):
     )
     rules = [r for k, r in triples.tool_rules().items() if k.split("#")[0] in ("*type", "name", "credit") or k in ("publication#pmid", "publication#doi")]
     got = {(r.p, r.o, r.o_kind) for r in triples.triples(doc, F.concat(F.lit("https://bio.tools/"), "biotoolsID"), rules).collect()}
-    assert (triples.SC + "author", "https://orcid.org/1", "literal") in got and (triples.SC + "funder", "N", "literal") in got
+    assert (triples.SC + "author", "https://orcid.org/1", "iri") in got and (triples.SC + "funder", "N", "literal") in got
     assert (triples.SC + "citation", "https://doi.org/10.1/%5Bx%5D", "iri") in got and (triples.SC + "citation", "pubmed:7", "literal") in got
 
 
@@ -134,7 +137,7 @@ def test_readers_and_sinks(spark, tmp_path):
     assert {(r.loc, r.lastmod) for r in readers.sitemap(spark, f"{tmp_path}/s.xml").collect()} == {("u1", None), ("u2", "d")}
     (tmp_path / "servers.tsv").write_text("name\turl\nA B\thttp://x\n")
     assert readers.server_table(spark, f"{tmp_path}/servers.tsv").first().name == "A_B"
-    assert readers.paged(spark, lambda p: [{"id": p}] if p < 3 else None, 3, "struct<id:long>").count() == 2
+    assert readers.paged(spark, lambda p: [{"id": p}] if p < 8 else None, "struct<id:long>", at_once=3).count() == 7
     cache = spark.createDataFrame([("1", "d1")], "pmid string, value string")
     got = readers.fetched(spark.createDataFrame([("1",), ("2",)], "pmid string"), "pmid", cache, lambda k: "d" + k)
     assert {(r.pmid, r.value) for r in got.collect()} == {("1", "d1"), ("2", "d2")}

@@ -56,6 +56,54 @@ def drop_keys(c: Column, t: T.DataType, names: set[str]) -> Column:
     return c
 
 
+def drop_paths(df: DataFrame, paths: list[str]) -> DataFrame:
+    """Fields left out by path (``a``, ``a.b``, ``a.b.c``); a path that isn't there changes nothing, and a struct that loses all its fields goes."""
+    by: dict[str, list[str]] = {}
+    for p in paths:
+        top, _, rest = p.partition(".")
+        by.setdefault(top, []).append(rest)
+
+    def without(c: Column, t: T.DataType, inner: list[str]) -> Column | None:
+        if not isinstance(t, T.StructType):
+            return c
+        next_: dict[str, list[str]] = {}
+        for p in inner:
+            top, _, rest = p.partition(".")
+            next_.setdefault(top, []).append(rest)
+        parts = []
+        for f in t.fields:
+            if "" in next_.get(f.name, []):
+                continue
+            part = without(c[f.name], f.dataType, next_[f.name]) if f.name in next_ else c[f.name]
+            if part is not None:
+                parts.append(part.alias(f.name))
+        return F.when(c.isNotNull(), F.struct(*parts)) if parts else None
+
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if f.name in by:
+            c = None if "" in by[f.name] else without(c, f.dataType, by[f.name])
+        if c is not None:
+            out.append(c.alias(f.name))
+    return df.select(*out)
+
+
+def sub_document(fields: list[str]) -> Column:
+    return F.struct(*fields)
+
+
+def or_default(c: Column, default: str = "") -> Column:
+    """A field that the document lacks."""
+    return F.coalesce(c, F.lit(default))
+
+
+def merge_maps(old: Column, new: Column) -> Column:
+    """The entries of both maps, those of ``new`` where both have the key."""
+    kept = F.map_filter(old, lambda k, _: ~F.array_contains(F.map_keys(new), k))
+    return F.when(old.isNull(), new).when(new.isNull(), old).otherwise(F.map_concat(kept, new))
+
+
 def version_text(c: Column, t: T.DataType) -> Column:
     """Numbers as text at every depth; booleans and nulls stay."""
     if isinstance(t, T.NumericType):

@@ -6,7 +6,7 @@ import difflib
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,12 +31,32 @@ FAMILY_SPDX = {
     "cc-by-nc": "CC-BY-NC-4.0", "cc-by-nc-nd": "CC-BY-NC-ND-4.0", "cc-by-sa": "CC-BY-SA-4.0",
 }
 CUTOFF = 0.92
+# What a raw text loses, and how it says which version.
+NOISE = (r"(?s)\+.*$", r"(?s)file.*$")
+VERSION, LATER = r"[^0-9]*([0-9]+(?:\.[0-9]+)?)", r">|or[-\s]*later"
+
+
+def _bare(raw: Column) -> Column:
+    """Lower case without what follows ``+`` or ``file``."""
+    s = F.lower(raw)
+    for pattern in NOISE:
+        s = F.regexp_replace(s, pattern, "")
+    return F.trim(s)
+
+
+def _key(folded: Column) -> Column:
+    """Spaces as hyphens, marks gone."""
+    return F.lower(F.trim(F.regexp_replace(F.regexp_replace(folded, r"[\s_]+", "-"), "[^a-z0-9-]", ""), F.lit("-")))
+
+
+@F.pandas_udf(T.StringType())
+def ascii_fold(s: pd.Series) -> pd.Series:
+    """Accents off, compatible forms (full width, ligatures) as plain letters, all else that isn't ASCII dropped."""
+    return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode())
 
 
 def cleaned(raw: Column) -> Column:
-    """Lower case without what follows ``+`` or ``file``, spaces as hyphens, other marks gone."""
-    s = F.trim(F.regexp_replace(F.regexp_replace(F.lower(raw), r"(?s)\+.*$", ""), r"(?s)file.*$", ""))
-    return F.lower(F.trim(F.regexp_replace(F.regexp_replace(s, r"[\s_]+", "-"), "[^a-z0-9-]", ""), F.lit("-")))
+    return _key(ascii_fold(_bare(raw)))
 
 
 def _lookup(key: Column, table: dict[str, str]) -> Column:
@@ -46,45 +66,41 @@ def _lookup(key: Column, table: dict[str, str]) -> Column:
 def by_family(raw: Column) -> Column:
     """From the first family (in fixed order) the text names, its first number, and whether later versions are allowed."""
     low = F.lower(raw)
-    named = lambda f: F.rlike(low, F.lit(rf"\b{f}\b"))
-    family = F.coalesce(*(F.when(named(f), F.lit(f)) for f in FAMILIES))
-    version = F.nullif(F.coalesce(*(F.when(named(f), F.regexp_extract(low, rf"{f}[^0-9]*([0-9]+(?:\.[0-9]+)?)", 1)) for f in FAMILIES)), F.lit(""))
-    major, later = F.split(version, r"\.")[0], F.rlike(low, F.lit(r">|or[-\s]*later"))
+    family = F.get(F.filter(F.array(*map(F.lit, FAMILIES)), lambda f: F.rlike(low, F.concat(F.lit(r"\b"), f, F.lit(r"\b")))), F.lit(0))
+    # one pattern for the family that was found
+    version = F.nullif(F.call_function("regexp_extract", low, F.concat(family, F.lit(VERSION)), F.lit(1)), F.lit(""))
+    major, later = F.split(version, r"\.")[0], F.rlike(low, F.lit(LATER))
     starts = lambda n: F.startswith(version, F.lit(n))
+    allowed = F.when(later, "or-later").otherwise("only")
     return (
         F.when(family == "bsd", F.when(starts("2"), "BSD-2-Clause").when(starts("3"), "BSD-3-Clause"))
         .when(family == "artistic", F.when(starts("1"), "Artistic-1.0").when(starts("2"), "Artistic-2.0"))
-        .when(family == "gpl", F.concat(F.lit("GPL-"), major, F.when(later, ".0-or-later").otherwise(".0-only")))
-        .when(
-            family == "lgpl",
-            F.when(later, F.concat(F.lit("LGPL-"), version, F.lit("-or-later"))).when((major == "2") & ~starts("2.1"), "LGPL-2.0-only").otherwise(F.concat(F.lit("LGPL-"), version, F.lit("-only"))),
-        )
+        .when(family == "gpl", F.concat(F.lit("GPL-"), major, F.lit(".0-"), allowed))
+        .when(family == "lgpl", F.when((major == "2") & ~starts("2.1") & ~later, "LGPL-2.0-only").otherwise(F.concat(F.lit("LGPL-"), version, F.lit("-"), allowed)))
         .otherwise(_lookup(family, FAMILY_SPDX))
     )
 
 
-def spdx_exact(raw: Column) -> Column:
-    """The stages that built-in functions express; null for the rest."""
-    key = cleaned(raw)
-    return F.coalesce(_lookup(key, ALIASES), F.when(F.upper(key).isin([x for x in SPDX if x == x.upper()]), F.upper(key)), by_family(raw))
-
-
-@F.pandas_udf(T.StringType())
-def close_match(key: pd.Series) -> pd.Series:
-    """The most similar SPDX id, if its ratio is CUTOFF or more."""
-    ids = {x.lower(): x for x in SPDX}
+def close_match(key: Column, spdx: list[str] | None = None, cutoff: float = CUTOFF) -> Column:
+    """The most similar SPDX id, if its ratio is ``cutoff`` or more."""
+    ids = {x.lower(): x for x in (SPDX if spdx is None else spdx)}
 
-    def one(x):
-        if not x:
-            return None
-        near = difflib.get_close_matches(unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode(), list(ids), 1, CUTOFF)
-        return ids[near[0]] if near else None
+    @F.pandas_udf(T.StringType())
+    def nearest(keys: pd.Series) -> pd.Series:
+        near = {x: difflib.get_close_matches(x, list(ids), 1, cutoff) for x in set(keys) if x}
+        return keys.map(lambda x: ids[near[x][0]] if near.get(x) else None)
 
-    return key.map(one)
+    return nearest(key)
 
 
-def normalise(df, column: str, to: str = "spdx"):
-    """Adds the SPDX id. The close match runs on the distinct texts that the exact stages leave, and is joined back."""
-    exact = df.withColumn(to, spdx_exact(F.col(column)))
-    rest = exact.where(F.col(to).isNull() & (cleaned(F.col(column)) != "")).select(F.col(column).alias("_raw")).distinct().withColumn("_near", close_match(cleaned(F.col("_raw"))))
-    return exact.join(rest, F.col(column) == F.col("_raw"), "left").withColumn(to, F.coalesce(to, "_near")).drop("_raw", "_near")
+def normalise(df: DataFrame, column: str, to: str = "spdx", aliases: dict[str, str] | None = None, spdx: list[str] | None = None, cutoff: float = CUTOFF) -> DataFrame:
+    """Adds the SPDX id. Each distinct text is worked out once, the close match only for those that the exact stages leave, and joined back. Extra aliases go before the fixed ones."""
+    known, ids = ALIASES | (aliases or {}), SPDX if spdx is None else spdx
+    raw = F.col("_raw")
+    texts = df.select(F.col(column).alias("_raw")).where(raw.isNotNull()).distinct().withColumn("_key", cleaned(raw))
+    key = F.col("_key")
+    exact = F.coalesce(_lookup(key, known), F.when(F.upper(key).isin([x for x in ids if x == x.upper()]), F.upper(key)), by_family(raw))
+    texts = texts.withColumn("_exact", exact)
+    found = texts.where("_exact is not null or _key = ''").select("_raw", F.col("_exact").alias("_found"))
+    rest = texts.where("_exact is null and _key <> ''").select("_raw", close_match(key, spdx, cutoff).alias("_found"))
+    return df.join(found.unionByName(rest), F.col(column) == raw, "left").withColumn(to, F.col("_found")).drop("_raw", "_found")

@@ -57,8 +57,20 @@ def clean_abstract(text: Column) -> Column:
     return F.regexp_replace(plain, "^Abstract ", "")
 
 
+#: The address of an ``a`` element, in quotes of either kind or none.
+HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+
+
 def hrefs(html: Column) -> Column:
-    return F.regexp_extract_all(html, F.lit('href="([^"]*)"'), F.lit(1))
+    """Addresses of all links, in order: trimmed, entities of marks resolved."""
+
+    def bare(x: Column) -> Column:
+        x = F.regexp_replace(x, "^[\"']|[\"']$", "")
+        for entity, mark in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+            x = F.replace(x, F.lit(entity), F.lit(mark))
+        return F.trim(x)
+
+    return F.transform(F.regexp_extract_all(html, F.lit(HREF), F.lit(1)), bare)
 
 
 def doi_links(html: Column, host: str = "doi.org") -> Column:
@@ -126,22 +138,66 @@ def person_name(p: Column) -> Column:
     return F.coalesce(F.nullif(joined, F.lit("")), p["literal"], p["name"])
 
 
+def people(names: Column) -> Column:
+    """array<struct<name>> of an author list; entries without any name are left out."""
+    return F.filter(F.transform(names, lambda p: F.struct(F.nullif(F.trim(person_name(p)), F.lit("")).alias("name"))), lambda x: x["name"].isNotNull())
+
+
+def first_of(*candidates: Column) -> Column:
+    """The first text that isn't null or empty."""
+    return F.coalesce(*(F.nullif(c, F.lit("")) for c in candidates))
+
+
+def iso_time(t: Column) -> Column:
+    """An ISO timestamp in the session's time zone, of one with or without offset; null if it can't be read."""
+    return F.date_format(F.try_to_timestamp(t), "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def epoch_time(seconds: Column) -> Column:
+    return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def score_of(text: Column) -> Column:
+    """A score as a whole number; null for what is none."""
+    return F.try_cast(text, "int") if hasattr(F, "try_cast") else text.try_cast("int")
+
+
+def as_list(doc: Column, path: str) -> Column:
+    """The texts at a path of a VARIANT that holds one text or a list of them; empty where there are none."""
+    several = F.try_variant_get(doc, path, "array<string>")
+    one = F.array_compact(F.array(F.try_variant_get(doc, path, "string")))
+    return F.filter(F.coalesce(several, F.when(F.try_variant_get(doc, path, "map<string,variant>").isNull(), one), F.array().cast("array<string>")), lambda x: x.isNotNull())
+
+
+def first_date(*choices: Column) -> Column:
+    """The date of the first choice of [year, month?, day?] that is there."""
+    return partial_date(F.coalesce(*choices))
+
+
 def partial_date(parts: Column) -> Column:
     """A date of [year, month?, day?], missing parts being 1."""
     return F.make_date(F.get(parts, F.lit(0)), F.coalesce(F.get(parts, F.lit(1)), F.lit(1)), F.coalesce(F.get(parts, F.lit(2)), F.lit(1)))
 
 
 def debian_sort_key(v: Column) -> Column:
-    """A text whose byte order is the order of package versions: epoch, then runs of non-digits (~ first, letters before marks) and zero-padded numbers."""
-    epoch = F.when(F.contains(v, F.lit(":")), F.lpad(F.split_part(v, F.lit(":"), F.lit(1)), 6, "0")).otherwise("000000")
-    rest = F.when(F.contains(v, F.lit(":")), F.substring_index(v, ":", -1)).otherwise(v)
+    """A text whose byte order is the order of package versions: epoch, then runs of non-digits (~ first, letters before marks) and numbers, those led by how many digits they have."""
+    number = lambda x: F.concat(F.lpad(F.length(F.regexp_replace(x, "^0+(?=.)", "")).cast("string"), 6, "0"), F.regexp_replace(x, "^0+(?=.)", ""))
+    at = F.instr(v, ":")
+    epoch = number(F.when(at > 0, F.substring(v, F.lit(1), at - 1)).otherwise("0"))
+    rest = F.when(at > 0, F.substring(v, at + 1, F.length(v))).otherwise(v)
     runs = F.regexp_extract_all(rest, F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1))
-    number = lambda x: F.lpad(F.regexp_replace(x, "^0+(?=.)", ""), 18, "0")
     marks = lambda x: F.concat(F.regexp_replace(F.replace(x, F.lit("~"), F.lit("\u0001")), r"([^A-Za-z\u0001])", "\u007f$1"), F.lit("\u0002"))
     keyed = F.transform(runs, lambda x: F.when(F.rlike(x, F.lit("^[0-9]")), number(x)).otherwise(marks(x)))
     return F.concat(epoch, F.lit("|"), F.array_join(keyed, ""), F.lit("\u0002"))
 
 
+def iri_escape(iri: Column) -> Column:
+    """Percent-encodes what may not stand in an IRI."""
+    for mark in "<>\"{}|^`\\ \t\n\r":
+        iri = F.replace(iri, F.lit(mark), F.lit(f"%{ord(mark):02X}"))
+    return iri
+
+
 def ntriples_escape(text: Column) -> Column:
     for a, b in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         text = F.replace(text, F.lit(a), F.lit(b))

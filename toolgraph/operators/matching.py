@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise_package_url, remove_protocol
@@ -41,7 +42,9 @@ def keys(records: DataFrame, methods: list[str], file: str = "file") -> DataFram
         raise ValueError(f"unknown identity methods: {unknown}; known: {sorted(IDENTITIES)}")
 
     def tag(m: str) -> Column:
-        return F.transform(IDENTITIES[m](), lambda v: F.struct(F.lit(m).alias("method"), v.alias("value")))
+        # a record without values for one method still has those of the others
+        values = F.coalesce(IDENTITIES[m]().cast("array<string>"), F.array().cast("array<string>"))
+        return F.transform(values, lambda v: F.struct(F.lit(m).alias("method"), v.alias("value")))
 
     tagged = F.flatten(F.array(*map(tag, methods)))
     return records.select(F.col(file).alias("file"), F.explode(tagged).alias("k")).select("file", "k.method", "k.value")
@@ -52,31 +55,62 @@ def edges(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.select(F.col("file").alias("f1"), "method", "value").join(right.select(F.col("file").alias("f2"), "method", "value"), ["method", "value"]).select("f1", "f2", "method").distinct()
 
 
-def assign(pairs: DataFrame) -> DataFrame:
-    """(f1, f2) one to one: each f1, in order, takes its least f2 that none before it took.
+def inverted_index(rows: DataFrame, lists: bool = True) -> DataFrame:
+    """(method, value, n, files) of keys (file, method, value); without ``lists`` only the counts, for values that very many files share."""
+    wanted = [F.count("*").alias("n"), *([F.sort_array(F.collect_list("file")).alias("files")] if lists else [])]
+    return rows.distinct().groupBy("method", "value").agg(*wanted)
 
-    Rounds: a pair that is the least on both sides is final, since no f1 before it can want its f2. The least f1 left always has such a pair, so rounds
-    end; each cuts its lineage with a reliable checkpoint.
+
+def _checkpointed(df: DataFrame) -> DataFrame:
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        path = sc.getConf().get("spark.checkpoint.dir", None)
+        if not path and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir isn't set: a cluster needs a folder that the driver and all executors share")
+        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="toolgraph-"))
+    return df.checkpoint()
+
+
+def assign(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(f1, f2) one to one: each file of left (file, method, value), in order, takes the least file of right that shares a value with it and that none before it took.
+
+    Pairs are never spelt out. Rounds over the keys: a value whose files have no other value left is a group of its own, in which the n-th of the left takes the n-th of the right;
+    of the others, a pair in which both are the least that the other can have is final, since no file before can want it. The least file left always has such a pair, so
+    rounds end. A group's files are ranked by a sort that spills. Each round cuts its lineage with a reliable checkpoint.
     """
-    if pairs.sparkSession.sparkContext.getCheckpointDir() is None:
-        pairs.sparkSession.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="toolgraph-"))
-    open_ = pairs.select("f1", "f2").distinct()
+    k = ["method", "value"]
+    side = lambda df, f: df.select(F.col("file").alias(f), *k).where("file is not null and value is not null").distinct()
+    a, b = side(left, "f1"), side(right, "f2")
     done = None
     while True:
-        best1 = open_.groupBy("f1").agg(F.min("f2").alias("f2"))
-        best2 = open_.groupBy("f2").agg(F.min("f1").alias("f1"))
-        fixed = best1.join(best2, ["f1", "f2"]).checkpoint()
-        if fixed.isEmpty():
-            return done if done is not None else fixed
-        done = fixed if done is None else done.unionAll(fixed)
-        open_ = open_.join(fixed.select("f1"), "f1", "left_anti").join(fixed.select("f2"), "f2", "left_anti").checkpoint()
+        live = a.groupBy(*k).agg(F.min("f1").alias("least1")).join(b.groupBy(*k).agg(F.min("f2").alias("least2")), k)
+        a, b = _checkpointed(a.join(live, k)), _checkpointed(b.join(live, k))
+        if a.isEmpty():
+            return done if done is not None else a.join(b, k).select("f1", "f2")
+        most = lambda df, f: df.join(df.groupBy(f).agg(F.count("*").alias("held")), f).groupBy(*k).agg(F.max("held").alias("most"))
+        alone = most(a, "f1").unionAll(most(b, "f2")).groupBy(*k).agg(F.max("most").alias("most")).where("most = 1").select(*k)
+        ranked = lambda df, f: df.join(alone, k, "left_semi").withColumn("rank", F.row_number().over(Window.partitionBy(*k).orderBy(f)))
+        groups = ranked(a, "f1").join(ranked(b, "f2"), [*k, "rank"]).select("f1", "f2")
+        best1 = a.join(alone, k, "left_anti").groupBy("f1").agg(F.min("least2").alias("f2"))
+        best2 = b.join(alone, k, "left_anti").groupBy("f2").agg(F.min("least1").alias("f1"))
+        fixed = _checkpointed(groups.unionByName(best1.join(best2, ["f1", "f2"])))
+        done = fixed if done is None else done.unionByName(fixed)
+        # a group's files that are left over have no one to take
+        a = a.join(alone, k, "left_anti").join(fixed.select("f1"), "f1", "left_anti").select("f1", *k)
+        b = b.join(alone, k, "left_anti").join(fixed.select("f2"), "f2", "left_anti").select("f2", *k)
 
 
 def matched(left: DataFrame, right: DataFrame) -> DataFrame:
     """(f1, f2, methods) for the chosen pairs, with every method that links them."""
-    e = edges(left, right)
-    return assign(e).join(e, ["f1", "f2"]).groupBy("f1", "f2").agg(F.sort_array(F.collect_set("method")).alias("methods"))
+    mine = left.select(F.col("file").alias("f1"), "method", "value")
+    theirs = right.select(F.col("file").alias("f2"), "method", "value")
+    return assign(left, right).join(mine, "f1").join(theirs, ["f2", "method", "value"]).groupBy("f1", "f2").agg(F.sort_array(F.collect_set("method")).alias("methods"))
 
 
 def unmatched(files: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
     return files.join(pairs.select(F.col(side).alias("file")), "file", "left_anti")
+
+
+def method_counts(pairs: DataFrame) -> DataFrame:
+    """(method, n) of matched pairs (f1, f2, methods): how many each method links."""
+    return pairs.select(F.explode("methods").alias("method")).groupBy("method").agg(F.count("*").alias("n"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -15,20 +15,42 @@ def coverage(content: DataFrame, sources: list[str]) -> DataFrame:
 def intersections(rows: DataFrame, flags: dict[str, Column]) -> DataFrame:
     """UpSet counts: rows for each combination of flags, with their share."""
     counted = rows.select(*(c.alias(k) for k, c in flags.items())).groupBy(*flags).agg(F.count("*").alias("n"))
-    total = counted.agg(F.sum("n").alias("total"))
-    # one row: a scalar, not a product of tables
-    return counted.join(F.broadcast(total)).withColumn("share", F.round(F.col("n") / F.col("total"), 6)).drop("total")
+    # as many rows as there are combinations
+    return counted.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1))), 6))
 
 
 def duplicate_lists(records: DataFrame, item: str, values: str) -> DataFrame:
-    """Records whose whole list of values is another's too: (value, items) exploded from such lists."""
-    shared = records.groupBy(values).agg(F.collect_set(item).alias("items"), F.count("*").alias("n")).where("n > 1")
-    return shared.select(F.explode(values).alias("value"), F.explode("items").alias("item")).groupBy("value").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    """(value, item) of the records whose whole list of values is another record's too: rows, so that no list grows with a value that many share."""
+    shared = records.groupBy(values).agg(F.count("*").alias("n")).where("n > 1").select(values)
+    return records.join(shared, values, "left_semi").select(F.explode(values).alias("value"), F.col(item).alias("item")).distinct()
 
 
 def duplicate_values(records: DataFrame, item: str, values: str) -> DataFrame:
-    """Values that more than one record holds."""
-    return records.select(item, F.explode(values).alias("value")).groupBy("value").agg(F.sort_array(F.collect_set(item)).alias("items")).where(F.size("items") > 1)
+    """(value, item) of the values that more than one record holds."""
+    held = records.select(F.explode(values).alias("value"), F.col(item).alias("item")).distinct()
+    return held.join(held.groupBy("value").agg(F.count("*").alias("n")).where("n > 1").select("value"), "value", "left_semi")
+
+
+def listed(rows: DataFrame, key: str, item: str, name: str = "items") -> DataFrame:
+    """(key, n, sorted list) of rows (key, item): for reports whose lists are known to be short."""
+    return rows.groupBy(key).agg(F.count("*").alias("n"), F.sort_array(F.collect_list(item)).alias(name))
+
+
+def validity(records: DataFrame, key: str, bad: Column) -> tuple[DataFrame, DataFrame]:
+    """(valid, invalid) counts as one row, and the keys of the invalid records as rows."""
+    marked = records.select(F.col(key), F.coalesce(bad, F.lit(False)).alias("bad"))
+    return marked.agg(F.count_if(~F.col("bad")).alias("valid"), F.count_if("bad").alias("invalid")), marked.where("bad").select(key)
+
+
+def union_of_values(held: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value) over all sources of a key: the union that every source is brought up to."""
+    return held.select(key, value).where(F.col(value).isNotNull()).distinct()
+
+
+def publications_to_write(missing: DataFrame, publications: DataFrame, key: str, value: str) -> DataFrame:
+    """The missing (key, value) that the key's document doesn't name as a publication of another type than Primary."""
+    other = publications.where(F.coalesce(F.col("type"), F.lit("")) != "Primary").select(key, value).distinct()
+    return missing.join(other, [key, value], "left_anti")
 
 
 def gaps(held: DataFrame, key: str, value: str, source: str) -> DataFrame:
@@ -44,8 +66,8 @@ def changes(diff: DataFrame) -> DataFrame:
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """(status, key) between two snapshots, by a hash of their other columns."""
-    side = lambda df, n: df.select(key, F.xxhash64(*(c for c in df.columns if c != key)).alias(n))
+    """(status, key) between two snapshots, by a 256-bit hash of their other columns in which nulls have a place."""
+    side = lambda df, n: df.select(key, F.sha2(F.to_json(F.struct(*sorted(c for c in df.columns if c != key)), {"ignoreNullFields": "false"}), 256).alias(n))
     both = side(old, "o").join(side(new, "n"), key, "full")
     return both.select(F.when(F.col("o").isNull(), "A").when(F.col("n").isNull(), "D").when(F.col("o") != F.col("n"), "M").alias("status"), key).where("status is not null")
 
@@ -54,6 +76,11 @@ def pending(work: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return work.join(done.select(key), key, "left_anti")
 
 
+def smoke(statuses: DataFrame) -> DataFrame:
+    """(url, ok) of addresses that don't answer, from fetched (url, status)."""
+    return statuses.where(F.coalesce(F.col("status"), F.lit(0)) != 200).select("url", F.lit(False).alias("ok"))
+
+
 def stale(existing: DataFrame, valid: DataFrame, key: str) -> DataFrame:
     return existing.join(valid.select(key), key, "left_anti")
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import html_text, ntriples_escape, percent_escape_doi, percent_escape_url, slug, url_quote
+from ..functions.text import html_text, iri_escape, ntriples_escape, percent_escape_doi, percent_escape_url, slug, url_quote
 
 TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 SC, BSC, DCT = "http://schema.org/", "http://bioschemas.org/", "http://purl.org/dc/terms/"
@@ -54,10 +54,12 @@ def fits(df: DataFrame, rules: dict[str, Rule]) -> list[Rule]:
 ROLES = (("Developer", SC + "author"), ("Provider", SC + "provider"), ("Contributor", SC + "contributor"), ("Primary contact", "https://bio.tools/primaryContact"))
 
 
-def _credit(role: str | None) -> Column:
-    """IRIs or names of the credits that have the role (None: funding agencies)."""
+def _credit(role: str | None, iri: bool) -> Column:
+    """IRIs, or names, of the credits that have the role (None: funding agencies): an IRI is given for those with a kind of entity and an ORCID."""
     has = (lambda c: F.array_contains(c["typeRole"], role)) if role else (lambda c: c["typeEntity"] == "Funding agency")
-    return F.transform(F.filter("credit", has), lambda c: F.when(c["typeEntity"].isNotNull() & c["orcidid"].isNotNull(), c["orcidid"]).otherwise(c["name"]))
+    named = lambda c: c["typeEntity"].isNotNull() & c["orcidid"].isNotNull()
+    found = F.filter("credit", lambda c: F.coalesce(has(c), F.lit(False)) & (named(c) if iri else ~named(c)))
+    return F.transform(found, lambda c: c["orcidid"] if iri else c["name"])
 
 
 def tool_rules() -> dict[str, Rule]:
@@ -65,12 +67,13 @@ def tool_rules() -> dict[str, Rule]:
     dois = F.transform(F.filter("publication", lambda p: p["doi"].isNotNull() & ~F.rlike(p["doi"], F.lit("[<>]"))), lambda p: F.concat(F.lit("https://doi.org/"), percent_escape_doi(p["doi"])))
     help_ = F.filter("documentation", lambda d: (F.size(d["type"]) > 0) & ~F.contains(d["url"], F.lit("app.gitter.im")))
     terms = lambda d: F.exists(d["type"], lambda t: F.contains(t, F.lit("Terms")))
-    io = lambda side: F.flatten(F.transform("function", lambda f: F.transform(f[side], lambda x: F.concat(F.lit("urn:parameter:"), F.sha2(F.to_json(x), 256)))))
+    io = lambda side: F.flatten(F.transform("function", lambda f: F.transform(f[side], parameter_iri)))
     return {
         "*type": Rule(TYPE, F.lit(SC + "SoftwareApplication"), True), "*profile": Rule(DCT + "conformsTo", F.lit("https://bioschemas.org/profiles/ComputationalTool/1.0-RELEASE")),
         "name": Rule(SC + "name", col("name")), "description": Rule(SC + "description", col("description")), "homepage": Rule(SC + "url", col("homepage")),
         "toolType": Rule(SC + "additionalType", col("toolType"), many=True), "license": Rule(SC + "license", col("license")), "version": Rule(SC + "softwareVersion", col("version"), many=True),
-        "operatingSystem": Rule(SC + "operatingSystem", col("operatingSystem"), many=True), **{f"credit#{r}": Rule(p, _credit(r), many=True) for r, p in ROLES}, "credit#fund": Rule(SC + "funder", _credit(None), many=True),
+        "operatingSystem": Rule(SC + "operatingSystem", col("operatingSystem"), many=True), 
+        **{f"credit#{r}#{i}": Rule(p, _credit(r, i), i, True) for r, p in (*ROLES, (None, SC + "funder")) for i in (True, False)},
         "publication#pmid": Rule(SC + "citation", pubs("pmid", "pubmed:"), many=True), "publication#pmcid": Rule(SC + "citation", pubs("pmcid", "pmcid:"), many=True), "publication#doi": Rule(SC + "citation", dois, True, True),
         "function#op": Rule(SC + "featureList", F.flatten(F.transform("function", lambda f: F.transform(f["operation"], lambda o: o["uri"]))), True, True),
         "function#in": Rule(BSC + "input", io("input"), True, True), "function#out": Rule(BSC + "output", io("output"), True, True),
@@ -80,9 +83,34 @@ def tool_rules() -> dict[str, Rule]:
     }
 
 
+def tool_node_triples(docs: DataFrame) -> DataFrame:
+    """(s, p, o, o_kind) of the nodes that tool documents point to: people and organisations by ORCID, publications by DOI, and the parameters of their functions."""
+    def rows(found: Column, subject, facts) -> DataFrame:
+        return triples(docs.select(F.explode(found).alias("x")).distinct(), subject(F.col("x")), facts(F.col("x")))
+
+    out = []
+    if "credit" in docs.columns:
+        person = lambda x: F.when(F.contains(x["typeEntity"], F.lit("Person")), SC + "Person").otherwise(SC + "Organization")
+        known = F.filter("credit", lambda c: c["typeEntity"].isNotNull() & c["orcidid"].isNotNull())
+        out.append(rows(known, lambda x: x["orcidid"], lambda x: [Rule(TYPE, person(x), True), Rule(SC + "name", x["name"])]))
+    if "publication" in docs.columns:
+        safe = F.filter("publication", lambda p: p["doi"].isNotNull() & ~F.rlike(p["doi"], F.lit("[<>]")))
+        out.append(rows(F.transform(safe, lambda p: percent_escape_doi(p["doi"])), lambda x: F.concat(F.lit("https://doi.org/"), x), lambda x: [Rule(TYPE, F.lit(SC + "CreativeWork"), True)]))
+    if "function" in docs.columns:
+        both = F.flatten(F.transform("function", lambda f: F.flatten(F.array_compact(F.array(f["input"], f["output"])))))
+        facts = lambda x: [Rule(TYPE, F.lit(BSC + "FormalParameter"), True), Rule(SC + "name", x["data"]["term"]), Rule(SC + "additionalType", x["data"]["uri"], True), Rule(SC + "encodingFormat", F.transform(x["format"], lambda f: f["uri"]), True, True)]
+        out.append(rows(both, parameter_iri, facts))
+    return union_graph(*out)
+
+
+def parameter_iri(x: Column) -> Column:
+    return F.concat(F.lit("urn:parameter:"), F.sha2(F.to_json(x), 256))
+
+
 def _plain(fields: dict[str, tuple[str, str]]) -> dict[str, Rule]:
     """Rules from column -> (predicate, kind): L literal, I iri, and a * for each element."""
-    return {c: Rule(SC + p, F.col(f"`{c}`"), "I" in k, "*" in k) for c, (p, k) in fields.items()} | {"*type": Rule(TYPE, F.lit(SC + "SoftwareApplication"), True)}
+    at = lambda p: BSC + p.removeprefix("bioschemas:") if p.startswith("bioschemas:") else SC + p
+    return {c: Rule(at(p), F.col(f"`{c}`"), "I" in k, "*" in k) for c, (p, k) in fields.items()} | {"*type": Rule(TYPE, F.lit(SC + "SoftwareApplication"), True)}
 
 
 # Which column of each kind of flattened record becomes which property.
@@ -93,11 +121,12 @@ RECIPE = {
 SUITE = {
     "Suite_ID": ("name", "L"), "Description": ("description", "L"), "Suite_source": ("url", "I"), "topics": ("applicationSubCategory", "I*"), "operations": ("featureList", "I*"), "Suite_version": ("softwareVersion", "L"),
     "Homepage": ("codeRepository", "I"), "Suite_first_commit_date": ("dateCreated", "L"), "Tool_output_formats": ("encodingFormat", "L*"), "identifiers": ("identifier", "I*"), "workflows": ("isPartOf", "I*"),
-    "servers": ("isPartOf", "I*"), "ToolShed_categories": ("keywords", "L*"),
+    "servers": ("isPartOf", "I*"), "ToolShed_categories": ("keywords", "L*"), "outputs": ("bioschemas:output", "L*"),
 }
 DEBIAN = {
     "package": ("name", "L"), "homepage": ("url", "I"), "topics": ("applicationSubCategory", "I*"), "citations": ("citation", "L*"), "license": ("license", "L"), "version": ("softwareVersion", "L"),
     "identifiers": ("identifier", "I*"), "other_identifiers": ("identifier", "L*"), "functions": ("featureList", "I*"), "formats": ("encodingFormat", "I*"), "tags": ("keywords", "L*"),
+    "data": ("additionalType", "I*"), "inputs": ("bioschemas:input", "I*"), "outputs": ("bioschemas:output", "I*"),
 }
 BIOCONDUCTOR = {
     "Package": ("name", "L"), "Description": ("description", "L"), "URL": ("url", "I"), "License": ("license", "L"), "Version": ("softwareVersion", "L"), "Date/Publication": ("dateModified", "L"),
@@ -230,13 +259,49 @@ def property_counts(graph: DataFrame) -> DataFrame:
 
 
 def ntriples(graph: DataFrame) -> DataFrame:
-    o = F.when(F.col("o_kind") == "iri", F.concat(F.lit("<"), "o", F.lit(">"))).otherwise(F.concat(F.lit('"'), ntriples_escape(F.col("o")), F.lit('"')))
-    return graph.select(F.concat_ws(" ", F.concat(F.lit("<"), "s", F.lit(">")), F.concat(F.lit("<"), "p", F.lit(">")), o, F.lit(".")).alias("value"))
+    iri = lambda c: F.concat(F.lit("<"), iri_escape(F.col(c)), F.lit(">"))
+    o = F.when(F.col("o_kind") == "iri", iri("o")).otherwise(F.concat(F.lit('"'), ntriples_escape(F.col("o")), F.lit('"')))
+    return graph.select(F.concat_ws(" ", iri("s"), iri("p"), o, F.lit(".")).alias("value"))
 
 
 def jsonld(graph: DataFrame) -> DataFrame:
     """One JSON-LD document a subject: predicate -> sorted objects."""
-    o = F.when(F.col("o_kind") == "iri", F.to_json(F.struct(F.col("o").alias("@id")))).otherwise(F.to_json(F.struct(F.col("o").alias("@value"))))
+    iri = F.col("o_kind") == "iri"
+    o = F.struct(F.when(iri, F.col("o")).alias("@id"), F.when(~iri, F.col("o")).alias("@value"))
     by = graph.groupBy("s", "p").agg(F.sort_array(F.collect_set(o)).alias("objects"))
-    fields = F.sort_array(F.collect_list(F.concat(F.lit('"'), "p", F.lit('":['), F.array_join("objects", ","), F.lit("]"))))
-    return by.groupBy("s").agg(F.concat(F.lit('{"@id":"'), F.first("s"), F.lit('",'), F.array_join(fields, ","), F.lit("}")).alias("value"))
+    fields = by.groupBy("s").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("p", "objects")))).alias("fields"))
+    name = F.to_json(F.array("s"))
+    return fields.select("s", F.concat(F.lit('{"@id":'), F.substring(name, F.lit(2), F.length(name) - 2), F.lit(","), F.substring(F.to_json("fields"), 2, 1 << 30)).alias("value"))
+
+
+def expand(curie: Column, prefixes: dict[str, str] | None = None) -> Column:
+    """``prefix:rest`` as an IRI, for the prefixes known; anything else as it is."""
+    out = curie
+    for prefix, base in (PREFIXES if prefixes is None else prefixes).items():
+        out = F.when(F.startswith(curie, F.lit(prefix + ":")) & ~F.startswith(curie, F.lit(prefix + "://")), F.concat(F.lit(base), F.substring(curie, len(prefix) + 2, 1 << 30))).otherwise(out)
+    return out
+
+
+def from_jsonld(docs: DataFrame, prefixes: dict[str, str] | None = None, vocabulary: str = SC) -> DataFrame:
+    """(s, p, o, o_kind) of JSON-LD documents (doc VARIANT), expanded or compact: one node or a @graph of nodes, prefixes as given, other names in ``vocabulary``.
+
+    Values are texts, numbers, booleans, {"@id"}, {"@value"}, nodes with an @id (the link; their own fields aren't followed) and lists of these; nodes without @id, and @context, give nothing.
+    """
+    object_, list_ = "map<string,variant>", "array<variant>"
+    known = PREFIXES if prefixes is None else prefixes
+    nodes = docs.select(F.explode(F.coalesce(F.try_variant_get("doc", "$['@graph']", list_), F.try_variant_get("doc", "$", list_), F.array("doc"))).alias("node"))
+    fields = nodes.select(expand(F.try_variant_get("node", "$['@id']", "string"), known).alias("s"), F.explode(F.map_entries(F.try_variant_get("node", "$", object_))).alias("f"))
+    fields = fields.where("s is not null and f.key not in ('@id', '@context', '@graph')").select("s", F.col("f.key").alias("key"), F.explode(F.coalesce(F.try_variant_get("f.value", "$", list_), F.array("f.value"))).alias("v"))
+    type_ = F.col("key") == "@type"
+    named = expand(F.col("key"), known)
+    p = F.when(type_, TYPE).when(F.contains(named, F.lit(":")), named).otherwise(F.concat(F.lit(vocabulary), named))
+    id_, value = F.try_variant_get("v", "$['@id']", "string"), F.try_variant_get("v", "$['@value']", "string")
+    plain = F.when(F.try_variant_get("v", "$", object_).isNull(), F.try_variant_get("v", "$", "string"))
+    class_ = F.when(F.contains(expand(plain, known), F.lit(":")), expand(plain, known)).otherwise(F.concat(F.lit(vocabulary), plain))
+    o = F.when(type_, class_).otherwise(F.coalesce(expand(id_, known), value, plain))
+    kind = F.when(type_ | id_.isNotNull(), "iri").otherwise("literal")
+    return fields.select("s", p.alias("p"), o.alias("o"), kind.alias("o_kind")).where("o is not null and o <> ''").distinct()
+
+
+def triple_count(graph: DataFrame) -> DataFrame:
+    return graph.distinct().agg(F.count("*").alias("n"))

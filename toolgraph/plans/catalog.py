@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import authors, canon, licenses, text
+from ..functions import canon, licenses, text
 from ..operators import matching, packages, quality, triples, upsert
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,13 +22,12 @@ class Tables:
         return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
 
 
-def query(sql: str | None = None):
+def query(sql: str):
     """Registers f(tables) under its name, with its SQL."""
 
     def register(f: Callable[[Tables], DataFrame]):
         QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
+        ORACLE_SQL[f.__name__] = sql
         return f
 
     return register
@@ -177,12 +176,17 @@ def id_from_uri(t):
     return t.pages.select("page_id", text.id_from_uri(uri, "https://metrics.example/").alias("id"))
 
 
-@query("""SELECT page_id, link, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS link FROM pages) GROUP BY 1, 2""")
+_HREF = text.HREF.replace("'", r"\x27")
+_BARE = r"regexp_replace(u, '^[\x22\x27]|[\x22\x27]$', '', 'g')"
+_LINKS = f"""SELECT page_id, trim(replace(replace(replace(replace(replace({_BARE}, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&amp;', '&')) AS link FROM (SELECT page_id, unnest(regexp_extract_all(html, '{_HREF}', 1)) AS u FROM pages)"""
+
+
+@query(f"""SELECT page_id, link, count(*) AS n FROM ({_LINKS}) GROUP BY 1, 2""")
 def html_links(t):
     return t.pages.select("page_id", F.explode(text.hrefs(F.col("html"))).alias("link")).groupBy("page_id", "link").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT page_id, string_agg(x, ',' ORDER BY x) AS links FROM (SELECT page_id, string_split(u, '/')[-1] AS x FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS u FROM pages)) GROUP BY 1""")
+@query(f"""SELECT page_id, string_agg(x, ',' ORDER BY x) AS links FROM (SELECT page_id, string_split(link, '/')[-1] AS x FROM ({_LINKS})) GROUP BY 1""")
 def link_tails(t):
     found = t.pages.select("page_id", text.doi_links(F.col("html"), "").alias("links")).where(F.size("links") > 0)
     return found.select("page_id", F.array_join(F.array_sort("links"), ",").alias("links"))
@@ -217,28 +221,18 @@ def license_spdx(t):
     return licenses.normalise(license_rows(t), "line")
 
 
-_LICENSES = {
-    "Apache License (>= 2)": "Apache-2.0", "GPL (>= 3) + file LICENSE": "GPL-3.0-or-later", "GPL (>= 2) + file LICENSE": "GPL-2.0-or-later", "file LICENSE": None, "GPL (>=3) | file LICENSE": "GPL-3.0-only",
-    "MIT + file LICENCE": "MIT", "BSD 3-clause License + file LICENSE": "BSD-3-Clause", "LGPL (>= 2)": "LGPL-2-or-later", "MPL-2.0": "MPL-2.0", "CC BY 4.0": "CC-BY-4.0", "EPL-2.0": "EPL-1.0", "CC0-1.0": "CC0-1.0", "GPL-2.0": "GPL-2.0-only",
-    "BSD_3_clause + file LICENSE": "BSD-3-Clause",
-}
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{k}', {repr(v) if v else 'NULL'})" for k, v in _LICENSES.items()) + ") v(raw, spdx)")
-def license_vectors(t):
-    return licenses.normalise(t._spark.createDataFrame([(k,) for k in _LICENSES], "raw string"), "raw")
-
-
-_AUTHORS = [
-    (1, "Gordon Smyth [cre, aut], Yifang Hu [ctb]"), (2, "A B [aut] (<https://orcid.org/0000-0001-2345-6789>), NIH [fnd]"), (3, ""), (4, "Jane Doe"),
+_LICENSES = [
+    ("Apache License (>= 2)", "Apache-2.0"), ("GPL (>= 3) + file LICENSE", "GPL-3.0-or-later"), ("GPL (>= 2) + file LICENSE", "GPL-2.0-or-later"), ("file LICENSE", None), ("GPL (>=3) | file LICENSE", "GPL-3.0-only"),
+    ("MIT + file LICENCE", "MIT"), ("BSD 3-clause License + file LICENSE", "BSD-3-Clause"), ("LGPL (>= 2)", "LGPL-2-or-later"), ("MPL-2.0", "MPL-2.0"), ("CC BY 4.0", "CC-BY-4.0"), ("EPL-2.0", "EPL-1.0"), ("CC0-1.0", "CC0-1.0"), ("GPL-2.0", "GPL-2.0-only"),
+    ("BSD_3_clause + file LICENSE", "BSD-3-Clause"), ("\u00c1pache", "Apache-2.0"), ("\uff2d\uff29\uff34", "MIT"),
 ]
+_LICENSE_CASE = lambda i: f"CASE p_partkey % {len(_LICENSES)} " + " ".join(f"WHEN {k} THEN '{x[i]}'" for k, x in enumerate(_LICENSES) if x[i]) + " END"
 
 
-@query("""SELECT * FROM (VALUES (1, 'Gordon Smyth', 'Person', NULL, 'Developer,Maintainer'), (1, 'Yifang Hu', 'Person', NULL, 'Contributor'),
-  (2, 'A B', 'Person', 'https://orcid.org/0000-0001-2345-6789', 'Developer'), (2, 'NIH', 'Funding agency', NULL, 'Contributor'), (4, 'Jane Doe', NULL, NULL, NULL)) v(id, name, kind, orcid, roles)""")
-def author_parse(t):
-    rows = t._spark.createDataFrame(_AUTHORS, "id int, author string").select("id", F.explode(authors.credits(F.col("author"))).alias("c"))
-    return rows.select("id", "c.name", F.col("c.typeEntity").alias("kind"), F.col("c.orcidid").alias("orcid"), F.array_join("c.typeRole", ",").alias("roles"))
+@query(f"SELECT p_partkey, {_LICENSE_CASE(0)} AS raw, {_LICENSE_CASE(1)} AS spdx FROM part UNION ALL SELECT -1 - p_partkey, 'GPL (>= ' || p_size || ')', 'GPL-' || p_size || '.0-or-later' FROM part")
+def license_vectors(t):
+    rows = t.part.select("p_partkey", F.expr(_LICENSE_CASE(0)).alias("raw")).unionAll(t.part.select(-1 - F.col("p_partkey"), F.concat(F.lit("GPL (>= "), "p_size", F.lit(")"))))
+    return licenses.normalise(rows, "raw")
 
 
 def sides(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -251,10 +245,12 @@ def sides(t: Tables) -> tuple[DataFrame, DataFrame]:
     return side(t.customer, "c_custkey", "c_nationkey", "c_acctbal"), side(t.supplier, "s_suppkey", "s_nationkey", "s_acctbal")
 
 
+METHODS = ["name_insensitive", "homepage"]
+
+
 def identity_edges(t: Tables) -> DataFrame:
     left, right = sides(t)
-    methods = ["name_insensitive", "homepage"]
-    return matching.edges(matching.keys(left, methods), matching.keys(right, methods))
+    return matching.edges(matching.keys(left, METHODS), matching.keys(right, METHODS))
 
 
 _EDGES = """SELECT DISTINCT f1, f2, method FROM (
@@ -267,11 +263,13 @@ def identity_pairs(t):
     return identity_edges(t)
 
 
-@query()
+@query(f"""WITH RECURSIVE e AS MATERIALIZED ({_EDGES}), c AS MATERIALIZED (SELECT f1, list_sort(list(DISTINCT f2)) AS may, row_number() OVER (ORDER BY f1) AS turn FROM e GROUP BY f1),
+g AS (SELECT 0::BIGINT AS turn, []::BIGINT[] AS taken, NULL::BIGINT AS f1, NULL::BIGINT AS f2
+  UNION ALL SELECT turn, CASE WHEN f2 IS NULL THEN taken ELSE list_append(taken, f2) END, f1, f2 FROM (SELECT c.turn, g.taken, c.f1, list_filter(c.may, lambda x: NOT list_contains(g.taken, x))[1] AS f2 FROM g JOIN c ON c.turn = g.turn + 1))
+SELECT g.f1, g.f2, string_agg(method, ',' ORDER BY method) AS methods FROM g JOIN e ON g.f1 = e.f1 AND g.f2 = e.f2 GROUP BY 1, 2""")
 def greedy_match(t):
     left, right = sides(t)
-    methods = ["name_insensitive", "homepage"]
-    m = matching.matched(matching.keys(left, methods), matching.keys(right, methods))
+    m = matching.matched(matching.keys(left, METHODS), matching.keys(right, METHODS))
     return m.select("f1", "f2", F.array_join("methods", ",").alias("methods"))
 
 
@@ -285,9 +283,9 @@ def unmatched_right(t):
     return matching.unmatched(t.supplier.select(F.col("s_suppkey").alias("file")), identity_edges(t), "f2")
 
 
-@query("SELECT lang AS method, source AS value, count(*) AS n, min(doc_id) AS first_file FROM documents GROUP BY 1, 2")
+@query("SELECT lang AS method, source AS value, count(*) AS n FROM documents GROUP BY 1, 2")
 def inverted_index(t):
-    return t.documents.groupBy(F.col("lang").alias("method"), F.col("source").alias("value")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_file"))
+    return matching.inverted_index(t.documents.select(F.col("lang").alias("method"), F.col("source").alias("value"), F.col("doc_id").alias("file")), lists=False)
 
 
 @query("""WITH n AS (SELECT o_orderkey AS k, o_orderstatus AS s, o_totalprice AS p FROM orders WHERE o_orderkey % 3 <> 0),
@@ -374,7 +372,7 @@ def duplicates_exact(t):
 SELECT value, count(DISTINCT l_orderkey) AS n FROM (SELECT l_orderkey, unnest(o.s) AS value FROM o JOIN d ON o.s = d.s) GROUP BY 1""")
 def duplicate_lists(t):
     r = t.lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_set("l_suppkey")).alias("values"))
-    return quality.duplicate_lists(r, "l_orderkey", "values").select("value", F.size("items").cast("bigint").alias("n"))
+    return quality.duplicate_lists(r, "l_orderkey", "values").groupBy("value").agg(F.count("*").alias("n"))
 
 
 @query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
@@ -385,15 +383,15 @@ def duplicates_by_key(t):
 @query("SELECT value, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT l_partkey AS value, l_orderkey AS item FROM lineitem) GROUP BY 1 HAVING count(*) > 1")
 def duplicate_values(t):
     r = t.lineitem.groupBy("l_orderkey").agg(F.collect_set("l_partkey").alias("values"))
-    return quality.duplicate_values(r, "l_orderkey", "values").select("value", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"))
+    return quality.listed(quality.duplicate_values(r, "l_orderkey", "values"), "value", "item").select("value", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"))
 
 
-_HELD = "SELECT DISTINCT l_partkey % 50 AS tool, l_suppkey % 20 AS doi, l_returnflag AS source FROM lineitem WHERE l_orderkey % 40 = 0"
+_HELD = "SELECT DISTINCT l_orderkey AS tool, l_partkey AS doi, l_returnflag AS source FROM lineitem"
 
 
 @query(f"WITH h AS ({_HELD}) SELECT a.tool, a.doi, b.source FROM (SELECT DISTINCT tool, doi FROM h) a JOIN (SELECT DISTINCT tool, source FROM h) b ON a.tool = b.tool EXCEPT SELECT * FROM h")
 def doi_enrichment_gap(t):
-    held = t.lineitem.where("l_orderkey % 40 = 0").select((F.col("l_partkey") % 50).alias("tool"), (F.col("l_suppkey") % 20).alias("doi"), F.col("l_returnflag").alias("source")).distinct()
+    held = t.lineitem.select(F.col("l_orderkey").alias("tool"), F.col("l_partkey").alias("doi"), F.col("l_returnflag").alias("source")).distinct()
     return quality.gaps(held, "tool", "doi", "source").select("tool", "doi", "source")
 
 
@@ -440,11 +438,10 @@ def resume_anti(t):
     return todo.unionByName(quality.linked(t.documents.select("doc_id"), t.labels, "doc_id").withColumn("state", F.lit("done")))
 
 
-@query("SELECT count(*) FILTER (event_id % 7 <> 0) AS valid, count(*) FILTER (event_id % 7 = 0) AS invalid, min(event_id) FILTER (event_id % 7 = 0) AS first_invalid FROM events")
+@query("SELECT count(*) FILTER (event_id % 7 <> 0) AS valid, count(*) FILTER (event_id % 7 = 0) AS invalid FROM events")
 def validity_report(t):
     e = t.events.withColumn("props", F.when(F.col("event_id") % 7 == 0, F.substring("props", 1, 3)).otherwise(F.col("props")))
-    bad = F.try_parse_json("props").isNull()
-    return e.agg(F.count_if(~bad).alias("valid"), F.count_if(bad).alias("invalid"), F.min(F.when(bad, F.col("event_id"))).alias("first_invalid"))
+    return quality.validity(e, "event_id", F.try_parse_json("props").isNull())[0]
 
 
 @query("SELECT o_orderkey, c_custkey AS tool, CASE WHEN o_orderkey % 2 = 0 THEN 'biotools:T' || o_orderkey ELSE 'doi:10/' || o_orderkey END AS ref, lower('T' || o_orderkey) AS id FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 2 = 0")
@@ -454,9 +451,9 @@ def cross_references(t):
     return o.withColumn("id", F.explode(text.cross_refs(F.array("ref"))))
 
 
-@query(r"SELECT doc_id, regexp_replace(trim(regexp_replace(regexp_replace('<jats:p>Abstract  ' || substr(replace(text, chr(10), ' '), 1, 200) || '</jats:p>', '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), '^Abstract ', '') AS abstract FROM documents")
+@query(r"SELECT doc_id, regexp_replace(trim(regexp_replace(regexp_replace('<jats:p>Abstract  ' || text || '</jats:p>', '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), '^Abstract ', '') AS abstract FROM documents")
 def abstract_text(t):
-    made = F.concat(F.lit("<jats:p>Abstract  "), F.substring(F.replace("text", F.lit("\n"), F.lit(" ")), 1, 200), F.lit("</jats:p>"))
+    made = F.concat(F.lit("<jats:p>Abstract  "), "text", F.lit("</jats:p>"))
     return t.documents.select("doc_id", text.clean_abstract(made).alias("abstract"))
 
 

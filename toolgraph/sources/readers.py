@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.triples import from_jsonld
+
 
 def texts(spark: SparkSession, path: str) -> DataFrame:
     """(path, value): one row a file."""
@@ -25,21 +27,43 @@ def json_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
 def keyed_json(spark: SparkSession, path: str) -> DataFrame:
     """(key, doc): the entries of one JSON object."""
     docs, _ = json_documents(spark, path)
-    docs.createOrReplaceTempView("_keyed")
-    return spark.sql("select e.key, e.value as doc from _keyed, lateral variant_explode(doc) e")
+    return docs.select(F.explode(F.map_entries(F.variant_get("doc", "$", "map<string,variant>"))).alias("e")).select("e.key", F.col("e.value").alias("doc"))
 
 
 _SET = re.compile(r"\{%-?\s*set\s+(\w+)\s*=\s*(.+?)\s*-?%\}")
 
 
 def render_recipe(text: str) -> str:
-    """The template subset that recipes use: set, {{ name }} and {{ name|lower }}; unknown names are empty, other tags vanish."""
+    """The template subset that recipes use: set, if / elif / else over names and texts, {{ name }} with filters lower, upper and replace; unknown names are empty, other tags vanish."""
     env = {m[1]: m[2].strip("\"'") for m in _SET.finditer(text)}
 
+    def holds(test: str) -> bool:
+        if test.startswith("not "):
+            return not holds(test[4:].strip())
+        a, op, b = (re.split(r"\s*(==|!=)\s*", test, maxsplit=1) + ["", ""])[:3]
+        left = env.get(a, "") if re.fullmatch(r"\w+", a) else a.strip("\"'")
+        return bool(left) if not op else (left == b.strip("\"'")) == (op == "==")
+
+    # innermost branches first
+    branch = re.compile(r"\{%-?\s*if\s+((?:(?!%\}).)*?)\s*-?%\}((?:(?!\{%-?\s*if\b).)*?)\{%-?\s*endif\s*-?%\}", re.S)
+
+    def chosen(m: re.Match) -> str:
+        tests, bodies = [m[1]], re.split(r"\{%-?\s*(?:elif\s+(.*?)|else)\s*-?%\}", m[2], flags=re.S)
+        tests += [x if x is not None else "'else'" for x in bodies[1::2]]
+        return next((b for t, b in zip(tests, bodies[0::2], strict=True) if holds(t)), "")
+
+    while (next_ := branch.sub(chosen, text)) != text:
+        text = next_
+
     def value(m: re.Match) -> str:
         name, *filters = (x.strip() for x in m[1].split("|"))
         v = env.get(name, "")
-        return v.lower() if "lower" in filters else v
+        for f in filters:
+            if f in ("lower", "upper"):
+                v = v.lower() if f == "lower" else v.upper()
+            elif r := re.fullmatch(r"""replace\(["'](.*?)["']\s*,\s*["'](.*?)["']\)""", f):
+                v = v.replace(r[1], r[2])
+        return v
 
     return re.sub(r"\{\{(.*?)\}\}", value, re.sub(r"\{[%#].*?[%#]\}", "", text))
 
@@ -84,8 +108,9 @@ def server_table(spark: SparkSession, path: str) -> DataFrame:
     return t.select(F.replace(F.col("name"), F.lit(" "), F.lit("_")).alias("name"), "url")
 
 
-def fair_scores(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, inferSchema=True)
+def fair_scores(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """Earlier scores: numbers by the given schema, or else texts (score_of casts them), so that the file is read once."""
+    return spark.read.csv(path, header=True, schema=schema) if schema else spark.read.csv(path, header=True)
 
 
 def url_list(spark: SparkSession, path: str, old: str, base: str) -> DataFrame:
@@ -101,16 +126,27 @@ def jdbc_tables(spark: SparkSession, url: str, names: list[str], **options: str)
     return {n: spark.read.format("jdbc").options(url=url, dbtable=n, **options).load() for n in names}
 
 
-def paged(spark: SparkSession, fetch: Callable[[int], list[dict] | None], pages: int, schema: str) -> DataFrame:
-    """Pages 1 to ``pages`` of a listing, each fetched in its own task; a page that fails or ends gives no rows. Without a network, ``fetch`` reads a dump."""
+def paged(spark: SparkSession, fetch: Callable[[int], list[dict] | None], schema: str, at_once: int = 64) -> DataFrame:
+    """All pages of a listing from 1 on, ``at_once`` of them fetched side by side, until one is empty. Without a network, ``fetch`` reads a dump."""
+    out, first = None, 1
+    while True:
+        raw = _pages(spark, fetch, first, at_once).cache()
+        found = raw.select(F.explode(F.from_json("body", f"array<{schema}>")).alias("r")).select("r.*")
+        out = found if out is None else out.unionByName(found)
+        if raw.where("body = '[]'").limit(1).count():
+            return out
+        first += at_once
+
+
+def _pages(spark: SparkSession, fetch: Callable[[int], list[dict] | None], first: int, count: int) -> DataFrame:
+    """(page, body): each page fetched in its own task."""
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for page in f["id"]:
-                yield pd.DataFrame({"page": [int(page)], "body": [json.dumps(fetch(int(page) + 1) or [])]})
+                yield pd.DataFrame({"page": [int(page)], "body": [json.dumps(fetch(int(page)) or [])]})
 
-    raw = spark.range(pages, numPartitions=min(pages, 200)).mapInPandas(rows, "page long, body string")
-    return raw.select(F.explode(F.from_json("body", f"array<{schema}>")).alias("r")).select("r.*")
+    return spark.range(first, first + count, numPartitions=count).mapInPandas(rows, "page long, body string")
 
 
 def fetched(keys: DataFrame, key: str, cache: DataFrame, fetch: Callable[[str], str | None]) -> DataFrame:
@@ -124,4 +160,69 @@ def fetched(keys: DataFrame, key: str, cache: DataFrame, fetch: Callable[[str],
     return cache.select(key, "value").join(keys.select(key).distinct(), key, "left_semi").unionByName(missing)
 
 
-PUBLICATION = "abstract string, authors array<struct<name:string>>, citationCount long, date string, journal string, title string"
+def config_value(spark: SparkSession, path: str, key: str, default: str | None = None) -> str | None:
+    """One top-level value of a small YAML file, as text: a release number that other reads need."""
+    import yaml
+
+    found = texts(spark, path).select("value").head(1)
+    value = (yaml.safe_load(found[0].value) or {}).get(key, default) if found else default
+    return None if value is None else str(value)
+
+
+def keyed_yaml(spark: SparkSession, path: str) -> DataFrame:
+    """(key, doc): the entries of a YAML mapping."""
+    docs, _ = yaml_documents(spark, path)
+    return docs.select(F.explode(F.map_entries(F.variant_get("doc", "$", "map<string,variant>"))).alias("e")).select("e.key", F.col("e.value").alias("doc"))
+
+
+def listing(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    """(path, folder, name, length, modified) of the files there, without reading them."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path).select("path", "length", F.col("modificationTime").alias("modified"))
+    return files.select("path", F.element_at(F.split("path", "/"), -2).alias("folder"), F.substring_index("path", "/", -1).alias("name"), "length", "modified")
+
+
+def json_or_none(spark: SparkSession, path: str) -> DataFrame:
+    """(doc): the entries of JSON lists; files that can't be parsed give none."""
+    docs, _ = json_documents(spark, path)
+    return docs.select(F.explode(F.coalesce(F.try_variant_get("doc", "$", "array<variant>"), F.array().cast("array<variant>"))).alias("doc"))
+
+
+def jsonld(spark: SparkSession, path: str, prefixes: dict[str, str] | None = None) -> DataFrame:
+    """(s, p, o, o_kind) of all JSON-LD files; those that can't be parsed give none."""
+    docs, _ = json_documents(spark, path)
+    return from_jsonld(docs, prefixes)
+
+
+def fetched_graphs(urls: DataFrame, cache: DataFrame, fetch: Callable[[str], str | None]) -> DataFrame:
+    """(s, p, o, o_kind) of the JSON-LD behind each url; a failure or an answer that can't be parsed is an empty graph."""
+
+    def safe(url: str) -> str | None:
+        try:
+            return fetch(url)
+        except Exception:  # any failure of the provider
+            return None
+
+    return from_jsonld(fetched(urls, "url", cache, safe).select(F.try_parse_json("value").alias("doc")).where("doc is not null"))
+
+
+def url_statuses(urls: DataFrame, cache: DataFrame, probe: Callable[[str], int]) -> DataFrame:
+    """(url, ok): whether each address answers with 200; the cache has (url, value), the status as text."""
+
+    def status(url: str) -> str:
+        try:
+            return str(probe(url))
+        except Exception:  # a request that fails is an address that doesn't answer
+            return "0"
+
+    return fetched(urls, "url", cache, status).select("url", (F.col("value") == "200").alias("ok"))
+
+
+def nodes(spark: SparkSession, listed: DataFrame, cache: DataFrame, fetch: Callable[[str], str | None]) -> DataFrame:
+    """(nid, doc) of the listed nodes (nid), each fetched once; those that fail or can't be parsed are left out."""
+    return fetched(listed, "nid", cache, fetch).select("nid", F.try_parse_json("value").alias("doc")).where("doc is not null")
+
+
+def side_files(spark: SparkSession, pattern: str, suffix: str) -> DataFrame:
+    """(package, html) of files named ``package + suffix``."""
+    name = F.substring_index("path", "/", -1)
+    return texts(spark, pattern).where(F.endswith(name, F.lit(suffix))).select(F.substring(name, F.lit(1), F.length(name) - len(suffix)).alias("package"), F.col("value").alias("html"))

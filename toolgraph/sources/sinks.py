@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,6 +31,61 @@ def csv(df: DataFrame, path: str) -> None:
 
 
 def markdown(df: DataFrame, limit: int = 1000) -> str:
-    """A report of up to ``limit`` rows; flags as marks."""
-    rows = [[{True: "✓", False: ""}.get(v, v) if isinstance(v, bool) else v for v in r] for r in df.limit(limit).collect()]
-    return "\n".join(f"| {' | '.join(map(str, r))} |" for r in [df.columns, ["---"] * len(df.columns), *rows])
+    """A report of the first ``limit`` rows in order of all columns; flags as marks. A last line says how many more there are."""
+    found = df.orderBy(*df.columns).limit(limit + 1).collect()
+    rows = [[{True: "✓", False: ""}.get(v, v) if isinstance(v, bool) else v for v in r] for r in found[:limit]]
+    lines = [f"| {' | '.join(map(str, r))} |" for r in [df.columns, ["---"] * len(df.columns), *rows]]
+    if len(found) > limit:
+        lines.append(f"\n{df.count() - limit} more rows")
+    return "\n".join(lines)
+
+
+def _yaml(document: str) -> str:
+    import yaml
+
+    return yaml.safe_dump(json.loads(document), sort_keys=True, allow_unicode=True)
+
+
+def _indented(document: str) -> str:
+    return json.dumps(json.loads(document), sort_keys=True, indent=4, ensure_ascii=False, separators=(",", ": "))
+
+
+FORMATS = {"json": _indented, "yaml": _yaml}
+
+
+def record_files(df: DataFrame, folder: str, path: Column, document: Column, form: str = "json") -> DataFrame:
+    """One file a record: writes ``folder/path`` with the document (JSON text) as JSON or YAML with sorted keys, and gives (path) of the files, once it is acted on.
+
+    Each task writes its own records to the store that the folder's address names, so that the folder must be one that all executors reach. Written twice, a file is the same.
+    """
+    turn = FORMATS[form]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        for batch in batches:
+            for name, text in zip(batch.column("path").to_pylist(), batch.column("document").to_pylist(), strict=True):
+                target = f"{base.rstrip('/')}/{name}"
+                store.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(target) as out:
+                    out.write(turn(text).encode("utf-8", "replace"))
+            yield batch.select(["path"])
+
+    return df.select(path.alias("path"), document.alias("document")).where("path is not null and document is not null").mapInArrow(write, "path string")
+
+
+def dual(records: DataFrame, tools: DataFrame, key: str, bronze_path: str, linked_path: str) -> None:
+    """Every record to the bronze table; those of a known tool also to the table of linked records."""
+    bronze(records, bronze_path)
+    bronze(records.join(tools.select(F.lower(key).alias("_id")).distinct(), F.lower(F.col(key)) == F.col("_id"), "left_semi"), linked_path)
+
+
+def versioned(df: DataFrame, path: str, version: str) -> None:
+    """A snapshot beside the earlier ones: the backup before an overwrite is the version before."""
+    df.withColumn("version", F.lit(version)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(path)
+
+
+def without_stale(existing: DataFrame, valid: DataFrame, key: str, path: str) -> None:
+    """Rewrites a table without the records whose key left the source."""
+    existing.join(valid.select(key).distinct(), key, "left_semi").write.mode("overwrite").parquet(path)
