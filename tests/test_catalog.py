@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from toolgraph.plans import catalog, documents  # noqa: F401  documents registers its queries beside those of catalog
+from toolgraph.plans import catalog, documents, files  # noqa: F401  they register their queries beside those of catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents pages labels".split()
