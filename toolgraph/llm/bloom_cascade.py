@@ -6,10 +6,14 @@ listed keys: level 1 holds the listed keys, level 2 the universe's keys that lev
 level admits nothing wrongly. A key's membership is then the parity of the first level that rejects it: exact over the universe, without a join.
 
 Level 1's false-positive rate follows the list's and universe's sizes, so that level 2 holds about as many keys as the list and every
-later level half as many: the broadcast filters take a few bytes for each listed key and grow with the logarithm of the universe.
+later level half as many: the broadcast filters take a few bytes for each listed key and grow with the logarithm of the universe. The universe itself is never
+shuffled: what passes some level 1 is kept as it is read, and only that is made distinct and freed of the listed keys. Keys are told apart by 64 bits.
+
+Filters of up to ``MAX_BYTES`` are broadcast; lists that need more are joined with the urls' keys instead.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, no keys, and the default verdict; repeated urls and ids are kept as
-rows; an empty table gives an empty one; of fitting rules the longest text wins, then the longest host.
+rows; an empty table gives an empty one; of fitting rules the longest text wins, then the longest host; a rule listed with several verdicts has the greatest of them
+(so block wins over allow); rules with a null are left out.
 """
 
 from __future__ import annotations
@@ -18,11 +22,14 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, materialise
 
+#: Bytes of all level 1 filters that are broadcast at most.
+MAX_BYTES = 64 << 20
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
@@ -52,7 +59,7 @@ class Level:
         self.salt = salt
         self.m = max(64, math.ceil(n * 1.4427 * math.log2(1 / rate)))
         self.k = max(1, round(math.log2(1 / rate)))
-        self.bits = np.zeros((self.m + 7) // 8, np.uint8)
+        self.bits = np.zeros((self.m + 63) // 64 * 8, np.uint8)
 
     def places(self, h: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -82,66 +89,95 @@ def members(levels: list[Level], h: np.ndarray) -> np.ndarray:
 
 
 def build(level: Level, keys: DataFrame) -> Level:
-    """Sets the bits of all keys (a column h): tasks send the bytes they set, combined by bitwise or."""
+    """Sets the bits of all keys (a column h). A task has one filter for all its keys and sends the 64-bit words that it set, combined by bitwise or before and after the shuffle."""
 
     def part(batches):
+        own = Level.__new__(Level)
+        own.__dict__.update(level.__dict__, bits=np.zeros_like(level.bits))
         for batch in batches:
-            own = Level.__new__(Level)
-            own.__dict__.update(level.__dict__, bits=np.zeros_like(level.bits))
-            own.set(own.places(batch["h"].to_numpy().astype(np.int64).view(np.uint64)).ravel())
-            at = np.flatnonzero(own.bits)
-            yield pd.DataFrame({"at": at, "byte": own.bits[at].astype(np.int32)})
-
-    for at, byte in keys.mapInPandas(part, "at long, byte int").groupBy("at").agg(F.bit_or("byte")).collect():
-        level.bits[at] = byte
+            own.set(own.places(batch.column("h").to_numpy().view(np.uint64)).ravel())
+        words = own.bits.view(np.int64)
+        at = np.flatnonzero(words)
+        for i in range(0, len(at), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 100_000]), pa.array(words[at[i : i + 100_000]])], ["at", "word"])
+
+    got = keys.mapInArrow(part, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    level.bits.view(np.int64)[got.column("at").to_numpy()] = got.column("word").to_numpy()
     return level
 
 
-def cascade(listed: DataFrame, universe: DataFrame) -> list[Level]:
-    """Levels over two tables of key hashes (h). Stops when the keys to admit wrongly are none; the universe needn't contain the listed keys."""
-    listed = listed.distinct()
-    others = materialise(universe.distinct().join(listed, "h", "left_anti"), "universe")
-    n, m = listed.count(), others.count()
-    if not n:
-        return []
-    levels, inside, outside, held = [], listed, others, n
-    while held:
-        rate = min(0.5, math.sqrt(0.5) * n / max(1, m)) if not levels else 0.5
-        levels.append(build(Level(held, rate, len(levels) + 1), inside))
-        last = levels[-1]
-        test = F.pandas_udf(lambda h, last=last: pd.Series(last.has(h.to_numpy().view(np.uint64))), "boolean")
-        inside, outside = materialise(outside.where(test("h")), "wrong"), inside
-        held = inside.count()
+def first_level(n: int, m: int) -> Level:
+    """Level 1 for n listed keys in a universe of about m, still empty."""
+    return Level(n, min(0.5, math.sqrt(0.5) * n / max(1, m)), 1)
+
+
+def passed(levels: list[Level], h: Column) -> Column:
+    """Whether any of the levels has the key."""
+    return F.pandas_udf(lambda x: pd.Series(np.logical_or.reduce([level.has(x.to_numpy().view(np.uint64)) for level in levels])), "boolean")(h)
+
+
+def cascade(listed: DataFrame, wrong: DataFrame, first: Level) -> list[Level]:
+    """All levels. listed: the distinct listed keys (h); wrong: distinct keys of the universe, all those that ``first`` (built) admits wrongly among them. Stops when nothing is admitted wrongly."""
+    levels = [first]
+    inside, outside = listed, materialise(wrong.where(passed([first], F.col("h"))).join(listed, "h", "left_anti"), "wrong")
+    while held := outside.count():
+        levels.append(build(Level(held, 0.5, len(levels) + 1), outside))
+        inside, outside = outside, materialise(inside.where(passed(levels[-1:], F.col("h"))), "wrong")
     return levels
 
 
-def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
+def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", max_bytes: int = MAX_BYTES) -> DataFrame:
     """page_id, host, path, rule and verdict of every row of ``pages`` (page_id, url); rules: (host, path, verdict).
 
-    A url that no rule fits gets ``default``, the verdict of keys that neither cascade lists.
+    A url that no rule fits gets ``default``, the verdict of keys that no cascade lists.
     """
     spark = pages.sparkSession
-    lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect())
-    listed = rules.select(F.concat(ascii_lower(F.col("host")), "path").alias("key"), "verdict").dropDuplicates(["key"]).withColumn("h", F.xxhash64("key"))
+    listed = rules.where("host is not null and path is not null and verdict is not null").groupBy(F.concat(ascii_lower(F.col("host")), "path").alias("key")).agg(F.max("verdict").alias("verdict"), F.collect_set(F.length("path")).alias("lengths"))
+    listed = materialise(listed.withColumn("h", F.xxhash64("key")), "rules")
+    # one number for each length that a rule's path has, one row for each verdict
+    lengths = sorted(r[0] for r in listed.select(F.explode("lengths")).distinct().collect())
+    counts = {r["verdict"]: r["n"] for r in listed.groupBy("verdict").agg(F.countDistinct("h").alias("n")).collect()}
     rows = pages.select("page_id", "url").withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url"))).drop("url")
-    rows = rows.withColumn("keys", keys_of(F.col("host"), F.col("path"), lengths))
-    universe = materialise(rows.select(F.explode("keys").alias("key")).select(F.xxhash64("key").alias("h")).distinct(), "keys")
-    filters = spark.sparkContext.broadcast({v: cascade(listed.where(F.col("verdict") == v).select("h"), universe) for v in ("allow", "block")})
+    rows = rows.withColumn("keys", keys_of(F.col("host"), F.col("path"), lengths)) if lengths else rows.withColumn("keys", F.array().cast("array<string>"))
+    keys = rows.select(F.explode("keys").alias("key")).select(F.xxhash64("key").alias("h"))
+    about = keys.agg(F.approx_count_distinct("h")).first()[0]
+    firsts = {v: first_level(n, about) for v, n in sorted(counts.items())}
+    if sum(len(x.bits) for x in firsts.values()) > max_bytes:
+        return _joined(rows, listed, default)
+    lists = {v: listed.where(F.col("verdict") == v).select("h").distinct() for v in firsts}
+    for v, first in firsts.items():
+        build(first, lists[v])
+    wrong = materialise(keys.where(passed(list(firsts.values()), F.col("h"))).distinct(), "keys") if firsts else keys
+    filters = spark.sparkContext.broadcast({v: cascade(lists[v], wrong, first) for v, first in firsts.items()})
 
     @F.pandas_udf("array<string>")
     def verdicts(hashes: pd.Series) -> pd.Series:
         flat = np.concatenate([np.asarray(x, np.int64) for x in hashes] or [np.zeros(0, np.int64)]).view(np.uint64)
         known = np.full(len(flat), None, object)
         for verdict, levels in filters.value.items():
-            if levels and len(flat):
+            if len(flat):
                 known[members(levels, flat)] = verdict
         ends = np.cumsum([len(x) for x in hashes])
         return pd.Series(np.split(known, ends[:-1]) if len(hashes) else [])
 
     judged = rows.withColumn("verdicts", verdicts(F.transform("keys", lambda k: F.xxhash64(k))))
     fits = F.filter(F.arrays_zip("keys", "verdicts"), lambda x: x["verdicts"].isNotNull())
-    ranked = F.transform(fits, lambda x: F.struct(F.length(x["keys"]).alias("n"), F.instr(x["keys"], "/").alias("host"), x["keys"].alias("rule"), x["verdicts"].alias("verdict")))
-    return judged.withColumn("best", F.array_max(ranked)).select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    return _decided(judged.withColumn("best", F.array_max(F.transform(fits, lambda x: _rank(x["keys"], x["verdicts"])))), default)
+
+
+def _rank(rule: Column, verdict: Column) -> Column:
+    return F.struct(F.length(rule).alias("n"), F.instr(rule, "/").alias("host"), rule.alias("rule"), verdict.alias("verdict"))
+
+
+def _decided(rows: DataFrame, default: str) -> DataFrame:
+    return rows.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+
+
+def _joined(rows: DataFrame, listed: DataFrame, default: str) -> DataFrame:
+    """The same by joins, for lists whose filters are too large to broadcast: the keys of distinct (host, path) with the rules, then the best rule with the rows."""
+    places = rows.select("host", "path", "keys").dropDuplicates(["host", "path"]).select("host", "path", F.explode("keys").alias("key"))
+    best = places.join(listed.select("key", "verdict"), "key").groupBy("host", "path").agg(F.max(_rank(F.col("key"), F.col("verdict"))).alias("best"))
+    return _decided(rows.join(best, ["host", "path"], "left"), default)
 
 
 def rules_table(spark: SparkSession) -> DataFrame:
