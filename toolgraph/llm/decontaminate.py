@@ -5,7 +5,7 @@ row, so any one of its words must match: its prefix under the order of rarity is
 joined with these prefix words; a match fixes where the window would lie, the position and length bounds discard those that stick out, and the rest are
 verified word by word against the document's slice. Words are joined in full lower case (a superset of matches) and verified with A-Z lowered only.
 
-The windows are broadcast only if they take ``BROADCAST_BYTES`` or less; beyond, the join is dealt by word and candidates are joined back to their documents.
+The windows, their items included, are broadcast only if they take ``BROADCAST_BYTES`` or less, and so are the counts of their words; beyond, the join is dealt by word and candidates are joined back to their documents.
 
 Edge cases: null texts have no words; an item without words has no window; items with equal windows are all reported, null item ids aren't named; repeated rows
 and equal ids are judged each (a text is told apart by its hash); an empty benchmark hits nothing.
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialise
+from .common import ascii_lower, free, materialise
 
 WINDOW, BROADCAST_BYTES = 13, 16 << 20
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -42,14 +42,15 @@ def prefixes(windows: DataFrame, docs: DataFrame, small: bool) -> DataFrame:
     spoken = docs.select(F.explode_outer(words_of(F.col("text"))).alias("word")).select(F.lower("word").alias("key"))
     counts = spoken.join(F.broadcast(vocabulary) if small else vocabulary, "key", "left_semi").groupBy("key").agg(F.count("*").alias("n"))
     placed = windows.select("*", F.posexplode(F.split("window", " ")).alias("lead", "word")).withColumn("key", F.lower("word"))
-    ranked = placed.join(counts, "key", "left").withColumn("rank", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key", "lead"))
+    # as many rows as the windows have different words
+    ranked = placed.join(F.broadcast(counts) if small else counts, "key", "left").withColumn("rank", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key", "lead"))
     return ranked.groupBy("window", "length").agg(F.min("rank").alias("rank"), F.first("items").alias("items")).select("rank.key", "rank.lead", "window", "length", "items")
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(doc_id, text_key, start, length, items): where windows occur, start counted in words from 0."""
     windows = materialise(windows_of(benchmark, size), "windows")
-    held = windows.agg(F.sum(F.length("window") * 2 + 64)).first()[0] or 0
+    held = windows.agg(F.sum(F.octet_length("window") * 2 + F.octet_length(F.concat_ws(",", "items")) + F.size("items") * 16 + 64)).first()[0] or 0
     small = held <= broadcast_bytes
     prefix = materialise(prefixes(windows, docs, small), "prefixes")
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), words_of(F.col("text")).alias("words"))
@@ -84,7 +85,9 @@ def judge(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, broadcast_b
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that aren't contaminated."""
-    bad = judge(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("bad_id"), "text_key").distinct()
-    keyed = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("bad_id")) & (keyed == F.col("text_key")), "left_anti")
+    """The rows of ``docs``, all columns, that aren't contaminated."""
+    # the names must differ from every column of docs
+    bad_id, bad_key, key = free(docs, "bad_id", "bad_key", "key")
+    bad = judge(docs, benchmark).where("contaminated").select(F.col("doc_id").alias(bad_id), F.col("text_key").alias(bad_key)).distinct()
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
+    return keyed.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col(bad_id)) & (F.col(key) == F.col(bad_key)), "left_anti").drop(key)
