@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lean
+
 UNIT, RATE, UP, DOWN, TAPS, FRAME, HOP, MELS, TILE, STEP = 192, 12_000, 2, 3, 16, 256, 128, 20, 16, 1024
 OUT_RATE = RATE * UP // DOWN
 SCHEMA = "doc_id long, n_bytes long, media binary, samples binary, tensors binary, segments array<struct<start_s:double,end_s:double>>"
@@ -110,6 +112,7 @@ def tensors(mel: np.ndarray) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+@lean
 def media_rows(batches):
     for batch in batches:
         ids, texts = batch.column("doc_id"), batch.column("text").cast(pa.large_binary())

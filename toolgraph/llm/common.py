@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +68,12 @@ def scratch(spark: SparkSession):
             remove(spark, path)
 
 
+def finished(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What build() gives, stored; the folders that it worked in are gone."""
+    with scratch(spark):
+        return stored(build(), name)[0]
+
+
 def free(df: DataFrame, *names: str) -> list[str]:
     """Names like the given ones that no column of df has (columns compare without case)."""
     taken = {c.lower() for c in df.columns}
@@ -102,6 +111,28 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _trim() -> None:
+    """Gives freed memory back to the system: Python workers are kept for later tasks, also while the JVM needs the room."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
+def lean(rows):
+    """A generator function of a task that holds no freed memory when it ends."""
+
+    @wraps(rows)
+    def run(*args, **kwargs):
+        try:
+            yield from rows(*args, **kwargs)
+        finally:
+            _trim()
+
+    return run
+
+
 def byte_chunks(column: pa.Array, limit: int = 1 << 20):
     """Slices a string or binary column into runs of rows of about ``limit`` bytes (one row at least).
 

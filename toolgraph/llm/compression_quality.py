@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, materialise, rows_where
+from .common import crc_mod, lean, materialise, rows_where
 
 SAMPLE, SPREAD, BLOCK, DICTIONARY, LEVEL = 1500, 4, 2048, 65536, 1
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, difference double"
@@ -100,6 +100,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out) -> dict:
     return model
 
 
+@lean
 def difference_rows(batches, model):
     sizes = Sizes(model.value["bad"], model.value["good"])
     for batch in batches:
@@ -107,6 +108,7 @@ def difference_rows(batches, model):
         yield pa.RecordBatch.from_arrays([batch.column("turn"), batch.column("good"), pa.array(x, pa.float64())], ["turn", "good", "difference"])
 
 
+@lean
 def score_rows(batches, model):
     m = model.value
     sizes = Sizes(m["bad"], m["good"]) if "a" in m else None

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Counts, byte_chunks, crc_mod, padded, rows_where
+from .common import Counts, byte_chunks, crc_mod, lean, padded, rows_where
 
 SMOOTHING, ROUNDS, PENALTY, LEAST = 0.5, 10, 4.0, 0.02
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, languages map<string,double>"
@@ -39,6 +39,7 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return code[keep], text
 
 
+@lean
 def count_rows(batches):
     """(lang, slot, n): sums of a task, given out whenever four million pairs have gathered."""
     index: dict[str, int] = {}
@@ -113,6 +114,7 @@ def proportions(rows: np.ndarray, table: np.ndarray, code: np.ndarray, text: np.
     return out
 
 
+@lean
 def predict_rows(batches, model):
     names, known, table = model.value
     rows = np.zeros(CODES, np.int32)

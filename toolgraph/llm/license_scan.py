@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BYTE_HASH, _R, LOWER_LUT, byte_chunks, mix64, padded
+from .common import _BYTE_HASH, _R, LOWER_LUT, byte_chunks, lean, mix64, padded
 
 SHINGLE, WINNOW, BAND, COVERAGE, SHORT = 3, 3, 8, 0.6, 14
 #: Words of short templates that tell little; the others count as the rarer the longer they are.
@@ -230,6 +230,7 @@ def align(t: np.ndarray, h: np.ndarray, diagonal: int, a: int, b: int) -> tuple[
     return (best[0], best[2], best[3]) if best[0] else None
 
 
+@lean
 def scan_rows(batches, templates):
     index = Index(templates)
     for batch in batches:
