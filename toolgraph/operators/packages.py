@@ -22,6 +22,18 @@ def latest_release(packages: DataFrame, releases: DataFrame) -> DataFrame:
     return packages.join(releases, "release").groupBy("package", "version").agg(F.max_by("release", F.struct("sort", "release")).alias("release"))
 
 
+def latest(rows: DataFrame, key: str, order: list[str], *columns: str) -> DataFrame:
+    """Of each key the columns of the row that is greatest in the given order; ties go by the columns."""
+    top = rows.groupBy(key).agg(F.max(F.struct(*order, *(c for c in columns if c not in order))).alias("top"))
+    return top.select(key, *(F.col(f"top.{c}").alias(c) for c in columns))
+
+
+def enrich(rows: DataFrame, dimension: DataFrame, on: dict[str, str]) -> DataFrame:
+    """The rows with the columns of a dimension where it has them (on: column -> column of the dimension); Spark broadcasts what its own size check lets through."""
+    condition = [rows[a] == dimension[b] for a, b in on.items()]
+    return rows.join(dimension, condition, "left")
+
+
 def nest(parent: DataFrame, children: dict[str, DataFrame], key: str) -> DataFrame:
     """Each child table's rows as a sorted array of structs under its parent; null where there are none."""
 

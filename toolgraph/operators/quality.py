@@ -76,6 +76,17 @@ def pending(work: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return work.join(done.select(key), key, "left_anti")
 
 
+def counts(rows: DataFrame, **by: Column) -> DataFrame:
+    """Rows for each combination of the named columns: statuses, methods, hosts, days."""
+    return rows.groupBy(*(c.alias(n) for n, c in by.items())).agg(F.count("*").alias("n"))
+
+
+def repeated(rows: DataFrame, *keys: str, first: str | None = None) -> DataFrame:
+    """The keys that more than one row has, how many have them, and the least of another column as ``first_id``."""
+    wanted = [F.count("*").alias("n"), *([F.min(first).alias("first_id")] if first else [])]
+    return rows.groupBy(*keys).agg(*wanted).where("n > 1")
+
+
 def smoke(statuses: DataFrame) -> DataFrame:
     """(url, ok) of addresses that don't answer, from fetched (url, status)."""
     return statuses.where(F.coalesce(F.col("status"), F.lit(0)) != 200).select("url", F.lit(False).alias("ok"))

@@ -167,7 +167,7 @@ def url_normalise(t):
 
 @query("SELECT split_part(split_part(url, '://', 2), '/', 1) AS host, count(*) AS n FROM pages GROUP BY 1")
 def url_host_counts(t):
-    return t.pages.groupBy(F.split_part(F.split_part("url", F.lit("://"), F.lit(2)), F.lit("/"), F.lit(1)).alias("host")).agg(F.count("*").alias("n"))
+    return quality.counts(t.pages, host=F.split_part(F.split_part("url", F.lit("://"), F.lit(2)), F.lit("/"), F.lit(1)))
 
 
 @query("SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'tool' || page_id ELSE 't' || page_id END AS id FROM pages")
@@ -273,6 +273,24 @@ def greedy_match(t):
     return m.select("f1", "f2", F.array_join("methods", ",").alias("methods"))
 
 
+@query("""SELECT file, method, value FROM (
+  SELECT c_custkey AS file, 'name' AS method, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE c_name END AS value FROM customer
+  UNION ALL SELECT c_custkey, 'name_insensitive', nullif(CASE WHEN c_custkey % 7 = 0 THEN '' ELSE lower(c_name) END, '') FROM customer
+  UNION ALL SELECT c_custkey, 'homepage', 'bioconductor.org/packages/P' || c_nationkey FROM customer
+  UNION ALL SELECT c_custkey, 'biotoolsID_unprefixed', 'x' || c_custkey FROM customer
+  UNION ALL SELECT DISTINCT c_custkey, 'doi', unnest(['10.1/' || c_nationkey, '10.1/' || c_nationkey, '10.2/' || c_custkey]) FROM customer WHERE c_custkey % 3 = 0
+  UNION ALL SELECT c_custkey, 'name_homepage', lower(c_name) || chr(31) || 'bioconductor.org/packages/P' || c_nationkey FROM customer WHERE c_custkey % 7 <> 0) WHERE value IS NOT NULL""")
+def identity_keys(t):
+    k = F.col("c_custkey")
+    doi = lambda *x: F.struct(F.concat(*(F.lit(y) if isinstance(y, str) else y for y in x)).alias("doi"))
+    n = F.col("c_nationkey")
+    rows = t.customer.select(
+        k.alias("file"), F.when(k % 7 == 0, "").otherwise(F.col("c_name")).alias("name"), F.concat(F.lit("https://bioconductor.org/packages/release/bioc/html/P"), n, F.lit(".html")).alias("homepage"),
+        F.concat(F.when(k % 2 == 0, "bioconductor-").otherwise(""), F.lit("x"), k).alias("biotoolsID"), F.when(k % 3 == 0, F.array(doi("10.1/", n), doi("10.1/", n), doi("10.2/", k), F.struct(F.lit(None).cast("string").alias("doi")))).alias("publication"),
+    )
+    return matching.keys(rows, sorted(matching.IDENTITIES))
+
+
 @query(f"SELECT c_custkey AS file FROM customer WHERE NOT EXISTS (SELECT 1 FROM ({_EDGES}) e WHERE e.f1 = c_custkey)")
 def unmatched_left(t):
     return matching.unmatched(t.customer.select(F.col("c_custkey").alias("file")), identity_edges(t), "f1")
@@ -324,8 +342,7 @@ def stale_delete(t):
 
 @query("SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1")
 def latest_by_rank(t):
-    top = t.orders.groupBy("o_custkey").agg(F.max(F.struct("o_orderdate", "o_orderkey", "o_totalprice")).alias("m"))
-    return top.select("o_custkey", "m.o_orderkey", "m.o_totalprice")
+    return packages.latest(t.orders, "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderkey", "o_totalprice")
 
 
 @query("SELECT o_custkey::VARCHAR AS package, coalesce(max(o_orderkey) FILTER (o_orderstatus <> 'P'), max(o_orderkey))::VARCHAR AS version FROM orders GROUP BY 1")
@@ -348,7 +365,8 @@ def union_distinct_versions(t):
 
 @query("SELECT s_suppkey, s_name, n_name, r_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey ORDER BY 1")
 def left_enrich(t):
-    return t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "left").join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select("s_suppkey", "s_name", "n_name", "r_name").orderBy("s_suppkey")
+    placed = packages.enrich(packages.enrich(t.supplier, t.nation, {"s_nationkey": "n_nationkey"}), t.region, {"n_regionkey": "r_regionkey"})
+    return placed.select("s_suppkey", "s_name", "n_name", "r_name").orderBy("s_suppkey")
 
 
 @query("""SELECT "F", "O", "P", count(*) AS n FROM (SELECT o_custkey, bool_or(o_orderstatus = 'F') AS "F", bool_or(o_orderstatus = 'O') AS "O", bool_or(o_orderstatus = 'P') AS "P" FROM orders GROUP BY 1) GROUP BY 1, 2, 3""")
@@ -365,7 +383,7 @@ def upset_counts(t):
 
 @query("SELECT md5(text) AS digest, count(*) AS n, min(doc_id) AS first_id FROM documents GROUP BY text HAVING count(*) > 1")
 def duplicates_exact(t):
-    return t.documents.groupBy("text").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1").select(F.md5("text").alias("digest"), "n", "first_id")
+    return quality.repeated(t.documents, "text", first="doc_id").select(F.md5("text").alias("digest"), "n", "first_id")
 
 
 @query("""WITH o AS (SELECT l_orderkey, list_sort(list(DISTINCT l_suppkey)) AS s FROM lineitem GROUP BY 1), d AS (SELECT s FROM o GROUP BY s HAVING count(*) > 1)
@@ -377,7 +395,7 @@ def duplicate_lists(t):
 
 @query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def duplicates_by_key(t):
-    return t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n")).where("n > 1")
+    return quality.repeated(t.lineitem, "l_orderkey", "l_linenumber")
 
 
 @query("SELECT value, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT l_partkey AS value, l_orderkey AS item FROM lineitem) GROUP BY 1 HAVING count(*) > 1")
@@ -412,7 +430,7 @@ def change_counts(t):
 
 @query("SELECT event_type AS status, count(*) AS n FROM events GROUP BY 1")
 def status_counts(t):
-    return t.events.groupBy(F.col("event_type").alias("status")).agg(F.count("*").alias("n"))
+    return quality.counts(t.events, status=F.col("event_type"))
 
 
 @query("SELECT event_id, CAST(props ->> 'k' AS BIGINT) AS k FROM events")
@@ -459,4 +477,4 @@ def abstract_text(t):
 
 @query("SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def daily_counts(t):
-    return t.events.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "event_type").agg(F.count("*").alias("n"))
+    return quality.counts(t.events, day=F.date_trunc("day", "ts").cast("timestamp_ntz"), event_type=F.col("event_type"))

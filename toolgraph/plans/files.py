@@ -239,9 +239,55 @@ def doi_addresses(t):
     return t.pages.select("page_id", F.concat(F.lit("https://doi.org/"), text.percent_escape_doi(text.clean_doi(raw))).alias("doi"), text.clean_doi(raw).alias("clean"))
 
 
-def report(df: DataFrame) -> str:
-    """Coverage as a Markdown table, the largest groups first."""
-    return sinks.markdown(quality.coverage(df, sorted(r[0] for r in df.select("source").distinct().collect())))
+@query("""WITH c AS (SELECT "F", "O", "P", count(*) AS n FROM (SELECT o_custkey, bool_or(o_orderstatus = 'F') AS "F", bool_or(o_orderstatus = 'O') AS "O", bool_or(o_orderstatus = 'P') AS "P" FROM orders GROUP BY 1) GROUP BY 1, 2, 3)
+SELECT '| F | O | P | n |' AS line UNION ALL SELECT '| --- | --- | --- | --- |' UNION ALL SELECT '| ' || CASE WHEN "F" THEN '✓' ELSE '' END || ' | ' || CASE WHEN "O" THEN '✓' ELSE '' END || ' | ' || CASE WHEN "P" THEN '✓' ELSE '' END || ' | ' || n || ' |' FROM c""")
+def coverage_report(t):
+    found = quality.coverage(t.orders.select(F.col("o_custkey").alias("tool_id"), F.col("o_orderstatus").alias("source")), ["F", "O", "P"])
+    return t._spark.createDataFrame([(x,) for x in sinks.markdown(found).splitlines()], "line string")
+
+
+@query("SELECT lower(r_name) AS name, '1.' || r_regionkey AS version, CASE WHEN r_regionkey % 2 = 0 THEN 'even' ELSE 'odd' END AS summary FROM region")
+def recipe_files(t):
+    recipe = F.concat(
+        F.lit('{% set name = "'), "r_name", F.lit('" %}\n{% set version = "1.'), "r_regionkey", F.lit('" %}\n{% set even = "'), F.when(F.col("r_regionkey") % 2 == 0, "yes").otherwise("no"),
+        F.lit('" %}\npackage:\n  name: {{ name|lower }}\n  version: "{{ version }}"\nabout:\n  summary: {% if even == "yes" %}even{% else %}odd{% endif %}\n  home: {{ undefined }}\n'),
+    )
+    folder = written(t, t.region.withColumn("recipe", recipe), F.concat("r_name", F.lit("/meta.yaml")), F.col("recipe"), "text")
+    flat = triples.flatten_recipes(readers.yaml_documents(t._spark, f"{folder}/*/meta.yaml", templated=True)[0])
+    return flat.select("name", "version", "summary")
+
+
+@query("SELECT 'Pkg' || s_suppkey AS package, '10.1/' || s_suppkey AS doi FROM supplier")
+def citation_files(t):
+    html = F.concat(F.lit("<a href='https://doi.org/10.1/"), "s_suppkey", F.lit("'>x</a>"))
+    folder = written(t, t.supplier.withColumn("html", html), F.concat(F.lit("Pkg"), "s_suppkey", F.lit(".bioconductor.citation.html")), F.col("html"), "text")
+    return readers.side_files(t._spark, f"{folder}/*", ".bioconductor.citation.html").select("package", F.explode(text.doi_links(F.col("html"))).alias("doi"))
+
+
+@query("SELECT o_orderkey AS id, o_orderstatus AS status FROM orders")
+def metric_lists(t):
+    folder = workspace(t._spark)
+    lists = t.orders.groupBy((F.col("o_orderkey") % 16).alias("part")).agg(F.to_json(F.collect_list(F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status")))).alias("doc"))
+    sinks.record_files(lists.unionByName(t._spark.createDataFrame([(99, "<html>")], "part long, doc string")), folder, F.concat("part", F.lit(".json")), F.col("doc"), "text").write.format("noop").mode("overwrite").save()
+    return readers.json_or_none(t._spark, f"{folder}/*.json").select(F.variant_get("doc", "$.id", "long").alias("id"), F.variant_get("doc", "$.status", "string").alias("status"))
+
+
+@query("SELECT p_partkey::VARCHAR AS nid, p_name AS title FROM part WHERE p_partkey % 4 <> 0")
+def listed_nodes(t):
+    # every fourth node fails, one in two is cached
+    listed = t.part.select(F.col("p_partkey").cast("string").alias("nid"), "p_name", "p_partkey")
+    answer = F.to_json(F.struct("nid", F.col("p_name").alias("title")))
+    cache = listed.where("p_partkey % 4 <> 0").select("nid", answer.alias("value")).unionAll(listed.where("p_partkey % 8 = 0").select("nid", F.lit("{")))
+    return readers.nodes(t._spark, listed.select("nid"), cache, lambda nid: None).select("nid", F.variant_get("doc", "$.title", "string").alias("title"))
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def jdbc_table(t):
+    """Through the database that Spark brings along, in memory."""
+    url = f"jdbc:derby:memory:t{uuid.uuid4().hex};create=true"
+    options = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    t.customer.select("c_custkey", "c_name").coalesce(1).write.jdbc(url, "customer", properties=options)
+    return readers.jdbc_tables(t._spark, url, ["customer"], **options)["customer"].select("c_custkey", "c_name")
 
 
 def config_release(spark: SparkSession, release: str) -> str | None:

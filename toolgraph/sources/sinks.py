@@ -50,11 +50,11 @@ def _indented(document: str) -> str:
     return json.dumps(json.loads(document), sort_keys=True, indent=4, ensure_ascii=False, separators=(",", ": "))
 
 
-FORMATS = {"json": _indented, "yaml": _yaml}
+FORMATS = {"json": _indented, "yaml": _yaml, "text": str}
 
 
 def record_files(df: DataFrame, folder: str, path: Column, document: Column, form: str = "json") -> DataFrame:
-    """One file a record: writes ``folder/path`` with the document (JSON text) as JSON or YAML with sorted keys, and gives (path) of the files, once it is acted on.
+    """One file a record: writes ``folder/path`` with the document (JSON text) as JSON or YAML with sorted keys, or as the text it is, and gives (path) of the files, once it is acted on.
 
     Each task writes its own records to the store that the folder's address names, so that the folder must be one that all executors reach. Written twice, a file is the same.
     """
