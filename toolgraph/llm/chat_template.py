@@ -321,8 +321,11 @@ def format_rows(frames: Iterator[pd.DataFrame], template: str) -> Iterator[pd.Da
 
         def messages():
             while held[0] is not None and held[0][:2] == conv:
-                yield {"role": held[0][2], "text": held[0][3]}
+                message = {"role": held[0][2], "text": held[0][3]}
                 held[0] = next(rows, None)
+                yield message
+                if conv[0]:  # a row without an id stands alone
+                    return
 
         parts, spans, size, seq = [], [], 0, 0
         for piece, loss in render(messages()):
@@ -335,8 +338,9 @@ def format_rows(frames: Iterator[pd.DataFrame], template: str) -> Iterator[pd.Da
                 spans.append((size, size + len(piece)))
             parts.append(piece)
             size += len(piece)
-        for _ in messages():  # a template that doesn't loop leaves rows
-            pass
+        if held[0] is row or not conv[0]:
+            for _ in messages():  # a template that doesn't loop leaves rows
+                pass
         ready.append((None if conv[0] else conv[1], seq, "".join(parts), spans, True))
         row = held[0]
         if len(ready) >= 500:
@@ -356,11 +360,11 @@ def _frame(ready: list[tuple]) -> pd.DataFrame:
 def format_conversations(conversations: DataFrame, template: str = TEMPLATE) -> DataFrame:
     """Renders each conversation (conv_id, turn, role, text; rows by turn, ties by role and text, nulls first) in pieces, in order of conv_id and seq.
 
-    Null roles and texts are empty; rows without an id are one conversation of their own. Rows are dealt by conv_id and sorted by Spark (which spills), and a
-    conversation streams through the renderer, so a conversation with a large part of all rows needs time, not memory.
+    Null roles and texts are empty; each row without an id is a conversation of its own, since nothing says that such rows belong together, and they are dealt by their content. Rows are dealt by
+    conv_id and sorted by Spark (which spills), and a conversation streams through the renderer, so a conversation with a large part of all rows needs time, not memory.
     """
     c = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    dealt = c.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    dealt = c.repartition("conv_id", F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "role", "text"))).sortWithinPartitions("conv_id", "turn", "role", "text")
     rows = dealt.select(F.col("conv_id").isNull().alias("is_null"), F.coalesce("conv_id", F.lit(0)).alias("conv_id"), "role", "text")
     return rows.mapInPandas(lambda frames: format_rows(frames, template), PIECES)
 
