@@ -5,11 +5,13 @@ decision nodes keeps a Krichevsky-Trofimov estimate, and the weighting mixes the
 if it occurs ``LEAST`` times or more in the training texts, however large those are. The other contexts of a node share one leaf, so the leaves
 partition all contexts and the mixture is a proper probability.
 
-A byte's probability depends only on the gram of the byte and its context, so the model is a table of the log probability of each gram that any text has. Grams are dealt by the two
-bytes before the last, each task weighs the whole subtrees of its contexts, and the driver only the contexts of up to two bytes, of which there are 65,793 at most. Up to ``GRAM_LIMIT`` grams
+A byte's probability depends only on the gram of the byte and its context, so the model is a table of the log probability of each gram that any text has. The tree is weighed in three
+steps. Grams are dealt by the four bytes before the last, and tasks weigh the subtrees below these; what they give for each context of four bytes is dealt by its last two bytes
+and weighed up to those; the driver weighs the contexts of up to two bytes. No part can outgrow its task, whatever the corpus: a context of four bytes has 65,536 below it, one of two bytes
+65,536 of four, and there are 65,793 of up to two (in text, a few thousand of each). On the way back each context of four bytes gets a pair (a, b) such that a + b * p is the whole mixture, p being that of its own subtree. Up to ``GRAM_LIMIT`` grams
 the table is broadcast; beyond it, texts are dealt in groups of ``GROUP_BYTES`` and each group is joined with the grams it has.
 
-Gram and token counts come from all training texts, summed by a shuffle with map-side folding. Edge cases: a null text is empty;
+Gram and token counts come from all training texts: tasks fold their own and pack them as arrays for each part of the keys, and the parts are summed (``spark.sql.shuffle.partitions`` of them). Edge cases: a null text is empty;
 a null id counts as the empty text for the split; without training texts every decision has probability 1/2 and every token count is 0
 (base_score 0 for lack of a distribution if V + N is 0: log10 of 0.1/0.1); repeated rows are scored and counted each.
 """
@@ -24,15 +26,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_LUT, Counts, byte_chunks, crc_mod, materialise, padded, word_hashes
+from .common import _R, LOWER_LUT, Counts, byte_chunks, crc_mod, fold_sorted, lean, materialise, mix64, padded, word_hashes
 
-DEPTH, LEAST, BORDER = 6, 2, 2
+DEPTH, LEAST, DEAL, BORDER = 6, 2, 4, 2
 #: Token table rows that are broadcast at most (16 bytes each); beyond it counts are joined in.
 VOCAB_LIMIT = 6_000_000
 #: Likewise for grams; the bytes of text in a group beyond it, and the grams that a task weighs.
 GRAM_LIMIT, GROUP_BYTES, TASK_GRAMS = 6_000_000, 32 << 20, 50_000
-GRAM_SCHEMA, CELL_SCHEMA = "key long, logp double", "cell long, zeros double, ones double, log_w double"
-COUNT_SCHEMA = "kind int, key long, n long"
+GRAM_SCHEMA, CELL_SCHEMA = "key long, logp double", "key long, zeros double, ones double, log_w double"
+PACKED_SCHEMA, COUNT_SCHEMA = "part int, kind int, keys binary, n binary", "kind int, key long, n long"
 OUT_SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
 
 
@@ -48,24 +50,25 @@ def grams(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray
 
 def gram_keys(buf: np.ndarray, where: np.ndarray, depth: int) -> np.ndarray:
     """Each position's byte (lowest) and the depth bytes before it, as one integer."""
-    key = np.zeros(len(buf), np.uint64)
-    for d in range(depth, -1, -1):
-        key[depth:] = (key[depth:] << np.uint64(8)) | buf[depth - d : len(buf) - d]
+    key, have = buf.astype(np.uint64), 1
+    while have <= depth:  # twice as many bytes each time
+        step = min(have, depth + 1 - have)
+        longer = below(key, step)
+        longer[step:] |= key[:-step] << np.uint64(8 * step)
+        key, have = longer, have + step
     return key[where]
 
 
-def count_rows(batches, depth: int):
-    """Counts of byte grams (kind 1) and word hashes (kind 0) over all texts of a task; the grams of held-out texts count 0."""
+@lean
+def count_rows(batches, depth: int, parts: int):
+    """(part, kind, keys, n): counts of byte grams (kind 1) and word hashes (kind 0) over all texts of a task, packed as arrays for each part of the keys; the grams of held-out texts count 0."""
     words, learnt, others = Counts(), Counts(), Counts()
 
     def out(limit: int):
         for kind, c in ((0, words), (1, learnt), (1, others)):
             if len(c.keys) > limit:
                 keys, n = c.drain()
-                n = n * (c is not others)
-                for i in range(0, len(keys), 100_000):
-                    k = keys[i : i + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k.view(np.int64)), pa.array(n[i : i + 100_000])], ["kind", "key", "n"])
+                yield from packed(kind, keys, n * (c is not others), parts)
 
     for batch in batches:
         for held in (False, True):
@@ -81,6 +84,45 @@ def count_rows(batches, depth: int):
     yield from out(0)
 
 
+def packed(kind: int, keys: np.ndarray, n: np.ndarray, parts: int):
+    """Rows of one part each, about a million keys at a time."""
+    part = (mix64(keys) % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
+    order = np.argsort(part, kind="stable")
+    keys, n = keys[order], n[order]
+    bounds = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
+    rows, held = [], 0
+    for p in range(parts):
+        x, y = bounds[p], bounds[p + 1]
+        if y > x:
+            rows.append((p, keys[x:y].tobytes(), n[x:y].astype(np.int64).tobytes()))
+            held += y - x
+        if rows and (held > 1_000_000 or p + 1 == parts):
+            ids, k, m = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([kind] * len(ids), pa.int32()), pa.array(k, pa.binary()), pa.array(m, pa.binary())], ["part", "kind", "keys", "n"])
+            rows, held = [], 0
+
+
+@lean
+def merged_rows(batches):
+    """(kind, key, n): the sums of the parts that a task has, folded whenever four million keys wait."""
+    held: dict[int, list] = {0: [], 1: []}
+    waiting = {0: 0, 1: 0}
+    for batch in batches:
+        for i in range(len(batch)):
+            kind = batch.column("kind")[i].as_py()
+            keys = np.frombuffer(batch.column("keys")[i].as_py(), np.uint64)
+            held[kind].append((keys, np.frombuffer(batch.column("n")[i].as_py(), np.int64)))
+            waiting[kind] += len(keys)
+            if waiting[kind] > 4_000_000:
+                held[kind], waiting[kind] = [fold_sorted(*map(np.concatenate, zip(*held[kind], strict=True)))], 0
+    for kind, parts in held.items():
+        if parts:
+            keys, n = fold_sorted(*map(np.concatenate, zip(*parts, strict=True)))
+            for i in range(0, len(keys), 100_000):
+                k = keys[i : i + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k.view(np.int64)), pa.array(n[i : i + 100_000])], ["kind", "key", "n"])
+
+
 def lgamma(x: np.ndarray) -> np.ndarray:
     """log gamma for x >= 0.5: recurrence up to 8, then Stirling's series."""
     shift = np.zeros_like(x)
@@ -250,63 +292,159 @@ def _grams_of(batches) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], n[order]
 
 
+def climb(cells: np.ndarray, zeros: np.ndarray, ones: np.ndarray, log_w: np.ndarray, low: int, high: int, least: int) -> dict[int, SimpleNamespace]:
+    """The levels low to high, from the weighed cells of the contexts of low bytes."""
+    order = np.argsort(cells)
+    levels = {low: level(cells[order], zeros[order], ones[order], low, least)}
+    levels[low].log_w = log_w[order]
+    for d in range(low - 1, high - 1, -1):
+        x = levels[d + 1]
+        keys, where = np.unique(below(x.cells, d + 1), return_inverse=True)
+        levels[d] = level(keys, np.bincount(where, x.zeros, len(keys)), np.bincount(where, x.ones, len(keys)), d, least)
+        weigh(levels[d], x, d)
+    return levels
+
+
+def above(levels: dict[int, SimpleNamespace], low: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b) for each cell of level low: the whole mixture is a + b * p, p being the mixture of its own subtree; b is 0 where its context is no node."""
+    at, live = np.arange(len(levels[low].cells)), levels[low].node
+    a, b = np.zeros(len(at)), np.ones(len(at))
+    for d in range(low - 1, -1, -1):
+        at, x = levels[d + 1].up[at], levels[d]
+        # below the deepest node of a path, the leaf that its rarer contexts share
+        a, b = np.where(live, a, x.rest[at]), np.where(live, b, 0.0)
+        live = x.node[at]
+        share = np.where(live, x.share[at], 0.0)
+        a, b = share * x.p[at] + (1 - share) * a, (1 - share) * b
+    return a, b
+
+
+def _batch(names: list[str], *columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns], names)
+
+
+_CELL = ["key", "zeros", "ones", "log_w"]
+
+
+@lean
 def cell_rows(batches, depth: int, low: int, least: int):
-    """The weighed cells of the contexts of low bytes."""
+    """The weighed cells of the contexts of low bytes, from grams."""
     keys, n = _grams_of(batches)
     if len(keys):
         x = subtrees(keys, n, depth, low, least)[0][low]
-        yield pa.RecordBatch.from_arrays([pa.array(x.cells.view(np.int64)), pa.array(x.zeros), pa.array(x.ones), pa.array(x.log_w)], ["cell", "zeros", "ones", "log_w"])
+        yield _batch(_CELL, x.cells, x.zeros, x.ones, x.log_w)
 
 
-def gram_rows(batches, depth: int, low: int, least: int, top):
-    """log10 probability of each gram's byte after its context."""
-    keys, n = _grams_of(batches)
-    if not len(keys):
+def _cells_of(batches) -> list[np.ndarray] | None:
+    got = [[b.column(c).to_numpy() for c in _CELL] for b in batches]
+    return [np.concatenate(x) for x in zip(*got, strict=True)] if got else None
+
+
+@lean
+def border_rows(batches, low: int, high: int, least: int):
+    """The weighed cells of the contexts of high bytes, from those of low bytes."""
+    if (got := _cells_of(batches)) is not None:
+        x = climb(got[0].view(np.uint64), *got[1:], low, high, least)[high]
+        yield _batch(_CELL, x.cells, x.zeros, x.ones, x.log_w)
+
+
+@lean
+def above_rows(batches, low: int, high: int, least: int, top):
+    """(key, x, y): the pairs (a, b) of the cells of low bytes. top: the levels below high, and the cells of level high - 1 are those of the driver."""
+    if (got := _cells_of(batches)) is None:
+        return
+    levels = climb(got[0].view(np.uint64), *got[1:], low, high, least)
+    levels |= {d: x for d, x in top.value.items() if d < high}
+    if high:
+        levels[high].up = np.searchsorted(levels[high - 1].cells, below(levels[high].cells, high))
+    a, b = above(levels, low)
+    yield _batch(["key", "x", "y"], levels[low].cells, a, b)
+
+
+@lean
+def gram_rows(batches, depth: int, low: int, least: int):
+    """log10 probability of each gram's byte after its context. Rows (key, x, y) are grams and their numbers, without y, or cells of low bytes and their pairs."""
+    got = [[b.column("key").to_numpy().view(np.uint64), b.column("x").to_numpy(), b.column("y").to_numpy(zero_copy_only=False)] for b in batches]
+    if not got:
         return
+    key, x, y = (np.concatenate(c) for c in zip(*got, strict=True))
+    gram = np.isnan(y)
+    cells, a, b = key[~gram], x[~gram], y[~gram]
+    keys, n = key[gram], x[gram]
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
     levels, at = subtrees(keys, n, depth, low, least)
-    levels[low].up = np.searchsorted(top.value[low - 1].cells, below(levels[low].cells, low))
     p, live = levels[depth].p[at], levels[depth].node[at]
-    for d in range(depth - 1, -1, -1):
-        lower, x = levels[d + 1] if d + 1 >= low else top.value[d + 1], levels[d] if d >= low else top.value[d]
-        at = lower.up[at]
-        # below the deepest node of a gram's path, the leaf that its rarer contexts share
-        p = np.where(live, p, x.rest[at])
-        live = x.node[at]
-        p = np.where(live, x.share[at] * x.p[at] + (1 - x.share[at]) * p, p)
+    for d in range(depth - 1, low - 1, -1):
+        at, upper = levels[d + 1].up[at], levels[d]
+        p = np.where(live, p, upper.rest[at])
+        live = upper.node[at]
+        p = np.where(live, upper.share[at] * upper.p[at] + (1 - upper.share[at]) * p, p)
+    order = np.argsort(cells)
+    of = order[np.searchsorted(cells[order], levels[low].cells)][at]
+    p = a[of] + b[of] * p
     one = ((keys[:, None] >> np.arange(7, -1, -1, dtype=np.uint64)) & np.uint64(1)).astype(bool)
-    logp = np.log10(np.where(one, p, 1 - p)).sum(axis=1)
-    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(logp)], ["key", "logp"])
+    yield _batch(["key", "logp"], keys, np.log10(np.where(one, p, 1 - p)).sum(axis=1))
 
 
 def gram_table(counts: DataFrame, depth: int, least: int) -> tuple[DataFrame, int]:
     """(key, logp) of every gram, written, and their number."""
-    spark, low = counts.sparkSession, min(BORDER, depth)
+    spark, low, high = counts.sparkSession, min(DEAL, depth), min(BORDER, depth)
     gram = counts.where("kind = 1").select("key", "n")
     size = gram.count()
-    context = F.shiftrightunsigned("key", 8).bitwiseAND((1 << 8 * low) - 1)
-    dealt = gram.repartition(max(8, size // TASK_GRAMS + 1), context)
-    got = dealt.mapInArrow(lambda it: cell_rows(it, depth, low, least), CELL_SCHEMA).toArrow()
-    cells = got.column("cell").to_numpy().view(np.uint64)
-    order = np.argsort(cells)
-    cells, zeros, ones, log_w = cells[order], *(got.column(c).to_numpy()[order] for c in ("zeros", "ones", "log_w"))
-    top = {low: level(cells, zeros, ones, low, least)}
-    top[low].log_w = log_w
-    for d in range(low - 1, -1, -1):
-        x = top[d + 1]
-        keys, where = np.unique(below(x.cells, d + 1), return_inverse=True)
-        top[d] = level(keys, np.bincount(where, x.zeros, len(keys)), np.bincount(where, x.ones, len(keys)), d, least)
-        weigh(top[d], x, d)
-    del top[low]
-    held = spark.sparkContext.broadcast(top)
-    return materialise(dealt.mapInArrow(lambda it: gram_rows(it, depth, low, least, held), GRAM_SCHEMA), "ctw-grams"), size
-
-
-def sorted_table(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    key, logp = table.column("key").to_numpy().view(np.uint64), table.column("logp").to_numpy()
-    order = np.argsort(key)
-    return key[order], logp[order]
-
-
+    parts = max(8, size // TASK_GRAMS + 1)
+    # grams and cells have their context above the lowest byte
+    context = lambda d: F.shiftrightunsigned("key", 8).bitwiseAND((1 << 8 * d) - 1)
+    cells = materialise(gram.repartition(parts, context(low)).mapInArrow(lambda it: cell_rows(it, depth, low, least), CELL_SCHEMA), "ctw-cells")
+    dealt = cells.repartition(parts, context(high))
+    got = dealt.mapInArrow(lambda it: border_rows(it, low, high, least), CELL_SCHEMA).toArrow()
+    key, *rest = (got.column(c).to_numpy() for c in _CELL)
+    held = spark.sparkContext.broadcast({d: x for d, x in climb(key.view(np.uint64), *rest, high, 0, least).items() if d < high})
+    pairs = dealt.mapInArrow(lambda it: above_rows(it, low, high, least, held), "key long, x double, y double")
+    both = gram.select("key", F.col("n").cast("double").alias("x"), F.lit(None).cast("double").alias("y")).unionAll(pairs)
+    return materialise(both.repartition(parts, context(low)).mapInArrow(lambda it: gram_rows(it, depth, low, least), GRAM_SCHEMA), "ctw-grams"), size
+
+
+class Table:
+    """Key -> value, by a hash table of arrays: entries in order of their slot, each at its slot or at the first free place after the entry before."""
+
+    EMPTY = np.uint64(2**64 - 1)  # grams have 56 bits; of word hashes one in 2**64 would be lost
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(len(keys) * 1.4).bit_length())
+        kind = np.int32 if self.bits < 31 else np.int64  # half the room where it is built, on the driver
+        at = self.slots(keys).astype(kind)
+        order = np.argsort(at).astype(kind)
+        at, rank = at[order], np.arange(len(keys), dtype=kind)
+        at -= rank
+        np.maximum.accumulate(at, out=at)
+        at += rank
+        size = max(1 << self.bits, int(at[-1]) + 1 if len(at) else 0) + 1
+        self.keys, self.values = np.full(size, self.EMPTY), np.zeros(size, values.dtype)
+        self.keys[at], self.values[at] = keys[order], values[order]
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _R) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """The values of the keys; 0 without an entry."""
+        out, at, where = np.zeros(len(keys), self.values.dtype), self.slots(keys), None
+        while len(keys):
+            there = self.keys[at]
+            found = np.flatnonzero(there == keys)
+            out[found if where is None else where[found]] = self.values[at[found]]
+            left = np.flatnonzero((there != keys) & (there != self.EMPTY))
+            where = left if where is None else where[left]
+            keys, at = keys[left], at[left] + 1
+        return out
+
+
+def table_of(rows: pa.Table) -> Table:
+    """The grams' log probabilities, in single precision."""
+    return Table(rows.column("key").to_numpy().view(np.uint64), rows.column("logp").to_numpy().astype(np.float32))
+
+
+@lean
 def distinct_rows(batches, depth: int):
     """(part, key): the grams that a group's texts have, repeated at most once a chunk."""
     for batch in batches:
@@ -321,11 +459,12 @@ def distinct_rows(batches, depth: int):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), x)), pa.array(k.view(np.int64))], ["part", "key"])
 
 
+@lean
 def score_rows(batches, model, vocab, totals, depth):
-    """One row a text. model: sorted grams and their log probabilities; vocab: sorted word hashes and their counts, or None if the counts are joined in later."""
+    """One row a text. model: the grams' table; vocab: the table of word hashes and counts, or None if the counts are joined in later."""
     n_all, n_distinct, end_count = totals
     under = n_all + 0.1 * (n_distinct + 1)
-    grams_known, logp = model.value
+    table = model.value
     known = vocab.value if vocab else None
     for batch in batches:
         cols: list[list] = [[] for _ in range(5)]
@@ -334,15 +473,13 @@ def score_rows(batches, model, vocab, totals, depth):
             n = np.diff(first)
             base, hits = np.zeros(len(n)), np.zeros(len(n), np.int64)
             if known is not None:
-                at = np.minimum(np.searchsorted(known[0], h), max(0, len(known[0]) - 1))
-                c = np.where(known[0][at] == h, known[1][at], 0) if len(known[0]) else np.zeros(len(h), np.int64)
+                c = known.of(h)
                 value = np.log10((c + 0.1) / under) if under else np.zeros(len(h))
                 base = np.array([value[a:b].sum() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)])
                 seen = np.concatenate([[0], np.cumsum(c > 0)])
                 hits = seen[first[1:]] - seen[first[:-1]]
             buf, where, begin = grams(data, offsets, depth)
-            keys, of = np.unique(gram_keys(buf, where, depth), return_inverse=True)
-            score = np.add.reduceat(logp[np.searchsorted(grams_known, keys)][of], begin[:-1])
+            score = np.add.reduceat(table.of(gram_keys(buf, where, depth)).astype(float), begin[:-1])
             for to, x in zip(cols, (n, hits, base, score, np.diff(offsets)), strict=True):
                 to.append(x)
         if not cols[0]:
@@ -355,6 +492,7 @@ def score_rows(batches, model, vocab, totals, depth):
         )
 
 
+@lean
 def word_rows(batches):
     """(doc_id, text_key, key, n): each text's distinct words, for the join of the counts."""
     for batch in batches:
@@ -377,19 +515,19 @@ def lm_scores(docs: DataFrame, held_out, depth: int = DEPTH, least: int = LEAST,
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), held_out.alias("held_out"))
     train = rows.where(~F.col("held_out"))
     n_train = train.select(F.count("*")).first()[0]
-    counted = rows.select("text", "held_out").mapInArrow(lambda it: count_rows(it, depth), COUNT_SCHEMA)
-    counts = materialise(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "ctw-counts")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counted = rows.select("text", "held_out").mapInArrow(lambda it: count_rows(it, depth, parts), PACKED_SCHEMA)
+    # arrays instead of rows go through the shuffle: each task has folded its own keys already
+    counts = materialise(counted.repartitionById(parts, "part").mapInArrow(merged_rows, COUNT_SCHEMA), "ctw-counts")
     words = counts.where("kind = 0").select("key", "n")
     got = words.agg(F.count("*"), F.sum("n")).first()
     n_all, distinct = (got[1] or 0) + n_train, got[0] + (n_train > 0)
     table, size = gram_table(counts, depth, least)
-    model = spark.sparkContext.broadcast(sorted_table(table.toArrow())) if size <= gram_limit else None
+    model = spark.sparkContext.broadcast(table_of(table.toArrow())) if size <= gram_limit else None
     totals = n_all, distinct, n_train
     if got[0] <= vocab_limit:
         got = words.toArrow()
-        key, n = got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy()
-        order = np.argsort(key)
-        vocab = spark.sparkContext.broadcast((key[order], n[order]))
+        vocab = spark.sparkContext.broadcast(Table(got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy()))
         if model:
             return rows.mapInArrow(lambda it: score_rows(it, model, vocab, totals, depth), OUT_SCHEMA)
         return _by_group(rows, table, lambda it, m: score_rows(it, m, vocab, totals, depth), OUT_SCHEMA, depth)
@@ -421,7 +559,7 @@ def _by_group(rows: DataFrame, table: DataFrame, score, schema: str, depth: int)
     found = dealt.select("part", "text").mapInArrow(lambda it: distinct_rows(it, depth), "part long, key long").distinct().join(table, "key")
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
-        model = SimpleNamespace(value=sorted_table(right))
+        model = SimpleNamespace(value=table_of(right))
         return pa.Table.from_batches(list(score(left.combine_chunks().to_batches(), model)))
 
     return dealt.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(scored, schema)
