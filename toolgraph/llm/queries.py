@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import audio, bloom_cascade, chat_template, compression_quality, ctw, decontaminate, langid, license_scan, minhash_dedup, mixing
-from .common import read
+from .common import finished, read
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bloom_cascade.filter_urls(read(spark, sf_dir, "pages"), bloom_cascade.rules_table(spark))
+    return finished(spark, "op1", lambda: bloom_cascade.filter_urls(read(spark, sf_dir, "pages"), bloom_cascade.rules_table(spark)))
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,7 +18,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ctw.documents_scored(read(spark, sf_dir, "documents"))
+    return finished(spark, "op3", lambda: ctw.documents_scored(read(spark, sf_dir, "documents")))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +26,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+    return finished(spark, "op5", lambda: minhash_dedup.near_duplicates(read(spark, sf_dir, "documents")))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,34 +34,48 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read(spark, sf_dir, "documents"), mixing.WEIGHTS)
+    return finished(spark, "op7", lambda: mixing.mix(read(spark, sf_dir, "documents"), mixing.WEIGHTS))
 
 
 def op8_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = audio.media_columns(read(spark, sf_dir, "documents"))
-    payload = F.expr("substring(media, 45)")
     return m.select(
-        "doc_id", "n_bytes", F.length(payload).cast("long").alias("payload_bytes"), F.sha2(payload, 256).alias("payload_sha256"),
-        F.crc32(F.expr("substring(media, -16, 16)")).alias("tail_crc32"), F.length("media").cast("long").alias("media_bytes"),
+        "doc_id", "n_bytes", F.length("samples").cast("long").alias("payload_bytes"), F.sha2("samples", 256).alias("payload_sha256"),
+        F.crc32(F.expr("substring(samples, -16, 16)")).alias("tail_crc32"), F.length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"), F.sha2("tensors", 256).alias("feature"), F.size("segments").alias("n_segments"),
     )
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compression_quality.documents_rated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+    rated = lambda: compression_quality.documents_rated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return finished(spark, "op9", lambda: rated().select("doc_id", "held_out", "score", "predicted"))
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = decontaminate.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
-    return judged.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), "contaminated"
-    )
+    digest = F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256")
+    judged = lambda: decontaminate.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return finished(spark, "op10", lambda: judged().select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, "contaminated"))
 
 
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_chat_formatting, op3_lm_scoring, op4_language_id, op5_near_dedup, op6_license_scan, op7_source_mixing, op8_audio_features, op9_quality_classifier, op10_decontamination)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _level(d: int) -> str:
+    """The shares of the tree's level d among the children of each node, in closed form."""
+    path, up = mixing.TREE[:d], mixing.TREE[: d - 1]
+    cols, of, on = ", ".join(path), ", ".join(["top", *up]), " AND ".join(f"c.{x} = u.{x}" for x in ["top", *up])
+    weight = "".join(f" WHEN {' AND '.join(f"{c} = '{v}'" for c, v in zip(path, k, strict=True))} THEN {w}" for k, w in mixing.WEIGHTS.items() if len(k) == d)
+    weight = f"CASE{weight} ELSE 1.0 END::DOUBLE" if weight else "1.0::DOUBLE"
+    return f"""
+c{d} AS (SELECT top, {cols}, sum(held) * {float(mixing.MAX_EPOCHS)}::DOUBLE AS capacity, {weight} AS weight FROM leaves GROUP BY ALL),
+l{d} AS (SELECT c.*, greatest(u.share - coalesce(sum(capacity) OVER (PARTITION BY {", ".join("c." + x for x in ["top", *up])} ORDER BY capacity / weight, c.{path[-1]} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0), 0.0)
+  / sum(weight) OVER (PARTITION BY {", ".join("c." + x for x in ["top", *up])} ORDER BY capacity / weight, c.{path[-1]} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM c{d} c JOIN s{d - 1} u ON {on}),
+s{d} AS (SELECT top, {cols}, CASE WHEN capacity <= level * weight THEN capacity ELSE max(CASE WHEN capacity > level * weight THEN level END) OVER (PARTITION BY {of}) * weight END AS share FROM l{d})"""
+
+
 ORACLE_SQL = {
     "op1_url_filter": f"""
 WITH cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -73,15 +87,15 @@ ruled AS (SELECT *, CASE
   WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM parts)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled""",
     "op2_chat_formatting": r"""
-WITH probe AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+WITH probe AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]', NULL), (-1, 1, 'assistant', '</s>[INST] ok [/INST]', NULL)),
 sized AS (SELECT *, length(regexp_replace(replace(role, '\', '\\'), '(</?s>|\[/?INST\]|\[/?ROLE\])', '\1x', 'g')) AS r,
   length(regexp_replace(replace(text, '\', '\\'), '(</?s>|\[/?INST\]|\[/?ROLE\])', '\1x', 'g')) AS t FROM probe)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(3 + sum(13 + r + t + CASE WHEN role = 'assistant' THEN 4 ELSE 13 END) AS BIGINT) AS formatted_chars
-FROM sized GROUP BY conv_id""",
+FROM sized GROUP BY conv_id, alone""",
     "op5_near_dedup": rf"""
 WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w),
@@ -91,6 +105,15 @@ l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc
 r AS (SELECT doc_id, doc_id AS other FROM n UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.other = l.a),
 m AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY 1)
 SELECT n.doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, n.doc_id = component_id AS kept FROM n JOIN m ON n.doc_id = m.doc_id""",
+    "op7_source_mixing": rf"""
+WITH r AS MATERIALIZED (SELECT doc_id, 'd' || (ascii(md5(coalesce(source, ''))) % 3) AS domain, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens FROM documents),
+leaves AS MATERIALIZED (SELECT 0 AS top, domain, lang, source, sum(n_tokens)::BIGINT AS held FROM r GROUP BY ALL HAVING sum(n_tokens) > 0),
+s0 AS (SELECT 0 AS top, sum(held) * {mixing.SHARE}::DOUBLE AS share FROM leaves),{_level(1)},{_level(2)},{_level(3)},
+planned AS (SELECT domain, lang, source, held, floor(share + 1e-6)::BIGINT AS budget FROM leaves JOIN s3 USING (domain, lang, source)),
+placed AS (SELECT doc_id, domain, lang, source, n_tokens, budget // held AS epochs, budget % held AS rest, md5('{mixing.SEED}:' || (budget // held) || ':' || doc_id) AS place FROM r JOIN planned USING (domain, lang, source) WHERE budget > 0),
+taken AS (SELECT doc_id, domain, lang, source, n_tokens, CAST(epochs + CASE WHEN coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < rest THEN 1 ELSE 0 END AS BIGINT) AS copies FROM placed)
+SELECT * FROM taken WHERE copies > 0""",
     "op10_decontamination": rf"""
 WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
