@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise_package_url, remove_protocol
+from .storage import remove, stored, workspace
 
 #: name -> builder of an array of identity values from a record's columns (empty or null: the record has none).
 IDENTITIES: dict[str, Callable[[], Column]] = {}
@@ -61,43 +61,40 @@ def inverted_index(rows: DataFrame, lists: bool = True) -> DataFrame:
     return rows.distinct().groupBy("method", "value").agg(*wanted)
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        path = sc.getConf().get("spark.checkpoint.dir", None)
-        if not path and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
-            raise ValueError("spark.checkpoint.dir isn't set: a cluster needs a folder that the driver and all executors share")
-        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="toolgraph-"))
-    return df.checkpoint()
-
-
 def assign(left: DataFrame, right: DataFrame) -> DataFrame:
     """(f1, f2) one to one: each file of left (file, method, value), in order, takes the least file of right that shares a value with it and that none before it took.
 
-    Pairs are never spelt out. Rounds over the keys: a value whose files have no other value left is a group of its own, in which the n-th of the left takes the n-th of the right;
-    of the others, a pair in which both are the least that the other can have is final, since no file before can want it. The least file left always has such a pair, so
-    rounds end. A group's files are ranked by a sort that spills. Each round cuts its lineage with a reliable checkpoint.
+    Pairs are never spelt out. Rounds over the keys of both sides: a value whose files have no other value left is a group of its own, in which the n-th of the left takes the n-th of
+    the right; of the others, a pair in which both are the least that the other can have is final, since no file before can want it. The least file left always has such a pair, so
+    rounds end. A group's files are ranked by a sort that spills. What a round leaves is written, and read by the next; the folders of earlier rounds go.
     """
-    k = ["method", "value"]
-    side = lambda df, f: df.select(F.col("file").alias(f), *k).where("file is not null and value is not null").distinct()
-    a, b = side(left, "f1"), side(right, "f2")
-    done = None
+    spark, k = left.sparkSession, ["method", "value"]
+    folder = workspace(spark, "assign")
+    side = lambda df, f, other, t: df.select(F.col("file").alias(f), F.lit(None).cast(t).alias(other), *k).where(f"{f} is not null and value is not null")
+    types = left.schema["file"].dataType, right.schema["file"].dataType
+    state = side(left, "f1", "f2", types[1]).unionByName(side(right, "f2", "f1", types[0])).distinct()
+    done, turn = [], 0
     while True:
-        live = a.groupBy(*k).agg(F.min("f1").alias("least1")).join(b.groupBy(*k).agg(F.min("f2").alias("least2")), k)
-        a, b = _checkpointed(a.join(live, k)), _checkpointed(b.join(live, k))
-        if a.isEmpty():
-            return done if done is not None else a.join(b, k).select("f1", "f2")
-        most = lambda df, f: df.join(df.groupBy(f).agg(F.count("*").alias("held")), f).groupBy(*k).agg(F.max("held").alias("most"))
-        alone = most(a, "f1").unionAll(most(b, "f2")).groupBy(*k).agg(F.max("most").alias("most")).where("most = 1").select(*k)
-        ranked = lambda df, f: df.join(alone, k, "left_semi").withColumn("rank", F.row_number().over(Window.partitionBy(*k).orderBy(f)))
-        groups = ranked(a, "f1").join(ranked(b, "f2"), [*k, "rank"]).select("f1", "f2")
-        best1 = a.join(alone, k, "left_anti").groupBy("f1").agg(F.min("least2").alias("f2"))
-        best2 = b.join(alone, k, "left_anti").groupBy("f2").agg(F.min("least1").alias("f1"))
-        fixed = _checkpointed(groups.unionByName(best1.join(best2, ["f1", "f2"])))
-        done = fixed if done is None else done.unionByName(fixed)
+        turn += 1
+        live = state.groupBy(*k).agg(F.min("f1").alias("least1"), F.min("f2").alias("least2")).where("least1 is not null and least2 is not null")
+        held = F.count("*").over(Window.partitionBy("f1", "f2"))
+        state = stored(state.join(live, k).withColumn("held", held), f"{folder}/state-{turn}")
+        if turn > 1:
+            remove(spark, f"{folder}/state-{turn - 1}")
+        if state.isEmpty():
+            break
+        # every row of such a value is its file's only one
+        alone = state.groupBy(*k).agg(F.max("held").alias("most")).where("most = 1").select(*k)
+        ranked = state.join(alone, k, "left_semi").withColumn("rank", F.row_number().over(Window.partitionBy(*k, F.col("f1").isNull()).orderBy("f1", "f2")))
+        groups = ranked.where("f1 is not null").select(*k, "rank", "f1").join(ranked.where("f2 is not null").select(*k, "rank", "f2"), [*k, "rank"]).select("f1", "f2")
+        others = state.join(alone, k, "left_anti")
+        best1 = others.where("f1 is not null").groupBy("f1").agg(F.min("least2").alias("f2"))
+        best2 = others.where("f2 is not null").groupBy("f2").agg(F.min("least1").alias("f1"))
+        fixed = stored(groups.unionByName(best1.join(best2, ["f1", "f2"])), f"{folder}/fixed-{turn}")
+        done.append(fixed)
         # a group's files that are left over have no one to take
-        a = a.join(alone, k, "left_anti").join(fixed.select("f1"), "f1", "left_anti").select("f1", *k)
-        b = b.join(alone, k, "left_anti").join(fixed.select("f2"), "f2", "left_anti").select("f2", *k)
+        state = others.join(fixed.select("f1"), "f1", "left_anti").join(fixed.select("f2"), "f2", "left_anti").select("f1", "f2", *k)
+    return reduce(DataFrame.unionByName, done) if done else state.select("f1", "f2")
 
 
 def matched(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -3,27 +3,19 @@
 from __future__ import annotations
 
 import json
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import packages, quality, triples
+from ..operators import packages, quality, storage, triples
 from ..sources import readers, sinks
 from .catalog import Tables, query
 
 
 def workspace(spark: SparkSession) -> str:
-    """A new folder that the driver and all executors reach: below spark.checkpoint.dir, or on one machine a temporary one."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir isn't set: a cluster needs a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="toolgraph-")
-    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
+    return storage.workspace(spark, "files")
 
 
 def written(t: Tables, df: DataFrame, path, document, form: str = "json") -> str:
