@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,16 +31,21 @@ class Rule:
     many: bool = False
 
 
-def triples(docs: DataFrame, subject: Column, rules: list[Rule]) -> DataFrame:
-    """Distinct (s, p, o, o_kind) of all rules: one explode over one array, nulls left out."""
+def facts(docs: DataFrame, subject: Column, rules: list[Rule]) -> DataFrame:
+    """(s, p, o, o_kind) of all rules, with repeats: one explode over one array, nulls left out, no shuffle. For union_graph, which drops repeats once."""
 
-    def facts(r: Rule) -> Column:
+    def of(r: Rule) -> Column:
         kind = F.lit("iri" if r.iri else "literal")
         fact = lambda v: F.struct(F.lit(r.predicate).alias("p"), v.cast("string").alias("o"), kind.alias("o_kind"))
         return F.transform(F.coalesce(r.value, F.array().cast("array<string>")), fact) if r.many else F.array(fact(r.value))
 
-    every = F.filter(F.flatten(F.array(*map(facts, rules))), lambda t: t["o"].isNotNull() & (t["o"] != ""))
-    return docs.select(subject.alias("s"), F.explode(every).alias("t")).select("s", "t.p", "t.o", "t.o_kind").distinct()
+    every = F.filter(F.flatten(F.array(*map(of, rules))), lambda t: t["o"].isNotNull() & (t["o"] != ""))
+    return docs.select(subject.alias("s"), F.explode(every).alias("t")).select("s", "t.p", "t.o", "t.o_kind")
+
+
+def triples(docs: DataFrame, subject: Column, rules: list[Rule]) -> DataFrame:
+    """Distinct facts."""
+    return facts(docs, subject, rules).distinct()
 
 
 def col(name: str) -> Column:
@@ -84,9 +90,9 @@ def tool_rules() -> dict[str, Rule]:
 
 
 def tool_node_triples(docs: DataFrame) -> DataFrame:
-    """(s, p, o, o_kind) of the nodes that tool documents point to: people and organisations by ORCID, publications by DOI, and the parameters of their functions."""
-    def rows(found: Column, subject, facts) -> DataFrame:
-        return triples(docs.select(F.explode(found).alias("x")).distinct(), subject(F.col("x")), facts(F.col("x")))
+    """Facts of the nodes that tool documents point to: people and organisations by ORCID, publications by DOI, and the parameters of their functions."""
+    def rows(found: Column, subject, rules) -> DataFrame:
+        return facts(docs.select(F.explode(found).alias("x")), subject(F.col("x")), rules(F.col("x")))
 
     out = []
     if "credit" in docs.columns:
@@ -98,9 +104,9 @@ def tool_node_triples(docs: DataFrame) -> DataFrame:
         out.append(rows(F.transform(safe, lambda p: percent_escape_doi(p["doi"])), lambda x: F.concat(F.lit("https://doi.org/"), x), lambda x: [Rule(TYPE, F.lit(SC + "CreativeWork"), True)]))
     if "function" in docs.columns:
         both = F.flatten(F.transform("function", lambda f: F.flatten(F.array_compact(F.array(f["input"], f["output"])))))
-        facts = lambda x: [Rule(TYPE, F.lit(BSC + "FormalParameter"), True), Rule(SC + "name", x["data"]["term"]), Rule(SC + "additionalType", x["data"]["uri"], True), Rule(SC + "encodingFormat", F.transform(x["format"], lambda f: f["uri"]), True, True)]
-        out.append(rows(both, parameter_iri, facts))
-    return union_graph(*out)
+        described = lambda x: [Rule(TYPE, F.lit(BSC + "FormalParameter"), True), Rule(SC + "name", x["data"]["term"]), Rule(SC + "additionalType", x["data"]["uri"], True), Rule(SC + "encodingFormat", F.transform(x["format"], lambda f: f["uri"]), True, True)]
+        out.append(rows(both, parameter_iri, described))
+    return reduce(DataFrame.unionByName, out)
 
 
 def parameter_iri(x: Column) -> Column:
@@ -244,6 +250,7 @@ def labels_to_terms(docs: DataFrame, key: str, labels: str, terms: DataFrame) ->
 
 
 def union_graph(*parts: DataFrame) -> DataFrame:
+    """The distinct triples of all parts, which may have repeats of their own."""
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -39,21 +39,21 @@ SUPPLIER = "urn:supplier:"
 def supplier_graph(t: Tables) -> DataFrame:
     # nation has 25 rows: Spark broadcasts it by its own size check
     s = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-    return triples.triples(s, F.concat(F.lit(SUPPLIER), "s_suppkey"), [
+    return triples.facts(s, F.concat(F.lit(SUPPLIER), "s_suppkey"), [
         triples.Rule(triples.TYPE, F.lit(triples.SC + "Organization"), True), triples.Rule(triples.SC + "name", F.col("s_name")),
         triples.Rule(triples.SC + "location", F.concat(F.lit("urn:nation:"), "n_name"), True),
     ])
 
 
 def customer_graph(t: Tables) -> DataFrame:
-    return triples.triples(t.customer, F.concat(F.lit("urn:customer:"), "c_custkey"), [
+    return triples.facts(t.customer, F.concat(F.lit("urn:customer:"), "c_custkey"), [
         triples.Rule(triples.TYPE, F.lit(triples.SC + "Person"), True), triples.Rule(triples.SC + "name", F.col("c_name")), triples.Rule(triples.SC + "category", F.col("c_mktsegment")),
     ])
 
 
 def place_graph(t: Tables) -> DataFrame:
     n = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return triples.triples(n, F.concat(F.lit("urn:nation:"), "n_name"), [triples.Rule(triples.TYPE, F.lit(triples.SC + "Country"), True), triples.Rule(triples.SC + "containedInPlace", F.concat(F.lit("urn:region:"), "r_name"), True)])
+    return triples.facts(n, F.concat(F.lit("urn:nation:"), "n_name"), [triples.Rule(triples.TYPE, F.lit(triples.SC + "Country"), True), triples.Rule(triples.SC + "containedInPlace", F.concat(F.lit("urn:region:"), "r_name"), True)])
 
 
 _RDF, _SC = triples.TYPE, triples.SC
@@ -75,7 +75,7 @@ def whole_graph(t: Tables) -> DataFrame:
 
 @query(_GRAPH)
 def triples_supplier(t):
-    return supplier_graph(t)
+    return triples.union_graph(supplier_graph(t))
 
 
 @query(f"SELECT o AS class, count(*) AS n FROM ({_ALL}) WHERE p = '{_RDF}' GROUP BY o")
@@ -101,7 +101,7 @@ def ntriples_lines(t):
 @query(f"""WITH g AS ({_GRAPH}) SELECT s, count(*) AS n_facts, sum(length(o))::BIGINT AS n_chars FROM g GROUP BY s""")
 def jsonld_documents(t):
     # the documents are read again, so that what is compared went through the JSON text
-    g = triples.jsonld(supplier_graph(t)).select("s", F.try_parse_json("value").alias("d"))
+    g = triples.jsonld(triples.union_graph(supplier_graph(t))).select("s", F.try_parse_json("value").alias("d"))
     names = [triples.TYPE, triples.SC + "name", triples.SC + "location"]
     objects = F.filter(F.flatten(F.array(*(F.coalesce(F.try_variant_get("d", f"$['{n}']", "array<map<string,string>>"), F.array().cast("array<map<string,string>>")) for n in names))), lambda x: x.isNotNull())
     size = F.aggregate(objects, F.lit(0).cast("bigint"), lambda a, x: a + F.length(F.coalesce(F.element_at(x, "@id"), F.element_at(x, "@value"))))

@@ -34,7 +34,7 @@ def terms(t: Tables) -> DataFrame:
 
 
 def mapped(flat: DataFrame, prefix: str, key: str, table: dict, type_: str = "SoftwareApplication") -> DataFrame:
-    return triples.triples(flat, F.concat(F.lit(prefix), key), list(triples.mapper(table, type_).values()))
+    return triples.facts(flat, F.concat(F.lit(prefix), key), list(triples.mapper(table, type_).values()))
 
 
 def cat(*parts) -> Column:
@@ -92,7 +92,7 @@ def debian_triples(t):
         registries=F.array(registry("bio.tools", cat("Tool", k)), registry("conda:bioconda", F.when(k % 4 == 0, "atac, meryl").otherwise(cat("pkg", k))), registry("SciCrunch", cat("SCR_", k)), registry("OMICtools", cat("OMICS_", k)), registry("guix", cat("g", k))),
         edam_scopes=F.array(scope), tags=F.array(F.struct(cat("field::", n).alias("tag"))),
     )
-    return mapped(mappers.flatten_debian(raw, terms(t)), _DEBIAN, "package", triples.DEBIAN)
+    return triples.union_graph(mapped(mappers.flatten_debian(raw, terms(t)), _DEBIAN, "package", triples.DEBIAN))
 
 
 @query(fact_sql("customer", f"'{_P['bioconductor']}' || c_name", [
@@ -108,7 +108,7 @@ def bioconductor_triples(t):
         Maintainer=F.col("c_mktsegment"), Title=F.lower("c_name"), git_url=cat("https://git.example/", k), Author=cat(F.col("c_name"), " [aut]"), Depends=F.array(F.lit("R"), cat("pkg", F.col("c_nationkey"))),
         biocViews=F.array(F.lit("Software"), F.col("c_mktsegment")), **{"Date/Publication": F.lit("2024-01-02")},
     )
-    return mapped(mappers.flatten_bioconductor(raw), _P["bioconductor"], "Package", triples.BIOCONDUCTOR)
+    return triples.union_graph(mapped(mappers.flatten_bioconductor(raw), _P["bioconductor"], "Package", triples.BIOCONDUCTOR))
 
 
 @query(fact_sql("part", f"'{_P['biocontainers']}box' || p_partkey", [
@@ -123,7 +123,7 @@ def container_triples(t):
     fields = F.to_json(F.struct(cat("box", k).alias("name"), cat("a \n", F.col("p_name")).alias("description"), F.col("p_type").alias("license"), cat("https://h.example/", k).alias("home_url"), F.split("p_name", " ").alias("keywords")))
     raw = t.part.select(F.parse_json(F.concat(F.substring(fields, F.lit(1), F.length(fields) - 1), F.lit(', "identifiers": '), F.when(k % 2 == 0, even).otherwise(odd), F.lit("}"))).alias("doc"))
     answers = t.part.select(cat(_P["biotools"], "tool", k).alias("url"), (k % 3 == 0).alias("ok")).unionAll(t.part.select(cat("https://h.example/", k), k % 2 == 0))
-    return mapped(mappers.flatten_containers(raw, answers), _P["biocontainers"], "name", triples.CONTAINER)
+    return triples.union_graph(mapped(mappers.flatten_containers(raw, answers), _P["biocontainers"], "name", triples.CONTAINER))
 
 
 @query(fact_sql("orders", "'https://wf.example/' || o_orderkey", [
@@ -174,7 +174,7 @@ def tool_triples(t):
         F.array(F.struct(cat("http://edamontology.org/topic_", n).alias("uri"))).alias("topic"), F.when(k % 2 == 0, "Free of charge").otherwise("Commercial").alias("cost"),
         F.array(page("General", cat("https://help.example/a|", k)), page("Terms of use", F.lit("https://terms.example")), page("General", F.lit("https://app.gitter.im/x"))).alias("documentation"),
     )
-    return triples.union_graph(triples.triples(docs, cat("https://bio.tools/", F.col("biotoolsID")), list(triples.tool_rules().values())), triples.tool_node_triples(docs))
+    return triples.union_graph(triples.facts(docs, cat("https://bio.tools/", F.col("biotoolsID")), list(triples.tool_rules().values())), triples.tool_node_triples(docs))
 
 
 @query(fact_sql("part", f"'{_P['bioconda']}rec' || p_partkey", [
@@ -189,7 +189,7 @@ def recipe_triples(t):
         source=F.struct(name(F.array(F.lit("https://a.example"), cat("https://b.example/", k)), "url")),
         extra=F.struct(name(F.array(cat("biotools:Tool", k), cat("doi:10.1/", k), F.lit("usegalaxy-eu:x")), "identifiers"), name(F.array("p_brand"), "recipe-maintainers")),
     )
-    return mapped(triples.flatten_recipes(raw), _P["bioconda"], "name", triples.RECIPE)
+    return triples.union_graph(mapped(triples.flatten_recipes(raw), _P["bioconda"], "name", triples.RECIPE))
 
 
 def nodes(t: Tables) -> DataFrame:
