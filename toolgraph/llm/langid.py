@@ -72,7 +72,7 @@ def fit(p: np.ndarray, n: np.ndarray, first: np.ndarray, mask: np.ndarray, round
     pi = mask / mask.sum(axis=1, keepdims=True)
     for _ in range(rounds):
         w = p * np.repeat(pi, sizes, axis=0).astype(np.float32)
-        w *= (n / w.sum(axis=1))[:, None]
+        w *= (n / np.einsum("ij->i", w))[:, None]
         pi = np.add.reduceat(w, first, axis=0).astype(np.float64) / total[:, None]
     s = np.einsum("ij,ij->i", p, np.repeat(pi, sizes, axis=0).astype(np.float32))
     return pi, np.add.reduceat(n * np.log(s).astype(np.float64), first)
