@@ -15,6 +15,7 @@ Edge cases: null texts are empty; repeated rows and equal ids are kept as rows;
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from hashlib import blake2b
 
 import numpy as np
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_chunks, materialise, mix64, word_hashes
+from .common import byte_chunks, free, lean, materialise, mix64, word_hashes
 from .components import components, merged
 
 SHINGLE, SAMPLES, BANDS, ROWS, SKETCH_BITS = 5, 128, 28, 3, 1024
@@ -31,6 +32,8 @@ XOR_LIMIT = 132
 SMALL, LEADERS = 32, 256
 #: Up to so many pairs, they are broadcast to the sets instead of shuffling all sets.
 FEW_PAIRS = 200_000
+#: A rare shingle's members are dealt to tasks in parts of about so many, each with a copy of its leaders.
+PART = 256
 
 _rng = np.random.default_rng(5)
 _ODD = (_rng.integers(0, 2**31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -74,6 +77,7 @@ def sketch_set(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bands.view(np.int64), np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+@lean
 def feature_rows(batches):
     for batch in batches:
         for i, j, data, offsets in byte_chunks(batch.column("text")):
@@ -98,6 +102,7 @@ def set_rows(batches):
             yield pa.RecordBatch.from_arrays([batch.column("node").slice(i, j - i), pa.array([s.tobytes() for s in shingle_sets(data, offsets)], pa.binary())], ["node", "items"])
 
 
+@lean
 def verify_rows(batches):
     """The pairs whose sets have 100 * intersection >= 75 * union."""
     for batch in batches:
@@ -130,14 +135,14 @@ def may_link(n_a: str, n_b: str, s_a: str, s_b: str) -> Column:
 def _near(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(features with their node, (node, component) of linked classes)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    features = materialise(docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(feature_rows, FEATURES).withColumn("node", F.xxhash64("sig")), "minhash")
-    some = features.where("n_shingles > 0")
-    classes = materialise(some.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc_id")), "classes")
+    features = materialise(docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(feature_rows, FEATURES), "minhash")
+    features, classes, id_of = _classes(features)
     slots = classes.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
-    sizes = slots.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1")
+    # sums by bucket are written before they are joined back: Spark splits a hot bucket in a join of two shuffles, not in one that also sums
+    sizes = materialise(slots.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1"), "sizes")
     members = materialise(slots.join(sizes, "bucket"), "buckets")
     light = classes.select("node", "n", "sketch")
-    sets = _sets(docs, classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id"))
+    sets = _sets(docs, classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id"), id_of)
     stars = members.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v"))
     groups = components(_verified(_likely(stars.distinct(), light), sets))
     # within a small bucket: each member but the leader with those after it that are of other components
@@ -148,26 +153,28 @@ def _near(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = _verified(_likely(small.distinct(), light), sets)
     if not found.isEmpty():
         groups = merged(groups, found)
-    crowded = materialise(_rare(members.where(f"size > {SMALL}").select("bucket", "node"), groups, sets).join(light, "node"), "crowded")
+    every_part = F.sequence(F.lit(0), F.col("parts") - 1)
+    rare = _parted(_rare(members.where(f"size > {SMALL}").select("bucket", "node", "size"), groups, sets))
+    crowded = materialise(rare.drop("size").join(light, "node"), "crowded")
     done = crowded.select("bucket", "node").limit(0)
     turn = 0
     while True:
         turn += 1
-        placed = crowded.join(groups, "node", "left").select("bucket", "node", "n", "pos", "prev", "sketch", F.coalesce("component", "node").alias("component"))
+        placed = crowded.join(groups, "node", "left").select("bucket", "part", "node", "n", "pos", "prev", "sketch", F.coalesce("component", "node").alias("component"))
         held = placed.groupBy("bucket", "component").agg(F.count("*").alias("held"))
-        most = held.groupBy("bucket").agg(F.max_by("component", F.struct("held", "component")).alias("largest"), (F.sum("held") - F.max("held")).alias("others")).where("others > 0")
-        outside = placed.join(most, "bucket").where("component <> largest").join(done, ["bucket", "node"], "left_anti")
+        most = held.groupBy("bucket").agg(F.max_by("component", F.struct("held", "component")).alias("largest"), (F.sum("held") - F.max("held")).alias("others"), _parts(F.sum("held")).alias("parts")).where("others > 0")
+        outside = placed.join(most.withColumn("part", F.explode(every_part)), ["bucket", "part"]).where("component <> largest").join(done, ["bucket", "node"], "left_anti")
         # all of a few, else one of each hash slot: a bounded number of leaders for a bucket of any size
         limit = LEADERS << min(turn - 1, 4)
         slot = F.when(F.col("others") <= limit, F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(limit)))
-        chosen = outside.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "n", "pos", "prev", "sketch", "component")).alias("x"))
+        chosen = outside.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "n", "pos", "prev", "sketch", "component", "parts")).alias("x"))
         chosen = materialise(chosen.select("bucket", "x.*"), "leaders")
         if chosen.isEmpty():
             break
         done = done.unionAll(chosen.select("bucket", "node"))
-        theirs = chosen.select("bucket", F.col("node").alias("leader"), F.col("n").alias("n_l"), F.col("pos").alias("pos_l"), F.col("prev").alias("prev_l"), F.col("sketch").alias("s_l"), F.col("component").alias("c_l"))
+        theirs = chosen.select("bucket", F.explode(every_part).alias("part"), F.col("node").alias("leader"), F.col("n").alias("n_l"), F.col("pos").alias("pos_l"), F.col("prev").alias("prev_l"), F.col("sketch").alias("s_l"), F.col("component").alias("c_l"))
         # with the same shingle before this one, both meet there
-        pairs = placed.join(theirs, "bucket").where((F.col("component") != F.col("c_l")) & F.coalesce(F.col("prev") != F.col("prev_l"), F.lit(True)))
+        pairs = placed.join(theirs, ["bucket", "part"]).where((F.col("component") != F.col("c_l")) & F.coalesce(F.col("prev") != F.col("prev_l"), F.lit(True)))
         # what both may share lies at or after this shingle
         pairs = pairs.where((F.least(F.col("n") - F.col("pos"), F.col("n_l") - F.col("pos_l")) * 175 >= (F.col("n") + F.col("n_l")) * 75) & may_link("n", "n_l", "sketch", "s_l"))
         of = [F.least("component", "c_l").alias("a"), F.greatest("component", "c_l").alias("b"), xor_count("sketch", "s_l").alias("x")]
@@ -185,15 +192,54 @@ def _near(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return features, groups
 
 
+def _id(sig: Column, turn: int) -> Column:
+    return F.xxhash64(sig, F.lit(turn))
+
+
+def _classes(features: DataFrame) -> tuple[DataFrame, DataFrame, Callable[[Column], Column]]:
+    """(features with their node, a row for each class, digest -> node). A node is 64 bits of the set's 128-bit digest; digests that share one with a lesser digest get another.
+
+    Those come to the driver: with N classes about N * N / 2**65, so three of ten thousand million.
+    """
+    moved: dict[bytes, int] = {}
+
+    def id_of(sig: Column) -> Column:
+        out = F.when(F.lit(False), F.lit(0).cast("long"))
+        for turn in sorted(set(moved.values())):
+            out = out.when(sig.isin([F.lit(bytearray(x)) for x, t in moved.items() if t == turn]), _id(sig, turn))
+        return out.otherwise(_id(sig, 0))
+
+    while True:
+        named = features.withColumn("node", id_of(F.col("sig")))
+        wanted = (F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc_id"), F.min("sig").alias("sig"), F.max("sig").alias("last"))
+        classes = materialise(named.where("n_shingles > 0").groupBy("node").agg(*wanted), "classes")
+        mixed = classes.where("sig <> last").select("node", F.col("sig").alias("least"))
+        again = [bytes(r["sig"]) for r in named.where("n_shingles > 0").join(mixed, "node").where("sig <> least").select("sig").distinct().collect()] if not mixed.isEmpty() else []
+        if not again:
+            return named, classes.drop("sig", "last"), id_of
+        for sig in again:
+            moved[sig] = moved.get(sig, 0) + 1
+
+
 def _several(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows (bucket, node, ...) of buckets whose members are of several components."""
+    """The rows (bucket, node, size) of buckets whose members are of several components, large buckets dealt in parts."""
     placed = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("bucket")
-    return placed.join(mixed, "bucket", "left_semi").drop("component")
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.max("size").alias("size")).where("a <> b")
+    mixed = mixed.select("bucket", F.explode(F.sequence(F.lit(0), _parts(F.col("size")) - 1)).alias("part"))
+    return _parted(placed).join(mixed, ["bucket", "part"], "left_semi").drop("component", "part")
+
+
+def _parts(size: Column) -> Column:
+    return (size / PART).cast("int") + 1
+
+
+def _parted(rows: DataFrame) -> DataFrame:
+    """Rows (node, size, ...) with the part of their bucket that they are dealt to."""
+    return rows.withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), _parts(F.col("size"))).cast("int"))
 
 
 def _rare(crowds: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """(bucket, node, pos, prev): the shingles, as buckets, at which members of crowds (bucket, node) can link others, their place in the node's set, rarest first, and the shared one before.
+    """(bucket, node, pos, prev, size): the shingles, as buckets of some size, at which members of crowds (bucket, node) can link others, their place in the node's set, rarest first, and the shared one before.
 
     Equally rare shingles of the same sets stand together, so pairs that share a run of them meet once; a bucket whose members all have one shingle before it is left out, as they meet there.
     """
@@ -208,10 +254,13 @@ def _rare(crowds: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
     both = F.transform("first", lambda x, i: F.struct(x["token"].alias("bucket"), F.get("first", i - 1)["token"].alias("prev")))
     places = first.select("node", "alone", F.posexplode(both).alias("i", "x")).select("x.bucket", "node", (F.col("alone") + F.col("i")).alias("pos"), "x.prev")
     rare = materialise(places, "rare")
-    before = rare.groupBy("bucket").agg((F.count("*") - F.count("prev")).alias("firsts"), F.min("prev").alias("a"), F.max("prev").alias("b"))
-    return _several(rare.join(before.where("firsts > 0 or a <> b").select("bucket"), "bucket", "left_semi"), groups)
+    placed = rare.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    counts = (F.count("*") - F.count("prev")).alias("firsts"), F.min("prev").alias("a"), F.max("prev").alias("b"), F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("size")
+    wanted = materialise(placed.groupBy("bucket").agg(*counts).where("(firsts > 0 or a <> b) and c <> d").select("bucket", "size"), "wanted")
+    return rare.join(wanted, "bucket")
 
 
+@lean
 def token_rows(batches):
     for batch in batches:
         for i in range(len(batch)):
@@ -220,14 +269,15 @@ def token_rows(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.full(size, node)), pa.array(np.full(size, size)), pa.array(token)], ["node", "size", "token"])
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, id_of: Callable[[Column], Column]) -> DataFrame:
     """(node, items): the sets of the wanted classes (node, doc_id), computed again from one text of each."""
     found = docs.where("text is not null").join(wanted.withColumnRenamed("doc_id", "d"), F.col("doc_id").eqNullSafe(F.col("d"))).select("node", "text")
     made = found.mapInArrow(_checked_sets, "node long, items binary, sig binary")
     # ids may repeat with other texts: those have other sets
-    return materialise(made.where(F.col("node") == F.xxhash64("sig")).select("node", "items").dropDuplicates(["node"]), "sets")
+    return materialise(made.where(F.col("node") == id_of(F.col("sig"))).select("node", "items").dropDuplicates(["node"]), "sets")
 
 
+@lean
 def _checked_sets(batches):
     for batch in batches:
         for out in set_rows([batch]):
@@ -259,7 +309,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     features, groups = _near(docs)
     rows = features.select("doc_id", "n_shingles", "node")
     placed = rows.where("n_shingles > 0").join(groups, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component"))
-    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    least = materialise(placed.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
     named = placed.join(least, "component").select("doc_id", "n_shingles", "component_id")
     empty = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return named.unionAll(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -270,9 +320,11 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     features, groups = _near(docs)
     placed = features.where("n_shingles > 0").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     first = placed.groupBy("component").agg(F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "text_key")).alias("first"))
-    keep = first.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.text_key").alias("_kept_key"))
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
+    # the names must differ from every column of docs
+    kept_id, kept_key, key = free(docs, "kept_id", "kept_key", "key")
+    keep = first.select(F.col("first.doc_id").alias(kept_id), F.col("first.text_key").alias(kept_key))
+    keyed = docs.withColumn(key, F.xxhash64("text"))
     worded = F.coalesce(F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
     # rows that repeat both id and text are of one component
-    chosen = keyed.where(worded).join(keep, F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_key") == F.col("_kept_key")), "left_semi").dropDuplicates(["doc_id", "_key"])
-    return chosen.unionByName(keyed.where(~worded)).drop("_key")
+    chosen = keyed.where(worded).join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)) & (F.col(key) == F.col(kept_key)), "left_semi").dropDuplicates(["doc_id", key])
+    return chosen.unionByName(keyed.where(~worded)).drop(key)
