@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,6 +94,11 @@ def smoke(statuses: DataFrame) -> DataFrame:
     return statuses.where(F.coalesce(F.col("status"), F.lit(0)) != 200).select("url", F.lit(False).alias("ok"))
 
 
+def resumed(work: DataFrame, prior: DataFrame, key: str, evaluate: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The prior results of what is still wanted, and the results of what has none: an evaluation that goes on where it stopped."""
+    return linked(prior, work, key).unionByName(evaluate(pending(work, prior, key)))
+
+
 def stale(existing: DataFrame, valid: DataFrame, key: str) -> DataFrame:
     return existing.join(valid.select(key), key, "left_anti")
 

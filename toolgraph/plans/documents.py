@@ -493,6 +493,16 @@ def preserved_fields(t):
     return upsert.preserve(new, old, "c_custkey", ["b"])
 
 
+@query("""WITH r AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 2 ELSE length(url) % 3 END AS f1, CASE WHEN page_id % 3 = 0 THEN 0 ELSE page_id % 2 END AS r1 FROM pages WHERE page_id % 7 <> 0)
+SELECT f1 > 0 AS "F1", r1 > 0 AS "R1", count(*) AS n, round(count(*) / (SELECT count(*) FROM r), 6) AS share FROM r GROUP BY 1, 2""")
+def fair_resumed(t):
+    """Scores of the addresses: a third is known from before, the rest is evaluated; then how many have which metrics."""
+    prior = t.pages.where("page_id % 3 = 0").select("page_id", F.lit(2).cast("long").alias("f1"), F.lit(0).cast("long").alias("r1"))
+    score = lambda work: work.select("page_id", (F.length("url") % 3).cast("long").alias("f1"), (F.col("page_id") % 2).alias("r1"))
+    results = quality.resumed(t.pages.where("page_id % 7 <> 0").select("page_id", "url"), prior, "page_id", score)
+    return quality.intersections(results, {"F1": F.col("f1") > 0, "R1": F.col("r1") > 0})
+
+
 @query("SELECT url, false AS ok FROM pages WHERE page_id % 3 = 0")
 def smoke_failures(t):
     return quality.smoke(t.pages.select("url", F.when(F.col("page_id") % 3 != 0, 200).when(F.col("page_id") % 2 == 0, 404).alias("status")))
