@@ -129,7 +129,7 @@ def test_lm_base_scores_and_split(spark, docs, nothing):
     n, v = sum(c.values()), len(c)
     want = sorted((key(r[0]), h, len(t), sum(c[x] > 0 for x in t), n, round(sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in t), 6)) for r, t, h in zip(rows, tokens, held, strict=True))
     for limit in (10**6, 0):
-        got = ctw.lm_scores(docs, ctw.crc_mod(F.col("doc_id"), 10) == 0, vocab_limit=limit).collect()
+        got = ctw.lm_scores(docs, ctw.crc_mod(F.col("doc_id"), 10) == 0, limit=limit).collect()
         assert sorted((key(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
         assert all(r.score < 0 for r in got)
     assert ctw.documents_scored(nothing).count() == 0
@@ -223,7 +223,7 @@ def test_lm_scores_are_those_of_a_plain_context_tree(spark):
             assert math.isclose(got[i], want(low(t).encode()), rel_tol=1e-6), (depth, least, t)
 
 
-def test_lm_contexts_are_kept_by_their_own_count(spark, docs):
+def test_lm_contexts_are_kept_by_their_own_count(spark, docs, monkeypatch):
     rows = fixture_rows()
     held = [zlib.crc32(b"" if r[0] is None else str(r[0]).encode()) % 10 == 0 for r in rows]
     depth, bufs = ctw.DEPTH, [b"\0" * ctw.DEPTH + low(r[1]).encode() + b"\0" for r in rows]
@@ -234,8 +234,9 @@ def test_lm_contexts_are_kept_by_their_own_count(spark, docs):
                 tables[d].setdefault(int.from_bytes(buf[i - d : i], "big"), np.zeros(256, np.int64))[buf[i]] += 1
     model = ctw.Model([tables[0], *({c: t for c, t in x.items() if t.sum() >= 2} for x in tables[1:])], depth)
     want = sorted((key(r[0]), len(b), model.score(np.frombuffer(b, np.uint8), np.arange(depth, len(b))).sum()) for r, b in zip(rows, bufs, strict=True))
-    for grams, words in ((10**6, 10**6), (0, 10**6), (0, 0)):
-        got = sorted((key(r.doc_id), r.n_bytes + 1 + depth, r.score) for r in ctw.lm_scores(docs, ctw.crc_mod(F.col("doc_id"), 10) == 0, vocab_limit=words, gram_limit=grams).collect())
+    for limit, size in ((10**6, 0), (0, 1 << 12), (0, 1 << 30)):
+        monkeypatch.setattr(ctw, "GROUP_BYTES", size or ctw.GROUP_BYTES)
+        got = sorted((key(r.doc_id), r.n_bytes + 1 + depth, r.score) for r in ctw.lm_scores(docs, ctw.crc_mod(F.col("doc_id"), 10) == 0, limit=limit).collect())
         assert [g[:2] for g in got] == [w[:2] for w in want]
         assert np.allclose([g[2] for g in got], [w[2] for w in want], rtol=1e-3, atol=0.01)
 

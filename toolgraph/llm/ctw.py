@@ -8,8 +8,8 @@ partition all contexts and the mixture is a proper probability.
 A byte's probability depends only on the gram of the byte and its context, so the model is a table of the log probability of each gram that any text has. The tree is weighed in three
 steps. Grams are dealt by the four bytes before the last, and tasks weigh the subtrees below these; what they give for each context of four bytes is dealt by its last two bytes
 and weighed up to those; the driver weighs the contexts of up to two bytes. No part can outgrow its task, whatever the corpus: a context of four bytes has 65,536 below it, one of two bytes
-65,536 of four, and there are 65,793 of up to two (in text, a few thousand of each). On the way back each context of four bytes gets a pair (a, b) such that a + b * p is the whole mixture, p being that of its own subtree. Up to ``GRAM_LIMIT`` grams
-the table is broadcast; beyond it, texts are dealt in groups of ``GROUP_BYTES`` and each group is joined with the grams it has.
+65,536 of four, and there are 65,793 of up to two (in text, a few thousand of each). On the way back each context of four bytes gets a pair (a, b) such that a + b * p is the whole mixture, p being that of its own subtree. Up to ``TABLE_LIMIT``
+grams and tokens the tables are broadcast. Beyond it, texts are dealt in groups of about ``GROUP_BYTES``; a group asks the parts of the tables for the keys that it has, packed as arrays, and is scored with the answers.
 
 Gram and token counts come from all training texts: tasks fold their own and pack them as arrays for each part of the keys, and the parts are summed (``spark.sql.shuffle.partitions`` of them). Edge cases: a null text is empty;
 a null id counts as the empty text for the split; without training texts every decision has probability 1/2 and every token count is 0
@@ -29,14 +29,15 @@ from pyspark.sql import functions as F
 from .common import _R, LOWER_LUT, Counts, byte_chunks, crc_mod, fold_sorted, lean, materialise, mix64, padded, word_hashes
 
 DEPTH, LEAST, DEAL, BORDER = 6, 2, 4, 2
-#: Token table rows that are broadcast at most (16 bytes each); beyond it counts are joined in.
-VOCAB_LIMIT = 6_000_000
-#: Likewise for grams; the bytes of text in a group beyond it, and the grams that a task weighs.
-GRAM_LIMIT, GROUP_BYTES, TASK_GRAMS = 6_000_000, 32 << 20, 50_000
+#: Grams, and tokens, that are broadcast at most (16 bytes each); beyond it texts are dealt in groups of so many bytes. Grams that a task weighs.
+TABLE_LIMIT, GROUP_BYTES, TASK_GRAMS = 6_000_000, 40 << 20, 50_000
 GRAM_SCHEMA, CELL_SCHEMA = "key long, logp double", "key long, zeros double, ones double, log_w double"
 PACKED_SCHEMA, COUNT_SCHEMA = "part int, kind int, keys binary, n binary", "kind int, key long, n long"
+_WANTED, WANTED_SCHEMA = ["part", "kind", "keys", "n", "owner"], "part int, kind int, keys binary, n binary, owner long"
 OUT_SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
 
+_OUT = pa.schema([(c.split(" ")[0], {"long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}[c.split(" ")[1]]) for c in OUT_SCHEMA.split(", ")])
+
 
 def grams(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The padded buffer, the positions of every text byte and its end mark (byte 0), and each text's first such position's index (n + 1)."""
@@ -445,18 +446,56 @@ def table_of(rows: pa.Table) -> Table:
 
 
 @lean
-def distinct_rows(batches, depth: int):
-    """(part, key): the grams that a group's texts have, repeated at most once a chunk."""
+def wanted_rows(batches, depth: int, parts: int):
+    """(part, kind, keys, n, owner): for each group of texts (owner; rows come group by group) the distinct grams (kind 1) and word hashes (kind 0) that it has, packed as arrays for each part of the keys."""
+    words, found, owner = Counts(), Counts(), None
+
+    def out():
+        for kind, c in ((0, words), (1, found)):
+            for x in packed(kind, *c.drain(), parts):
+                yield pa.RecordBatch.from_arrays([*x.columns[:3], pa.array([None] * len(x), pa.binary()), pa.array([owner] * len(x), pa.int64())], _WANTED)
+
     for batch in batches:
-        part = batch.column("part").to_numpy()
-        for x in np.unique(part).tolist():
-            texts = batch.filter(pa.array(part == x)).column("text")
-            for _, _, data, offsets in byte_chunks(texts, 1 << 23):
+        owners = batch.column("owner").to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(owners)) + 1).tolist(), len(owners)]
+        for x, y in zip(edges, edges[1:], strict=False):
+            if y > x and owner != int(owners[x]):
+                yield from out()
+                owner = int(owners[x])
+            for _, _, data, offsets in byte_chunks(batch.column("text").slice(x, y - x)):
                 buf, where, _ = grams(data, offsets, depth)
-                keys = np.unique(gram_keys(buf, where, depth))
-                for i in range(0, len(keys), 100_000):
-                    k = keys[i : i + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), x)), pa.array(k.view(np.int64))], ["part", "key"])
+                found.add(gram_keys(buf, where, depth))
+                words.add(word_hashes(data, offsets)[0])
+    yield from out()
+
+
+@lean
+def table_rows(batches, kind: int, column: str, parts: int):
+    """The same for a table of (key, value): owner -1, and the values beside the keys."""
+    for batch in batches:
+        keys, values = batch.column("key").to_numpy().view(np.uint64), batch.column(column).to_numpy()
+        for x in packed(kind, keys, values.astype(float).view(np.int64), parts):
+            yield pa.RecordBatch.from_arrays([*x.columns, pa.array(np.full(len(x), -1))], _WANTED)
+
+
+@lean
+def answer_rows(batches):
+    """(owner, kind, keys, n): the keys that each group wants and that the tables have, with their values, of the parts that a task has."""
+    wanted: list[tuple] = []
+    own: dict[int, list] = {0: [], 1: []}
+    for batch in batches:
+        for r in batch.to_pylist():
+            keys = np.frombuffer(r["keys"], np.uint64)
+            if r["owner"] < 0:
+                own[r["kind"]].append((keys, np.frombuffer(r["n"], np.float64)))
+            else:
+                wanted.append((r["owner"], r["kind"], keys))
+    none = [(np.zeros(0, np.uint64), np.zeros(0))]
+    tables = {kind: Table(*map(np.concatenate, zip(*(x or none), strict=True))) for kind, x in own.items()}
+    for owner, kind, keys in wanted:
+        values = tables[kind].of(keys)
+        known = values != 0  # no log probability and no count is 0
+        yield pa.RecordBatch.from_arrays([pa.array([owner]), pa.array([kind], pa.int32()), pa.array([keys[known].tobytes()], pa.binary()), pa.array([values[known].astype(np.float32 if kind else np.int64).tobytes()], pa.binary())], ["owner", "kind", "keys", "n"])
 
 
 @lean
@@ -492,20 +531,7 @@ def score_rows(batches, model, vocab, totals, depth):
         )
 
 
-@lean
-def word_rows(batches):
-    """(doc_id, text_key, key, n): each text's distinct words, for the join of the counts."""
-    for batch in batches:
-        for i, j, data, offsets in byte_chunks(batch.column("text")):
-            h, first = word_hashes(data, offsets)
-            for r in range(j - i):
-                keys, n = np.unique(h[first[r] : first[r + 1]], return_counts=True)
-                if len(keys):
-                    same = [pa.array([batch.column(c)[i + r].as_py()] * len(keys), pa.int64()) for c in ("doc_id", "text_key")]
-                    yield pa.RecordBatch.from_arrays([*same, pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["doc_id", "text_key", "key", "n"])
-
-
-def lm_scores(docs: DataFrame, held_out, depth: int = DEPTH, least: int = LEAST, vocab_limit: int = VOCAB_LIMIT, gram_limit: int = GRAM_LIMIT) -> DataFrame:
+def lm_scores(docs: DataFrame, held_out, depth: int = DEPTH, least: int = LEAST, limit: int = TABLE_LIMIT) -> DataFrame:
     """Scores every text; ``held_out`` (a Column over docs) marks the rows that are not learnt from.
 
     Returns OUT_SCHEMA: the unigram baseline (base_score), the context-tree model's log10 probability of the text and its end (score),
@@ -521,54 +547,34 @@ def lm_scores(docs: DataFrame, held_out, depth: int = DEPTH, least: int = LEAST,
     counts = materialise(counted.repartitionById(parts, "part").mapInArrow(merged_rows, COUNT_SCHEMA), "ctw-counts")
     words = counts.where("kind = 0").select("key", "n")
     got = words.agg(F.count("*"), F.sum("n")).first()
-    n_all, distinct = (got[1] or 0) + n_train, got[0] + (n_train > 0)
+    totals = (got[1] or 0) + n_train, got[0] + (n_train > 0), n_train
     table, size = gram_table(counts, depth, least)
-    model = spark.sparkContext.broadcast(table_of(table.toArrow())) if size <= gram_limit else None
-    totals = n_all, distinct, n_train
-    if got[0] <= vocab_limit:
-        got = words.toArrow()
-        vocab = spark.sparkContext.broadcast(Table(got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy()))
-        if model:
-            return rows.mapInArrow(lambda it: score_rows(it, model, vocab, totals, depth), OUT_SCHEMA)
-        return _by_group(rows, table, lambda it, m: score_rows(it, m, vocab, totals, depth), OUT_SCHEMA, depth)
-    # counts joined by word: rows of the same id and text have the same sums
-    keyed = rows.withColumn("text_key", F.xxhash64("text"))
-    under = n_all + 0.1 * (distinct + 1)
-    sums = (
-        keyed.select("doc_id", "text_key", "text").dropDuplicates(["doc_id", "text_key"]).mapInArrow(word_rows, "doc_id long, text_key long, key long, n long")
-        .join(words.withColumnRenamed("n", "c"), "key", "left")
-        .groupBy("doc_id", "text_key")
-        .agg(F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.1) / under)).alias("words_score"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("words_known"))
-    )
-    schema = OUT_SCHEMA + ", text_key long"
-    if model:
-        keyed_scores = keyed.mapInArrow(lambda it: _with_key(it, model, totals, depth), schema)
-    else:
-        keyed_scores = _by_group(keyed, table, lambda it, m: _with_key(it, m, totals, depth), schema, depth)
-    a, b = keyed_scores.alias("a"), sums.alias("b")
-    return a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_key") == F.col("b.text_key")), "left").select(
-        "a.doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("words_known", F.lit(0))).alias("n_known"), "train_tokens",
-        (F.col("base_score") + F.coalesce("words_score", F.lit(0.0))).alias("base_score"), "score", "n_bytes", "bits_per_byte",
-    )
-
-
-def _by_group(rows: DataFrame, table: DataFrame, score, schema: str, depth: int) -> DataFrame:
-    """score(batches, model) of groups of texts, each with the grams that it has."""
-    parts = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // GROUP_BYTES + 1
-    dealt = materialise(rows.withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts))), "ctw-parts")
-    found = dealt.select("part", "text").mapInArrow(lambda it: distinct_rows(it, depth), "part long, key long").distinct().join(table, "key")
+    if max(size, got[0]) > limit:
+        return _by_group(rows, table, words, totals, depth, parts)
+    model = spark.sparkContext.broadcast(table_of(table.toArrow()))
+    known = words.toArrow()
+    vocab = spark.sparkContext.broadcast(Table(known.column("key").to_numpy().view(np.uint64), known.column("n").to_numpy()))
+    return rows.mapInArrow(lambda it: score_rows(it, model, vocab, totals, depth), OUT_SCHEMA)
+
+
+def _by_group(rows: DataFrame, table: DataFrame, words: DataFrame, totals: tuple, depth: int, parts: int) -> DataFrame:
+    """The same without broadcasts: texts are dealt in groups, each group asks the parts of the tables for the keys that it has, and is scored with the answers."""
+    groups = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // GROUP_BYTES + 1
+    # one shuffle of the texts, which both uses below read: they take the same columns, so that Spark makes it once
+    dealt = rows.withColumn("owner", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))).repartition(max(1, groups), "owner")
+    asked = dealt.sortWithinPartitions("owner").mapInArrow(lambda it: wanted_rows(it, depth, parts), WANTED_SCHEMA)
+    held = table.mapInArrow(lambda it: table_rows(it, 1, "logp", parts), WANTED_SCHEMA).unionAll(words.mapInArrow(lambda it: table_rows(it, 0, "n", parts), WANTED_SCHEMA))
+    answers = asked.unionAll(held).repartitionById(parts, "part").mapInArrow(answer_rows, "owner long, kind int, keys binary, n binary")
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
-        model = SimpleNamespace(value=table_of(right))
-        return pa.Table.from_batches(list(score(left.combine_chunks().to_batches(), model)))
-
-    return dealt.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(scored, schema)
-
-
-def _with_key(batches, model, totals, depth):
-    for batch in batches:
-        for out in score_rows([batch], model, None, totals, depth):
-            yield out.append_column("text_key", batch.column("text_key"))
+        own: dict[int, list] = {0: [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 1: [(np.zeros(0, np.uint64), np.zeros(0, np.float32))]}
+        for r in right.to_pylist():
+            own[r["kind"]].append((np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["n"], np.float32 if r["kind"] else np.int64)))
+        vocab, model = (SimpleNamespace(value=Table(*map(np.concatenate, zip(*own[kind], strict=True)))) for kind in (0, 1))
+        del own
+        return pa.Table.from_batches(list(score_rows(left.to_batches(), model, vocab, totals, depth)), _OUT)
+
+    return dealt.groupBy("owner").cogroup(answers.groupBy("owner")).applyInArrow(scored, OUT_SCHEMA)
 
 
 def documents_scored(docs: DataFrame) -> DataFrame:
