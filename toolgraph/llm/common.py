@@ -192,6 +192,14 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def span_hashes(buf: np.ndarray):
+    """A function that gives the 64-bit hashes of the stretches buf[begin:end]."""
+    powers, inverse = _powers(len(buf) + 1)
+    sums = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(_BYTE_HASH[buf] * powers[: len(buf)], out=sums[1:])
+    return lambda begin, end: mix64((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of each text, A-Z lowered: their 64-bit hashes, and where each text's words start (n + 1)."""
     buf, starts = padded(data, offsets, 1, 32)
@@ -199,10 +207,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     inside = ~SPACE[low]
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     begin, end = edge[0::2], edge[1::2]
-    powers, inverse = _powers(len(buf) + 1)
-    sums = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_BYTE_HASH[low] * powers[: len(buf)], out=sums[1:])
-    h = mix64((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
+    h = span_hashes(low)(begin, end)
     first = np.searchsorted(begin, np.append(starts, len(buf)))
     return h, first
 

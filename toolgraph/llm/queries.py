@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio, bloom_cascade, chat_template, compression_quality, ctw, decontaminate, langid, license_scan, minhash_dedup, mixing
+from . import audio, bloom_cascade, centroids, chat_template, compression_quality, ctw, decontaminate, langid, license_scan, minhash_dedup, mixing, outliers, whitening
 from .common import finished, read
 
 
@@ -57,7 +57,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finished(spark, "op10", lambda: judged().select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, "contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_chat_formatting, op3_lm_scoring, op4_language_id, op5_near_dedup, op6_license_scan, op7_source_mixing, op8_audio_features, op9_quality_classifier, op10_decontamination)}
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finished(spark, "op11", lambda: centroids.clustered(read(spark, sf_dir, "embeddings")))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return finished(spark, "op12", lambda: outliers.judged(read(spark, sf_dir, "documents")).select(*columns))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return finished(spark, "op13", lambda: whitening.whitened(read(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long")))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_chat_formatting, op3_lm_scoring, op4_language_id, op5_near_dedup, op6_license_scan, op7_source_mixing, op8_audio_features, op9_quality_classifier, op10_decontamination, op11_centroid_clustering, op12_quality_rules, op13_embedding_whitening)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -76,6 +89,16 @@ l{d} AS (SELECT c.*, greatest(u.share - coalesce(sum(capacity) OVER (PARTITION B
 s{d} AS (SELECT top, {cols}, CASE WHEN capacity <= level * weight THEN capacity ELSE max(CASE WHEN capacity > level * weight THEN level END) OVER (PARTITION BY {of}) * weight END AS share FROM l{d})"""
 
 
+def _round(r: int) -> str:
+    """Assigns all vectors to the centroids c{r} and moves these; distances of integers are exact in doubles."""
+    return f"""
+a{r} AS MATERIALIZED (SELECT v.r, min({{'d': v.qq - 2 * list_inner_product(v.q, c.q) + c.qq, 'k': c.k}}) AS best FROM v, c{r} c GROUP BY v.r),
+m{r} AS (SELECT k, list(x ORDER BY i) AS q FROM (SELECT best.k AS k, i, floor(sum(q[i]) / count(*)) AS x FROM a{r} JOIN v ON a{r}.r = v.r, range(1, {centroids.DIMS + 1}) t(i) GROUP BY 1, 2) GROUP BY k),
+c{r + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.q, c.q) AS q, list_inner_product(coalesce(m.q, c.q), coalesce(m.q, c.q)) AS qq FROM c{r} c LEFT JOIN m{r} m ON c.k = m.k),"""
+
+
+_LAST = centroids.ROUNDS
+
 ORACLE_SQL = {
     "op1_url_filter": f"""
 WITH cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -125,4 +148,13 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit > 0 AND 20 * n_hit >= len(ws), false) AS contaminated
 FROM d LEFT JOIN words ON d.doc_id = words.doc_id LEFT JOIN items ON d.doc_id = items.doc_id""",
+    "op11_centroid_clustering": f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, q, list_inner_product(q, q) AS qq FROM (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({centroids.UNIT} * x::DOUBLE)) AS q FROM embeddings
+  WHERE len(embedding) = {centroids.DIMS} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || coalesce(CAST(vec_id AS VARCHAR), '')), q) - 1 AS k, q, qq FROM v QUALIFY k < {centroids.K}),{"".join(map(_round, range(_LAST)))}
+a AS MATERIALIZED (SELECT v.r, v.vec_id, min({{'d': v.qq - 2 * list_inner_product(v.q, c.q) + c.qq, 'k': c.k}}) AS best FROM v, c{_LAST} c GROUP BY v.r, v.vec_id)
+SELECT vec_id, CAST(best.k AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance, CAST(sum(best.d) OVER (PARTITION BY best.k) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(c.q, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM a JOIN c{_LAST} c ON c.k = a.best.k""",
 }
