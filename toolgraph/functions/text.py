@@ -180,15 +180,28 @@ def partial_date(parts: Column) -> Column:
 
 
 def debian_sort_key(v: Column) -> Column:
-    """A text whose byte order is the order of package versions: epoch, then runs of non-digits (~ first, letters before marks) and numbers, those led by how many digits they have."""
-    number = lambda x: F.concat(F.lpad(F.length(F.regexp_replace(x, "^0+(?=.)", "")).cast("string"), 6, "0"), F.regexp_replace(x, "^0+(?=.)", ""))
+    """A text whose byte order is the order of package versions, equal for equal versions: epoch (0 if there is none), upstream version, and revision after the last hyphen (0 if there is none).
+
+    A part is pairs of a run of other characters, which may be empty, and a number (0 if there is none). Of characters ~ comes before the end of a run, the end before letters, letters before other marks;
+    a number is led by how many digits it has. The end of a part counts as the end of a run.
+    """
+
+    def number(x: Column) -> Column:
+        digits = F.regexp_replace(x, "^0+", "")
+        return F.concat(F.lpad(F.length(digits).cast("string"), 6, "0"), digits)
+
+    def part(x: Column) -> Column:
+        pairs = F.regexp_extract_all(x, F.lit("([^0-9]*[0-9]+|[^0-9]+)"), F.lit(1))
+        run = lambda p: F.regexp_replace(F.replace(F.regexp_replace(p, "[0-9]+$", ""), F.lit("~"), F.lit("\u0001")), r"([^A-Za-z\u0001])", "\u007f$1")
+        keyed = F.transform(F.when(F.size(pairs) > 0, pairs).otherwise(F.array(F.lit("0"))), lambda p: F.concat(run(p), F.lit("\u0002"), number(F.regexp_extract(p, "([0-9]*)$", 1))))
+        return F.concat(F.array_join(keyed, ""), F.lit("\u0002"))
+
     at = F.instr(v, ":")
-    epoch = number(F.when(at > 0, F.substring(v, F.lit(1), at - 1)).otherwise("0"))
     rest = F.when(at > 0, F.substring(v, at + 1, F.length(v))).otherwise(v)
-    runs = F.regexp_extract_all(rest, F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1))
-    marks = lambda x: F.concat(F.regexp_replace(F.replace(x, F.lit("~"), F.lit("\u0001")), r"([^A-Za-z\u0001])", "\u007f$1"), F.lit("\u0002"))
-    keyed = F.transform(runs, lambda x: F.when(F.rlike(x, F.lit("^[0-9]")), number(x)).otherwise(marks(x)))
-    return F.concat(epoch, F.lit("|"), F.array_join(keyed, ""), F.lit("\u0002"))
+    hyphen = F.instr(F.reverse(rest), "-")  # from the end
+    upstream = F.when(hyphen > 0, F.substring(rest, F.lit(1), F.length(rest) - hyphen)).otherwise(rest)
+    revision = F.when(hyphen > 0, F.substring(rest, F.length(rest) - hyphen + 2, hyphen)).otherwise("")
+    return F.concat(number(F.when(at > 0, F.substring(v, F.lit(1), at - 1)).otherwise("0")), F.lit("|"), part(upstream), part(revision))
 
 
 def iri_escape(iri: Column) -> Column:

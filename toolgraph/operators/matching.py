@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normalise_package_url, remove_protocol
+from .components import components
 from .storage import remove, stored, workspace
 
 #: name -> builder of an array of identity values from a record's columns (empty or null: the record has none).
@@ -55,46 +56,186 @@ def edges(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.select(F.col("file").alias("f1"), "method", "value").join(right.select(F.col("file").alias("f2"), "method", "value"), ["method", "value"]).select("f1", "f2", "method").distinct()
 
 
+def without_partner(mine: DataFrame, theirs: DataFrame, files: DataFrame) -> DataFrame:
+    """The files (file) none of whose keys (file, method, value) the other side has. Pairs aren't spelt out."""
+    shared = mine.join(theirs.select("method", "value").distinct(), ["method", "value"], "left_semi").select("file")
+    return files.join(shared, "file", "left_anti")
+
+
 def inverted_index(rows: DataFrame, lists: bool = True) -> DataFrame:
     """(method, value, n, files) of keys (file, method, value); without ``lists`` only the counts, for values that very many files share."""
     wanted = [F.count("*").alias("n"), *([F.sort_array(F.collect_list("file")).alias("files")] if lists else [])]
     return rows.distinct().groupBy("method", "value").agg(*wanted)
 
 
-def assign(left: DataFrame, right: DataFrame) -> DataFrame:
+#: Rows of keys that one task takes at once.
+BLOCK = 100_000
+
+
+def _ordered(f1: list, f2: list, value: list, cut: frozenset = frozenset()) -> tuple[list[tuple], object]:
+    """The ordered loop itself over rows of keys (one of f1 and f2 is None): the pairs, and the file at which it had to stop since a list of ``cut`` was used up (None: at the end)."""
+    wants: dict = {}
+    lists: dict = {}
+    for a, b, v in zip(f1, f2, value, strict=True):
+        if b is None:
+            wants.setdefault(a, []).append(v)
+        else:
+            lists.setdefault(v, []).append(b)
+    for files in lists.values():
+        files.sort(reverse=True)
+    taken, pairs = set(), []
+    for a in sorted(wants):
+        best = None
+        for v in wants[a]:
+            files = lists.get(v)
+            if files is None:
+                continue
+            while files and files[-1] in taken:
+                files.pop()
+            if files:
+                best = files[-1] if best is None or files[-1] < best else best
+            elif v in cut:
+                return pairs, a
+        if best is not None:
+            taken.add(best)
+            pairs.append((a, best))
+    return pairs, None
+
+
+def _solve_components(batches):
+    """Whole components, which come one after the other, in parts of as many as fit a block."""
+    import pyarrow as pa
+
+    def solved(rows):
+        cols = [rows.column(c).to_pylist() for c in ("f1", "f2", "method", "value")]
+        pairs, _ = _ordered(cols[0], cols[1], list(zip(cols[2], cols[3], strict=True)))
+        types = [rows.schema.field(c).type for c in ("f1", "f2")]
+        yield from pa.Table.from_arrays([pa.array([p[i] for p in pairs], types[i]) for i in (0, 1)], ["f1", "f2"]).to_batches()
+
+    kept = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        kept = table if kept is None else pa.concat_tables([kept, table])
+        if len(kept) < BLOCK // 4 or not len(table):
+            continue
+        ids = kept.column("component").to_numpy()
+        whole = len(ids) - int((ids[::-1] != ids[-1]).argmax()) if ids[0] != ids[-1] else 0  # the last one may go on in the next batch
+        if whole:
+            yield from solved(kept.slice(0, whole))
+            kept = kept.slice(whole).combine_chunks()
+    if kept is not None and len(kept):
+        yield from solved(kept)
+
+
+def _peel(state: DataFrame, folder: str, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs that are final whatever the order of the rest: groups of files that have one value only, the n-th taking the n-th, and pairs in which both are the least that the other can have. And the rows left."""
+    k = ["method", "value"]
+    live = state.groupBy(*k).agg(F.min("f1").alias("least1"), F.min("f2").alias("least2")).where("least1 is not null and least2 is not null")
+    held = F.count("*").over(Window.partitionBy("f1", "f2"))
+    state = stored(state.join(live, k).withColumn("held", held), f"{folder}/live-{turn}")
+    # every row of such a value is its file's only one
+    alone = state.groupBy(*k).agg(F.max("held").alias("most")).where("most = 1").select(*k)
+    ranked = state.join(alone, k, "left_semi").withColumn("rank", F.row_number().over(Window.partitionBy(*k, F.col("f1").isNull()).orderBy("f1", "f2")))
+    groups = ranked.where("f1 is not null").select(*k, "rank", "f1").join(ranked.where("f2 is not null").select(*k, "rank", "f2"), [*k, "rank"]).select("f1", "f2")
+    others = state.join(alone, k, "left_anti")
+    best1 = others.where("f1 is not null").groupBy("f1").agg(F.min("least2").alias("f2"))
+    best2 = others.where("f2 is not null").groupBy("f2").agg(F.min("least1").alias("f1"))
+    fixed = stored(groups.unionByName(best1.join(best2, ["f1", "f2"])), f"{folder}/peeled-{turn}")
+    # a group's files that are left over have no one to take
+    return fixed, _without(others.select("f1", "f2", *k), fixed)
+
+
+def _without(state: DataFrame, pairs: DataFrame) -> DataFrame:
+    return state.join(pairs.select("f1"), "f1", "left_anti").join(pairs.select("f2"), "f2", "left_anti").select("f1", "f2", "method", "value")
+
+
+def _pairs(spark, pairs: list[tuple], schema) -> DataFrame:
+    import pyarrow as pa
+
+    kinds = pa.Table.from_arrays([pa.array([p[i] for p in pairs], schema.field(c).type) for i, c in enumerate(("f1", "f2"))], ["f1", "f2"])
+    return spark.createDataFrame(kinds)
+
+
+def _all_at_once(state: DataFrame) -> DataFrame:
+    """The pairs of a state that is within a block."""
+    table = state.toArrow()
+    f1, f2, method, value = (table.column(c).to_pylist() for c in ("f1", "f2", "method", "value"))
+    return _pairs(state.sparkSession, _ordered(f1, f2, list(zip(method, value, strict=True)))[0], table.schema)
+
+
+def _first_block(state: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs of the first files of left that together have about ``block`` rows, by the ordered loop over a few times as many rows, and the rows left.
+
+    Of a value only the first free files of right can be wanted: twice as many as the block's files that have it, and two. If these don't do, as files took them by other values, the loop stops there, and the next block begins there.
+    """
+    spark, k = state.sparkSession, ["method", "value"]
+    mine = state.where("f1 is not null")
+    bound = mine.orderBy("f1").limit(block).agg(F.max("f1").alias("bound")).first()["bound"]
+    mine = mine.where(F.col("f1") <= F.lit(bound)).select("f1", *k)
+    need = mine.groupBy(*k).agg((2 * F.count("*") + 2).alias("need"))
+    theirs = state.where("f2 is not null").select("f2", *k).join(need, k)
+    for by in ([*k, F.pmod(F.xxhash64("f2"), F.lit(64))], k):  # in parts first, so that no task ranks a whole value
+        order = Window.partitionBy(*by).orderBy("f2")
+        theirs = theirs.withColumn("rank", F.row_number().over(order)).where("rank <= need + 1").drop("rank")
+    table = mine.select("f1", F.lit(None).cast(state.schema["f2"].dataType).alias("f2"), *k, F.lit(None).cast("long").alias("need")).unionByName(theirs.select(F.lit(None).cast(state.schema["f1"].dataType).alias("f1"), "f2", *k, "need")).toArrow()
+    f1, f2, method, value, needs = (table.column(c).to_pylist() for c in ("f1", "f2", *k, "need"))
+    names = list(zip(method, value, strict=True))
+    held: dict = {}
+    for b, v, n in zip(f2, names, needs, strict=True):
+        if b is not None:
+            held.setdefault(v, [n, 0])[1] += 1
+    pairs, stop = _ordered(f1, f2, names, frozenset(v for v, (n, files) in held.items() if files > n))
+    chosen = _pairs(spark, pairs, table.schema)
+    left = F.col("f1") > F.lit(bound) if stop is None else F.col("f1") >= F.lit(stop)
+    return chosen, _without(state.where(F.col("f1").isNull() | left), chosen)
+
+
+def assign(left: DataFrame, right: DataFrame, block: int = BLOCK) -> DataFrame:
     """(f1, f2) one to one: each file of left (file, method, value), in order, takes the least file of right that shares a value with it and that none before it took.
 
-    Pairs are never spelt out. Rounds over the keys of both sides: a value whose files have no other value left is a group of its own, in which the n-th of the left takes the n-th of
-    the right; of the others, a pair in which both are the least that the other can have is final, since no file before can want it. The least file left always has such a pair, so
-    rounds end. A group's files are ranked by a sort that spills. What a round leaves is written, and read by the next; the folders of earlier rounds go.
+    Pairs are never spelt out: a list of files for each value, in order, and a look at the heads of a file's lists do. Files that share values, also by way of others, form a component, and components don't touch each other: they are found in
+    rounds that grow with the logarithm of the longest chain, and those of up to ``block`` rows of keys are each solved by the loop in one task, many in parallel. If all rows are within one block, no components are looked for.
+
+    A component beyond a block is taken in turns, as its order is a chain of dependencies in the worst case: pairs that are final whatever the rest does are taken at once (groups of files with one shared value, mutually least pairs), then the first block
+    of files by the loop; so turns are bounded by its rows over ``block``, and a value that very many files share is ranked by sorts that spill. What a turn leaves is written, and the folders before it go.
+
+    Null files and values match nothing; repeated keys count once; empty tables give no pairs.
     """
     spark, k = left.sparkSession, ["method", "value"]
     folder = workspace(spark, "assign")
     side = lambda df, f, other, t: df.select(F.col("file").alias(f), F.lit(None).cast(t).alias(other), *k).where(f"{f} is not null and value is not null")
     types = left.schema["file"].dataType, right.schema["file"].dataType
-    state = side(left, "f1", "f2", types[1]).unionByName(side(right, "f2", "f1", types[0])).distinct()
-    done, turn = [], 0
+    both = side(left, "f1", "f2", types[1]).select("f1", "f2", *k).unionByName(side(right, "f2", "f1", types[0]).select("f1", "f2", *k)).distinct()
+    shared = both.groupBy(*k).agg(F.count("f1").alias("n1"), F.count("f2").alias("n2")).where("n1 > 0 and n2 > 0").select(*k)
+    state = stored(both.join(shared, k, "left_semi"), f"{folder}/keys")
+    size, done = state.count(), []
+    if size > block:
+        file = F.when(F.col("f1").isNotNull(), F.xxhash64(F.lit(1), "f1")).otherwise(F.xxhash64(F.lit(2), "f2"))  # two nodes of one hash only make one component of two
+        labels = components(state.select(file.alias("u"), F.xxhash64(F.lit(3), *k).alias("v")), folder)
+        tagged = state.join(labels, F.xxhash64(F.lit(3), *k) == F.col("node")).drop("node")
+        sizes = stored(tagged.groupBy("component").agg(F.count("*").alias("size")), f"{folder}/sizes")
+        tagged = stored(tagged.join(sizes, "component"), f"{folder}/tagged")
+        small = tagged.where(F.col("size") <= block).repartition("component").sortWithinPartitions("component").select("component", "f1", "f2", *k)
+        done.append(stored(small.mapInArrow(_solve_components, f"f1 {types[0].simpleString()}, f2 {types[1].simpleString()}"), f"{folder}/small"))
+        state = tagged.where(F.col("size") > block).select("f1", "f2", *k)
+    turn = 0
     while True:
         turn += 1
-        live = state.groupBy(*k).agg(F.min("f1").alias("least1"), F.min("f2").alias("least2")).where("least1 is not null and least2 is not null")
-        held = F.count("*").over(Window.partitionBy("f1", "f2"))
-        state = stored(state.join(live, k).withColumn("held", held), f"{folder}/state-{turn}")
-        if turn > 1:
-            remove(spark, f"{folder}/state-{turn - 1}")
-        if state.isEmpty():
+        size, files = state.agg(F.count("*"), F.count("f1")).first()
+        if not files:
+            break
+        if size <= block:
+            done.append(stored(_all_at_once(state), f"{folder}/block-{turn}"))
             break
-        # every row of such a value is its file's only one
-        alone = state.groupBy(*k).agg(F.max("held").alias("most")).where("most = 1").select(*k)
-        ranked = state.join(alone, k, "left_semi").withColumn("rank", F.row_number().over(Window.partitionBy(*k, F.col("f1").isNull()).orderBy("f1", "f2")))
-        groups = ranked.where("f1 is not null").select(*k, "rank", "f1").join(ranked.where("f2 is not null").select(*k, "rank", "f2"), [*k, "rank"]).select("f1", "f2")
-        others = state.join(alone, k, "left_anti")
-        best1 = others.where("f1 is not null").groupBy("f1").agg(F.min("least2").alias("f2"))
-        best2 = others.where("f2 is not null").groupBy("f2").agg(F.min("least1").alias("f1"))
-        fixed = stored(groups.unionByName(best1.join(best2, ["f1", "f2"])), f"{folder}/fixed-{turn}")
-        done.append(fixed)
-        # a group's files that are left over have no one to take
-        state = others.join(fixed.select("f1"), "f1", "left_anti").join(fixed.select("f2"), "f2", "left_anti").select("f1", "f2", *k)
-    return reduce(DataFrame.unionByName, done) if done else state.select("f1", "f2")
+        peeled, rest = _peel(state, folder, turn)
+        chosen, rest = _first_block(stored(rest, f"{folder}/rest-{turn}"), block)
+        done += [peeled, stored(chosen, f"{folder}/block-{turn}")]
+        state = stored(rest, f"{folder}/state-{turn}")
+        for name in (f"live-{turn}", f"rest-{turn}", f"state-{turn - 1}"):
+            remove(spark, f"{folder}/{name}")
+    for name in ("keys", "sizes", "tagged", f"state-{turn - 1}"):
+        remove(spark, f"{folder}/{name}")
+    return reduce(DataFrame.unionByName, done) if done else spark.createDataFrame([], f"f1 {types[0].simpleString()}, f2 {types[1].simpleString()}")
 
 
 def matched(left: DataFrame, right: DataFrame) -> DataFrame:

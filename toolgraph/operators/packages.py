@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_version, debian_sort_key, strip_binary_upload
+from .storage import stored, workspace
 
 
 def latest_versions(packages: DataFrame, preferred="release <> 'experimental'", debian_order: bool = True) -> DataFrame:
-    """(package, version): the greatest version outside experimental, else the greatest of all. One pass."""
-    key = F.struct(debian_sort_key(F.col("version")) if debian_order else F.col("version"), F.col("version").alias("version"))
-    agg = packages.groupBy("package").agg(F.max(F.when(F.expr(preferred), key)).alias("stable"), F.max(key).alias("any"))
-    return agg.select("package", F.coalesce("stable", "any")["version"].alias("version"))
+    """(package, version): the greatest version outside experimental, else the greatest of all; of equal versions that are written differently the greatest text.
+
+    A version's key is made once for each package that has it, not for each row.
+    """
+    each = packages.groupBy("package", "version").agg(F.coalesce(F.bool_or(F.expr(preferred)), F.lit(False)).alias("stable"))
+    key = F.struct("stable", (debian_sort_key(F.col("version")) if debian_order else F.col("version")).alias("key"), "version")
+    return each.groupBy("package").agg(F.max(key)["version"].alias("version"))
 
 
 def latest_release(packages: DataFrame, releases: DataFrame) -> DataFrame:
@@ -47,9 +51,10 @@ def nest(parent: DataFrame, children: dict[str, DataFrame], key: str) -> DataFra
 
 def catalogue(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows of packages that a blend depends on, in their latest version and release, with ontology terms, cross-references, citations, tags, popularity and descriptions,
-    and the prospective packages of blends; ordered by source and package."""
+    and the prospective packages of blends; ordered by source and package. The packages that are wanted are written once, as three steps need them."""
     wanted = tables["blends_dependencies"].select("package").distinct()
-    own = tables["packages"].withColumn("version", strip_binary_upload(F.col("version"))).join(wanted, "package", "left_semi")
+    spark = wanted.sparkSession
+    own = stored(tables["packages"].withColumn("version", strip_binary_upload(F.col("version"))).join(wanted, "package", "left_semi"), workspace(spark, "packages"))
     picked = latest_release(own.join(latest_versions(own), ["package", "version"], "left_semi"), tables["releases"])
     found = own.join(picked, ["package", "version", "release"]).distinct()
     prospective = tables["blends_prospectivepackages"].select("package", "component", F.col("chlog_version").alias("version"), "source", "homepage", "license", "blend").withColumn("release", F.lit("vcs"))
