@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 import toolgraph
 from toolgraph import cli
-from toolgraph.functions import canon, licenses, predicates, text
+from toolgraph.functions import canon, licenses, predicates, recipes, text
 from toolgraph.operators import converter, mappers, matching, packages, publications, quality, triples
-from toolgraph.sources import readers, sinks
+from toolgraph.sources import readers, sinks, versions
 from toolgraph.streaming import incremental
 
 KEYS = "file long, method string, value string"
@@ -75,7 +75,7 @@ def test_graph_texts_are_valid(spark):
 
 def test_jsonld_of_other_writers(spark):
     doc = {"@context": {"x": "y"}, "@graph": [
-        {"@id": "biotools:a", "@type": ["schema:SoftwareApplication", "Thing"], "name": "A", "version": [1, {"@value": "2"}], "author": {"@id": "https://orcid.org/1", "name": "not followed"}, "http://e.org/p": True},
+        {"@id": "biotools:a", "@type": ["schema:SoftwareApplication", "Thing"], "name": "A", "version": [1, {"@value": "2"}], "author": {"@id": "https://orcid.org/1", "name": "followed"}, "http://e.org/p": True},
         {"name": "without an id"},
     ]}
     got = triples.from_jsonld(spark.createDataFrame([(json.dumps(doc),)], "j string").select(F.parse_json("j").alias("doc"))).collect()
@@ -83,9 +83,70 @@ def test_jsonld_of_other_writers(spark):
     assert {tuple(r) for r in got} == {
         (a, triples.TYPE, triples.SC + "SoftwareApplication", "iri"), (a, triples.TYPE, triples.SC + "Thing", "iri"), (a, triples.SC + "name", "A", "literal"), (a, triples.SC + "version", "1", "literal"),
         (a, triples.SC + "version", "2", "literal"), (a, triples.SC + "author", "https://orcid.org/1", "iri"), (a, "http://e.org/p", "true", "literal"),
+        ("https://orcid.org/1", triples.SC + "name", "followed", "literal"), (blank(got, "without an id"), triples.SC + "name", "without an id", "literal"),
     }
 
 
+def blank(rows, o):
+    (s,) = {r.s for r in rows if r.o == o}
+    assert s.startswith("urn:blank:")
+    return s
+
+
+JSONLD = {"@context": [
+    "https://schema.org/", {"@base": "http://b.org/x/", "@language": "en", "e": "http://e.org/", "nm": "http://x/name", "knows": {"@id": "e:knows", "@type": "@id"}, "steps": {"@id": "e:steps", "@container": "@list"},
+     "said": {"@id": "e:said", "@container": "@language"}, "when": {"@id": "e:when", "@type": "xsd:date"}, "xsd": "http://www.w3.org/2001/XMLSchema#", "parent": {"@reverse": "e:child"}, "plain": {"@id": "e:plain", "@language": None}, "gone": None, "kind": "@type", "id": "@id"},
+]}
+
+
+def test_jsonld_contexts(spark):
+    doc = JSONLD | {
+        "id": "a", "kind": ["Thing", "e:Own"], "nm": "N", "name": ["x", "x", {"@value": "y", "@language": "fr"}], "knows": ["../b", "e:c", "_:q"], "steps": ["one", {"id": "e:two"}, 3], "said": {"de": ["ja", "doch"], "en": "yes"},
+        "when": "2020-01-01", "parent": {"id": "e:mother", "plain": "p"}, "gone": "g", "author": {"@id": "http://b", "name": "Bob", "address": {"city": "C", "@context": {"@vocab": "http://v/"}}}, "e:q": {"id": "_:q", "plain": "q"}, "nothing": None, "e:n": 1.5,
+    }
+    run = lambda *docs: triples.from_jsonld(spark.createDataFrame([(json.dumps(d),) for d in docs], "j string").select(F.parse_json("j").alias("doc")), {}, None, {"https://schema.org": {"@context": {"@vocab": "http://schema.org/"}}}, tagged=True)
+    rows = run(doc).collect()
+    got = {(r.s, r.p, r.o, r.lang, r.datatype) for r in rows}
+    S, E, R, X = "http://schema.org/", "http://e.org/", "http://www.w3.org/1999/02/22-rdf-syntax-ns#", "http://www.w3.org/2001/XMLSchema#"
+    a, q, address = "http://b.org/x/a", blank(rows, "q"), blank(rows, "C")
+    steps = [r for r in rows if r.p == E + "steps"]
+    (first,) = {r.o for r in steps}
+    of = lambda s, p: next(r.o for r in rows if (r.s, r.p) == (s, p))
+    second = of(first, R + "rest")
+    third = of(second, R + "rest")
+    assert got == {
+        (a, R + "type", S + "Thing", None, None), (a, R + "type", E + "Own", None, None), (a, "http://x/name", "N", "en", None), (a, S + "name", "x", "en", None), (a, S + "name", "y", "fr", None),
+        (a, E + "knows", "http://b.org/b", None, None), (a, E + "knows", E + "c", None, None), (a, E + "knows", q, None, None), (q, E + "plain", "q", None, None), (a, E + "q", q, None, None),
+        (a, E + "steps", first, None, None), (first, R + "first", "one", "en", None), (first, R + "rest", second, None, None), (second, R + "first", E + "two", None, None), (second, R + "rest", third, None, None),
+        (third, R + "first", "3", None, X + "integer"), (third, R + "rest", R + "nil", None, None), (a, E + "said", "ja", "de", None), (a, E + "said", "doch", "de", None), (a, E + "said", "yes", "en", None),
+        (a, E + "when", "2020-01-01", None, X + "date"), (E + "mother", E + "child", a, None, None), (E + "mother", E + "plain", "p", None, None), (a, S + "author", "http://b", None, None), ("http://b", S + "name", "Bob", "en", None),
+        ("http://b", S + "address", address, None, None), (address, "http://v/city", "C", "en", None), (a, E + "n", "1.5", None, X + "double"),
+    }
+    # labels of blank nodes hold within a document, equal nameless nodes are one, lists of documents are read
+    twice = run({"@context": {"@vocab": "http://v/"}, "@id": "http://1", "p": [{"@id": "_:l", "q": "1"}, {"r": "same"}]}, [{"@context": {"@vocab": "http://v/"}, "@id": "http://2", "p": [{"@id": "_:l", "q": "2"}, {"r": "same"}]}]).collect()
+    assert len({r.o for r in twice if r.p == "http://v/p"}) == 3
+    assert run({"@id": "http://1", "p": 1}, [], {"@id": "x"}, "text", {"@context": None, "a": {"b": "c"}}).collect() == []
+
+
+def test_compact_and_turtle_say_the_same_graph(spark, tmp_path):
+    rng = random.Random(4)
+    names = ["http://e.org/", "http://e.org/a#", "urn:x:", "http://v/", "http://v/a:b", "http://v/@id", "http://v/name", "http://e.org/é ü", "http://e.org//x", "http://e.org/a.b.", "http://e.org/-1"]
+    texts = ['q"\\', "a\nb\t", "", "é\u2028", "true", "1", "@x", "http://e.org/"]
+    kinds = [("literal", None, None), ("literal", "en", None), ("literal", None, "http://www.w3.org/2001/XMLSchema#integer"), ("literal", None, "http://e.org/T")]
+    rows = [(rng.choice(names), rng.choice([*names[3:], triples.TYPE]), *((rng.choice(names), "iri", None, None) if rng.random() < 0.5 else (rng.choice(texts), *rng.choice(kinds)))) for _ in range(400)]
+    g = spark.createDataFrame(rows, triples.TAGGED).where(F.col("s") != "http://v/@id").distinct()
+    want = sorted(map(repr, g.collect()))
+    context = {"@vocab": "http://v/", "e": "http://e.org/", "xsd": "http://www.w3.org/2001/XMLSchema#", "name": {"@id": "http://v/name", "@type": "@id"}, "n": {"@id": "http://v/name", "@type": "xsd:integer"}, "own": "e:a.b."}
+    docs = triples.compact(g, context).select(F.parse_json("value").alias("doc"))
+    assert sorted(map(repr, triples.from_jsonld(docs, {}, None, tagged=True).collect())) == want
+    sinks.turtle(g, f"{tmp_path}/ttl", {"e": "http://e.org/", "v": "http://v/"})
+    escaped = g.withColumns({c: F.when((F.col("o_kind") == "iri") | (F.lit(c) != "o"), F.replace(c, F.lit(" "), F.lit("%20"))).otherwise(F.col(c)) for c in ("s", "p", "o")})
+    assert sorted(map(repr, readers.turtle(spark, f"{tmp_path}/ttl/*.txt", tagged=True).collect())) == sorted(map(repr, escaped.distinct().collect()))
+    by_hand = "PREFIX e: <http://e.org/>\n@base <http://b/> . # c\n<x> a e:T ; e:p 'no', 1, 2.5, true, \"a\\u0041\"@en-GB , [ e:q ( <y> 1e3 ) ] ; .".replace("'no', ", "")
+    got = triples.from_turtle(spark.createDataFrame([(by_hand,)], "t string"), tagged=True).collect()
+    assert len(got) == 11 and {(r.o, r.lang) for r in got if r.o == "aA"} == {("aA", "en-GB")} and {r.o for r in got if r.datatype} == {"1", "2.5", "true", "1e3"}
+
+
 def test_links_are_those_of_anchors(spark):
     html = "<link href=\"https://doi.org/10.1/l\"><a href='https://doi.org/10.1/q'>x</a><A id=1 HREF = \" https://dx.doi.org/10.2/r?a=1&amp;b \">y</A><a name=z>n</a><a href=https://doi.org/10.3/u>v</a><abbr href=\"https://doi.org/no\">"
     assert one(spark, text.doi_links(F.lit(html))) == ["10.1/q", "10.2/r?a=1&b", "10.3/u"]
@@ -170,7 +231,60 @@ def test_readers(spark, tmp_path):
 
 def test_recipes_with_branches():
     recipe = '{% set name = "Foo" %}{% set v = "1.0" %}{% if name == "Foo" %}a: {{ name|lower }}{% if nothing %}\nb: 1{% else %}\nb: {{ v|replace(".", "_") }}{% endif %}{% elif v %}a: 2{% else %}a: 3{% endif %}{# gone #}\nc: {{ missing }}'
-    assert readers.render_recipe(recipe) == "a: foo\nb: 1_0\nc: "
+    assert recipes.render(recipe) == "a: foo\nb: 1_0\nc: "
+
+
+@pytest.mark.parametrize(("template", "text"), [
+    ("{{ 'a' ~ 1 ~ x }}", "a1"), ("{{ v.split('.')[0] }}.{{ v[:3] }}-{{ v.split('.')[1:]|join('+') }}", "1.1.2-2+3"), ("{{ x | default('d') }}{{ '' | default('e', true) }}{{ none }}", "deNone"), ("{{ compiler('c') }}{{ pin_compatible('numpy', max_pin='x') }}{{ os.environ.get('A', 'b') }}", ""),
+    ("{% for k, n in {'a': 1, 'b': 2}.items() %}{{ loop.index }}{{ k }}{{ n }}{% if not loop.last %},{% endif %}{% endfor %}", "1a1,2b2"), ("{% for i in range(5) if i is odd %}{{ i }}{% else %}none{% endfor %}{% for i in [] %}{% else %}none{% endfor %}", "13none"),
+    ("{% set a, b = 'x', 'y' %}{{ b }}{{ a }}{% set c %}<{{ a }}>{% endset %}{{ c }}", "yx<x>"), ("{{ 'yes' if v is defined and 'q' not in v else 'no' }}{{ 1 if false }}", "yes"), ("{{ 2 + 3 * 4 - 7 // 2 }} {{ -1 + 2 }} {{ 7 % 4 == 3 and not false }} {{ 1 < 2 }}", "11 1 True True"),
+    ("a\n  {%- if true %} b {%- endif -%} \n c", "a bc"), ("{% raw %}{{ x }}{% endraw %}", "{{ x }}"), ("{{ ('a', 'b')|join('-') }}{{ ['b', 'a']|sort|first }}{{ v|length }}{{ ' x '|trim|upper }}", "a-ba5X"), ("{{ 'it''s' }}{{ \"q\\\"\" }}", 'itsq"'),
+    ("{{ '{}-{n}'.format(v, n=2) }}{{ x.y.z }}{{ x()() }}{{ x[0] + 1 }}", "1.2.3-2"), ("{{ v.__class__ }}{{ ''.join(['a', 'b']) }}{{ 'a' 'b' }}{{ '10'|int + 1 }}", "abab11"), ("{% for a in x %}{{ a }}{% endfor %}{% if x == y %}same{% endif %}", "same"),
+])
+def test_recipe_language(template, text):
+    assert recipes.render(template, v="1.2.3") == text
+
+
+@pytest.mark.parametrize("template", ["{% if %}", "{% if a %}", "{% endfor %}", "{{ a b }}", "{{ 1 + 'a' }}", "{{ a | nosuch }}", "{% include 'x' %}", "{{ range(10**9) }}", "{{ range(1000000) }}", "{{ 'a' * 1000000000 }}", "{% for a in %}{% endfor %}", "{{ ] }}", "{{ 1 / 0 }}", "{% for a, b in 1 %}{% endfor %}"])
+def test_recipes_that_fail(template):
+    with pytest.raises(recipes.TemplateError):
+        recipes.render(template)
+
+
+def test_versions_of_a_table(spark, tmp_path):
+    table = f"{tmp_path}/t"
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("", 4)], "s string, v int")
+    assert versions.numbers(spark, table) == [] and versions.commit(rows, table, "s") == 1
+    now = lambda n=None, **k: sorted((r.s, r.v) for r in versions.read(spark, table, n, **k).collect() if r.s is not None)
+    # a refresh to nothing, of null too; other values stay
+    versions.commit(rows.where("s = 'a'").withColumn("v", F.lit(9)), table, "s", ["b", None])
+    assert now() == [("", 4), ("a", 9)] and now(1) == [("", 4), ("a", 1), ("b", 2)] and now(values=["a"]) == [("a", 9)]
+    assert versions.read(spark, table).count() == 2 and versions.read(spark, table, 1).count() == 4
+    # in place, from itself
+    versions.without_stale(spark, table, spark.createDataFrame([(9,)], "v int"), "v", "s")
+    assert now() == [("a", 9)]
+    assert versions.restore(spark, table, 1) == 4 and len(now()) == 3
+    # a job whose task fails half-way, and a writer that came too late, leave nothing
+    with pytest.raises(Exception, match="half-way"):
+        versions.commit(rows.withColumn("v", F.when(F.col("v") == 4, F.raise_error(F.lit("half-way"))).otherwise(F.col("v"))), table, "s")
+    with pytest.raises(versions.Conflict):
+        versions.commit(rows, table, "s", since=3)
+    assert versions.numbers(spark, table) == [1, 2, 3, 4] and len(now()) == 3
+    assert len(versions.vacuum(spark, table, 1)) == 3 and versions.numbers(spark, table) == [4] and len(now()) == 3
+    versions.commit(rows.limit(0), table)
+    assert versions.read(spark, table).count() == 0 and versions.read(spark, table).schema == rows.schema
+    with pytest.raises(FileNotFoundError):
+        versions.read(spark, f"{tmp_path}/none")
+
+
+def test_record_files_that_fail_leave_nothing_in_place(spark, tmp_path):
+    rows = spark.createDataFrame([(f"d{i}/x.json", "{}" if i != 7 else "no json") for i in range(20)], "path string, doc string").repartition(4)
+    with pytest.raises(Exception, match="JSON|Expecting"):
+        sinks.record_files(rows, str(tmp_path / "out"), F.col("path"), F.col("doc"))
+    assert not list((tmp_path / "out").glob("d*"))
+    sinks.record_files(rows.where("doc = '{}'"), str(tmp_path / "out"), F.col("path"), F.col("doc"))
+    sinks.record_files(rows.where("doc = '{}'"), str(tmp_path / "out"), F.col("path"), F.lit("[1]"))  # over what is there
+    assert {p.read_text() for p in (tmp_path / "out").glob("d*/x.json")} == {"[\n    1\n]"} and len(list((tmp_path / "out").glob("d*"))) == 19
 
 
 def test_sinks(spark, tmp_path):
@@ -184,12 +298,9 @@ def test_sinks(spark, tmp_path):
     records = spark.createDataFrame([("s1", "X", 1), ("s2", "y", 2)], "source string, tool string, v int")
     sinks.dual(records, spark.createDataFrame([("x",)], "tool string"), "tool", f"{tmp_path}/bronze", f"{tmp_path}/linked")
     sinks.bronze(records.where("source = 's1'").withColumn("v", F.lit(9)), f"{tmp_path}/bronze")
-    assert {(r.source, r.v) for r in spark.read.parquet(f"{tmp_path}/bronze").collect()} == {("s1", 9), ("s2", 2)} and spark.read.parquet(f"{tmp_path}/linked").count() == 1
-    for version in ("1", "2"):
-        sinks.versioned(records.limit(int(version)), f"{tmp_path}/versions", version)
-    assert spark.read.parquet(f"{tmp_path}/versions").count() == 3
-    sinks.without_stale(records, records.limit(1), "tool", f"{tmp_path}/fresh")
-    assert spark.read.parquet(f"{tmp_path}/fresh").count() == 1
+    assert {(r.source, r.v) for r in versions.read(spark, f"{tmp_path}/bronze").collect()} == {("s1", 9), ("s2", 2)} and versions.read(spark, f"{tmp_path}/linked").count() == 1
+    sinks.dual(records.where("source = 's2'"), spark.createDataFrame([("y",)], "tool string"), "tool", f"{tmp_path}/bronze", f"{tmp_path}/linked", ["s1"])
+    assert {r.source for r in versions.read(spark, f"{tmp_path}/bronze").collect()} == {r.source for r in versions.read(spark, f"{tmp_path}/linked").collect()} == {"s2"}
     sinks.csv(df.withColumn("l", F.array("n")), f"{tmp_path}/csv")
     assert spark.read.csv(f"{tmp_path}/csv", header=True).where("id = 'a'").first().l == "[1]"
     sinks.lines(df.select("id"), f"{tmp_path}/lines")

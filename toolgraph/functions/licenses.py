@@ -32,7 +32,7 @@ FAMILY_SPDX = {
 }
 CUTOFF = 0.92
 # What a raw text loses, and how it says which version.
-NOISE = (r"(?s)\+.*$", r"(?s)file.*$")
+NOISE = (r"(?d)\+.*$", r"(?d)file.*$")  # within a line: (?d) counts \n only as its end
 VERSION, LATER = r"[^0-9]*([0-9]+(?:\.[0-9]+)?)", r">|or[-\s]*later"
 
 

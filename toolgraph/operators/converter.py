@@ -12,6 +12,7 @@ from ..functions.authors import credits
 from ..functions.licenses import normalise
 from ..functions.text import doi_links
 from . import upsert
+from .storage import stored, workspace
 
 # The constants of a converted document, the fields that an existing one keeps, and those that an update takes over.
 COLLECTION, LANGUAGES, SYSTEMS, OWNER, TYPES = "BioConductor", ["R"], ["Linux", "Mac", "Windows"], "bioconductor_import", ["Command-line tool", "Library"]
@@ -39,12 +40,13 @@ def publications(html: Column) -> Column:
 def convert(packages: DataFrame, citations: DataFrame | None = None, existing: DataFrame | None = None) -> DataFrame:
     """One tool document for each package (Package, Author, Description, URL, License, Version; a field that is missing is the empty text).
 
-    citations: (package, html), joined by the package's name; existing: documents whose PRESERVED fields (those that the table has) win where they aren't null.
+    citations: (package, html), joined by the package's name (of several pages of a package the greatest); existing: documents whose PRESERVED fields (those that the table has) win where they aren't null.
     """
     have = packages.select(*((F.coalesce(F.col(c), F.lit("")) if c in packages.columns else F.lit("")).alias(c) for c in FIELDS))
     page = F.concat(F.lit(SITE), "Package")
     if citations is not None:
-        have = have.join(citations.select(F.col("package").alias("_package"), F.col("html").alias("_html")), F.col("Package") == F.col("_package"), "left").drop("_package")
+        pages = citations.groupBy(F.col("package").alias("_package")).agg(F.max("html").alias("_html"))
+        have = have.join(pages, F.col("Package") == F.col("_package"), "left").drop("_package")
     else:
         have = have.withColumn("_html", F.lit(None).cast("string"))
     out = normalise(have, "License", "_spdx").select(
@@ -102,12 +104,16 @@ def summary(existing: DataFrame, converted: DataFrame, pairs: DataFrame) -> Data
 
 
 def sync(packages: DataFrame, existing: DataFrame, methods: list[str], citations: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Convert, match by the identity methods, and apply: created, updated, backups, sources, pairs and summary."""
+    """Convert, match by the identity methods, and apply: created, updated, backups, sources, pairs and summary.
+
+    The converted documents, which five of these need, are written once, as are the pairs, below spark.checkpoint.dir.
+    """
     from . import matching
 
-    converted = convert(packages, citations, existing)
+    folder = workspace(packages.sparkSession, "sync")
+    converted = stored(convert(packages, citations, existing), f"{folder}/converted")
     left, right = (matching.keys(df, methods, "biotoolsID") for df in (existing, converted))
-    pairs = matching.assign(left, right).select(F.col("f1").alias("old"), F.col("f2").alias("new"))
+    pairs = stored(matching.assign(left, right).select(F.col("f1").alias("old"), F.col("f2").alias("new")), f"{folder}/pairs")
     created, updated = create(converted, pairs), update(existing, converted, pairs)
     touched = created.select("biotoolsID").unionByName(pairs.select(F.col("old").alias("biotoolsID")))
     return {"created": created, "updated": updated, "backups": backups(existing, pairs), "sources": sources(touched, packages), "pairs": pairs, "summary": summary(existing, converted, pairs)}

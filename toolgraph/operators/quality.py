@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .storage import stored, workspace
+
 
 def coverage(content: DataFrame, sources: list[str]) -> DataFrame:
     """A row for each combination of sources that items are found in: one flag for each source, and the number of items."""
@@ -38,6 +40,31 @@ def listed(rows: DataFrame, key: str, item: str, name: str = "items") -> DataFra
     return rows.groupBy(key).agg(F.count("*").alias("n"), F.sort_array(F.collect_list(item)).alias(name))
 
 
+CHUNK = 1000
+
+
+def chunked(rows: DataFrame, key: str | list[str], item: str, size: int = CHUNK, name: str = "items") -> DataFrame:
+    """(key, chunk, n, items): the distinct items of each key in order, in lists of at most ``size``; n is how many the key has in all, over its chunks. Null items are left out.
+
+    No task holds a key's list: items are dealt by (key, range of items), ranges being the slices between quantiles of all items, and a key's ranges are numbered on from each other's counts. So the lists of a value that all rows share are
+    spread over all tasks, and each is as long as its size says, but for one a range that may be shorter.
+    """
+    keys = [key] if isinstance(key, str) else key
+    held = rows.select(*keys, item).where(F.col(item).isNotNull()).distinct()
+    # rows are sorted and cut in the partitions of a range: (key, range) is never in two
+    dealt = held.repartitionByRange(*keys, item).withColumn("_range", F.spark_partition_id())
+    place = F.row_number().over(Window.partitionBy("_range", *keys).orderBy(item)) - 1
+    placed = dealt.select(*keys, item, "_range", F.floor(place / size).alias("_slice"))
+    lists = placed.groupBy(*keys, "_range", "_slice").agg(F.array_sort(F.collect_list(item)).alias(name))
+    lists = stored(lists, workspace(rows.sparkSession, "lists"))
+    # a row for each range of a key, without its items
+    ranges = lists.groupBy(*keys, "_range").agg(F.count("*").alias("_lists"), F.sum(F.size(name)).alias("_items"), F.min(F.get(name, F.lit(0))).alias("_first"))
+    before = F.coalesce(F.sum("_lists").over(Window.partitionBy(*keys).orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = ranges.select(*(F.col(k).alias(f"_of_{k}") for k in keys), F.col("_range").alias("_of__range"), before.alias("_before"), F.sum("_items").over(Window.partitionBy(*keys)).alias("n"))
+    on = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in [*keys, "_range"]]
+    return lists.join(ranges, on).select(*keys, (F.col("_before") + F.col("_slice")).alias("chunk"), "n", name)
+
+
 def validity(records: DataFrame, key: str, bad: Column) -> tuple[DataFrame, DataFrame]:
     """(valid, invalid) counts as one row, and the keys of the invalid records as rows."""
     marked = records.select(F.col(key), F.coalesce(bad, F.lit(False)).alias("bad"))

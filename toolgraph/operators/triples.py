@@ -289,25 +289,136 @@ def expand(curie: Column, prefixes: dict[str, str] | None = None) -> Column:
     return out
 
 
-def from_jsonld(docs: DataFrame, prefixes: dict[str, str] | None = None, vocabulary: str = SC) -> DataFrame:
-    """(s, p, o, o_kind) of JSON-LD documents (doc VARIANT), expanded or compact: one node or a @graph of nodes, prefixes as given, other names in ``vocabulary``.
+TAGGED = "s string, p string, o string, o_kind string, lang string, datatype string"
 
-    Values are texts, numbers, booleans, {"@id"}, {"@value"}, nodes with an @id (the link; their own fields aren't followed) and lists of these; nodes without @id, and @context, give nothing.
+
+def _graph(rows: DataFrame, tagged: bool) -> DataFrame:
+    """Distinct triples; tagged: with the language and the datatype of literals."""
+    return (rows if tagged else rows.select("s", "p", "o", "o_kind")).where("o is not null").distinct()
+
+
+def _parsed(texts: DataFrame, read) -> DataFrame:
+    """read(text) of each row of a table with one text column, as rows of TAGGED."""
+
+    def rows(batches):
+        import pyarrow as pa
+
+        names = [f.split(" ")[0] for f in TAGGED.split(", ")]
+        for batch in batches:
+            found = [t for text in batch.column(0).to_pylist() if text is not None for t in read(text)]
+            yield pa.RecordBatch.from_arrays([pa.array([t[i] for t in found], pa.string()) for i in range(len(names))], names)
+
+    return texts.mapInArrow(rows, TAGGED)
+
+
+def from_jsonld(docs: DataFrame, prefixes: dict[str, str] | None = None, vocabulary: str | None = SC, contexts: dict[str, dict] | None = None, tagged: bool = False) -> DataFrame:
+    """(s, p, o, o_kind), tagged: and (lang, datatype), of JSON-LD documents (doc VARIANT), expanded or compact, with their contexts.
+
+    Contexts: terms, prefixes, @vocab, @base, @language, types (@id, @vocab or a datatype) and containers (@list, @set, @language, @index), in the document, in a nested node, in lists, or by the address of one in ``contexts``; before any of
+    these, ``prefixes`` and names in ``vocabulary`` hold (None: a name without meaning gives nothing). Nested nodes are followed. Nodes without @id are named by a hash of what they say, so equal ones are one; labels of blank nodes hold within their
+    document; lists are chains of first and rest. Null values give nothing; documents that aren't JSON, none.
+    """
+    from ..functions.jsonld import triples_of
+
+    known, named = PREFIXES if prefixes is None else prefixes, contexts or {}
+    return _graph(_parsed(docs.where("doc is not null").select(F.to_json("doc")), lambda text: triples_of(text, known, vocabulary, named)), tagged)
+
+
+def from_turtle(texts: DataFrame, tagged: bool = False) -> DataFrame:
+    """(s, p, o, o_kind), tagged: and (lang, datatype), of Turtle documents, one a row of the table's only column. One that isn't Turtle fails the job."""
+    from ..functions.jsonld import turtle_triples
+
+    return _graph(_parsed(texts, turtle_triples), tagged)
+
+
+def _quoted(c: Column) -> Column:
+    """A text as JSON."""
+    text = F.to_json(F.array(c))
+    return F.substring(text, F.lit(2), F.length(text) - 2)
+
+
+def _with_tags(graph: DataFrame) -> DataFrame:
+    for c in ("lang", "datatype"):
+        if c not in graph.columns:
+            graph = graph.withColumn(c, F.lit(None).cast("string"))
+    return graph
+
+
+def _shortest(iri: Column, bases: dict[str, str], made, otherwise: Column) -> Column:
+    """made(name, rest) for the longest base that the IRI starts with (of equal ones the first name), else what is given."""
+    out = otherwise
+    for name, base in sorted(bases.items(), key=lambda x: (len(x[1]), [-ord(c) for c in x[0]])):
+        out = F.when(F.startswith(iri, F.lit(base)), made(name, F.substring(iri, len(base) + 1, 1 << 30))).otherwise(out)
+    return out
+
+
+def compact(graph: DataFrame, context: dict) -> DataFrame:
+    """(s, value): one JSON-LD document a subject, compacted by a context: terms (texts, or {"@id", "@type"}), prefixes (terms whose IRI ends in / or #) and @vocab.
+
+    A predicate's links take a term of type @id, its literals of a datatype a term of that type, others a term without type; where there is none, the name in @vocab, prefix:rest or the whole IRI, with links as {"@id"} and typed or tagged
+    literals as {"@value"}. A key holds its only value or the sorted list of them; keys are sorted. No name that the context gives another meaning is used. Read back with the context, the graph is the same.
+    """
+    given = {t: ({"@id": d} if isinstance(d, str) else d) for t, d in context.items() if not t.startswith("@")}
+    bases = {t: d["@id"] for t, d in given.items() if d["@id"].endswith(("/", "#"))}
+    full = lambda iri: next((bases[p] + r for p, c, r in [iri.partition(":")] if c and p in bases and not r.startswith("//")), iri)
+    terms = {}
+    for t, d in sorted(given.items(), reverse=True):  # of several the first name
+        terms[full(d["@id"]), d.get("@type") if str(d.get("@type")).startswith("@") else full(d["@type"]) if "@type" in d else ""] = t
+    lookup = F.create_map(*(F.lit(x) for (iri, kind), t in terms.items() for x in (f"{kind} {iri}", t))) if terms else F.create_map().cast("map<string,string>")
+    vocab = context.get("@vocab")
+    relative = lambda iri: F.substring(iri, len(vocab) + 1, 1 << 30)
+    free = lambda name: ~F.contains(name, F.lit(":")) & ~F.startswith(name, F.lit("@")) & (name != "") & ~name.isin(list(given))
+
+    def prefixed(iri: Column) -> Column:
+        return _shortest(iri, bases, lambda p, rest: F.when(F.startswith(rest, F.lit("//")), iri).otherwise(F.concat(F.lit(p + ":"), rest)), iri)
+
+    def named(iri: Column) -> Column:
+        short = prefixed(iri)
+        if vocab:
+            short = F.when(F.startswith(iri, F.lit(vocab)) & free(relative(iri)), relative(iri)).otherwise(short)
+        return short
+
+    g = _with_tags(graph)
+    iri, wanted = F.col("o_kind") == "iri", F.coalesce("datatype", F.when(F.col("o_kind") == "iri", "@id").otherwise(""))
+    plain = F.try_element_at(lookup, F.concat(F.lit(" "), "p"))
+    term = F.when(F.col("lang").isNotNull(), F.lit(None).cast("string")).otherwise(F.try_element_at(lookup, F.concat_ws(" ", wanted, "p")))
+    type_ = F.col("p") == TYPE
+    key = F.when(type_ & iri, "@type").when(term.isNotNull(), term).otherwise(F.coalesce(plain, named(F.col("p"))))
+    fields = lambda **x: F.concat(F.lit("{"), F.concat_ws(",", *(F.concat(F.lit(f'"@{k}":'), v) for k, v in x.items())), F.lit("}"))
+    text = _quoted(F.col("o"))
+    literal = F.when(F.col("lang").isNotNull(), fields(language=_quoted(F.col("lang")), value=text)).when(F.col("datatype").isNotNull() & term.isNull(), fields(type=_quoted(named(F.col("datatype"))), value=text)).otherwise(text)
+    value = F.when(type_ & iri, _quoted(named(F.col("o")))).when(iri & term.isNotNull(), _quoted(prefixed(F.col("o")))).when(iri, fields(id=_quoted(prefixed(F.col("o"))))).otherwise(literal)
+    by = g.where("o is not null").select("s", key.alias("key"), value.alias("v")).groupBy("s", "key").agg(F.sort_array(F.collect_set("v")).alias("v"))
+    entry = F.concat(_quoted(F.col("key")), F.lit(":"), F.when(F.size("v") == 1, F.col("v")[0]).otherwise(F.concat(F.lit("["), F.array_join("v", ","), F.lit("]"))))
+    body = by.select("s", F.struct("key", entry.alias("entry")).alias("e")).groupBy("s").agg(F.array_join(F.transform(F.sort_array(F.collect_list("e")), lambda e: e["entry"]), ",").alias("body"))
+    import json
+
+    head = F.lit(f'{{"@context":{json.dumps(context, sort_keys=True, ensure_ascii=False)},"@id":')
+    return body.select("s", F.concat(head, _quoted(prefixed(F.col("s"))), F.lit(","), "body", F.lit("}")).alias("value"))
+
+
+def turtle(graph: DataFrame, prefixes: dict[str, str] | None = None) -> DataFrame:
+    """(s, value): one Turtle statement a subject, its predicates and objects grouped and sorted, ``a`` first, on one line; for the prefixes see turtle_head.
+
+    What may not stand in an IRI is percent-encoded, local names with other characters than letters, digits, _, - and inner points stay whole IRIs.
     """
-    object_, list_ = "map<string,variant>", "array<variant>"
     known = PREFIXES if prefixes is None else prefixes
-    nodes = docs.select(F.explode(F.coalesce(F.try_variant_get("doc", "$['@graph']", list_), F.try_variant_get("doc", "$", list_), F.array("doc"))).alias("node"))
-    fields = nodes.select(expand(F.try_variant_get("node", "$['@id']", "string"), known).alias("s"), F.explode(F.map_entries(F.try_variant_get("node", "$", object_))).alias("f"))
-    fields = fields.where("s is not null and f.key not in ('@id', '@context', '@graph')").select("s", F.col("f.key").alias("key"), F.explode(F.coalesce(F.try_variant_get("f.value", "$", list_), F.array("f.value"))).alias("v"))
-    type_ = F.col("key") == "@type"
-    named = expand(F.col("key"), known)
-    p = F.when(type_, TYPE).when(F.contains(named, F.lit(":")), named).otherwise(F.concat(F.lit(vocabulary), named))
-    id_, value = F.try_variant_get("v", "$['@id']", "string"), F.try_variant_get("v", "$['@value']", "string")
-    plain = F.when(F.try_variant_get("v", "$", object_).isNull(), F.try_variant_get("v", "$", "string"))
-    class_ = F.when(F.contains(expand(plain, known), F.lit(":")), expand(plain, known)).otherwise(F.concat(F.lit(vocabulary), plain))
-    o = F.when(type_, class_).otherwise(F.coalesce(expand(id_, known), value, plain))
-    kind = F.when(type_ | id_.isNotNull(), "iri").otherwise("literal")
-    return fields.select("s", p.alias("p"), o.alias("o"), kind.alias("o_kind")).where("o is not null and o <> ''").distinct()
+    whole = lambda iri: F.concat(F.lit("<"), iri_escape(iri), F.lit(">"))
+
+    def name(iri: Column) -> Column:
+        return _shortest(iri, known, lambda p, rest: F.when(F.rlike(rest, F.lit(r"^[A-Za-z0-9_]([A-Za-z0-9_.-]*[A-Za-z0-9_-])?$")), F.concat(F.lit(p + ":"), rest)).otherwise(whole(iri)), whole(iri))
+
+    g = _with_tags(graph).where("o is not null")
+    tag = F.when(F.col("lang").isNotNull(), F.concat(F.lit("@"), "lang")).when(F.col("datatype").isNotNull(), F.concat(F.lit("^^"), name(F.col("datatype")))).otherwise("")
+    o = F.when(F.col("o_kind") == "iri", name(F.col("o"))).otherwise(F.concat(F.lit('"'), ntriples_escape(F.col("o")), F.lit('"'), tag))
+    by = g.select("s", (F.col("p") != TYPE).alias("later"), F.when(F.col("p") == TYPE, "a").otherwise(name(F.col("p"))).alias("p"), o.alias("o")).groupBy("s", "later", "p").agg(F.sort_array(F.collect_set("o")).alias("o"))
+    facts = by.select("s", F.struct("later", F.concat_ws(" ", "p", F.array_join("o", ", ")).alias("text")).alias("f")).groupBy("s").agg(F.sort_array(F.collect_list("f")).alias("f"))
+    return facts.select("s", F.concat(name(F.col("s")), F.lit(" "), F.array_join(F.transform("f", lambda f: f["text"]), " ; "), F.lit(" .")).alias("value"))
+
+
+def turtle_head(prefixes: dict[str, str] | None = None) -> list[str]:
+    """The prefix lines that a file of turtle() begins with."""
+    return [f"@prefix {p}: <{base}> ." for p, base in sorted((PREFIXES if prefixes is None else prefixes).items())]
 
 
 def triple_count(graph: DataFrame) -> DataFrame:

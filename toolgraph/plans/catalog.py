@@ -273,6 +273,15 @@ def greedy_match(t):
     return m.select("f1", "f2", F.array_join("methods", ",").alias("methods"))
 
 
+@query("SELECT o_orderkey AS f1, o_orderkey + 1 AS f2 FROM orders WHERE o_orderkey % 500 <> 499 AND o_orderkey < (SELECT max(o_orderkey) FROM orders)")
+def chained_match(t):
+    """Chains of 500 files: each shares values with two neighbours on the other side, and the first one's choice decides on all others'."""
+    k = F.col("o_orderkey")
+    left = t.orders.select(k.alias("file"), F.lit("m").alias("method"), F.explode(F.when(k % 500 == 499, F.array(k)).otherwise(F.array(k, k + 1)).cast("array<string>")).alias("value"))
+    right = t.orders.where(k % 500 != 0).select(k.alias("file"), F.lit("m").alias("method"), k.cast("string").alias("value"))
+    return matching.assign(left, right)
+
+
 @query("""SELECT file, method, value FROM (
   SELECT c_custkey AS file, 'name' AS method, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE c_name END AS value FROM customer
   UNION ALL SELECT c_custkey, 'name_insensitive', nullif(CASE WHEN c_custkey % 7 = 0 THEN '' ELSE lower(c_name) END, '') FROM customer
@@ -293,12 +302,14 @@ def identity_keys(t):
 
 @query(f"SELECT c_custkey AS file FROM customer WHERE NOT EXISTS (SELECT 1 FROM ({_EDGES}) e WHERE e.f1 = c_custkey)")
 def unmatched_left(t):
-    return matching.unmatched(t.customer.select(F.col("c_custkey").alias("file")), identity_edges(t), "f1")
+    left, right = (matching.keys(x, METHODS) for x in sides(t))
+    return matching.without_partner(left, right, t.customer.select(F.col("c_custkey").alias("file")))
 
 
 @query(f"SELECT s_suppkey AS file FROM supplier WHERE NOT EXISTS (SELECT 1 FROM ({_EDGES}) e WHERE e.f2 = s_suppkey)")
 def unmatched_right(t):
-    return matching.unmatched(t.supplier.select(F.col("s_suppkey").alias("file")), identity_edges(t), "f2")
+    left, right = (matching.keys(x, METHODS) for x in sides(t))
+    return matching.without_partner(right, left, t.supplier.select(F.col("s_suppkey").alias("file")))
 
 
 @query("SELECT lang AS method, source AS value, count(*) AS n FROM documents GROUP BY 1, 2")

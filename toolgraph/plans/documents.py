@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import authors, canon, predicates, text
-from ..operators import converter, mappers, matching, publications, quality, triples, upsert
+from ..functions import authors, canon, licenses, predicates, text
+from ..operators import converter, mappers, matching, publications, quality, triples, upsert, validation
 from .catalog import _TERMS, Tables, query
 
 SC, BSC, TYPE, EDAM = triples.SC, triples.BSC, triples.TYPE, triples.PREFIXES["edam"]
@@ -479,11 +479,63 @@ def union_of_publications(t):
     return quality.union_of_values(t.lineitem.select(F.col("l_orderkey").alias("tool"), F.col("l_partkey").alias("doi")), "tool", "doi")
 
 
-@query("SELECT CASE page_id % 10 WHEN 0 THEN 'failed_validation' WHEN 1 THEN 'unchanged' WHEN 2 THEN 'updated' WHEN 3 THEN 'failed_update' WHEN 4 THEN 'uploaded' ELSE 'failed_upload' END AS status, count(*) AS n FROM pages GROUP BY 1")
+PAGE_SCHEMA = {
+    "type": "object", "required": ["page_id", "url", "title"],
+    "properties": {
+        "url": {"type": "string", "format": "uri", "pattern": "^https://", "maxLength": 60}, "title": {"type": "string", "minLength": 12}, "kind": {"enum": ["even", "odd"]}, "size": {"type": "integer", "minimum": 100},
+        "links": {"type": "array", "maxItems": 3, "uniqueItems": True, "items": {"$ref": "#/$defs/link"}}, "owner": {"oneOf": [{"required": ["orcid"]}, {"required": ["mail"]}], "properties": {"mail": {"format": "email"}}},
+    },
+    "$defs": {"link": {"required": ["href"], "properties": {"href": {"pattern": "^[a-z]"}, "n": {"maximum": 5}}}},
+}
+_PAGES = "SELECT page_id, url, CASE WHEN page_id % 11 <> 0 THEN 'title ' || page_id || repeat('x', page_id % 7) END AS title, CASE page_id % 5 WHEN 0 THEN 'zero' WHEN 1 THEN 'odd' ELSE 'even' END AS kind, length(html) AS size FROM pages"
+_VIOLATIONS = f"""WITH d AS ({_PAGES})
+SELECT page_id, 'title' AS path, 'required' AS rule FROM d WHERE title IS NULL UNION ALL SELECT page_id, 'url', 'pattern' FROM d WHERE NOT starts_with(url, 'https://') UNION ALL SELECT page_id, 'url', 'maxLength' FROM d WHERE length(url) > 60
+UNION ALL SELECT page_id, 'url', 'format' FROM d WHERE NOT regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*:[^\\s<>"{{}}|\\\\^`]*$') UNION ALL SELECT page_id, 'title', 'minLength' FROM d WHERE length(title) < 12
+UNION ALL SELECT page_id, 'kind', 'enum' FROM d WHERE kind = 'zero' UNION ALL SELECT page_id, 'size', 'minimum' FROM d WHERE size < 100
+UNION ALL SELECT page_id, 'links', 'maxItems' FROM d WHERE page_id % 4 = 3 UNION ALL SELECT page_id, 'links', 'uniqueItems' FROM d WHERE page_id % 6 = 5 UNION ALL SELECT page_id, 'links[1].href', 'required' FROM d WHERE page_id % 9 = 0
+UNION ALL SELECT page_id, 'links[0].n', 'maximum' FROM d WHERE page_id % 10 > 5 UNION ALL SELECT page_id, 'links[2].n', 'maximum' FROM d WHERE page_id % 10 > 5 AND page_id % 6 = 5 UNION ALL SELECT page_id, 'owner', 'oneOf' FROM d WHERE page_id % 3 <> 1 UNION ALL SELECT page_id, 'owner.mail', 'format' FROM d WHERE page_id % 3 = 2"""
+
+
+def page_documents(t: Tables) -> DataFrame:
+    """Documents of the pages with faults of every kind."""
+    k = F.col("page_id")
+    link = lambda href, n: F.struct(href.alias("href"), n.cast("long").alias("n"))
+    none = F.lit(None).cast("string")
+    links = F.concat(
+        F.array(link(F.lit("a"), k % 10), link(F.when(k % 9 != 0, cat("b", k)), F.lit(1))), F.when(k % 6 == 5, F.array(link(F.lit("a"), k % 10))).otherwise(F.array(link(F.lit("c"), F.lit(None)))),
+        F.when(k % 4 == 3, F.array(link(F.lit("d"), F.lit(2)))).otherwise(F.array().cast("array<struct<href:string,n:bigint>>")),
+    )
+    owner = F.struct(F.when(k % 3 != 0, cat("0000-", k)).alias("orcid"), F.when(k % 3 == 2, "no mail").otherwise(none).alias("mail"))
+    return t.pages.select(
+        "page_id", "url", F.when(k % 11 != 0, cat("title ", k, F.repeat(F.lit("x"), (k % 7).cast("int")))).alias("title"), F.when(k % 5 == 0, "zero").when(k % 5 == 1, "odd").otherwise("even").alias("kind"), F.length("html").alias("size"), links.alias("links"), owner.alias("owner"),
+    )
+
+
+@query(_VIOLATIONS)
+def schema_violations(t):
+    return validation.violations(page_documents(t), PAGE_SCHEMA, "page_id")
+
+
+@query(f"""WITH bad AS (SELECT DISTINCT page_id FROM ({_VIOLATIONS})), s AS (SELECT page_id % 10 AS k, page_id IN (SELECT page_id FROM bad) AS bad FROM pages)
+SELECT CASE WHEN k = 1 THEN 'unchanged' WHEN bad THEN 'failed_validation' WHEN k = 2 THEN 'updated' WHEN k = 3 THEN 'failed_update' WHEN k = 4 THEN 'uploaded' ELSE 'failed_upload' END AS status, count(*) AS n FROM s GROUP BY 1""")
 def upload_states(t):
+    """The states after an upload of documents that a schema has judged."""
+    judged = validation.verdicts(page_documents(t), PAGE_SCHEMA, "page_id")
     k = F.col("page_id") % 10
-    state = upsert.upload_status(k.isin(1, 2, 3), k == 1, k != 0, k.isin(2, 4))
-    return t.pages.select(state.alias("status")).groupBy("status").agg(F.count("*").alias("n"))
+    state = upsert.upload_status(k.isin(1, 2, 3), k == 1, F.col("valid"), k.isin(2, 4))
+    return judged.select(state.alias("status")).groupBy("status").agg(F.count("*").alias("n"))
+
+
+@query("""WITH i AS (SELECT DISTINCT 'all' AS k, l_partkey AS item FROM lineitem UNION ALL SELECT DISTINCT l_returnflag || l_linenumber, l_partkey FROM lineitem)
+SELECT k, count(*) AS n, sum(item)::BIGINT AS total, true AS in_bounds, true AS ordered FROM i GROUP BY k""")
+def chunked_lists(t):
+    """Lists of values of which one is shared by all rows: sums over their chunks, whether all are within 100 items, and in order over the chunks."""
+    rows = t.lineitem.select(F.explode(F.array(F.lit("all"), F.concat("l_returnflag", "l_linenumber"))).alias("k"), F.col("l_partkey").alias("item"))
+    c = quality.chunked(rows, "k", "item", 100)
+    before = F.max(F.array_max("items")).over(Window.partitionBy("k").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
+    marked = c.withColumn("ok", F.coalesce(before < F.array_min("items"), F.col("chunk") == 0) & (F.col("items") == F.array_sort("items")))
+    total = F.aggregate("items", F.lit(0).cast("long"), lambda a, x: a + x)
+    return marked.groupBy("k").agg(F.max("n").alias("n"), F.sum(total).alias("total"), (F.max(F.size("items")) <= 100).alias("in_bounds"), F.bool_and("ok").alias("ordered"))
 
 
 @query("SELECT c_custkey, 'new' AS a, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE 'fresh' END AS b FROM customer")
@@ -506,3 +558,36 @@ def fair_resumed(t):
 @query("SELECT url, false AS ok FROM pages WHERE page_id % 3 = 0")
 def smoke_failures(t):
     return quality.smoke(t.pages.select("url", F.when(F.col("page_id") % 3 != 0, 200).when(F.col("page_id") % 2 == 0, 404).alias("status")))
+
+
+@query("SELECT c_custkey AS file, 'segment' AS method, lower(c_mktsegment) || '/' || c_nationkey AS value FROM customer UNION ALL SELECT c_custkey, 'name', c_name FROM customer")
+def own_identity(t):
+    """Keys by an identity of the caller's own beside one of the fixed ones."""
+    matching.register_identity("segment", lambda: F.array(F.concat_ws("/", F.lower("segment"), "nation")))
+    try:
+        rows = t.customer.select(F.col("c_custkey").alias("file"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"))
+        return matching.keys(rows, ["segment", "name"])
+    finally:
+        del matching.IDENTITIES["segment"]
+
+
+@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'house terms ' || (p_partkey % 3) WHEN 1 THEN 'MIT + file LICENSE' WHEN 2 THEN 'own-9' END AS raw, CASE p_partkey % 4 WHEN 0 THEN CASE WHEN p_partkey % 3 = 1 THEN 'House-1.0' END WHEN 1 THEN 'MIT' WHEN 2 THEN 'OWN-9' END AS spdx FROM part")
+def own_licenses(t):
+    """An alias and an id of the caller's own."""
+    k = F.col("p_partkey")
+    raw = F.when(k % 4 == 0, cat("house terms ", k % 3)).when(k % 4 == 1, "MIT + file LICENSE").when(k % 4 == 2, "own-9")
+    return licenses.normalise(t.part.select("p_partkey", raw.alias("raw")), "raw", aliases={"house-terms-1": "House-1.0"}, spdx=[*licenses.SPDX, "OWN-9"], cutoff=0.99)
+
+
+@query("SELECT a.o_orderkey AS f1, min(b.o_orderkey) AS f2 FROM orders a JOIN orders b ON a.o_orderkey = b.o_orderkey + 1 WHERE a.o_orderkey % 2 = 0 AND b.o_orderkey % 2 = 1 GROUP BY 1")
+def public_names(t):
+    """Matching by the package's public names only: pairs of neighbouring orders."""
+    import toolgraph
+
+    side = lambda odd, name: t.orders.where(F.col("o_orderkey") % 2 == odd).select(F.col("o_orderkey").alias("file"), name.cast("string").alias("name"))
+    return toolgraph.assign(toolgraph.keys(side(0, F.col("o_orderkey")), ["name"]), toolgraph.keys(side(1, F.col("o_orderkey") + 1), ["name"]))
+
+
+@query('SELECT p_partkey AS part_key, p_name AS name_of_part, p_brand AS brand FROM part')
+def renamed_keys(t):
+    return canon.rename_spaces(t.part.select(F.col("p_partkey").alias("part key"), F.col("p_name").alias("name of part"), F.col("p_brand").alias("brand")))

@@ -5,12 +5,15 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.triples import from_jsonld
+from ..functions import recipes
+from ..operators.triples import from_jsonld, from_turtle
+from . import service
 
 
 def texts(spark: SparkSession, path: str) -> DataFrame:
@@ -30,44 +33,6 @@ def keyed_json(spark: SparkSession, path: str) -> DataFrame:
     return docs.select(F.explode(F.map_entries(F.variant_get("doc", "$", "map<string,variant>"))).alias("e")).select("e.key", F.col("e.value").alias("doc"))
 
 
-_SET = re.compile(r"\{%-?\s*set\s+(\w+)\s*=\s*(.+?)\s*-?%\}")
-
-
-def render_recipe(text: str) -> str:
-    """The template subset that recipes use: set, if / elif / else over names and texts, {{ name }} with filters lower, upper and replace; unknown names are empty, other tags vanish."""
-    env = {m[1]: m[2].strip("\"'") for m in _SET.finditer(text)}
-
-    def holds(test: str) -> bool:
-        if test.startswith("not "):
-            return not holds(test[4:].strip())
-        a, op, b = (re.split(r"\s*(==|!=)\s*", test, maxsplit=1) + ["", ""])[:3]
-        left = env.get(a, "") if re.fullmatch(r"\w+", a) else a.strip("\"'")
-        return bool(left) if not op else (left == b.strip("\"'")) == (op == "==")
-
-    # innermost branches first
-    branch = re.compile(r"\{%-?\s*if\s+((?:(?!%\}).)*?)\s*-?%\}((?:(?!\{%-?\s*if\b).)*?)\{%-?\s*endif\s*-?%\}", re.S)
-
-    def chosen(m: re.Match) -> str:
-        tests, bodies = [m[1]], re.split(r"\{%-?\s*(?:elif\s+(.*?)|else)\s*-?%\}", m[2], flags=re.S)
-        tests += [x if x is not None else "'else'" for x in bodies[1::2]]
-        return next((b for t, b in zip(tests, bodies[0::2], strict=True) if holds(t)), "")
-
-    while (next_ := branch.sub(chosen, text)) != text:
-        text = next_
-
-    def value(m: re.Match) -> str:
-        name, *filters = (x.strip() for x in m[1].split("|"))
-        v = env.get(name, "")
-        for f in filters:
-            if f in ("lower", "upper"):
-                v = v.lower() if f == "lower" else v.upper()
-            elif r := re.fullmatch(r"""replace\(["'](.*?)["']\s*,\s*["'](.*?)["']\)""", f):
-                v = v.replace(r[1], r[2])
-        return v
-
-    return re.sub(r"\{\{(.*?)\}\}", value, re.sub(r"\{[%#].*?[%#]\}", "", text))
-
-
 def _yaml_rows(frames: Iterator[pd.DataFrame], prepare: Callable[[str], str]) -> Iterator[pd.DataFrame]:
     import yaml
 
@@ -76,30 +41,41 @@ def _yaml_rows(frames: Iterator[pd.DataFrame], prepare: Callable[[str], str]) ->
         for v in f["value"]:
             try:
                 docs.append(json.dumps(yaml.safe_load(prepare(v)), sort_keys=True, default=str))
-            except yaml.YAMLError:
+            except (yaml.YAMLError, recipes.TemplateError):
                 docs.append(None)
         yield pd.DataFrame({"path": f["path"], "json": docs, "value": f["value"]})
 
 
 def yaml_documents(spark: SparkSession, path: str, templated: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(path, doc as VARIANT) of YAML files (templated: recipes), and the files that aren't YAML."""
-    prepare = render_recipe if templated else str
+    """(path, doc as VARIANT) of YAML files (templated: recipes, rendered first), and the files that aren't YAML or no template."""
+    prepare = recipes.render if templated else str
     parsed = texts(spark, path).mapInPandas(lambda it: _yaml_rows(it, prepare), "path string, json string, value string")
     return parsed.where("json is not null").select("path", F.parse_json("json").alias("doc")), parsed.where("json is null").select("path", "value")
 
 
+_PREFIX = re.compile(r"<(?:([A-Za-z_][\w.-]*):)?(?:urlset|sitemapindex)[\s>]")
+
+
 def sitemap(spark: SparkSession, path: str, index: bool = False) -> DataFrame:
-    """(loc, lastmod) of a sitemap, or of a sitemap index."""
-    schema = "loc string, lastmod string"
-    return spark.read.format("xml").option("rowTag", "sitemap" if index else "url").schema(schema).load(path)
+    """(loc, lastmod) of sitemaps, or of sitemap indexes, whatever prefix a file gives their namespace.
+
+    The heads of the files are read for the prefixes that they use; each prefix's elements are then read from the files by their own tag, so that large files are split.
+    """
+    tag, fields = "sitemap" if index else "url", ("loc", "lastmod")
+    heads = spark.read.text(path).select(F.regexp_extract("value", _PREFIX.pattern, 1).alias("prefix"), F.rlike("value", F.lit(_PREFIX.pattern)).alias("root")).where("root").select("prefix").distinct()
+    out = []
+    for prefix in sorted(r.prefix for r in heads.collect()) or [""]:  # as many as there are ways to write it
+        named = lambda f, prefix=prefix: f"{prefix}:{f}" if prefix else f
+        rows = spark.read.format("xml").option("rowTag", named(tag)).schema(", ".join(f"`{named(f)}` string" for f in fields)).load(path)
+        out.append(rows.select(*(F.col(f"`{named(f)}`").alias(f) for f in fields)))
+    return reduce(DataFrame.unionByName, out)
 
 
 def ontology(spark: SparkSession, path: str) -> DataFrame:
-    """(label, entity) of the classes of an OWL/XML file."""
-    raw = spark.read.format("xml").option("rowTag", "owl:Class").option("attributePrefix", "_").load(path)
-    label = F.col("`rdfs:label`")
-    label = label["_VALUE"] if "struct" in dict(raw.dtypes)["rdfs:label"] else label
-    return raw.select(label.alias("label"), F.col("`_rdf:about`").alias("entity"))
+    """(label, entity) of the classes of an OWL/XML file, a row for each label of a class."""
+    label = "array<struct<_VALUE:string,`_xml:lang`:string>>"
+    raw = spark.read.format("xml").option("rowTag", "owl:Class").option("attributePrefix", "_").schema(f"`rdfs:label` {label}, `_rdf:about` string").load(path)
+    return raw.select(F.explode("`rdfs:label`").alias("l"), F.col("`_rdf:about`").alias("entity")).select(F.col("l._VALUE").alias("label"), "entity").where("label is not null")
 
 
 def server_table(spark: SparkSession, path: str) -> DataFrame:
@@ -123,41 +99,50 @@ def git_diff(spark: SparkSession, path: str) -> DataFrame:
 
 
 def jdbc_tables(spark: SparkSession, url: str, names: list[str], **options: str) -> dict[str, DataFrame]:
+    """Whole tables, each as one partition: for dimensions. See jdbc_ranges for large ones."""
     return {n: spark.read.format("jdbc").options(url=url, dbtable=n, **options).load() for n in names}
 
 
-def paged(spark: SparkSession, fetch: Callable[[int], list[dict] | None], schema: str, at_once: int = 64) -> DataFrame:
-    """All pages of a listing from 1 on, ``at_once`` of them fetched side by side, until one is empty. Without a network, ``fetch`` reads a dump."""
-    out, first = None, 1
-    while True:
-        raw = _pages(spark, fetch, first, at_once).cache()
-        found = raw.select(F.explode(F.from_json("body", f"array<{schema}>")).alias("r")).select("r.*")
-        out = found if out is None else out.unionByName(found)
-        if raw.where("body = '[]'").limit(1).count():
-            return out
-        first += at_once
-
-
-def _pages(spark: SparkSession, fetch: Callable[[int], list[dict] | None], first: int, count: int) -> DataFrame:
-    """(page, body): each page fetched in its own task."""
+def jdbc_ranges(spark: SparkSession, url: str, source: str, key: str, parts: int = 8, keys_of: str | None = None, **options: str) -> DataFrame:
+    """A table read in up to ``parts`` ranges of an integer key, each a partition with about as many rows: their bounds are taken from the counts of 64 * parts slices of the key, which the database makes.
+
+    keys_of: a query (one column named like the key) that the database semi-joins the table with before anything is read. Filters and columns are pushed by Spark. Rows whose key is null are in the first range.
+    A table with no keys is one partition.
+    """
+    kept = f"(SELECT * FROM {source} WHERE {key} IN ({keys_of})) kept" if keys_of else source
+    ask = lambda sql: spark.read.format("jdbc").options(url=url, dbtable=f"({sql}) asked", **options).load()
+    low, high = ask(f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {kept}").first()
+    reader = spark.read
+    if low is None or low == high:
+        return reader.format("jdbc").options(url=url, dbtable=kept, **options).load()
+    width = max(1, -(-(int(high) - int(low) + 1) // (64 * parts)))
+    counts = ask(f"SELECT slice, COUNT(*) AS n FROM (SELECT ({key} - {int(low)}) / {width} AS slice FROM {kept} WHERE {key} IS NOT NULL) sliced GROUP BY slice").collect()  # 64 * parts rows at most
+    total, done, bounds = sum(r[1] for r in counts), 0, []
+    for slice_, n in sorted((int(r[0]), r[1]) for r in counts):
+        if len(bounds) < parts - 1 and done and done * parts >= total * (len(bounds) + 1):
+            bounds.append(int(low) + slice_ * width)
+        done += n
+    edges = [None, *bounds, None]
+    where = [" AND ".join(x for x in (f"{key} >= {a}" if a is not None else "", f"{key} < {b}" if b is not None else "") if x) or "1 = 1" for a, b in zip(edges, edges[1:], strict=False)]
+    where[0] = f"({where[0]}) OR {key} IS NULL"
+    return reader.jdbc(url, kept, predicates=where, properties=options)
 
-    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for page in f["id"]:
-                yield pd.DataFrame({"page": [int(page)], "body": [json.dumps(fetch(int(page)) or [])]})
 
-    return spark.range(first, first + count, numPartitions=count).mapInPandas(rows, "page long, body string")
+def paged(spark: SparkSession, fetch: Callable[[int], list[dict] | None], schema: str, at_once: int = 64) -> DataFrame:
+    """All pages of a listing from 1 on, ``at_once`` tasks taking turns with them until one is empty. Without a network, ``fetch`` reads a dump. See service.py for filters and streams."""
+    return service.listing(spark, service.listing_source(lambda page, _: fetch(page), schema, at_once=at_once))
 
 
-def fetched(keys: DataFrame, key: str, cache: DataFrame, fetch: Callable[[str], str | None]) -> DataFrame:
-    """(key, value): cached values, and fetched ones for the keys that the cache lacks."""
+def fetched(keys: DataFrame, key: str, cache: DataFrame, fetch: Callable[[str], str | None], attempts: int = 1) -> DataFrame:
+    """(key, value): cached values (of several the greatest), and fetched ones, by up to ``attempts`` requests, for the keys that the cache lacks. Each key comes once."""
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield pd.DataFrame({key: f[key], "value": [fetch(k) for k in f[key]]})
+            yield pd.DataFrame({key: f[key], "value": [service.retried(fetch, k, attempts=attempts) for k in f[key]]})
 
-    missing = keys.select(key).distinct().join(cache.select(key), key, "left_anti").mapInPandas(rows, f"{key} string, value string")
-    return cache.select(key, "value").join(keys.select(key).distinct(), key, "left_semi").unionByName(missing)
+    wanted = keys.select(key).distinct()
+    missing = wanted.join(cache.select(key), key, "left_anti").mapInPandas(rows, f"{key} string, value string")
+    return cache.join(wanted, key, "left_semi").groupBy(key).agg(F.max("value").alias("value")).unionByName(missing)
 
 
 def config_value(spark: SparkSession, path: str, key: str, default: str | None = None) -> str | None:
@@ -187,13 +172,18 @@ def json_or_none(spark: SparkSession, path: str) -> DataFrame:
     return docs.select(F.explode(F.coalesce(F.try_variant_get("doc", "$", "array<variant>"), F.array().cast("array<variant>"))).alias("doc"))
 
 
-def jsonld(spark: SparkSession, path: str, prefixes: dict[str, str] | None = None) -> DataFrame:
-    """(s, p, o, o_kind) of all JSON-LD files; those that can't be parsed give none."""
+def jsonld(spark: SparkSession, path: str, prefixes: dict[str, str] | None = None, **how) -> DataFrame:
+    """(s, p, o, o_kind) of all JSON-LD files, as from_jsonld reads them; those that can't be parsed give none."""
     docs, _ = json_documents(spark, path)
-    return from_jsonld(docs, prefixes)
+    return from_jsonld(docs, prefixes, **how)
+
+
+def turtle(spark: SparkSession, path: str, tagged: bool = False) -> DataFrame:
+    """(s, p, o, o_kind) of all Turtle files."""
+    return from_turtle(texts(spark, path).select("value"), tagged)
 
 
-def fetched_graphs(urls: DataFrame, cache: DataFrame, fetch: Callable[[str], str | None]) -> DataFrame:
+def fetched_graphs(urls: DataFrame, cache: DataFrame, fetch: Callable[[str], str | None], **how) -> DataFrame:
     """(s, p, o, o_kind) of the JSON-LD behind each url; a failure or an answer that can't be parsed is an empty graph."""
 
     def safe(url: str) -> str | None:
@@ -202,7 +192,7 @@ def fetched_graphs(urls: DataFrame, cache: DataFrame, fetch: Callable[[str], str
         except Exception:  # any failure of the provider
             return None
 
-    return from_jsonld(fetched(urls, "url", cache, safe).select(F.try_parse_json("value").alias("doc")).where("doc is not null"))
+    return from_jsonld(fetched(urls, "url", cache, safe).select(F.try_parse_json("value").alias("doc")).where("doc is not null"), **how)
 
 
 def url_statuses(urls: DataFrame, cache: DataFrame, probe: Callable[[str], int]) -> DataFrame:

@@ -1,18 +1,22 @@
-"""Sinks: partitioned tables for the engine, and files for people."""
+"""Sinks: tables with committed versions for the engine, and files for people."""
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.storage import remove, stored
+from . import versions
 
-def bronze(df: DataFrame, path: str) -> None:
-    """Full refresh of (source, ...) partitions that df has; others stay."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source").parquet(path)
+
+def bronze(df: DataFrame, path: str, sources: list[str | None] | None = None) -> int:
+    """Full refresh of the sources that df has and of those named: one that is empty now loses its records. Other sources stay. Gives the table's new version; versions.read reads it."""
+    return versions.commit(df, path, "source", sources or [])
 
 
 def json_lines(df: DataFrame, path: str) -> None:
@@ -25,6 +29,21 @@ def lines(df: DataFrame, path: str) -> None:
     df.sort(df.columns[0]).write.mode("overwrite").text(path)
 
 
+def turtle(graph: DataFrame, path: str, prefixes: dict[str, str] | None = None) -> None:
+    """A graph as Turtle files, each with the prefixes at its head and its statements in order."""
+    from ..operators import triples
+
+    head = triples.turtle_head(prefixes)
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for i, batch in enumerate(batches):
+            if not i:
+                yield pa.RecordBatch.from_arrays([pa.array(head, pa.string())], ["value"])
+            yield batch
+
+    triples.turtle(graph, prefixes).repartitionByRange("s").sortWithinPartitions("s").select("value").mapInArrow(headed, "value string").write.mode("overwrite").text(path)
+
+
 def csv(df: DataFrame, path: str) -> None:
     flat = [F.to_json(c).alias(c) if t.startswith(("array", "struct", "map")) else F.col(c) for c, t in df.dtypes]
     df.select(*flat).write.mode("overwrite").csv(path, header=True)
@@ -53,39 +72,69 @@ def _indented(document: str) -> str:
 FORMATS = {"json": _indented, "yaml": _yaml, "text": str}
 
 
+def address(spark: SparkSession, folder: str) -> str:
+    """The folder's whole address: one without a scheme is in Spark's default store."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+    return whole if "://" in whole else whole.replace(":/", ":///", 1)
+
+
+def _store(place: str):
+    from pyarrow import fs
+
+    store, base = fs.FileSystem.from_uri(place)
+    return store, base.rstrip("/")
+
+
 def record_files(df: DataFrame, folder: str, path: Column, document: Column, form: str = "json") -> DataFrame:
-    """One file a record: writes ``folder/path`` with the document (JSON text) as JSON or YAML with sorted keys, or as the text it is, and gives (path) of the files, once it is acted on.
+    """One file a record: writes ``folder/path`` with the document (JSON text) as JSON or YAML with sorted keys, or as the text it is, and gives (path) of the files.
 
-    Each task writes its own records to the store that the folder's address names, so that the folder must be one that all executors reach. Written twice, a file is the same.
+    First every task writes its records to a folder of its own attempt, and the list of those that came through is stored; only then are the files moved to their places, by tasks too. So a job that fails
+    while it writes leaves no file in its place, none is ever half there, and moving can be done again: what has been moved is left alone. Records without path or document are left out; of several
+    with one path the greatest document is taken.
     """
-    turn = FORMATS[form]
+    spark, turn = df.sparkSession, FORMATS[form]
+    place = address(spark, folder)
+    staging = f"{place.rstrip('/')}/.staging-{uuid.uuid4().hex}"
+
+    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = _store(staging)
+        own = f"{base}/{uuid.uuid4().hex}"
+        store.create_dir(own, recursive=True)
+        n = 0
+        for batch in batches:
+            places = []
+            for text in batch.column("document").to_pylist():
+                places.append(f"{own}/{n}")
+                n += 1
+                with store.open_output_stream(places[-1]) as out:
+                    out.write(turn(text).encode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(places, pa.string())], ["path", "staged"])
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        store, base = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        store, base = _store(place)
         for batch in batches:
-            for name, text in zip(batch.column("path").to_pylist(), batch.column("document").to_pylist(), strict=True):
-                target = f"{base.rstrip('/')}/{name}"
-                store.create_dir(target.rsplit("/", 1)[0], recursive=True)
-                with store.open_output_stream(target) as out:
-                    out.write(turn(text).encode("utf-8", "replace"))
+            for name, staged in zip(batch.column("path").to_pylist(), batch.column("staged").to_pylist(), strict=True):
+                target = f"{base}/{name}"
+                if store.get_file_info(staged).type == fs.FileType.File:  # else it has been moved
+                    store.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                    if store.get_file_info(target).type == fs.FileType.File:  # some stores don't move over a file
+                        store.delete_file(target)
+                    store.move(staged, target)
             yield batch.select(["path"])
 
-    return df.select(path.alias("path"), document.alias("document")).where("path is not null and document is not null").mapInArrow(write, "path string")
-
-
-def dual(records: DataFrame, tools: DataFrame, key: str, bronze_path: str, linked_path: str) -> None:
-    """Every record to the bronze table; those of a known tool also to the table of linked records."""
-    bronze(records, bronze_path)
-    bronze(records.join(tools.select(F.lower(key).alias("_id")).distinct(), F.lower(F.col(key)) == F.col("_id"), "left_semi"), linked_path)
-
-
-def versioned(df: DataFrame, path: str, version: str) -> None:
-    """A snapshot beside the earlier ones: the backup before an overwrite is the version before."""
-    df.withColumn("version", F.lit(version)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(path)
+    rows = df.select(path.cast("string").alias("path"), document.cast("string").alias("document")).where("path is not null and document is not null").groupBy("path").agg(F.max("document").alias("document"))
+    listed = stored(rows.mapInArrow(stage, "path string, staged string"), f"{staging}/list")
+    listed.mapInArrow(move, "path string").write.format("noop").mode("overwrite").save()
+    remove(spark, staging)
+    return rows.select("path")
 
 
-def without_stale(existing: DataFrame, valid: DataFrame, key: str, path: str) -> None:
-    """Rewrites a table without the records whose key left the source."""
-    existing.join(valid.select(key).distinct(), key, "left_semi").write.mode("overwrite").parquet(path)
+def dual(records: DataFrame, tools: DataFrame, key: str, bronze_path: str, linked_path: str, sources: list[str | None] | None = None) -> None:
+    """Every record to the bronze table; those of a known tool also to the table of linked records. Both are refreshed for the sources that records has, and those named."""
+    linked = records.join(tools.select(F.lower(key).alias("_id")).distinct(), F.lower(F.col(key)) == F.col("_id"), "left_semi")
+    named = {r[0] for r in records.select("source").distinct().collect()} | set(sources or [])  # as many as there are sources
+    bronze(records, bronze_path, list(named))
+    bronze(linked, linked_path, list(named))  # a source none of whose records is linked any more
