@@ -3,9 +3,9 @@
 A text is cut into blocks of 2,048 bytes (all of it); each block is compressed with either dictionary. The normalised difference of the
 summed sizes, (bad - good) / (bad + good), goes through a logistic curve whose two parameters are fitted on labelled texts that the dictionaries haven't seen.
 
-Learnt from a bounded sample: of each label up to ``SAMPLE`` texts, those with the least hash of their id, in turn one for the dictionary and one to calibrate. A dictionary
-is trained on up to ``SPREAD`` blocks of each of its texts, evenly spread, so the driver gets ``SAMPLE * SPREAD * BLOCK`` bytes at most (12 MB) however long texts are; the
-differences to calibrate by are taken on the executors, over whole texts.
+Learnt from a bounded sample: of each label up to ``SAMPLE`` texts, those with the least hash of their id, in turn one for the dictionary and one to calibrate. A label's texts are dealt in ``GROUPS``, and each group's
+dictionary is trained by a task on all blocks of its texts: they wait up to ``WAITING`` bytes, then a dictionary trained on them stands for them among those that follow. The label's dictionary is trained on the blocks of its groups'. So all
+text of the sample counts, a task holds ``WAITING`` bytes, and the driver gets ``2 * GROUPS * DICTIONARY`` bytes (2 MB), however long texts are; the differences to calibrate by are taken on the executors too, over whole texts.
 
 Edge cases: null and empty texts have difference 0; a document with both labels counts as its mean label (0.5 or more: good); of one id's texts
 the one with the least hash is learnt from; with a label missing the score is the share of label 1 among the sample (0.5 without any); repeated rows are scored each; an empty table gives an empty one.
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_mod, lean, materialise, rows_where
 
-SAMPLE, SPREAD, BLOCK, DICTIONARY, LEVEL = 1500, 4, 2048, 65536, 1
+SAMPLE, GROUPS, WAITING, BLOCK, DICTIONARY, LEVEL = 1500, 16, 1 << 25, 2048, 65536, 1
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, difference double"
 
 
@@ -36,13 +36,38 @@ def dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[-DICTIONARY:]
 
 
-def block_rows(batches):
-    """(good, turn, place, block): up to SPREAD blocks of each text."""
+class Trainer:
+    """A dictionary of blocks that come one after the other, in bounded memory."""
+
+    def __init__(self, waiting: int = WAITING):
+        self.waiting, self.samples, self.bytes = waiting, [], 0
+
+    def add(self, text: bytes) -> None:
+        for block in blocks(text):
+            self.samples.append(block)
+            self.bytes += len(block)
+            if self.bytes >= self.waiting:
+                self.samples = blocks(dictionary(self.samples))
+                self.bytes = sum(map(len, self.samples))
+
+    def result(self) -> bytes:
+        return dictionary(self.samples)
+
+
+@lean
+def dictionary_rows(batches):
+    """(good, part, dictionary) of rows (good, part, text) sorted by label and group."""
+    now, trainer = None, Trainer()
+    done = lambda: pa.RecordBatch.from_arrays([pa.array([now[0]], pa.bool_()), pa.array([now[1]], pa.int64()), pa.array([trainer.result()], pa.binary())], ["good", "part", "dictionary"])
     for batch in batches:
-        for good, turn, text in zip(batch.column("good").to_pylist(), batch.column("turn").to_pylist(), batch.column("text").cast(pa.large_binary()), strict=True):
-            parts = blocks(text.as_py())
-            at = range(len(parts)) if len(parts) <= SPREAD else [i * (len(parts) - 1) // (SPREAD - 1) for i in range(SPREAD)]
-            yield pa.RecordBatch.from_arrays([pa.array([good] * len(at), pa.bool_()), pa.array([turn] * len(at), pa.int64()), pa.array(list(at), pa.int64()), pa.array([parts[i] for i in at], pa.binary())], ["good", "turn", "place", "block"])
+        for good, part, text in zip(batch.column("good").to_pylist(), batch.column("part").to_pylist(), batch.column("text").cast(pa.large_binary()), strict=True):
+            if (good, part) != now:
+                if now:
+                    yield done()
+                now, trainer = (good, part), Trainer()
+            trainer.add(text.as_py())
+    if now:
+        yield done()
 
 
 class Sizes:
@@ -91,9 +116,10 @@ def learn(docs: DataFrame, labels: DataFrame, held_out) -> dict:
     # at most 2 * SAMPLE rows
     turns = spark.createDataFrame([(r["doc_id"], r["good"], i) for side in sample for i, r in enumerate(side)], "doc_id long, good boolean, turn long")
     texts = materialise(rows.join(F.broadcast(turns), "doc_id").groupBy("doc_id", "good", "turn").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")), "quality-sample")
-    got = texts.where("turn % 2 = 0").mapInArrow(block_rows, "good boolean, turn long, place long, block binary").orderBy("turn", "place").toArrow()
-    good, parts = got.column("good").to_pylist(), got.column("block").to_pylist()
-    model = {name: dictionary([p for g, p in zip(good, parts, strict=True) if g == side]) for name, side in (("bad", False), ("good", True))}
+    dealt = texts.where("turn % 2 = 0").withColumn("part", F.floor(F.col("turn") / 2) % GROUPS).repartition("good", "part").sortWithinPartitions("good", "part", "turn").select("good", "part", "text")
+    got = dealt.mapInArrow(dictionary_rows, "good boolean, part long, dictionary binary").orderBy("good", "part").toArrow()  # 2 * GROUPS rows
+    good, parts = got.column("good").to_pylist(), got.column("dictionary").to_pylist()
+    model = {name: dictionary([b for g, p in zip(good, parts, strict=True) if g == side for b in blocks(p)]) for name, side in (("bad", False), ("good", True))}
     sizes = spark.sparkContext.broadcast(model)
     seen = texts.where("turn % 2 = 1").mapInArrow(lambda it: difference_rows(it, sizes), "turn long, good boolean, difference double").orderBy("turn", "good").toArrow()
     model["a"], model["b"] = calibrate(seen.column("difference").to_numpy(), seen.column("good").to_numpy(zero_copy_only=False).astype(float))
