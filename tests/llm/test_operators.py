@@ -63,7 +63,7 @@ def test_url_rules_are_exact_for_random_lists(spark):
     rules = [("a.net", "/en/", "allow"), ("net", "/", "block"), ("x.org", "/de/", "block"), ("y.x.org", "/", "allow"), ("b.a.net", "/en/x", "block")]
     pages = spark.createDataFrame([(i, u, "h", "r") for i, u in enumerate(urls)], "page_id long, url string, host string, rule string")
     table = spark.createDataFrame([*rules, ("b.a.net", "/en/x", "allow"), (None, "/", "block")], "host string, path string, verdict string")
-    # by filters, and by joins as for lists too large for them
+    # by filters for all keys, and by filters for one range of hashes after the other
     got = bloom_cascade.filter_urls(pages, table).collect()
     again = bloom_cascade.filter_urls(pages, table, max_bytes=0).collect()
     assert len(got) == len(urls) and sorted(map(repr, got)) == sorted(map(repr, again))

@@ -7,9 +7,11 @@ level admits nothing wrongly. A key's membership is then the parity of the first
 
 Level 1's false-positive rate follows the list's and universe's sizes, so that level 2 holds about as many keys as the list and every
 later level half as many: the broadcast filters take a few bytes for each listed key and grow with the logarithm of the universe. The universe itself is never
-shuffled: what passes some level 1 is kept as it is read, and only that is made distinct and freed of the listed keys. Keys are told apart by 64 bits.
+shuffled: what passes some level 1 is kept as it is read, and only that is made distinct and freed of the listed keys. Filters hold 64-bit hashes of keys; if a key of the universe has the hash of a listed one,
+or two listed ones have one, hashes are made anew with another seed, so membership is exact.
 
-Filters of up to ``MAX_BYTES`` are broadcast; lists that need more are joined with the urls' keys instead.
+Filters of up to ``MAX_BYTES`` are broadcast at once. Lists that need more are split by their hashes into as many ranges as it takes, each with cascades of its own: the urls are read once for each, and what a range finds is written and
+compared with what the next one does.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, no keys, and the default verdict; repeated urls and ids are kept as
 rows; an empty table gives an empty one; of fitting rules the longest text wins, then the longest host; a rule listed with several verdicts has the greatest of them
@@ -126,6 +128,22 @@ def cascade(listed: DataFrame, wrong: DataFrame, first: Level) -> list[Level]:
     return levels
 
 
+def cascades(listed: DataFrame, keys: DataFrame, about: float) -> dict[str, list[Level]] | None:
+    """The levels for each verdict; None if hashes clash. listed: (key, verdict, h); keys: (key, h) of the universe, about so many."""
+    counts = {r["verdict"]: (r["keys"], r["hashes"]) for r in listed.groupBy("verdict").agg(F.count("*").alias("keys"), F.countDistinct("h").alias("hashes")).collect()}  # a row for each verdict
+    lists = {v: listed.where(F.col("verdict") == v).select("h") for v in sorted(counts)}
+    if listed.count() > listed.select("h").distinct().count():
+        return None
+    firsts = {v: build(first_level(counts[v][0], about), lists[v]) for v in lists}
+    if not firsts:
+        return {}
+    wrong = materialise(keys.where(passed(list(firsts.values()), F.col("h"))).distinct(), "keys")
+    if wrong.join(listed.select("h", F.col("key").alias("other")), "h").where("key <> other").limit(1).count():
+        return None
+    hashes = wrong.select("h").distinct()
+    return {v: cascade(lists[v], hashes, first) for v, first in firsts.items()}
+
+
 def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", max_bytes: int = MAX_BYTES) -> DataFrame:
     """page_id, host, path, rule and verdict of every row of ``pages`` (page_id, url); rules: (host, path, verdict).
 
@@ -133,22 +151,33 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", max_
     """
     spark = pages.sparkSession
     listed = rules.where("host is not null and path is not null and verdict is not null").groupBy(F.concat(ascii_lower(F.col("host")), "path").alias("key")).agg(F.max("verdict").alias("verdict"), F.collect_set(F.length("path")).alias("lengths"))
-    listed = materialise(listed.withColumn("h", F.xxhash64("key")), "rules")
+    listed = materialise(listed, "rules")
     # one number for each length that a rule's path has, one row for each verdict
     lengths = sorted(r[0] for r in listed.select(F.explode("lengths")).distinct().collect())
-    counts = {r["verdict"]: r["n"] for r in listed.groupBy("verdict").agg(F.countDistinct("h").alias("n")).collect()}
-    rows = pages.select("page_id", "url").withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url"))).drop("url")
-    rows = rows.withColumn("keys", keys_of(F.col("host"), F.col("path"), lengths)) if lengths else rows.withColumn("keys", F.array().cast("array<string>"))
-    keys = rows.select(F.explode("keys").alias("key")).select(F.xxhash64("key").alias("h"))
-    about = keys.agg(F.approx_count_distinct("h")).first()[0]
-    firsts = {v: first_level(n, about) for v, n in sorted(counts.items())}
-    if sum(len(x.bits) for x in firsts.values()) > max_bytes:
-        return _joined(rows, listed, default)
-    lists = {v: listed.where(F.col("verdict") == v).select("h").distinct() for v in firsts}
-    for v, first in firsts.items():
-        build(first, lists[v])
-    wrong = materialise(keys.where(passed(list(firsts.values()), F.col("h"))).distinct(), "keys") if firsts else keys
-    filters = spark.sparkContext.broadcast({v: cascade(lists[v], wrong, first) for v, first in firsts.items()})
+    counts = [r["count"] for r in listed.groupBy("verdict").count().collect()]
+    with_keys = lambda df: df.withColumn("keys", keys_of(F.col("host"), F.col("path"), lengths) if lengths else F.array().cast("array<string>"))
+    rows = pages.select("page_id", "url").select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.lit(None).cast("struct<n:int,host:int,rule:string,verdict:string>").alias("best"))
+    keys = with_keys(rows).select(F.explode("keys").alias("key"))
+    about = keys.agg(F.approx_count_distinct("key")).first()[0]
+    ranges = max(1, -(-sum(len(first_level(n, about).bits) for n in counts) // max(1, max_bytes)))
+    seed, turn = 0, 0
+    while turn < ranges:
+        h = lambda k, seed=seed: F.xxhash64(F.lit(seed), k)
+        here = lambda k, h=h, turn=turn: F.pmod(h(k), F.lit(ranges)) == turn
+        mine = lambda df, h=h, here=here: (df.where(here(F.col("key"))) if ranges > 1 else df).withColumn("h", h(F.col("key")))
+        made = cascades(mine(listed.select("key", "verdict")), mine(keys), about / ranges)
+        if made is None:  # what has been found so far stays: with another seed all ranges are looked at again
+            seed, turn = seed + 1, 0
+            continue
+        rows = _judged(with_keys(rows), spark.sparkContext.broadcast(made), h, here if ranges > 1 else None)
+        if ranges > 1:
+            rows = materialise(rows, "judged")
+        turn += 1
+    return rows.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+
+
+def _judged(rows: DataFrame, filters, h, here) -> DataFrame:
+    """The rows (page_id, host, path, best, keys) with the best rule so far, without their keys."""
 
     @F.pandas_udf("array<string>")
     def verdicts(hashes: pd.Series) -> pd.Series:
@@ -160,25 +189,16 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", max_
         ends = np.cumsum([len(x) for x in hashes])
         return pd.Series(np.split(known, ends[:-1]) if len(hashes) else [])
 
-    judged = rows.withColumn("verdicts", verdicts(F.transform("keys", lambda k: F.xxhash64(k))))
+    if here is not None:
+        rows = rows.withColumn("keys", F.filter("keys", lambda k: here(k)))
+    marked = rows.withColumn("verdicts", verdicts(F.transform("keys", lambda k: h(k))))
     fits = F.filter(F.arrays_zip("keys", "verdicts"), lambda x: x["verdicts"].isNotNull())
-    return _decided(judged.withColumn("best", F.array_max(F.transform(fits, lambda x: _rank(x["keys"], x["verdicts"])))), default)
+    return marked.select("page_id", "host", "path", F.greatest("best", F.array_max(F.transform(fits, lambda x: _rank(x["keys"], x["verdicts"])))).alias("best"))
 
 
 def _rank(rule: Column, verdict: Column) -> Column:
     return F.struct(F.length(rule).alias("n"), F.instr(rule, "/").alias("host"), rule.alias("rule"), verdict.alias("verdict"))
 
 
-def _decided(rows: DataFrame, default: str) -> DataFrame:
-    return rows.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
-
-
-def _joined(rows: DataFrame, listed: DataFrame, default: str) -> DataFrame:
-    """The same by joins, for lists whose filters are too large to broadcast: the keys of distinct (host, path) with the rules, then the best rule with the rows."""
-    places = rows.select("host", "path", "keys").dropDuplicates(["host", "path"]).select("host", "path", F.explode("keys").alias("key"))
-    best = places.join(listed.select("key", "verdict"), "key").groupBy("host", "path").agg(F.max(_rank(F.col("key"), F.col("verdict"))).alias("best"))
-    return _decided(rows.join(best, ["host", "path"], "left"), default)
-
-
 def rules_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RULES, "host string, path string, verdict string")
