@@ -159,14 +159,17 @@ def plain_kept(rows):
         distance = lambda mean, k: np.einsum("ij,jk,ik->i", z - mean, np.linalg.inv(k), z - mean)
         best = None
         for start in (a, b * outliers.P / max(np.trace(b), 1e-9), np.eye(outliers.P)):
-            mean, k, last = np.zeros(outliers.P), ridged(start), None
-            for _ in range(outliers.STEPS):
+            mean, k, old = np.zeros(outliers.P), ridged(start), None
+            while True:
                 piece = np.floor(np.log2(distance(mean, k) + 2.0**-20) * outliers.SLICES)
                 chosen = piece <= np.sort(piece)[math.ceil(len(z) * outliers.SHARE) - 1]
-                mean, k = z[chosen].mean(axis=0), ridged(np.cov(z[chosen].T, bias=True) * outliers.consistency(outliers.SHARE))
-                if last is not None and (chosen == last).all():
+                new = z[chosen].mean(axis=0), ridged(np.cov(z[chosen].T, bias=True) * outliers.consistency(outliers.SHARE))
+                value = np.linalg.slogdet(new[1])[1]
+                if old is None or value < old:
+                    mean, k = new
+                if old is not None and value > old - outliers.GAIN:
                     break
-                last = chosen
+                old = value
             if best is None or np.linalg.slogdet(k)[1] < best[0] - 1e-12:
                 best = np.linalg.slogdet(k)[1], mean, k
         chosen = distance(*best[1:]) <= outliers.chi2_quantile(outliers.REWEIGHT, outliers.P)

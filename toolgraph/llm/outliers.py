@@ -5,7 +5,8 @@ words or over 30 % of its words in repeated windows. For the others six statisti
 language and source are a pool, and each pool has a minimum-covariance-determinant estimate of location and scatter; a text is rejected if its Mahalanobis distance squared is beyond the ``CUT`` quantile of chi-square.
 
 The estimate: medians and median absolute deviations scale each dimension; three starting scatters (of hyperbolic tangents, of spatial signs, of the scaled vectors themselves, as in deterministic MCD) are improved by concentration steps: of each
-pool the ``SHARE`` of texts with the least distance gives the next mean and scatter, until the sums stay the same or for ``STEPS`` steps. The start with the least determinant wins, and one reweighting step follows. The scatter gets
+pool the ``SHARE`` of texts with the least distance gives the next mean and scatter, until a step lowers the log determinant by less than ``GAIN`` (then the lower one stays), each pool and start on its own. The start with the least determinant wins, and one
+reweighting step follows. The scatter gets
 a share ``RIDGE`` of the scaled identity, so dimensions that are constant within a pool don't make it singular. The order statistic is taken to 1/64 of an octave of the distance: all texts in the last slice count.
 
 Pools of fewer than ``LEAST`` texts are too small for an estimate: they are judged together with the other small ones of their language, and if these are too few too, with all such.
@@ -20,6 +21,7 @@ Windows and lines are compared by 64-bit hashes within one text. Sums fit longs
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import SPACE, byte_chunks, lean, materialise, mix64, padded, span_hashes
 
 WINDOW, MIN_WORDS, MAX_REPEATED = 8, 20, 30
-UNIT, SHARE, RIDGE, LEAST, STEPS, SLICES, CUT, REWEIGHT = 256, 0.75, 0.5, 50, 20, 64, 0.9999, 0.975
+UNIT, SHARE, RIDGE, LEAST, GAIN, SLICES, CUT, REWEIGHT = 256, 0.75, 0.5, 50, 1e-3, 64, 0.9999, 0.975
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_capitals", "n_marks", "n_lines", "n_dup_lines", "n_repeat_words"]
 FEATURES = ["word_length", "symbols", "capitals", "marks", "dup_lines", "repeat_words"]
 #: The least scale of each dimension. The base rule judges repeats, so here they only add to the other dimensions.
@@ -198,7 +200,10 @@ def _shape(scatter: np.ndarray) -> tuple[list[float], float]:
     return [float(inverse[i, j]) for i, j in PAIRS], float(np.linalg.slogdet(ridged)[1])
 
 
-PARAMETERS = "pool string, start int, scale array<double>, mean array<double>, precision array<double>, logdet double, sums array<long>, settled boolean"
+PARAMETERS = "pool string, start int, scale array<double>, mean array<double>, precision array<double>, logdet double, turn int, settled boolean"
+
+
+COLUMNS = [c.split(" ")[0] for c in PARAMETERS.split(", ")]
 
 
 def start_frames(frames):
@@ -216,12 +221,12 @@ def start_frames(frames):
                         np.fill_diagonal(m, 1.0)
                     else:
                         m = m * P / max(np.trace(m), 1e-9)
-                rows.append((r.pool, start, list(r.scale), [0.0] * P, *_shape(m), [], False))
-        yield pd.DataFrame(rows, columns=["pool", "start", "scale", "mean", "precision", "logdet", "sums", "settled"])
+                rows.append((r.pool, start, list(r.scale), [0.0] * P, *_shape(m), 0, False))
+        yield pd.DataFrame(rows, columns=COLUMNS)
 
 
 def step_frames(frames, factor):
-    """Mean, precision and determinant from the sums over the texts chosen."""
+    """Mean, precision and determinant from the sums over the texts chosen; the ones before, if they were as good."""
     for frame in frames:
         rows = []
         for r in frame.itertuples(index=False):
@@ -229,9 +234,12 @@ def step_frames(frames, factor):
             n = sums[0]
             # n * n * covariance, in integers
             pairs = [n * sums[1 + P + k] - sums[1 + i] * sums[1 + j] for k, (i, j) in enumerate(PAIRS)]
-            scatter = _symmetric([v / (n * n) for v in pairs]) * factor / np.outer(scale, scale)
-            rows.append((r.pool, r.start, list(scale), [float(s / n / c) for s, c in zip(sums[1 : 1 + P], scale, strict=True)], *_shape(scatter), sums, sums == [int(v) for v in r.sums]))
-        yield pd.DataFrame(rows, columns=["pool", "start", "scale", "mean", "precision", "logdet", "sums", "settled"])
+            precision, logdet = _shape(_symmetric([v / (n * n) for v in pairs]) * factor / np.outer(scale, scale))
+            mean, settled = [float(s / n / c) for s, c in zip(sums[1 : 1 + P], scale, strict=True)], r.turn > 0 and logdet > r.logdet - GAIN
+            if settled and logdet >= r.logdet:
+                mean, precision, logdet = list(r.mean), list(r.precision), r.logdet
+            rows.append((r.pool, r.start, list(scale), mean, precision, logdet, r.turn + 1, settled))
+        yield pd.DataFrame(rows, columns=COLUMNS)
 
 
 def concentrated(weighted: DataFrame, parameters: DataFrame) -> DataFrame:
@@ -242,7 +250,7 @@ def concentrated(weighted: DataFrame, parameters: DataFrame) -> DataFrame:
     summed = sliced.select("pool", "start", "n", *(F.sum(c).over(upto).alias(f"all_{c}") for c in SUMS), F.ceil(F.sum("n").over(Window.partitionBy("pool", "start")) * SHARE).alias("h"))
     cut = summed.where("all_n >= h and all_n - n < h").select("pool", "start", F.array(*(f"all_{c}" for c in SUMS)).alias("new"))
     factor = consistency(SHARE)
-    return cut.join(parameters.select("pool", "start", "scale", "sums"), ["pool", "start"]).mapInPandas(lambda it: step_frames(it, factor), PARAMETERS)
+    return cut.join(parameters, ["pool", "start"]).mapInPandas(lambda it: step_frames(it, factor), PARAMETERS)
 
 
 def reweighted(weighted: DataFrame, parameters: DataFrame) -> DataFrame:
@@ -250,7 +258,7 @@ def reweighted(weighted: DataFrame, parameters: DataFrame) -> DataFrame:
     judged = weighted.join(parameters.select("pool", "start", "scale", "mean", "precision"), "pool").where(_distance() <= chi2_quantile(REWEIGHT, P))
     new = judged.groupBy("pool", "start").agg(*_sums()).select("pool", "start", F.array(*SUMS).alias("new"))
     factor = consistency(REWEIGHT)
-    return new.join(parameters.select("pool", "start", "scale", "sums"), ["pool", "start"]).mapInPandas(lambda it: step_frames(it, factor), PARAMETERS)
+    return new.join(parameters.withColumn("turn", F.lit(-1)), ["pool", "start"]).mapInPandas(lambda it: step_frames(it, factor), PARAMETERS)
 
 
 def estimates(weighted: DataFrame, middles: DataFrame) -> DataFrame:
@@ -259,12 +267,14 @@ def estimates(weighted: DataFrame, middles: DataFrame) -> DataFrame:
     norm = F.sqrt(sum((_scaled(i) ** 2 for i in range(P)), F.lit(1e-9)))
     whole = lambda x, y: F.sum(F.col("w") * F.round(4096 * x * y).cast("long"))  # noqa: E731  integers, so that the order of adding doesn't count
     made = [F.array(*(whole(f(i), f(j)) for i, j in PAIRS)).alias(name) for name, f in (("tangents", lambda i: F.tanh(_scaled(i))), ("signs", lambda i: _scaled(i) / norm))]
-    current = materialise(scaled.groupBy("pool").agg(F.first("scale").alias("scale"), *made).mapInPandas(start_frames, PARAMETERS), "mcd-start")
-    for _ in range(STEPS):
-        current = materialise(concentrated(weighted, current), "mcd-step")
-        if not current.where("not settled").limit(1).count():
-            break
-    best = current.groupBy("pool").agg(F.min_by(F.struct("start", "scale", "mean", "precision", "sums"), F.struct("logdet", "start")).alias("best")).select("pool", "best.*")
+    moving = materialise(scaled.groupBy("pool").agg(F.first("scale").alias("scale"), *made).mapInPandas(start_frames, PARAMETERS), "mcd-start")
+    ended = []
+    while not moving.isEmpty():
+        step = materialise(concentrated(weighted, moving), "mcd-step")
+        ended.append(step.where("settled"))
+        moving = step.where("not settled")
+    every = reduce(DataFrame.unionByName, [*ended, moving])
+    best = every.groupBy("pool").agg(F.min_by(F.struct("start", "scale", "mean", "precision", "logdet"), F.struct("logdet", "start")).alias("best")).select("pool", "best.*")
     return materialise(reweighted(weighted, best), "mcd").select("pool", "scale", "mean", "precision")
 
 
