@@ -1,8 +1,8 @@
 """Language identification as a mixture of languages, fitted to each document by expectation-maximisation.
 
 Learnt: for each language the counts of byte trigrams (A-Z lowered, other ASCII a space, texts framed by spaces). With 155 symbols left there are 3.7 million
-trigrams at most, whatever the corpus, and the broadcast table has a row for each that a training text has, so no two share a count; all others share one row of
-smoothing. A document's trigrams are drawn from a mixture of the languages; EM estimates the proportions. The language set is then chosen: the k languages of the largest proportions, for the k whose own fit has the greatest log-likelihood
+trigrams at most, whatever the corpus, and the broadcast table has an entry of six bytes for each pair of a language and a trigram that its training texts have, so no two share a count and a language costs what it uses; all others have
+the language's smoothing. A document's trigrams are drawn from a mixture of the languages; EM estimates the proportions. The language set is then chosen: the k languages of the largest proportions, for the k whose own fit has the greatest log-likelihood
 less ``PENALTY * log(trigrams)`` for each language (a proportion under ``LEAST`` never enters). Predicted is the set's largest proportion, which is the score.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0, and so is every text if no language was learnt; equal proportions go to the language first in
@@ -62,6 +62,27 @@ def count_rows(batches):
     yield from out()
 
 
+class Table:
+    """Probabilities by row (a trigram; 0: one that wasn't found) and language: those that were counted, and each language's smoothing for the rest."""
+
+    def __init__(self, row: np.ndarray, lang: np.ndarray, n: np.ndarray, rows: int, languages: int):
+        order = np.lexsort((lang, row))
+        under = np.bincount(lang, weights=n, minlength=languages) + SMOOTHING * rows
+        self.shape = rows, languages
+        self.start = np.searchsorted(row[order], np.arange(rows + 1)).astype(np.int64)
+        self.lang = lang[order].astype(np.uint16)
+        self.value = ((n[order] + SMOOTHING) / under[lang[order]]).astype(np.float32)
+        self.smooth = (SMOOTHING / under).astype(np.float32)
+
+    def __getitem__(self, rows: np.ndarray) -> np.ndarray:
+        """The given rows, by all languages."""
+        out = np.tile(self.smooth, (len(rows), 1))
+        first, many = self.start[rows], self.start[rows + 1] - self.start[rows]
+        at = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        out[np.repeat(np.arange(len(rows)), many), self.lang[at]] = self.value[at]
+        return out
+
+
 def fit(p: np.ndarray, n: np.ndarray, first: np.ndarray, mask: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """EM for many texts at once: rows of p and n (trigram probabilities by language, counts) of text i start at first[i].
 
@@ -78,7 +99,7 @@ def fit(p: np.ndarray, n: np.ndarray, first: np.ndarray, mask: np.ndarray, round
     return pi, np.add.reduceat(n * np.log(s).astype(np.float64), first)
 
 
-def proportions(rows: np.ndarray, table: np.ndarray, code: np.ndarray, text: np.ndarray, n_texts: int) -> np.ndarray:
+def proportions(rows: np.ndarray, table: Table, code: np.ndarray, text: np.ndarray, n_texts: int) -> np.ndarray:
     """Each text's proportions over its chosen language set; zeros for texts without trigrams. rows: code -> row of the table."""
     out = np.zeros((n_texts, table.shape[1]))
     key, n = np.unique(text.astype(np.int64) * CODES + code, return_counts=True)
@@ -144,7 +165,7 @@ def predict_rows(batches, model):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(mix, kind)], ["doc_id", "held_out", "lang_pred", "score", "languages"])
 
 
-def learn(train: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+def learn(train: DataFrame) -> tuple[list[str], np.ndarray, Table]:
     """From (lang, text): the languages in order, the codes found, and the probabilities by row (0: a code that wasn't, then those found) and language."""
     got = train.where("lang is not null and text is not null").select("lang", "text").mapInArrow(count_rows, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
     lang, slot, n = got.column("lang").combine_chunks().dictionary_encode(), got.column("slot").to_numpy(), got.column("n").to_numpy()
@@ -152,11 +173,8 @@ def learn(train: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     found = lang.dictionary.to_pylist()
     names = sorted(found)
     known, row = np.unique(slot, return_inverse=True)
-    table = np.full((len(known) + 1, len(names)), SMOOTHING)
-    if names:
-        table[row + 1, np.array([names.index(x) for x in found])[lang.indices.to_numpy()]] += n
-        table /= table.sum(axis=0)
-    return names, known, table.astype(np.float32)
+    of = np.array([names.index(x) for x in found], np.int64)[lang.indices.to_numpy()] if names else np.zeros(0, np.int64)
+    return names, known, Table(row + 1, of, n.astype(float), len(known) + 1, len(names))
 
 
 def _learnt(rows: DataFrame):
