@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import plain_models
 from toolgraph.llm import audio, bloom_cascade, chat_template, compression_quality, ctw, decontaminate, langid, license_scan, minhash_dedup, mixing, queries
 
 SF = "/root/testdata/sf0.001"
@@ -149,7 +150,7 @@ def test_lm_model_is_a_distribution():
     kept = [tables[0], *({c: t for c, t in x.items() if t.sum() * 40 >= total} for x in tables[1:])]
     for d in range(2, depth + 1):  # a node's parent is a node too
         kept[d] = {c: t for c, t in kept[d].items() if c & ((1 << 8 * (d - 1)) - 1) in kept[d - 1]}
-    model = ctw.Model(kept, depth)
+    model = plain_models.Model(kept, depth)
     assert np.allclose((10.0 ** model.logp).sum(axis=1), 1, atol=1e-4)
     again = np.frombuffer(buf, np.uint8)
     assert -model.score(again, np.arange(3, len(again))).sum() / math.log10(2) / total < 1.5
@@ -232,7 +233,7 @@ def test_lm_contexts_are_kept_by_their_own_count(spark, docs, monkeypatch):
         for i in range(depth, 0 if h else len(buf)):
             for d in range(depth + 1):
                 tables[d].setdefault(int.from_bytes(buf[i - d : i], "big"), np.zeros(256, np.int64))[buf[i]] += 1
-    model = ctw.Model([tables[0], *({c: t for c, t in x.items() if t.sum() >= 2} for x in tables[1:])], depth)
+    model = plain_models.Model([tables[0], *({c: t for c, t in x.items() if t.sum() >= 2} for x in tables[1:])], depth)
     want = sorted((key(r[0]), len(b), model.score(np.frombuffer(b, np.uint8), np.arange(depth, len(b))).sum()) for r, b in zip(rows, bufs, strict=True))
     for limit, size in ((10**6, 0), (0, 1 << 12), (0, 1 << 30)):
         monkeypatch.setattr(ctw, "GROUP_BYTES", size or ctw.GROUP_BYTES)
@@ -259,46 +260,7 @@ def test_language_proportions_are_those_of_plain_em(spark):
     rows = [(r.doc_id, r.text, r.lang) for r in table.collect()]
     extra = [(10**6, next(t for _, t, x in rows if x == "de")[:900] + " " + next(t for _, t, x in rows if x == "fr")[:900], None), (10**6 + 1, "Qx", None)]
 
-    def grams(t):
-        b = bytes(x + 32 if 65 <= x < 91 else x if 97 <= x < 123 or x > 127 else 32 for x in t.encode())
-        b = b"  " + b + b"  "
-        return Counter(b[i : i + 3] for i in range(len(b) - 2) if b[i + 1] != 32 or (b[i] != 32 and b[i + 2] != 32))
-
-    counts = {}
-    for i, t, x in rows:
-        if zlib.crc32(str(i).encode()) % 4 != 2:
-            counts.setdefault(x, Counter()).update(grams(t))
-    names, known = sorted(counts), set().union(*counts.values())
-    under = {x: sum(counts[x].values()) + 0.5 * (len(known) + 1) for x in names}
-
-    def em(n, p, pi, rounds):
-        for _ in range(rounds):
-            new = dict.fromkeys(pi, 0.0)
-            for g, k in n.items():
-                s = sum(pi[x] * p[g][x] for x in pi)
-                for x in pi:
-                    new[x] += k * pi[x] * p[g][x] / s
-            pi = {x: v / sum(n.values()) for x, v in new.items()}
-        return pi, sum(k * math.log(sum(pi[x] * p[g][x] for x in pi)) for g, k in n.items())
-
-    def judged(t):
-        n = grams(t)
-        p = {g: {x: (counts[x][g] + 0.5) / under[x] for x in names} for g in n}
-        penalty = langid.PENALTY * math.log(sum(n.values()) + 1)
-        full, _ = em(n, p, dict.fromkeys(names, 1 / len(names)), langid.ROUNDS)
-        single = {x: sum(k * math.log(p[g][x]) for g, k in n.items()) for x in names}
-        top = max(names, key=lambda x: single[x])
-        full[top] += 1e-9
-        best, value = {top: 1.0}, single[top] - penalty
-        order = sorted(names, key=lambda x: -full[x])
-        for k in range(2, len(names) + 1):
-            if full[order[k - 1]] < langid.LEAST:
-                break
-            pi, ll = em(n, p, dict.fromkeys(order[:k], 1 / k), 5)
-            if ll - k * penalty > value:
-                best, value = pi, ll - k * penalty
-        return best
-
+    judged = plain_models.language_mixtures([(t, x) for i, t, x in rows if zlib.crc32(str(i).encode()) % 4 != 2])
     rows += extra
     got = {r.doc_id: r for r in langid.documents_identified(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     for i, t, _ in [*rows[:40], *extra]:
@@ -487,7 +449,7 @@ def test_license_scan_names_the_licences_that_the_repository_knows(spark):
 
 def test_budgets_redistribute_among_siblings_first():
     leaves = {("a", "x", "1"): 10, ("a", "x", "2"): 1000, ("a", "y", "1"): 1000, ("b", "x", "1"): 1000}
-    got = mixing.budgets(leaves, {("a",): 1.0, ("b",): 1.0}, 800, 1)
+    got = plain_models.budgets(leaves, {("a",): 1.0, ("b",): 1.0}, 800, 1)
     assert got == {("a", "x", "1"): 10, ("a", "x", "2"): 190, ("a", "y", "1"): 200, ("b", "x", "1"): 400}
 
 
@@ -499,7 +461,7 @@ def test_budgets_in_closed_form(spark):
         table = spark.createDataFrame([(*k, v) for k, v in leaves.items()], "domain string, lang string, source string, held long")
         for share, epochs in ((0.5, 2), (3.0, 2), (0.01, 1)):
             got = {(x.domain, x.lang, x.source): x.budget for x in mixing.plan(table, weights, share, epochs).collect()}
-            want = mixing.budgets(leaves, weights, share * sum(leaves.values()), epochs)
+            want = plain_models.budgets(leaves, weights, share * sum(leaves.values()), epochs)
             assert {k: v for k, v in got.items() if v} == {k: v for k, v in want.items() if v}
 
 
@@ -510,7 +472,7 @@ def brute_mix(rows, share, max_epochs):
         leaves[r[1:4]] += r[4]
     leaves = {k: v for k, v in leaves.items() if v}
     out = []
-    for leaf, budget in mixing.budgets(leaves, mixing.WEIGHTS, share * sum(leaves.values()), max_epochs).items():
+    for leaf, budget in plain_models.budgets(leaves, mixing.WEIGHTS, share * sum(leaves.values()), max_epochs).items():
         if not budget:
             continue
         epochs, rest = divmod(budget, leaves[leaf])
@@ -608,20 +570,13 @@ def test_media_features_are_those_of_a_plain_dft(spark):
 
 
 def test_quality_scores_are_those_of_text_by_text_compression(spark):
-    import zstandard
-
     table, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     held = compression_quality.crc_mod(F.col("doc_id"), 3) == 1
     model = compression_quality.learn(table.select("doc_id", "text"), labels, held)
     # nothing but the text and the model
     sizes = []
     for r in compression_quality.documents_rated(table, labels).join(table.select("doc_id", "text"), "doc_id").collect():
-        data = r.text.encode()
-        both = []
-        for d in (model["bad"], model["good"]):
-            c = zstandard.ZstdCompressor(level=1, dict_data=zstandard.ZstdCompressionDict(d), write_checksum=False, write_content_size=False, write_dict_id=False)
-            both.append(sum(len(c.compress(data[i : i + 2048])) for i in range(0, len(data), 2048)))
-        x = (both[0] - both[1]) / (both[0] + both[1]) if data else 0.0
+        x = plain_models.difference(model, r.text)
         assert math.isclose(r.score, 1 / (1 + math.exp(-model["a"] - model["b"] * x)), rel_tol=1e-6) and r.predicted == (r.score >= 0.5)
         sizes.append(x)
     assert len(sizes) == table.count()
@@ -768,12 +723,16 @@ def test_pipeline(spark):
         frames.append(table)
         table = corpus_pipeline.stored(stage(spark, table, SF), "t")[0]
     before = [{r.doc_id: r for r in f.collect()} for f in frames]
-    lang = {r.doc_id for r in langid.documents_identified(frames[0]).where("lang_pred <> 'und' and score >= 0.5").collect()}
-    assert set(before[1]) == lang
-    good = {r.doc_id for r in compression_quality.documents_rated(frames[1], spark.read.parquet(f"{SF}/labels.parquet")).where("predicted = 1").collect()}
-    assert set(before[2]) == good
+    mixture = plain_models.language_mixtures([(r.text, r.lang) for i, r in before[0].items() if r.lang and zlib.crc32(str(i).encode()) % 4 != 2])
+    letters = lambda t: any(map(str.isalpha, t or ""))
+    assert set(before[1]) == {i for i, r in before[0].items() if letters(r.text) and max(mixture(r.text).values()) >= 0.5}
+    held, labels = compression_quality.crc_mod(F.col("doc_id"), 3) == 1, spark.read.parquet(f"{SF}/labels.parquet")
+    rated = plain_models.compressed(compression_quality.learn(frames[1].select("doc_id", "text"), labels, held))
+    assert set(before[2]) == {i for i, r in before[1].items() if rated(r.text) >= 0.5}
     rows = [(r.doc_id, r.text) for r in before[2].values()]
     assert {repr(i) for i in before[3]} == {c for _, _, c in brute_components(rows)}
     bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     assert {repr(i) for i in before[4]} == {h[0] for h in brute_hits([(r.doc_id, r.text) for r in before[3].values()], bench) if not h[4]}
-    assert frames[4].columns == frames[0].columns and {r.doc_id for r in table.collect()} <= set(before[4])
+    assert frames[4].columns == frames[0].columns
+    want = brute_mix(mix_rows([(r.doc_id, r.text, r.lang, r.source) for r in before[4].values()]), mixing.SHARE, mixing.MAX_EPOCHS)
+    assert sorted((key(r.doc_id), r.domain, r.lang, r.source, r.n_tokens, r.copies) for r in table.collect()) == want

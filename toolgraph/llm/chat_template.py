@@ -8,6 +8,8 @@ Expressions: string and integer literals, true, false, none, names, ``m.field``,
 Source -> tokens -> syntax tree -> constants folded -> closures. Closures stream: they take an iterator of messages and give pieces one at a time, so a
 conversation of any length is rendered in the memory of one turn.
 
+Edge cases: null roles and texts are empty; turns with one number go by role and text; repeated rows are turns each; rows without a conversation id are conversations of their own; an empty table gives an empty one (the probe's conversation only, where it is added).
+
 ``escape`` puts ``\\`` after the first character of each control string of a text and doubles the text's own ``\\``; ``unescape`` drops one ``\\`` of each pair or lone one.
 """
 

@@ -11,7 +11,7 @@ and weighed up to those; the driver weighs the contexts of up to two bytes. No p
 65,536 of four, and there are 65,793 of up to two (in text, a few thousand of each). On the way back each context of four bytes gets a pair (a, b) such that a + b * p is the whole mixture, p being that of its own subtree. Up to ``TABLE_LIMIT``
 grams and tokens the tables are broadcast. Beyond it, texts are dealt in groups of about ``GROUP_BYTES``; a group asks the parts of the tables for the keys that it has, packed as arrays, and is scored with the answers.
 
-Gram and token counts come from all training texts: tasks fold their own and pack them as arrays for each part of the keys, and the parts are summed (``spark.sql.shuffle.partitions`` of them). Edge cases: a null text is empty;
+Gram and token counts come from all training texts: tasks fold their own and pack them as arrays for each part of the keys, and the parts are summed (as many as there are shuffle partitions, and one at least for each ``PART_BYTES`` of text). Edge cases: a null text is empty;
 a null id counts as the empty text for the split; without training texts every decision has probability 1/2 and every token count is 0
 (base_score 0 for lack of a distribution if V + N is 0: log10 of 0.1/0.1); repeated rows are scored and counted each.
 """
@@ -31,6 +31,8 @@ from .common import _R, LOWER_LUT, Counts, byte_chunks, crc_mod, fold_sorted, le
 DEPTH, LEAST, DEAL, BORDER = 6, 2, 4, 2
 #: Grams, and tokens, that are broadcast at most (16 bytes each); beyond it texts are dealt in groups of so many bytes. Grams that a task weighs.
 TABLE_LIMIT, GROUP_BYTES, TASK_GRAMS = 6_000_000, 40 << 20, 50_000
+#: Bytes of text for each part of the keys at most.
+PART_BYTES = 32 << 20
 GRAM_SCHEMA, CELL_SCHEMA = "key long, logp double", "key long, zeros double, ones double, log_w double"
 PACKED_SCHEMA, COUNT_SCHEMA = "part int, kind int, keys binary, n binary", "kind int, key long, n long"
 _WANTED, WANTED_SCHEMA = ["part", "kind", "keys", "n", "owner"], "part int, kind int, keys binary, n binary, owner long"
@@ -149,99 +151,6 @@ def kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return lgamma(zeros + 0.5) + lgamma(ones + 0.5) - lgamma(zeros + ones + 1) - 1.1447298858494002
 
 
-class Model:
-    """The same model with dense tables in one process, for small trees: next state by preceding byte, and log10 probability of each next byte, by state."""
-
-    def __init__(self, tables: list[dict[int, np.ndarray]], depth: int):
-        """tables[d]: context (an integer of d bytes, the latest lowest) -> counts of the next byte, for the contexts that are nodes."""
-        root = tables[0].get(0, np.zeros(256))
-        inner: list[tuple[int, int]] = [(0, 0)]
-        for d in range(1, depth):
-            inner += [(d, c) for c in sorted(tables[d])]
-        index = {x: i for i, x in enumerate(inner)}
-        self.inner = len(inner)
-        child = np.zeros((self.inner, 256), np.int32)
-        self.child = child
-        kids: list[list[tuple[int, int]]] = [[] for _ in inner]
-        for d in range(1, depth + 1):
-            for c in sorted(tables[d]):
-                kids[index[d - 1, c & ((1 << 8 * (d - 1)) - 1)]].append((c >> 8 * (d - 1), c))
-        size = self.inner
-        leaf_counts: list[np.ndarray] = []
-        leaf_of: list[tuple[int, int]] = []
-        for i, (d, c) in enumerate(inner):
-            own = root if d == 0 else tables[d][c]
-            rest = own.astype(np.float64).copy()
-            child[i] = size + len(leaf_counts)
-            leaf_counts.append(rest)
-            leaf_of.append((i, -1))
-            for byte, k in kids[i]:
-                rest -= tables[d + 1][k]
-                if d + 1 < depth:
-                    child[i, byte] = index[d + 1, k]
-                else:
-                    child[i, byte] = size + len(leaf_counts)
-                    leaf_counts.append(tables[d + 1][k].astype(np.float64))
-                    leaf_of.append((i, byte))
-        parent = np.zeros(size + len(leaf_counts), np.int64)
-        for i in range(1, size):
-            d, c = inner[i]
-            parent[i] = index[d - 1, c & ((1 << 8 * (d - 1)) - 1)]
-        parent[size:] = [i for i, _ in leaf_of]
-        level = np.array([d for d, _ in inner])
-        log_w = np.zeros((len(parent), 255), np.float32)
-        for a in range(0, len(leaf_counts), 2048):
-            log_w[size + a : size + a + 2048] = kt(*decisions(np.array(leaf_counts[a : a + 2048])))
-        sums = np.zeros((size, 255))
-        np.add.at(sums, parent[size:], log_w[size:])
-        beta = np.zeros((size, 255), np.float32)
-        own = [root if d == 0 else tables[d][c] for d, c in inner]
-        for d in range(depth - 1, -1, -1):
-            at = np.flatnonzero(level == d)
-            for part in np.array_split(at, max(1, len(at) // 2048)):
-                est = kt(*decisions(np.array([own[i] for i in part]).reshape(-1, 256)))
-                beta[part] = np.clip(est - sums[part], -700, 700)
-                log_w[part] = np.logaddexp(est, sums[part]) - np.log(2)
-            if d:
-                np.add.at(sums, parent[at], log_w[at])
-        del log_w, sums
-        # probabilities of a one, from the root's child side down: a state's mixture needs its ancestors' estimates and weights
-        self.logp = np.zeros((len(parent), 256), np.float32)
-        everything = np.arange(size, len(parent))
-        for part in np.array_split(everything, max(1, len(everything) // 1024)):
-            zeros, ones = decisions(np.array([leaf_counts[i - size] for i in part]))
-            p = (ones + 0.5) / (zeros + ones + 1)
-            up, live = parent[part], np.ones(len(part), bool)
-            for _ in range(depth):
-                if not live.any():
-                    break
-                zeros, ones = decisions(np.array([own[i] for i in up[live]]))
-                here = (ones + 0.5) / (zeros + ones + 1)
-                share = 1 / (1 + np.exp(-beta[up[live]].astype(np.float64)))
-                p[live] = share * here + (1 - share) * p[live]
-                was_root = up == 0
-                up = np.where(was_root, 0, parent[up])
-                live &= ~was_root
-            logs = np.zeros((len(part), 512))
-            one, zero = np.log10(p), np.log10(1 - p)
-            for i in (1, 2, 4, 8, 16, 32, 64, 128):
-                logs[:, 2 * i : 4 * i : 2] = logs[:, i : 2 * i] + zero[:, i - 1 : 2 * i - 1]
-                logs[:, 2 * i + 1 : 4 * i : 2] = logs[:, i : 2 * i] + one[:, i - 1 : 2 * i - 1]
-            self.logp[part] = logs[:, 256:]
-        self.logp = np.ascontiguousarray(self.logp[size:])
-        self.depth = depth
-
-    def score(self, buf: np.ndarray, where: np.ndarray) -> np.ndarray:
-        """log10 probability of the byte at each position, given the bytes before it."""
-        state = self.child[0][buf[where - 1]].astype(np.int64)
-        flat = self.child.reshape(-1)
-        for d in range(2, self.depth + 1):
-            low = state < self.inner
-            at = np.where(low, state * 256 + buf[where - d], 0)
-            state = np.where(low, flat[at], state)
-        return self.logp.reshape(-1)[(state - self.inner) * 256 + buf[where]].astype(np.float64)
-
-
 def below(keys: np.ndarray, size: int) -> np.ndarray:
     """The lowest bytes of keys."""
     return keys & np.uint64((1 << 8 * size) - 1)
@@ -480,22 +389,22 @@ def table_rows(batches, kind: int, column: str, parts: int):
 
 @lean
 def answer_rows(batches):
-    """(owner, kind, keys, n): the keys that each group wants and that the tables have, with their values, of the parts that a task has."""
-    wanted: list[tuple] = []
-    own: dict[int, list] = {0: [], 1: []}
-    for batch in batches:
-        for r in batch.to_pylist():
-            keys = np.frombuffer(r["keys"], np.uint64)
-            if r["owner"] < 0:
-                own[r["kind"]].append((keys, np.frombuffer(r["n"], np.float64)))
-            else:
-                wanted.append((r["owner"], r["kind"], keys))
+    """(owner, kind, keys, n): the keys that each group wants and that the tables have, with their values, of the part that a task has. Rows come by owner, so the part's tables are held, and requests answered one after the other."""
     none = [(np.zeros(0, np.uint64), np.zeros(0))]
-    tables = {kind: Table(*map(np.concatenate, zip(*(x or none), strict=True))) for kind, x in own.items()}
-    for owner, kind, keys in wanted:
-        values = tables[kind].of(keys)
-        known = values != 0  # no log probability and no count is 0
-        yield pa.RecordBatch.from_arrays([pa.array([owner]), pa.array([kind], pa.int32()), pa.array([keys[known].tobytes()], pa.binary()), pa.array([values[known].astype(np.float32 if kind else np.int64).tobytes()], pa.binary())], ["owner", "kind", "keys", "n"])
+    own: dict[int, list] = {0: list(none), 1: list(none)}
+    tables = None
+    for batch in batches:
+        for i in range(len(batch)):
+            owner, kind, keys = batch.column("owner")[i].as_py(), batch.column("kind")[i].as_py(), np.frombuffer(batch.column("keys")[i].as_py(), np.uint64)
+            if owner < 0:  # the tables come first
+                own[kind].append((keys, np.frombuffer(batch.column("n")[i].as_py(), np.float64)))
+                continue
+            if tables is None:
+                tables = {k: Table(*map(np.concatenate, zip(*x, strict=True))) for k, x in own.items()}
+                own.clear()
+            values = tables[kind].of(keys)
+            known = values != 0  # no log probability and no count is 0
+            yield pa.RecordBatch.from_arrays([pa.array([owner]), pa.array([kind], pa.int32()), pa.array([keys[known].tobytes()], pa.binary()), pa.array([values[known].astype(np.float32 if kind else np.int64).tobytes()], pa.binary())], ["owner", "kind", "keys", "n"])
 
 
 @lean
@@ -539,9 +448,9 @@ def lm_scores(docs: DataFrame, held_out, depth: int = DEPTH, least: int = LEAST,
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), held_out.alias("held_out"))
-    train = rows.where(~F.col("held_out"))
-    n_train = train.select(F.count("*")).first()[0]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_train, size = rows.agg(F.count_if(~F.col("held_out")), F.sum(F.octet_length("text"))).first()
+    # a text has as many grams as bytes at most, so no part holds more than PART_BYTES of them, whatever the corpus
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (size or 0) // PART_BYTES + 1)
     counted = rows.select("text", "held_out").mapInArrow(lambda it: count_rows(it, depth, parts), PACKED_SCHEMA)
     # arrays instead of rows go through the shuffle: each task has folded its own keys already
     counts = materialise(counted.repartitionById(parts, "part").mapInArrow(merged_rows, COUNT_SCHEMA), "ctw-counts")
@@ -564,7 +473,7 @@ def _by_group(rows: DataFrame, table: DataFrame, words: DataFrame, totals: tuple
     dealt = rows.withColumn("owner", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))).repartition(max(1, groups), "owner")
     asked = dealt.sortWithinPartitions("owner").mapInArrow(lambda it: wanted_rows(it, depth, parts), WANTED_SCHEMA)
     held = table.mapInArrow(lambda it: table_rows(it, 1, "logp", parts), WANTED_SCHEMA).unionAll(words.mapInArrow(lambda it: table_rows(it, 0, "n", parts), WANTED_SCHEMA))
-    answers = asked.unionAll(held).repartitionById(parts, "part").mapInArrow(answer_rows, "owner long, kind int, keys binary, n binary")
+    answers = asked.unionAll(held).repartitionById(parts, "part").sortWithinPartitions("owner").mapInArrow(answer_rows, "owner long, kind int, keys binary, n binary")
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         own: dict[int, list] = {0: [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 1: [(np.zeros(0, np.uint64), np.zeros(0, np.float32))]}

@@ -1,7 +1,7 @@
 """Benchmark decontamination: a prefix-filtered join of benchmark windows with documents, in DataFrame operations only.
 
 An item's windows are its runs of 13 words (a shorter item, but not an empty one, is one window). A window occurs where a document has the same words in a
-row, so any one of its words must match: its prefix under the order of rarity is the single rarest word, counted over all documents. The words of documents are
+row, so any one of its words must match: its shingles are single words here (all of them have to be in the document, so one is prefix enough), its prefix under the order of rarity is the single rarest word, counted over all documents. The words of documents are
 joined with these prefix words; a match fixes where the window would lie, the position and length bounds discard those that stick out, and the rest are
 verified word by word against the document's slice. Words are joined in full lower case (a superset of matches) and verified with A-Z lowered only.
 

@@ -16,8 +16,6 @@ a leaf without tokens gets nothing, and so does a child without weight; without
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,50 +29,6 @@ WEIGHTS = {("d0",): 3.0, ("d1",): 2.0, ("d2",): 1.0, **{(d, "en"): 4.0 for d in
 FEW_LEAVES = 200_000
 
 
-def fill(amount: float, children: list[tuple[float, float]]) -> list[float]:
-    """Shares of ``amount`` by weight among (weight, capacity), shortages going to the siblings: the rounds that ``shared`` has in closed form (tests hold it against them)."""
-    out, left = [0.0] * len(children), set(range(len(children)))
-    while left and amount > 1e-9:
-        total = sum(children[i][0] for i in left)
-        if total <= 0:
-            break
-        short = [i for i in left if children[i][1] - out[i] <= amount * children[i][0] / total]
-        if not short:
-            for i in left:
-                out[i] += amount * children[i][0] / total
-            break
-        given = 0.0
-        for i in short:
-            given += children[i][1] - out[i]
-            out[i] = children[i][1]
-        left -= set(short)
-        amount -= given
-    return out
-
-
-def budgets(leaves: dict[tuple, int], weights: dict[tuple, float], total: float, max_epochs: float) -> dict[tuple, int]:
-    """Tokens for each leaf path, from the tokens it holds; on the driver, for small trees and tests."""
-    held: dict[tuple, float] = defaultdict(float)
-    children: dict[tuple, set] = defaultdict(set)
-    for path, tokens in leaves.items():
-        for d in range(len(path) + 1):
-            held[path[:d]] += tokens * max_epochs
-            if d:
-                children[path[: d - 1]].add(path[:d])
-    out: dict[tuple, int] = {}
-
-    def go(node: tuple, amount: float) -> None:
-        if node in leaves:
-            out[node] = int(amount + 1e-6)
-            return
-        below = sorted(children[node])
-        for child, share in zip(below, fill(amount, [(weights.get(c, 1.0), held[c]) for c in below]), strict=True):
-            go(child, share)
-
-    go((), min(total, held[()]))
-    return out
-
-
 def shared(children: DataFrame, parent: list[str], name: str) -> DataFrame:
     """(parent, name, share) of children (parent, name, weight, capacity, amount); amount is the parent's."""
     ratio = F.when(F.col("weight") > 0, F.col("capacity") / F.col("weight")).otherwise(float("inf"))
