@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .operators import converter, matching
 from .sources import readers
 
+# The identity methods that are used if none are named.
 DEFAULT_METHODS = ["name_homepage", "doi"]
 DOCUMENT = (
     "biotoolsCURIE string, biotoolsID string, additionDate string, collectionID array<string>, credit array<struct<name:string,typeEntity:string,orcidid:string,typeRole:array<string>>>, description string,"

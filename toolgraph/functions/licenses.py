@@ -25,6 +25,7 @@ ALIASES = {
     "mit": "MIT", "mit-license": "MIT", "bsd-2-clause": "BSD-2-Clause", "bsd-3-clause": "BSD-3-Clause", "agpl-3": "AGPL-3.0-only",
     "cc0": "CC0-1.0", "epl": "EPL-1.0", "cpl": "CPL-1.0", "unlimited": "Unlicense",
 }
+# The families in the order in which they are looked for, and the ids of those whose version doesn't matter.
 FAMILIES = ["gpl", "lgpl", "apache", "bsd", "mit", "artistic", "agpl", "cc0", "cc-by-nc-nd", "cc-by-nc", "cc-by-sa", "cc-by", "epl", "cpl"]
 FAMILY_SPDX = {
     "apache": "Apache-2.0", "mit": "MIT", "agpl": "AGPL-3.0-only", "epl": "EPL-1.0", "cpl": "CPL-1.0", "cc0": "CC0-1.0", "cc-by": "CC-BY-4.0",

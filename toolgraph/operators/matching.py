@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import normalise_package_url, remove_protocol
 from .components import components
+from .quality import chunked
 from .storage import remove, stored, workspace
 
 #: name -> builder of an array of identity values from a record's columns (empty or null: the record has none).
@@ -62,8 +63,10 @@ def without_partner(mine: DataFrame, theirs: DataFrame, files: DataFrame) -> Dat
     return files.join(shared, "file", "left_anti")
 
 
-def inverted_index(rows: DataFrame, lists: bool = True) -> DataFrame:
-    """(method, value, n, files) of keys (file, method, value); without ``lists`` only the counts, for values that very many files share."""
+def inverted_index(rows: DataFrame, lists: bool = True, chunk: int | None = None) -> DataFrame:
+    """(method, value, n, files) of keys (file, method, value); without ``lists`` only the counts. With ``chunk`` a value's files come as rows (method, value, chunk, n, files) of at most so many, for values that very many files share."""
+    if chunk:
+        return chunked(rows.distinct(), ["method", "value"], "file", chunk, "files")
     wanted = [F.count("*").alias("n"), *([F.sort_array(F.collect_list("file")).alias("files")] if lists else [])]
     return rows.distinct().groupBy("method", "value").agg(*wanted)
 

@@ -312,6 +312,15 @@ def unmatched_right(t):
     return matching.without_partner(right, left, t.supplier.select(F.col("s_suppkey").alias("file")))
 
 
+@query("SELECT 'flag' AS method, l_returnflag AS value, count(DISTINCT l_orderkey) AS n, true AS chunks_fit, sum(DISTINCT l_orderkey)::BIGINT AS total FROM lineitem GROUP BY 2")
+def inverted_index_chunks(t):
+    """The files of values that very many share, in lists of at most 500."""
+    rows = t.lineitem.select(F.lit("flag").alias("method"), F.col("l_returnflag").alias("value"), F.col("l_orderkey").alias("file"))
+    chunks = matching.inverted_index(rows, chunk=500)
+    total = F.aggregate("files", F.lit(0).cast("long"), lambda a, x: a + x)
+    return chunks.groupBy("method", "value").agg(F.max("n").alias("n"), (F.max(F.size("files")) <= 500).alias("chunks_fit"), F.sum(total).alias("total"))
+
+
 @query("SELECT lang AS method, source AS value, count(*) AS n FROM documents GROUP BY 1, 2")
 def inverted_index(t):
     return matching.inverted_index(t.documents.select(F.col("lang").alias("method"), F.col("source").alias("value"), F.col("doc_id").alias("file")), lists=False)

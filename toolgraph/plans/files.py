@@ -486,8 +486,8 @@ def citation_files(t):
 @query("SELECT o_orderkey AS id, o_orderstatus AS status FROM orders")
 def metric_lists(t):
     folder = workspace(t._spark)
-    lists = t.orders.groupBy((F.col("o_orderkey") % 16).alias("part")).agg(F.to_json(F.collect_list(F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status")))).alias("doc"))
-    sinks.record_files(lists.unionByName(t._spark.createDataFrame([(99, "<html>")], "part long, doc string")), folder, F.concat("part", F.lit(".json")), F.col("doc"), "text")
+    lists = t.orders.groupBy(F.floor(F.col("o_orderkey") / 1000).alias("part")).agg(F.to_json(F.collect_list(F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status")))).alias("doc"))
+    sinks.record_files(lists.unionByName(t._spark.createDataFrame([(-1, "<html>")], "part long, doc string")), folder, F.concat("part", F.lit(".json")), F.col("doc"), "text")
     return readers.json_or_none(t._spark, f"{folder}/*.json").select(F.variant_get("doc", "$.id", "long").alias("id"), F.variant_get("doc", "$.status", "string").alias("status"))
 
 
@@ -530,9 +530,11 @@ def config_release(spark: SparkSession, release: str) -> str | None:
     return readers.config_value(spark, f"{folder}/*.txt", "release_version")
 
 
-@query("SELECT p_partkey, '3.18' AS release FROM part")
+@query("SELECT p_partkey, '3.' || (SELECT max(p_size) FROM part) AS release FROM part")
 def release_setting(t):
-    return t.part.select("p_partkey", F.lit(config_release(t._spark, "3.18")).alias("release"))
+    """A release number that a step before has left in a configuration file."""
+    newest = t.part.agg(F.max("p_size")).first()[0]
+    return t.part.select("p_partkey", F.lit(config_release(t._spark, f"3.{newest}")).alias("release"))
 
 
 @query("SELECT 'bioconductor-pkg' || s_suppkey AS id, 'Pkg' || s_suppkey AS name, '1.' || s_nationkey AS version, CASE WHEN s_suppkey % 2 = 0 THEN '10.1/' || s_suppkey END AS doi FROM supplier")
