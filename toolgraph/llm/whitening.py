@@ -1,7 +1,7 @@
 """Embedding whitening: the first principal components by block Lanczos that never forms the covariance, and vectors projected on them at unit variance.
 
 A component c of a vector becomes the integer x = floor(256 * c). The fit list is each distinct x vector once, written to the shared folder; its size n and the sums S are exact integers. One pass over it
-takes a block of directions Q (dims * block numbers, broadcast) to V Q = 1/n sum of d (d' Q) with d = (n * x - S) / n, centred before multiplying; tasks hand on one row of sums each. A block Krylov basis grows by these passes, each
+takes a block of directions Q (dims * block numbers, broadcast) to V Q = 1/n sum of d (d' Q) with d = (n * x - S) / n, centred before multiplying; tasks hand on dims * block sums each, which groupBy merges by place. A block Krylov basis grows by these passes, each
 new block reorthogonalised twice against all of it. Directions that the basis already spans (a breakdown) are started anew from seeded random ones; a basis of ``basis`` columns is restarted from its best Ritz vectors. It ends when
 the residuals |V u - e u| of the wanted pairs, measured with the products in hand, are down to ``tolerance`` of the largest eigenvalue, haven't halved in the last ``RESTARTS`` restarts, or the basis spans everything. The trace comes from the exact deviations, so
 explained shares need no other eigenvalue.
@@ -73,9 +73,30 @@ def sum_rows(batches, dims):
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([[Decimal(int(v)) for v in total]], pa.list_(pa.decimal128(38, 0)))], ["n", "total"])
 
 
+SUMS = "place int, value double, high decimal(38,0), low decimal(38,0)"
+
+
+def _sums(values: np.ndarray, trace: int = 0) -> pa.RecordBatch:
+    """A task's sums as rows (place, value), and at place -1 its part of the trace."""
+    kind = pa.decimal128(38, 0)
+    high, low = ([None] * len(values) + [Decimal(v)] for v in divmod(trace, HALF))
+    return pa.RecordBatch.from_arrays([pa.array([*range(len(values)), -1], pa.int32()), pa.array([*values.tolist(), None], pa.float64()), pa.array(high, kind), pa.array(low, kind)], ["place", "value", "high", "low"])
+
+
+def summed(parts: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """The sums of all tasks, merged by Spark: size + 1 rows come back."""
+    out, trace = np.zeros(size), 0
+    for r in parts.groupBy("place").agg(F.sum("value").alias("value"), F.sum("high").alias("high"), F.sum("low").alias("low")).collect():
+        if r["place"] < 0:
+            trace = int(r["high"]) * HALF + int(r["low"])
+        else:
+            out[r["place"]] = r["value"]
+    return out, trace
+
+
 @lean
 def product_rows(batches, sent):
-    """One row: the sums of d (d' Q), and of the squared deviations."""
+    """The sums of d (d' Q), and of the squared deviations."""
     q, n, sums = sent.value
     out, trace, some = np.zeros(q.shape), 0, False
     for batch in batches:
@@ -85,8 +106,7 @@ def product_rows(batches, sent):
         out += d.T @ (d @ q)
         some = True
     if some:
-        parts = [pa.array([Decimal(v)], pa.decimal128(38, 0)) for v in divmod(trace, HALF)]
-        yield pa.RecordBatch.from_arrays([pa.array([out.ravel()], pa.list_(pa.float64())), *parts], ["product", "high", "low"])
+        yield _sums(out.ravel(), trace)
 
 
 @lean
@@ -104,20 +124,14 @@ def whitened_rows(batches, sent):
 
 @lean
 def square_rows(batches, sent):
-    """One row: the sums of the whitened fit list and of its products."""
+    """The sums of the whitened fit list and of its products."""
     axes, n, sums = sent.value
     total, squares = 0, 0
     for batch in batches:
         white = (deviations(entries(batch.column("x"), len(axes)), n, sums).astype(np.float64) / n) @ axes
         total, squares = total + white.sum(axis=0), squares + white.T @ white
     if np.ndim(total):
-        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([total, squares.ravel()])], pa.list_(pa.float64()))], ["product"])
-
-
-def summed(parts: DataFrame, size: int) -> np.ndarray:
-    """The sum of the arrays in the column product, merged by Spark: one row comes back."""
-    row = parts.agg(*[F.sum(F.col("product")[i]).alias(f"p{i}") for i in range(size)]).first()
-    return np.array(row, float)
+        yield _sums(np.concatenate([total, squares.ravel()]))
 
 
 def _orthogonal(w: np.ndarray, basis: np.ndarray, columns: int, scale: float, rng) -> np.ndarray:
@@ -174,11 +188,10 @@ def whitened(embeddings: DataFrame, components: int = COMPONENTS, dims: int = DI
 
     def multiply(q: np.ndarray) -> np.ndarray:
         sent = context.broadcast((q, n, sums))
-        parts = fit.mapInArrow(lambda it: product_rows(it, sent), "product array<double>, high decimal(38,0), low decimal(38,0)")
-        row = parts.agg(F.sum("high"), F.sum("low"), *[F.sum(F.col("product")[i]) for i in range(q.size)]).first()
-        trace[:] = [int(row[0]) * HALF + int(row[1])]
+        out, all_ = summed(fit.mapInArrow(lambda it: product_rows(it, sent), SUMS), q.size)
+        trace[:] = [all_]
         sent.destroy()
-        return np.array(row[2:], float).reshape(q.shape) / n
+        return out.reshape(q.shape) / n
 
     e, u = np.zeros(0), np.zeros((dims, 0))
     if n:
@@ -188,7 +201,7 @@ def whitened(embeddings: DataFrame, components: int = COMPONENTS, dims: int = DI
     sent = context.broadcast((u / np.sqrt(e), n, sums))
     k, error = len(e), 0.0
     if k:
-        got = summed(fit.mapInArrow(lambda it: square_rows(it, sent), "product array<double>"), k + k * k) / n
+        got = summed(fit.mapInArrow(lambda it: square_rows(it, sent), SUMS), k + k * k)[0] / n
         error = float(np.abs(got[k:].reshape(k, k) - np.outer(got[:k], got[:k]) - np.eye(k)).max())
     shares = [float(v) / (trace[0] / n**3) for v in e]
     share = F.element_at(F.array(*map(F.lit, shares)), F.col("component")) if k else F.lit(None).cast("double")
