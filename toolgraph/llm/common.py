@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import re
 import tempfile
@@ -55,6 +56,20 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """remove, when the driver's Python ends, if the JVM is still there."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def gone() -> None:
+        try:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+        except Exception:  # the JVM has gone: the folder stays
+            pass
+
+    atexit.register(gone)
+
+
 @contextmanager
 def scratch(spark: SparkSession):
     """What materialise writes inside goes at the end, so a result has to be stored by then."""
@@ -69,9 +84,11 @@ def scratch(spark: SparkSession):
 
 
 def finished(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """What build() gives, stored; the folders that it worked in are gone."""
+    """What build() gives, stored until the driver's Python ends; the folders that it worked in are gone."""
     with scratch(spark):
-        return stored(build(), name)[0]
+        out, path = stored(build(), name)
+    remove_at_exit(spark, path)
+    return out
 
 
 def free(df: DataFrame, *names: str) -> list[str]:
