@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from toolgraph.llm import compression_quality, decontaminate, langid, minhash_dedup, mixing
-from toolgraph.llm.common import crc_mod, read, remove, scratch, stored
+from toolgraph.llm.common import crc_mod, read, remove, remove_at_exit, scratch, stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows. Once a stage's result is written, the folders that it worked in go, and so does its predecessor's result."""
+    """The last stage's rows. Once a stage's result is written, the folders that it worked in go, and so does its predecessor's result; the last one goes when the driver's Python ends."""
     docs, last = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         with scratch(spark):
@@ -67,4 +67,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if last:
             remove(spark, last)
         last = path
+    remove_at_exit(spark, last)
     return docs
