@@ -47,7 +47,7 @@ def evaluate_changes(arriving: DataFrame, key: str, content: str, order: str, ju
     """(key, version, *schema): a streaming table with a row whenever a key's content is new or another than the last one judged; a key is never forgotten, so what has come once isn't judged again however late it comes again.
 
     arriving: a stream of (key, content, order); of a key's rows in one batch the last by ``order`` (of equals the greatest content) counts. judge(content) gives a dictionary of the schema's fields; it runs in tasks, once for each change.
-    State holds one content and a number for each key, in the state store (RocksDB), spread over the shuffle partitions by key; many rows of one key are read as a stream of batches. A null content is the empty text.
+    State holds one content and a number for each key, in the state store (the session has to be set to the RocksDB one), spread over the shuffle partitions by key; many rows of one key are read as a stream of batches. A null content is the empty text.
     """
     fields = StructType.fromDDL(schema)
     kind = arriving.schema[key].dataType.simpleString()
