@@ -5,7 +5,7 @@ summed sizes, (bad - good) / (bad + good), goes through a logistic curve whose t
 
 Learnt from a bounded sample: of each label up to ``SAMPLE`` texts, those with the least hash of their id, in turn one for the dictionary and one to calibrate. A label's texts are dealt in ``GROUPS``, and each group's
 dictionary is trained by a task on all blocks of its texts: they wait up to ``WAITING`` bytes, then a dictionary trained on them stands for them among those that follow. The label's dictionary is trained on the blocks of its groups'. So all
-text of the sample counts, a task holds ``WAITING`` bytes, and the driver gets ``2 * GROUPS * DICTIONARY`` bytes (2 MB), however long texts are; the differences to calibrate by are taken on the executors too, over whole texts.
+text of the sample counts, a task holds ``WAITING`` bytes, and the driver gets ``2 * GROUPS * DICTIONARY`` bytes (8 MB), however long texts are, and a long text weighs no more than its group; the differences to calibrate by are taken on the executors too, over whole texts.
 
 Edge cases: null and empty texts have difference 0; a document with both labels counts as its mean label (0.5 or more: good); of one id's texts
 the one with the least hash is learnt from; with a label missing the score is the share of label 1 among the sample (0.5 without any); repeated rows are scored each; an empty table gives an empty one.
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_mod, lean, materialise, rows_where
 
-SAMPLE, GROUPS, WAITING, BLOCK, DICTIONARY, LEVEL = 1500, 16, 1 << 25, 2048, 65536, 1
+SAMPLE, GROUPS, WAITING, BLOCK, DICTIONARY, LEVEL = 1500, 64, 1 << 25, 2048, 65536, 1
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, difference double"
 
 
