@@ -34,10 +34,8 @@ def xml_files(rows: DataFrame, root: str, folder: str) -> None:
         import pyarrow as pa
 
         head, foot = (pa.RecordBatch.from_arrays([pa.array([x])], ["value"]) for x in (f"<{root}>", f"</{root.split(' ')[0]}>"))
-        for i, batch in enumerate(batches):
-            if not i:
-                yield head
-            yield batch
+        yield head  # a partition without rows is a document too
+        yield from batches
         yield foot
 
     rows.mapInArrow(wrapped, "value string").write.text(folder)

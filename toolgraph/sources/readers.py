@@ -59,14 +59,14 @@ _PREFIX = re.compile(r"<(?:([A-Za-z_][\w.-]*):)?(?:urlset|sitemapindex)[\s>]")
 def sitemap(spark: SparkSession, path: str, index: bool = False) -> DataFrame:
     """(loc, lastmod) of sitemaps, or of sitemap indexes, whatever prefix a file gives their namespace.
 
-    The heads of the files are read for the prefixes that they use; each prefix's elements are then read from the files by their own tag, so that large files are split.
+    The heads of the files are read for the prefixes that they use; each prefix's elements are then read from the files by their own tag, so that large files are split. What isn't well-formed gives no row.
     """
     tag, fields = "sitemap" if index else "url", ("loc", "lastmod")
     heads = spark.read.text(path).select(F.regexp_extract("value", _PREFIX.pattern, 1).alias("prefix"), F.rlike("value", F.lit(_PREFIX.pattern)).alias("root")).where("root").select("prefix").distinct()
     out = []
     for prefix in sorted(r.prefix for r in heads.collect()) or [""]:  # as many as there are ways to write it
         named = lambda f, prefix=prefix: f"{prefix}:{f}" if prefix else f
-        rows = spark.read.format("xml").option("rowTag", named(tag)).schema(", ".join(f"`{named(f)}` string" for f in fields)).load(path)
+        rows = spark.read.format("xml").option("rowTag", named(tag)).option("mode", "DROPMALFORMED").schema(", ".join(f"`{named(f)}` string" for f in fields)).load(path)
         out.append(rows.select(*(F.col(f"`{named(f)}`").alias(f) for f in fields)))
     return reduce(DataFrame.unionByName, out)
 
