@@ -1,8 +1,12 @@
 """What only shows on tables of several partitions, several machines or many files."""
 
-from toolgraph.plans import files
+import pytest
+
+from toolgraph.plans import catalog, documents, files
 from toolgraph.sources import readers
 
+SF = "/root/testdata/sf0.001"
+
 
 def test_sitemap_of_a_partition_without_rows(spark, tmp_path):
     rows = spark.createDataFrame([("<url><loc>a</loc></url>",)], "value string").repartition(3)
@@ -12,3 +16,14 @@ def test_sitemap_of_a_partition_without_rows(spark, tmp_path):
     (tmp_path / "broken.xml").write_text("<urlset>\n<url><loc>b</loc></url>\n</urlset>\n</urlset>\n")
     (tmp_path / "foot.xml").write_text("</urlset>\n")
     assert [r.loc for r in readers.sitemap(spark, f"{tmp_path}/*.xml").collect()] == ["b"]
+
+
+@pytest.mark.parametrize("name", ["recipe_triples", "bioconductor_triples", "container_triples", "node_triples", "legacy_node_triples", "triple_property_counts", "convert_packages"])
+def test_rows_of_one_file_are_dealt_to_tasks(spark, monkeypatch, name):
+    want = sorted(map(str, catalog.QUERIES[name](spark, SF).collect()))
+    dealt = []
+    monkeypatch.setattr(catalog, "DEALT", 40)
+    monkeypatch.setattr(documents, "spread", lambda df: dealt.append(catalog.spread(df)) or dealt[-1])
+    assert sorted(map(str, catalog.QUERIES[name](spark, SF).collect())) == want
+    if name != "triple_property_counts":
+        assert dealt and all(df.rdd.getNumPartitions() == df.count() // 40 + 1 for df in dealt)

@@ -22,6 +22,16 @@ class Tables:
         return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
 
 
+#: Rows that one task maps at once.
+DEALT = 50_000
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """The table dealt to tasks of about DEALT rows each: millions of short rows can be a few MB of Parquet, which one task would read and map. Only the files' footers are read for their count."""
+    tasks = table.count() // DEALT + 1
+    return table.repartition(tasks) if tasks > 1 else table
+
+
 def query(sql: str):
     """Registers f(tables) under its name, with its SQL."""
 
@@ -38,7 +48,7 @@ SUPPLIER = "urn:supplier:"
 
 def supplier_graph(t: Tables) -> DataFrame:
     # nation has 25 rows: Spark broadcasts it by its own size check
-    s = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    s = spread(t.supplier).join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
     return triples.facts(s, F.concat(F.lit(SUPPLIER), "s_suppkey"), [
         triples.Rule(triples.TYPE, F.lit(triples.SC + "Organization"), True), triples.Rule(triples.SC + "name", F.col("s_name")),
         triples.Rule(triples.SC + "location", F.concat(F.lit("urn:nation:"), "n_name"), True),
@@ -46,7 +56,7 @@ def supplier_graph(t: Tables) -> DataFrame:
 
 
 def customer_graph(t: Tables) -> DataFrame:
-    return triples.facts(t.customer, F.concat(F.lit("urn:customer:"), "c_custkey"), [
+    return triples.facts(spread(t.customer), F.concat(F.lit("urn:customer:"), "c_custkey"), [
         triples.Rule(triples.TYPE, F.lit(triples.SC + "Person"), True), triples.Rule(triples.SC + "name", F.col("c_name")), triples.Rule(triples.SC + "category", F.col("c_mktsegment")),
     ])
 

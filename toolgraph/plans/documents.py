@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import authors, canon, licenses, predicates, text
 from ..operators import converter, mappers, matching, publications, quality, triples, upsert, validation
-from .catalog import _TERMS, Tables, query
+from .catalog import _TERMS, Tables, query, spread
 
 SC, BSC, TYPE, EDAM = triples.SC, triples.BSC, triples.TYPE, triples.PREFIXES["edam"]
 
@@ -26,7 +26,7 @@ def term_sql(words: str) -> str:
 
 def documents(df: DataFrame, **fields: Column) -> DataFrame:
     """(doc VARIANT) of the given fields, nulls kept as nulls."""
-    return df.select(F.to_variant_object(F.struct(*(c.alias(n) for n, c in fields.items()))).alias("doc"))
+    return spread(df).select(F.to_variant_object(F.struct(*(c.alias(n) for n, c in fields.items()))).alias("doc"))
 
 
 def terms(t: Tables) -> DataFrame:
@@ -121,7 +121,7 @@ def container_triples(t):
     even = cat('["biotools:Tool', k, '", {"doi": "10.1/', k, '"}, "DOI:10.2/', k, '", {"doi": null}, "other:1"]')
     odd = cat('[{"biotools": "Tool', k, '"}]')
     fields = F.to_json(F.struct(cat("box", k).alias("name"), cat("a \n", F.col("p_name")).alias("description"), F.col("p_type").alias("license"), cat("https://h.example/", k).alias("home_url"), F.split("p_name", " ").alias("keywords")))
-    raw = t.part.select(F.parse_json(F.concat(F.substring(fields, F.lit(1), F.length(fields) - 1), F.lit(', "identifiers": '), F.when(k % 2 == 0, even).otherwise(odd), F.lit("}"))).alias("doc"))
+    raw = spread(t.part).select(F.parse_json(F.concat(F.substring(fields, F.lit(1), F.length(fields) - 1), F.lit(', "identifiers": '), F.when(k % 2 == 0, even).otherwise(odd), F.lit("}"))).alias("doc"))
     answers = t.part.select(cat(_P["biotools"], "tool", k).alias("url"), (k % 3 == 0).alias("ok")).unionAll(t.part.select(cat("https://h.example/", k), k % 2 == 0))
     return triples.union_graph(mapped(mappers.flatten_containers(raw, answers), _P["biocontainers"], "name", triples.CONTAINER))
 
@@ -165,7 +165,7 @@ def tool_triples(t):
     credit = lambda name, kind, orcid, *roles: F.struct(name.alias("name"), (F.lit(kind) if kind else none).alias("typeEntity"), orcid.alias("orcidid"), texts(*roles).alias("typeRole"))
     side = lambda x: F.array(F.struct(F.struct(cat(x, n).alias("term"), F.lit(f"http://e.example/{x}").alias("uri")).alias("data"), F.array(F.struct(F.lit("f").alias("term"), F.lit("http://e.example/f").alias("uri"))).alias("format")))
     page = lambda kind, url: F.struct(texts(kind).alias("type"), url.alias("url"))
-    docs = t.supplier.select(
+    docs = spread(t.supplier).select(
         cat("t", k).alias("biotoolsID"), F.col("s_name").alias("name"), cat("d", k).alias("description"), cat("https://h.example/", k).alias("homepage"), texts("Library", "Workflow").alias("toolType"),
         F.when(k % 2 == 0, "MIT").alias("license"), F.array(n.cast("string")).alias("version"), texts("Linux").alias("operatingSystem"),
         F.array(credit(F.col("s_name"), "Person", cat("https://orcid.org/0000-0000-0000-", k), "Developer"), credit(cat("Org", n), "Institute", none, "Provider"), credit(F.lit("NoKind"), None, F.lit("https://orcid.org/9"), "Contributor"), credit(cat("Fund", n), "Funding agency", none, "Documentor")).alias("credit"),
@@ -195,7 +195,7 @@ def recipe_triples(t):
 def nodes(t: Tables) -> DataFrame:
     k = F.col("p_partkey")
     one = lambda name, c: F.array(F.struct(c.alias(name)))
-    return t.part.select(
+    return spread(t.part).select(
         one("alias", F.when(k % 2 == 0, cat("/n", k)).otherwise(F.lit(""))).alias("path"), one("target_id", F.when(k % 5 == 0, "training").otherwise("software")).alias("type"), one("value", F.col("p_name")).alias("title"),
         one("value", cat("<p>x &amp; ", k, "</p>")).alias("body"), one("target_uuid", cat("f-", F.col("p_size"))).alias("field_has_function"), F.array(F.struct(cat(" https://p.example/", k, " ").alias("uri"), F.col("p_type").alias("title"))).alias("field_has_reference_publication"),
         one("value", F.col("p_brand")).alias("field_has_license"), one("target_id", k.cast("int")).alias("field_is_dependent_of"), one("value", F.lit("2021-02-03T04:05:06+00:00")).alias("changed"),
@@ -254,7 +254,7 @@ _SPDX = "CASE c_custkey % 5 WHEN 0 THEN 'MIT' WHEN 1 THEN 'GPL-3.0-or-later' WHE
 
 
 def package_rows(t: Tables) -> DataFrame:
-    return t.customer.select(
+    return spread(t.customer).select(
         cat("Pkg", F.col("c_custkey")).alias("Package"), cat(F.col("c_name"), " [aut, cre], Fund ", F.col("c_nationkey"), " [fnd]").alias("Author"), F.col("c_mktsegment").alias("Description"),
         F.lit(None).cast("string").alias("URL"), F.expr(_RAW_LICENSE).alias("License"), cat("1.", F.col("c_nationkey")).alias("Version"), "c_custkey",
     )
@@ -262,7 +262,7 @@ def package_rows(t: Tables) -> DataFrame:
 
 def existing_rows(t: Tables) -> DataFrame:
     """Documents of two thirds of the packages, some under another name."""
-    c = t.customer.where("c_custkey % 3 <> 0")
+    c = spread(t.customer).where("c_custkey % 3 <> 0")
     return c.select(
         cat("bioconductor-pkg", F.col("c_custkey")).alias("biotoolsID"), F.when(F.col("c_custkey") % 3 == 1, cat("Pkg", F.col("c_custkey"))).otherwise(cat("Old", F.col("c_custkey"))).alias("name"), F.lit("old").alias("description"),
         F.lit("Zlib").alias("license"), F.array(F.lit("0.1")).alias("version"), F.lit("2019-01-01").alias("additionDate"), F.array(F.lit("Zoo")).alias("collectionID"), F.array(F.struct(F.lit("10.9/z").alias("doi"))).alias("publication"), F.lit("kept").alias("owner"),
@@ -271,7 +271,7 @@ def existing_rows(t: Tables) -> DataFrame:
 
 def citation_pages(t: Tables) -> DataFrame:
     html = cat('<link href="https://doi.org/10.0/no"><A class="x" HREF=\' https://doi.org/10.1/p', F.col("c_custkey"), ' \'>a</A><a href="https://e.org">b</a><a href="http://dx.doi.org/10.2/q?a=1&amp;b=2">c</a>')
-    return t.customer.where("c_custkey % 2 = 0").select(cat("Pkg", F.col("c_custkey")).alias("package"), html.alias("html"))
+    return spread(t.customer).where("c_custkey % 2 = 0").select(cat("Pkg", F.col("c_custkey")).alias("package"), html.alias("html"))
 
 
 @query(f"""SELECT 'bioconductor-pkg' || c_custkey AS id, 'biotools:bioconductor-pkg' || c_custkey AS curie, 'Pkg' || c_custkey AS name, c_mktsegment AS description, '' AS download, 'https://bioconductor.org/packages/Pkg' || c_custkey AS homepage,
