@@ -2,6 +2,7 @@
 
 import pytest
 
+from toolgraph.functions import licenses
 from toolgraph.plans import catalog, documents, files
 from toolgraph.sources import readers
 
@@ -27,3 +28,15 @@ def test_rows_of_one_file_are_dealt_to_tasks(spark, monkeypatch, name):
     assert sorted(map(str, catalog.QUERIES[name](spark, SF).collect())) == want
     if name != "triple_property_counts":
         assert dealt and all(df.rdd.getNumPartitions() == df.count() // 40 + 1 for df in dealt)
+
+
+def test_licences_are_worked_out_once_for_each_text(spark):
+    rows = spark.createDataFrame([("MIT",), ("MIT",), ("nothing",), (None,)], "raw string")
+    found = licenses.normalise(rows, "raw")
+    assert sorted(((r.raw or "", r.spdx or "") for r in found.collect())) == [("", ""), ("MIT", "MIT"), ("MIT", "MIT"), ("nothing", "")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: next(i for i, c in enumerate(line) if c.isalpha())
+    for at, line in enumerate(plan):
+        if "Aggregate [_raw" in line:  # nothing but the rows' texts feeds the list of distinct ones
+            below = [x for i, x in enumerate(plan[at + 1 :]) if all(depth(y) > depth(line) for y in plan[at + 1 : at + 2 + i])]
+            assert below and not any("RLIKE" in x or "PythonUDF" in x or "ArrowEval" in x for x in below)

@@ -98,9 +98,11 @@ def normalise(df: DataFrame, column: str, to: str = "spdx", aliases: dict[str, s
     """Adds the SPDX id. Each distinct text is worked out once, the close match only for those that the exact stages leave, and joined back. Extra aliases go before the fixed ones."""
     known, ids = ALIASES | (aliases or {}), SPDX if spdx is None else spdx
     raw = F.col("_raw")
-    texts = df.select(F.col(column).alias("_raw")).where(raw.isNotNull()).distinct().withColumn("_key", cleaned(raw))
+    # the texts depend on their counts, or the filters below would be worked out for every row, before rows with one text are brought together
+    texts = df.select(F.col(column).alias("_raw")).where(raw.isNotNull()).groupBy("_raw").agg(F.count("*").alias("_n")).select("_raw", F.when(F.col("_n") > 0, raw).alias("_text"))
+    texts = texts.withColumn("_key", cleaned(F.col("_text")))
     key = F.col("_key")
-    exact = F.coalesce(_lookup(key, known), F.when(F.upper(key).isin([x for x in ids if x == x.upper()]), F.upper(key)), by_family(raw))
+    exact = F.coalesce(_lookup(key, known), F.when(F.upper(key).isin([x for x in ids if x == x.upper()]), F.upper(key)), by_family(F.col("_text")))
     texts = texts.withColumn("_exact", exact)
     found = texts.where("_exact is not null or _key = ''").select("_raw", F.col("_exact").alias("_found"))
     rest = texts.where("_exact is null and _key <> ''").select("_raw", close_match(key, spdx, cutoff).alias("_found"))
