@@ -1,11 +1,17 @@
 """What only shows on tables of several partitions, several machines or many files."""
 
+import subprocess
+import sys
+from pathlib import Path
+
+import duckdb
 import pytest
 
 from toolgraph.functions import licenses
 from toolgraph.plans import catalog, documents, files
 from toolgraph.sources import readers
 
+HERE = str(Path(__file__).resolve().parent.parent)
 SF = "/root/testdata/sf0.001"
 
 
@@ -40,3 +46,18 @@ def test_licences_are_worked_out_once_for_each_text(spark):
         if "Aggregate [_raw" in line:  # nothing but the rows' texts feeds the list of distinct ones
             below = [x for i, x in enumerate(plan[at + 1 :]) if all(depth(y) > depth(line) for y in plan[at + 1 : at + 2 + i])]
             assert below and not any("RLIKE" in x or "PythonUDF" in x or "ArrowEval" in x for x in below)
+
+
+def test_database_is_reached_from_other_processes(tmp_path):
+    code = f"""
+from pyspark.sql import SparkSession
+s = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.executor.memory", "1g").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "{tmp_path}").getOrCreate()
+import __spark_entry__ as e
+print([e.queries()[q](s, "{SF}").count() for q in ("jdbc_table", "jdbc_ranged")])
+"""
+    ran = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, cwd=HERE)
+    db = duckdb.connect()
+    for t in ("customer", "orders"):
+        db.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    want = [len(db.sql(catalog.ORACLE_SQL[q]).df()) for q in ("jdbc_table", "jdbc_ranged")]
+    assert ran.stdout.strip().endswith(str(want)), ran.stderr[-2000:]

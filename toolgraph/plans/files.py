@@ -498,13 +498,42 @@ def listed_nodes(t):
     return readers.nodes(t._spark, listed.select("nid"), cache, lambda nid: None).select("nid", F.variant_get("doc", "$.title", "string").alias("title"))
 
 
-def database(rows: DataFrame, table: str) -> tuple[str, dict]:
-    """A table in the database that Spark brings along, in memory: its address, and how it is read."""
-    url = f"jdbc:derby:memory:t{uuid.uuid4().hex};create=true"
-    options = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    kinds = ", ".join(f"{c} VARCHAR(64)" for c, kind in rows.dtypes if kind == "string")
-    rows.coalesce(4).write.option("createTableColumnTypes", kinds).jdbc(url, table, properties=options)
-    return url, options
+def database(rows: DataFrame, table: str, *index: str) -> tuple[str, dict]:
+    """A table in the database that Spark brings along, in order of the columns of its index if it has one: its address, and how it is read.
+
+    That database belongs to one process, or, as an archive in a folder that all share, to any number that only read it. So tasks write the rows as files, the driver has the database import these, which it does page by page, and archives it.
+    """
+    import zipfile
+    from pathlib import Path
+    from urllib.parse import unquote, urlparse
+
+    spark = rows.sparkSession
+    place = urlparse(sinks.address(spark, workspace(spark)))
+    if place.scheme != "file":
+        raise ValueError(f"the database needs a folder of the file system, not {place.geturl()}")
+    folder, name = Path(unquote(place.path)), f"t{uuid.uuid4().hex}"
+    (rows.repartitionByRange(*index).sortWithinPartitions(*index) if index else rows).write.csv(f"{folder}/rows", quoteAll=False, escape='"', emptyValue='""', nullValue="")
+    driver, none = spark._jvm.org.apache.derby.iapi.jdbc.AutoloadedDriver(), spark._jvm.java.util.Properties()
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR(64)"}
+    columns = ", ".join(f'"{c}" {kinds[kind]}' for c, kind in rows.dtypes)
+    connection = driver.connect(f"jdbc:derby:{folder}/{name};create=true", none)
+    statement = connection.createStatement()
+    statement.execute(f"CREATE TABLE {table} ({columns})")
+    for part in sorted((folder / "rows").glob("part-*")):
+        statement.execute(f"CALL SYSCS_UTIL.SYSCS_IMPORT_TABLE(NULL, '{table.upper()}', '{part}', NULL, NULL, 'UTF-8', 0)")
+    if index:
+        statement.execute(f"CREATE INDEX by_key ON {table} ({', '.join(f'{chr(34)}{c}{chr(34)}' for c in index)})")
+    connection.close()
+    try:
+        driver.connect(f"jdbc:derby:{folder}/{name};shutdown=true", none)
+    except Exception as closed:  # its answer to a shutdown is an error
+        if "08006" not in str(closed) and "shutdown" not in str(closed):
+            raise
+    with zipfile.ZipFile(folder / "database.jar", "w", zipfile.ZIP_STORED) as archive:  # stored, so that pages are found without reading those before them
+        for file in sorted((folder / name).rglob("*")):
+            if file.is_file() and file.suffix != ".lck":
+                archive.write(file, str(file.relative_to(folder)))
+    return f"jdbc:derby:jar:({folder}/database.jar){name}", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
 
 
 @query("SELECT c_custkey, c_name FROM customer")
@@ -516,7 +545,7 @@ def jdbc_table(t):
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000) AND o_orderstatus = 'F'")
 def jdbc_ranged(t):
     """Eight ranges of a key, after the database's own semi join, with the filter pushed down."""
-    url, options = database(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"), "orders")
+    url, options = database(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"), "orders", "o_custkey", "o_totalprice")
     rows = readers.jdbc_ranges(t._spark, url, "orders", "\"o_custkey\"", 8, 'SELECT "o_custkey" FROM orders WHERE "o_totalprice" > 400000', **options)
     return rows.where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderstatus")
 
