@@ -52,9 +52,37 @@ def keys(records: DataFrame, methods: list[str], file: str = "file") -> DataFram
     return records.select(F.col(file).alias("file"), F.explode(tagged).alias("k")).select("file", "k.method", "k.value")
 
 
+#: Pairs that one task makes at once.
+PAIRS = 2_000_000
+
+
 def edges(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(f1, f2, method): pairs that share a value under a method."""
-    return left.select(F.col("file").alias("f1"), "method", "value").join(right.select(F.col("file").alias("f2"), "method", "value"), ["method", "value"]).select("f1", "f2", "method").distinct()
+    """(f1, f2, method): pairs that share a value under a method.
+
+    They grow with the product of a value's files, so their number is counted first, and values with more than PAIRS of them are dealt in parts, each a block of left by a block of right. Only files that both have several
+    values under a method can meet twice; these pairs alone are compared for repeats.
+    """
+    k = ["method", "value"]
+
+    def side(df: DataFrame, f: str, n: str) -> DataFrame:
+        rows = df.select(F.col("file").alias(f), *k).where("value is not null").distinct()
+        return rows.withColumn(f"several_{n}", F.count("*").over(Window.partitionBy(f, "method")) > 1)
+
+    mine, theirs = side(left, "f1", "1"), side(right, "f2", "2")
+    sizes = mine.groupBy(*k).agg(F.count("*").alias("n1")).join(theirs.groupBy(*k).agg(F.count("*").alias("n2")), k)
+    cut1 = F.least(F.col("n1"), F.ceil(F.col("n1") * F.col("n2") / PAIRS))
+    sizes = sizes.withColumn("cut1", cut1).withColumn("cut2", F.least(F.col("n2"), F.ceil(F.col("n1") * F.col("n2") / F.col("cut1") / PAIRS)))
+    tasks = int((sizes.agg(F.sum(F.col("n1") * F.col("n2"))).first()[0] or 0) // PAIRS + 1)
+    cuts = sizes.select(*k, "cut1", "cut2")
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    own = lambda f, c: F.pmod(F.xxhash64(f), F.col(c))
+    mine = mine.join(cuts, k).withColumn("part1", own("f1", "cut1")).withColumn("part2", every("cut2")).drop("cut1", "cut2")
+    theirs = theirs.join(cuts, k).withColumn("part2", own("f2", "cut2")).withColumn("part1", every("cut1")).drop("cut1", "cut2")
+    on = [*k, "part1", "part2"]
+    if tasks > 1:
+        mine, theirs = mine.repartition(tasks, *on), theirs.repartition(tasks, *on)
+    once = mine.join(theirs, on).where("not (several_1 and several_2)").select("f1", "f2", "method")
+    return once.unionByName(mine.where("several_1").join(theirs.where("several_2"), on).select("f1", "f2", "method").distinct())
 
 
 def without_partner(mine: DataFrame, theirs: DataFrame, files: DataFrame) -> DataFrame:
