@@ -7,9 +7,12 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 from toolgraph.functions import licenses
+from toolgraph.operators import matching
 from toolgraph.plans import catalog, documents, files
-from toolgraph.sources import readers
+from toolgraph.sources import readers, sinks
 
 HERE = str(Path(__file__).resolve().parent.parent)
 SF = "/root/testdata/sf0.001"
@@ -61,3 +64,25 @@ print([e.queries()[q](s, "{SF}").count() for q in ("jdbc_table", "jdbc_ranged")]
         db.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = [len(db.sql(catalog.ORACLE_SQL[q]).df()) for q in ("jdbc_table", "jdbc_ranged")]
     assert ran.stdout.strip().endswith(str(want)), ran.stderr[-2000:]
+
+
+def test_pairs_of_a_value_are_dealt_to_tasks(spark, monkeypatch):
+    left = [(i, "m", "hot") for i in range(60)] + [(i, "m", "x") for i in range(5)] + [(1, "n", "hot"), (7, "m", None), (7, "m", "hot")]
+    right = [(i, "m", "hot") for i in range(40)] + [(i, "m", "x") for i in range(3)] + [(2, "n", "hot"), (8, "m", None)]
+    want = sorted({(a, b, m) for a, m, v in left for b, n, w in right if m == n and v == w and v})
+    monkeypatch.setattr(matching, "PAIRS", 100)
+    a, b = (spark.createDataFrame(x, "file long, method string, value string") for x in (left, right))
+    found = matching.edges(a, b)
+    assert sorted(map(tuple, found.collect())) == want
+    most = max(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect())
+    assert most < len(want) / 2  # 2,400 of one value
+    assert matching.edges(a.limit(0), b).count() == 0
+
+
+def test_turtle_files_are_bounded(spark, tmp_path, monkeypatch):
+    graph = spark.range(300).selectExpr("concat('http://e.example/', id) s", "'http://schema.org/name' p", "cast(id as string) o", "'literal' o_kind")
+    monkeypatch.setattr(sinks, "TURTLE_LINES", 50)
+    sinks.turtle(graph.coalesce(1), f"{tmp_path}/t", {"e": "http://e.example/"})
+    sizes = [len(f.read_text().splitlines()) for f in (tmp_path / "t").glob("*.txt")]
+    assert max(sizes) <= 50 and sum(n - 1 for n in sizes) == 300
+    assert readers.turtle(spark, f"{tmp_path}/t/*.txt").exceptAll(graph).count() == 0 and readers.turtle(spark, f"{tmp_path}/t/*.txt").count() == 300

@@ -305,8 +305,12 @@ def _parsed(texts: DataFrame, read) -> DataFrame:
 
         names = [f.split(" ")[0] for f in TAGGED.split(", ")]
         for batch in batches:
-            found = [t for text in batch.column(0).to_pylist() if text is not None for t in read(text)]
-            yield pa.RecordBatch.from_arrays([pa.array([t[i] for t in found], pa.string()) for i in range(len(names))], names)
+            found = []
+            for n, text in enumerate(batch.column(0), 1):
+                found += read(text.as_py()) if text.is_valid else []
+                if len(found) >= 10_000 or n == len(batch):
+                    yield pa.RecordBatch.from_arrays([pa.array([t[i] for t in found], pa.string()) for i in range(len(names))], names)
+                    found = []
 
     return texts.mapInArrow(rows, TAGGED)
 

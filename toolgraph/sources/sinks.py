@@ -29,19 +29,30 @@ def lines(df: DataFrame, path: str) -> None:
     df.sort(df.columns[0]).write.mode("overwrite").text(path)
 
 
+#: Lines of a Turtle file: a document is read as a whole.
+TURTLE_LINES = 5_000
+
+
 def turtle(graph: DataFrame, path: str, prefixes: dict[str, str] | None = None) -> None:
-    """A graph as Turtle files, each with the prefixes at its head and its statements in order."""
+    """A graph as Turtle files of up to TURTLE_LINES lines, each with the prefixes at its head and its statements in order."""
     from ..operators import triples
 
-    head = triples.turtle_head(prefixes)
+    head, lines_ = triples.turtle_head(prefixes), TURTLE_LINES
 
     def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for i, batch in enumerate(batches):
-            if not i:
-                yield pa.RecordBatch.from_arrays([pa.array(head, pa.string())], ["value"])
-            yield batch
-
-    triples.turtle(graph, prefixes).repartitionByRange("s").sortWithinPartitions("s").select("value").mapInArrow(headed, "value string").write.mode("overwrite").text(path)
+        free = 0
+        for batch in batches:
+            at = 0
+            while at < len(batch):
+                if not free:
+                    yield pa.RecordBatch.from_arrays([pa.array(head, pa.string())], ["value"])
+                    free = lines_ - len(head)
+                taken = batch.column(0).slice(at, free)
+                yield pa.RecordBatch.from_arrays([taken], ["value"])
+                at, free = at + len(taken), free - len(taken)
+
+    rows = triples.turtle(graph, prefixes).repartitionByRange("s").sortWithinPartitions("s").select("value").mapInArrow(headed, "value string")
+    rows.write.mode("overwrite").option("maxRecordsPerFile", lines_).text(path)
 
 
 def csv(df: DataFrame, path: str) -> None:
