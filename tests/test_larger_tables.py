@@ -86,3 +86,25 @@ def test_turtle_files_are_bounded(spark, tmp_path, monkeypatch):
     sizes = [len(f.read_text().splitlines()) for f in (tmp_path / "t").glob("*.txt")]
     assert max(sizes) <= 50 and sum(n - 1 for n in sizes) == 300
     assert readers.turtle(spark, f"{tmp_path}/t/*.txt").exceptAll(graph).count() == 0 and readers.turtle(spark, f"{tmp_path}/t/*.txt").count() == 300
+
+
+def test_tasks_list_and_read_files(spark, tmp_path, monkeypatch):
+    for i, name in enumerate(["a/m.yaml", "b/m.yaml", "c d%/m.yaml", "b/n.json", "b/_hidden.yaml", ".x/m.yaml", "b/[z].yaml", "b/raw.yaml", "b/empty.yaml"]):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes([f"{name}\nö".encode(), b"\xff\xfe"][name == "b/raw.yaml"] * (name != "b/empty.yaml"))
+    monkeypatch.setattr(readers, "NAMES", 2)
+    monkeypatch.setattr(readers, "FILES", 1)
+    raw = F.base64(F.col("value").cast("binary")).alias("value")
+    for pattern in ["*/m.yaml", "b", "*/*.yaml", "{a/m,b/n}.*", "[^a]*/?.[jy]*", "b/\\[z\\].yaml", "a/m.yaml"]:
+        found = readers.texts(spark, f"{tmp_path}/{pattern}")
+        want = spark.read.text(f"{tmp_path}/{pattern}", wholetext=True).select(F.col("_metadata.file_path").alias("path"), raw)
+        assert sorted(map(tuple, found.select("path", raw).collect())) == sorted(map(tuple, want.collect())), pattern
+        # the driver's plan names the stored list, none of the files
+        assert not any(f.endswith((".yaml", ".json")) for f in found.inputFiles())
+    assert readers.texts(spark, f"{tmp_path}/*/m.yaml").rdd.getNumPartitions() == 5
+    want = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tmp_path)).select("path", "length", F.col("modificationTime").cast("string"))
+    listed = readers.listing(spark, str(tmp_path)).select("path", "length", F.col("modified").cast("string"))
+    assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, want.collect()))
+    assert not any(f.endswith((".yaml", ".json")) for f in listed.inputFiles())
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        readers.texts(spark, f"{tmp_path}/none*")

@@ -3,22 +3,148 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Callable, Iterator
 from functools import reduce
+from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import recipes
+from ..operators.storage import stored, workspace
 from ..operators.triples import from_jsonld, from_turtle
 from . import service
+from .sinks import address
+
+#: Files, and bytes of them, that one task reads; folders whose names one task lists; names, or bytes of files, that a task holds at once.
+FILES, READ_BYTES, FOLDERS, NAMES, HELD = 1_000, 128 << 20, 10_000, 2_000, 4 << 20
+#: What a java.net.URI has as %XX in a path.
+_QUOTED = re.compile(r"""[\x00-\x20"#%<>?\[\\\]^`{|}\x7f]""")
+
+
+def _opened(place: str):
+    """(store, path in it, what comes before the path in addresses)."""
+    from pyarrow import fs
+
+    if place.startswith("file:"):
+        return fs.LocalFileSystem(), re.sub("^file:/+", "/", place), "file:"
+    base = re.match(r"[^:/]+://[^/]*", place)[0]  # the rest may hold what an URI has to quote
+    store, bucket = fs.FileSystem.from_uri(f"{base}/")
+    head = base.removesuffix(bucket.strip("/"))
+    return store, place.removeprefix(head), head
+
+
+def _names(store, folder: str) -> Iterator[list[str]]:
+    """The names in a folder, up to NAMES at once; none of what isn't a folder."""
+    from pyarrow import fs
+
+    if isinstance(store, fs.LocalFileSystem):
+        if not os.path.isdir(folder):
+            return
+        names, held = (x.name for x in os.scandir(folder)), []
+        for name in names:
+            held.append(name)
+            if len(held) == NAMES:
+                yield held
+                held = []
+        yield held
+    elif store.get_file_info(folder).type == fs.FileType.Directory:
+        names = [x.base_name for x in store.get_file_info(fs.FileSelector(folder, allow_not_found=True))]
+        yield from (names[i : i + NAMES] for i in range(0, len(names), NAMES))
+
+
+def _dealt(rows: DataFrame, each: int) -> DataFrame:
+    n = rows.count()
+    return rows.repartition(max(n // each + 1, min(n, rows.sparkSession.sparkContext.defaultParallelism), 1))
+
+
+def files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame | None:
+    """(path, length, modified) of the files that a path or a glob pattern of Hadoop's names, or that are in the folders that it names, without hidden and empty ones, as Spark's own readers take them.
+
+    Those hold a record of every file on the driver, which millions of small files don't allow. Here tasks list the folders, level by level, and the names are a stored table. None: a store that only Spark reaches.
+    """
+    globs, folder, found = spark._jvm.org.apache.hadoop.fs, workspace(spark, "listed"), []
+    for n, pattern in enumerate(globs.GlobExpander.expand(path)):
+        parts = pattern.rstrip("/").split("/")
+        first = next((i for i, x in enumerate(parts) if re.search(r"[*?\[{\\]", x)), len(parts))
+        place = address(spark, "/".join(parts[:first]) or ("/" if pattern.startswith("/") else "."))
+        try:
+            root = _opened(place)[1]
+        except (pa.ArrowException, OSError, NotImplementedError):
+            return None
+
+        def children(batches: Iterator[pa.RecordBatch], place=place) -> Iterator[pa.RecordBatch]:
+            store = _opened(place)[0]
+            for batch in batches:
+                for at in batch.column("place").to_pylist():
+                    for names in _names(store, at):
+                        yield pa.RecordBatch.from_arrays([pa.array([at] * len(names), pa.string()), pa.array(names, pa.string())], ["at", "name"])
+
+        def leaves(batches: Iterator[pa.RecordBatch], place=place) -> Iterator[pa.RecordBatch]:
+            from pyarrow import fs
+
+            store, _, head = _opened(place)
+
+            def found(paths: list[str], top: bool) -> Iterator[pa.RecordBatch]:
+                infos = [x for x in store.get_file_info(paths) if not re.match(r"\.|_(?!.*=)|.*\._COPYING_$", x.base_name) or top and x.type == fs.FileType.Directory]
+                own = [x for x in infos if x.type == fs.FileType.File and x.size]
+                times = pa.array([(x.mtime_ns or 0) // 1_000_000 * 1000 for x in own], pa.int64()).cast(pa.timestamp("us", "UTC"))
+                yield pa.RecordBatch.from_arrays([pa.array([head + x.path for x in own], pa.string()), pa.array([x.size for x in own], pa.int64()), times], ["path", "length", "modified"])
+                for x in infos:
+                    if x.type == fs.FileType.Directory and (top or recursive or "=" in x.base_name):
+                        for names in _names(store, x.path):
+                            yield from found([f"{x.path}/{name}" for name in names], False)
+
+            for batch in batches:
+                paths = batch.column("place").to_pylist()
+                for i in range(0, len(paths), NAMES):
+                    yield from found(paths[i : i + NAMES], True)
+
+        rows = spark.range(0, 1, 1, 1).select(F.lit(root.rstrip("/")).alias("place"))
+        for i, part in enumerate(parts[first:]):
+            if re.search(r"[*?\[{\\]", part):
+                named = F.rlike("name", F.lit(rf"(?s)\A(?:{globs.GlobPattern(part).compiled().pattern()})\z"))
+                rows = rows.mapInArrow(children, "at string, name string").where(named).select(F.concat("at", F.lit("/"), "name").alias("place"))
+                rows = _dealt(stored(rows, f"{folder}/{n}-{i}"), FOLDERS)
+            else:
+                rows = rows.select(F.concat("place", F.lit(f"/{part}")).alias("place"))
+        if first == len(parts):
+            rows = rows.select(F.when(F.col("place") == "", "/").otherwise(F.col("place")).alias("place"))
+        found.append(rows.mapInArrow(leaves, "path string, length long, modified timestamp"))
+    return stored(reduce(DataFrame.unionAll, found), f"{folder}/files")
 
 
 def texts(spark: SparkSession, path: str) -> DataFrame:
-    """(path, value): one row a file."""
-    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    """(path, value): one row a file. Tasks list the files (see files) and each reads up to FILES of them; Spark's own reader, which lists them on the driver and gives a task 32 small ones, is left those that only it reaches."""
+    found = files(spark, path)
+    n, size = found.agg(F.count("*"), F.sum("length")).first() if found is not None else (0, 0)
+    if not n:  # it also says what is wrong with a path that names nothing
+        return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(held):
+            return pa.RecordBatch.from_arrays([pa.array([_QUOTED.sub(lambda x: quote(x[0]), p) for p, _ in held], pa.string()), pa.array([x for _, x in held], pa.binary())], ["path", "value"])
+
+        held, size, store, head = [], 0, None, ""
+        for batch in batches:
+            for p in batch.column("path").to_pylist():
+                if store is None:
+                    store, _, head = _opened(p)
+                with store.open_input_stream(p.removeprefix(head)) as f:
+                    held.append((p, f.read()))
+                size += len(held[-1][1])
+                if len(held) == NAMES or size >= HELD:
+                    yield rows(held)
+                    held, size = [], 0
+        yield rows(held)
+
+    tasks = max(n // FILES, size // READ_BYTES) + 1
+    dealt = found.select("path").repartition(max(tasks, min(n, spark.sparkContext.defaultParallelism)))
+    return dealt.mapInArrow(read, "path string, value binary").select("path", F.col("value").cast("string").alias("value"))
 
 
 def json_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -162,8 +288,10 @@ def keyed_yaml(spark: SparkSession, path: str) -> DataFrame:
 
 def listing(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
     """(path, folder, name, length, modified) of the files there, without reading them."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path).select("path", "length", F.col("modificationTime").alias("modified"))
-    return files.select("path", F.element_at(F.split("path", "/"), -2).alias("folder"), F.substring_index("path", "/", -1).alias("name"), "length", "modified")
+    found = files(spark, path, recursive)
+    if found is None or found.isEmpty():  # see texts
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path).select("path", "length", F.col("modificationTime").alias("modified"))
+    return found.select("path", F.element_at(F.split("path", "/"), -2).alias("folder"), F.substring_index("path", "/", -1).alias("name"), "length", "modified")
 
 
 def json_or_none(spark: SparkSession, path: str) -> DataFrame:
