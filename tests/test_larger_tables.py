@@ -9,6 +9,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from toolgraph import cli
 from toolgraph.functions import licenses
 from toolgraph.operators import matching
 from toolgraph.plans import catalog, documents, files
@@ -108,3 +109,13 @@ def test_tasks_list_and_read_files(spark, tmp_path, monkeypatch):
     assert not any(f.endswith((".yaml", ".json")) for f in listed.inputFiles())
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         readers.texts(spark, f"{tmp_path}/none*")
+
+
+def test_commands_open_each_file_once(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.json").write_text('{"Package": "A", "License": "MIT"}')
+    made, convert = [], cli.converter.convert
+    monkeypatch.setattr(cli.converter, "convert", lambda *x: made.append(x[0]) or convert(*x))
+    assert cli.run(spark, ["convert", f"{tmp_path}/*.json", "--out", f"{tmp_path}/out"]) == 0
+    assert made[0].inputFiles() and all(f.endswith(".parquet") for f in made[0].inputFiles())
+    assert "MapInArrow" not in made[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.license for r in spark.read.parquet(f"{tmp_path}/out/converted").collect()] == ["MIT"]

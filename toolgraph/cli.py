@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import converter, matching
+from .operators.storage import stored, workspace
 from .sources import readers
 
 # The identity methods that are used if none are named.
@@ -28,8 +29,9 @@ PACKAGE = "Package string, Author string, Description string, URL string, Licens
 
 
 def _documents(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
+    """The documents, stored: several steps need them, and each file is opened once."""
     docs, _ = readers.json_documents(spark, pattern)
-    return docs.select(F.from_json(F.to_json("doc"), schema).alias("d")).select("d.*")
+    return stored(docs.select(F.from_json(F.to_json("doc"), schema).alias("d")).select("d.*"), workspace(spark, "documents"))
 
 
 def _parser() -> argparse.ArgumentParser:
