@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from toolgraph import cli
 from toolgraph.functions import licenses
-from toolgraph.operators import matching
+from toolgraph.operators import components, matching
 from toolgraph.plans import catalog, documents, files
 from toolgraph.sources import readers, sinks
 
@@ -119,3 +119,17 @@ def test_commands_open_each_file_once(spark, tmp_path, monkeypatch):
     assert made[0].inputFiles() and all(f.endswith(".parquet") for f in made[0].inputFiles())
     assert "MapInArrow" not in made[0]._jdf.queryExecution().optimizedPlan().toString()
     assert [r.license for r in spark.read.parquet(f"{tmp_path}/out/converted").collect()] == ["MIT"]
+
+
+def test_neighbours_are_joined_before_rounds(spark, tmp_path, monkeypatch):
+    left, rounds = [], components._rounds
+    monkeypatch.setattr(components, "_rounds", lambda edges, folder: left.append(edges.count()) or rounds(edges, folder))
+    monkeypatch.setattr(components, "HELD", 300)
+    chains = [(i, i + 1) for i in range(2000) if i % 500 != 499] + [(-3, 1999), (None, 5), (8, 8)]
+    found = components.components(spark.createDataFrame(chains, "u long, v long").repartition(4), f"{tmp_path}/a")
+    assert {r.node: r.component for r in found.collect()} == {i: i // 500 * 500 if i < 1500 else -3 for i in range(2000)} | {-3: -3}
+    assert left[0] < 40  # of 1,997 edges
+    # numbers that say nothing of who is linked
+    far = [(i * 7919 % 10007, (i + 1) * 7919 % 10007) for i in range(600)]
+    found = components.components(spark.createDataFrame(far, "u long, v long").repartition(4), f"{tmp_path}/b")
+    assert found.count() == 601 and [r.component for r in found.select("component").distinct().collect()] == [0]

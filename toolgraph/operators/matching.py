@@ -241,14 +241,19 @@ def assign(left: DataFrame, right: DataFrame, block: int = BLOCK) -> DataFrame:
     state = stored(both.join(shared, k, "left_semi"), f"{folder}/keys")
     size, done = state.count(), []
     if size > block:
-        file = F.when(F.col("f1").isNotNull(), F.xxhash64(F.lit(1), "f1")).otherwise(F.xxhash64(F.lit(2), "f2"))  # two nodes of one hash only make one component of two
-        labels = components(state.select(file.alias("u"), F.xxhash64(F.lit(3), *k).alias("v")), folder)
-        tagged = state.join(labels, F.xxhash64(F.lit(3), *k) == F.col("node")).drop("node")
-        sizes = stored(tagged.groupBy("component").agg(F.count("*").alias("size")), f"{folder}/sizes")
-        tagged = stored(tagged.join(sizes, "component"), f"{folder}/tagged")
-        small = tagged.where(F.col("size") <= block).repartition("component").sortWithinPartitions("component").select("component", "f1", "f2", *k)
+        # a value stands for the least file of left that has it, so only these files are nodes; two of one hash only make one component of two
+        numbered = types[0].simpleString() in ("tinyint", "smallint", "int", "bigint")
+        node = lambda c: F.col(c).cast("long") if numbered else F.xxhash64(c)
+        hung = stored(state.join(state.groupBy(*k).agg(F.min("f1").alias("head")), k).select("f1", "f2", *k, node("head").alias("head")), f"{folder}/hung-keys")
+        theirs = hung.where("f2 is not null").groupBy("f2").agg(F.min("head").alias("least"), F.max("head").alias("most")).where("least <> most").select("f2", "least")
+        links = hung.where("f1 is not null").select(node("f1").alias("u"), F.col("head").alias("v")).unionByName(hung.where("f2 is not null").join(theirs, "f2").select(F.col("head").alias("u"), F.col("least").alias("v")))
+        labels = components(links, folder)
+        tagged = stored(hung.join(labels, F.col("head") == F.col("node"), "left").select(F.coalesce("component", "head").alias("component"), "f1", "f2", *k), f"{folder}/tagged")
+        # as many as there are blocks, at most
+        large = F.broadcast(stored(tagged.groupBy("component").agg(F.count("*").alias("size")).where(F.col("size") > block).select("component"), f"{folder}/large"))
+        small = tagged.join(large, "component", "left_anti").repartition("component").sortWithinPartitions("component")
         done.append(stored(small.mapInArrow(_solve_components, f"f1 {types[0].simpleString()}, f2 {types[1].simpleString()}"), f"{folder}/small"))
-        state = tagged.where(F.col("size") > block).select("f1", "f2", *k)
+        state = tagged.join(large, "component", "left_semi").select("f1", "f2", *k)
     turn = 0
     while True:
         turn += 1
@@ -264,7 +269,7 @@ def assign(left: DataFrame, right: DataFrame, block: int = BLOCK) -> DataFrame:
         state = stored(rest, f"{folder}/state-{turn}")
         for name in (f"live-{turn}", f"rest-{turn}", f"state-{turn - 1}"):
             remove(spark, f"{folder}/{name}")
-    for name in ("keys", "sizes", "tagged", f"state-{turn - 1}"):
+    for name in ("keys", "hung-keys", "hung", "first", "roots", "moved", "large", "tagged", f"state-{turn - 1}"):
         remove(spark, f"{folder}/{name}")
     return reduce(DataFrame.unionByName, done) if done else spark.createDataFrame([], f"f1 {types[0].simpleString()}, f2 {types[1].simpleString()}")
 
