@@ -324,6 +324,47 @@ def test_near_duplicates(spark, docs, nothing, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_crowd_of_texts_that_nearly_link_makes_few_pairs(spark, monkeypatch):
+    """Copies with a few words changed, most of them just too far apart: what the leaders' join lets through is near the links, not all pairs."""
+    r = random.Random(21)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(160):
+        words = base[:]
+        for at in r.sample(range(150), r.choice([3, 4])):
+            words[at] = f"o{i}_{at}"
+        rows.append((i, " ".join(words), "en"))
+    kept, whole = [], minhash_dedup.materialise
+
+    def counted(df, name):
+        out = whole(df, name)
+        if name == "candidates":
+            kept.extend((x.u, x.v) for x in out.collect())
+        return out
+
+    monkeypatch.setattr(minhash_dedup, "SMALL", 3)
+    monkeypatch.setattr(minhash_dedup, "materialise", counted)
+    got = sorted((key(x.doc_id), x.n_shingles, key(x.component_id)) for x in minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect())
+    assert got == brute_components(rows)
+    sets = [shingles(x[1]) for x in rows]
+    close = sum(len(a & b) >= 0.73 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    assert 0 < len(set(kept)) <= close
+
+
+def test_parity_discards_no_link():
+    r = np.random.default_rng(8)
+    for size in (1, 7, 70, 700, 7000):
+        for _ in range(30):
+            a = np.unique(r.integers(0, 2**63, size, dtype=np.uint64))
+            same = a[: len(a) - r.integers(0, len(a) // 4 + 1)]
+            b = np.unique(np.concatenate([same, r.integers(0, 2**63, r.integers(0, size // 4 + 1), dtype=np.uint64)]))
+            x, y = minhash_dedup.sketch_set(a)[2], minhash_dedup.sketch_set(b)[2]
+            flips = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64).tolist())
+            both = len(np.intersect1d(a, b))
+            assert flips <= len(a) + len(b) - 2 * both
+            assert 100 * both < 75 * (len(a) + len(b) - both) or flips * 7 <= len(a) + len(b)
+
+
 def test_near_duplicates_by_distributed_steps(spark, docs, monkeypatch):
     """The ways for many edges, many pairs, and digests that share 64 bits."""
     from toolgraph.llm import components

@@ -1,9 +1,11 @@
-"""Near-duplicates: MinHash bands propose pairs, odd sketches discard the clearly dissimilar, full shingle sets confirm.
+"""Near-duplicates: MinHash bands propose pairs, parities and odd sketches discard the dissimilar, full shingle sets confirm.
 
 A text's set holds its distinct five-word shingles (fewer words: the whole sequence; no words: the empty set, linked with nothing). Texts with
 equal sets form one class and only classes are compared. A class has 128 MinHash samples; 84 make 28 bands of three (a pair at similarity 0.75 shares none
 with probability 2e-7), and all are folded into a 1024-bit parity bitmap, the odd sketch. Two samples that differ flip two random bits, so XOR's population
 count bounds the number that differ: more than ``XOR_LIMIT`` set bits need 67 differing samples or more of 128, which similarity 0.75 gives with a probability under 1e-11.
+The set itself is folded into 1024 parity bits too. Each shingle that only one of two sets has flips one, so XOR's count is never above the number of these, of which linked sets have a seventh of their
+sizes' sum at most: this discards no link, and up to some 1,500 shingles little else than links passes.
 
 Buckets of a band are never expanded into all pairs: first all members of each are compared with one leader and links are closed into components. Then small buckets
 compare the members of different components. Larger ones that still hold several components are dealt again, by the shingles that are rare among their members: two sets can only
@@ -40,7 +42,7 @@ _ODD = (_rng.integers(0, 2**31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.ui
 _WORD = _rng.integers(0, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SAMPLE = _rng.integers(0, 2**63, SAMPLES, dtype=np.uint64)
 _BAND = (_rng.integers(0, 2**63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2)) + np.uint64(1)
-FEATURES = "doc_id long, text_key long, n_shingles long, sig binary, bands array<long>, sketch array<long>"
+FEATURES = "doc_id long, text_key long, n_shingles long, sig binary, bands array<long>, sketch array<long>, parity array<long>"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -61,8 +63,14 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def sketch_set(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys, and the odd sketch as 64-bit words, of a set that isn't empty."""
+def _parity(h: np.ndarray) -> np.ndarray:
+    """The bitmap, as 64-bit words, of the places that an odd number of the hashes fall on."""
+    bits = np.bincount((h >> np.uint64(54)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def sketch_set(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Band keys, and the odd sketch and the set's parity as 64-bit words, of a set that isn't empty."""
     low = (s >> np.uint64(32)).astype(np.uint32)
     least = np.empty(SAMPLES, np.uint32)
     for a in range(0, SAMPLES, 16):
@@ -73,8 +81,7 @@ def sketch_set(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         least[a : a + 16] = best
     wide = least.astype(np.uint64)
     bands = mix64((wide[: BANDS * ROWS].reshape(BANDS, ROWS) * _BAND).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
-    bits = np.bincount((mix64(wide + _SAMPLE) >> np.uint64(54)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return bands.view(np.int64), np.packbits(bits.astype(np.uint8)).view(np.int64)
+    return bands.view(np.int64), _parity(mix64(wide + _SAMPLE)), _parity(s)
 
 
 @lean
@@ -91,8 +98,9 @@ def feature_rows(batches):
                     pa.array([blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                     pa.array([x and x[0] for x in done], pa.list_(pa.int64())),
                     pa.array([x and x[1] for x in done], pa.list_(pa.int64())),
+                    pa.array([x and x[2] for x in done], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "text_key", "n_shingles", "sig", "bands", "sketch"],
+                ["doc_id", "text_key", "n_shingles", "sig", "bands", "sketch", "parity"],
             )
 
 
@@ -127,9 +135,10 @@ def xor_count(a: str, b: str) -> Column:
     return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(1, SKETCH_BITS // 64)), F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0])))
 
 
-def may_link(n_a: str, n_b: str, s_a: str, s_b: str) -> Column:
-    """Sizes and sketches allow similarity 0.75."""
-    return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * 75) & (xor_count(s_a, s_b) <= XOR_LIMIT)
+def may_link(n_a: str, n_b: str, p_a: str, p_b: str, s_a: str, s_b: str) -> Column:
+    """Sizes, parities and sketches allow similarity 0.75."""
+    sizes = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * 75
+    return sizes & (xor_count(p_a, p_b) * 7 <= F.col(n_a) + F.col(n_b)) & (xor_count(s_a, s_b) <= XOR_LIMIT)
 
 
 def _near(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -141,7 +150,7 @@ def _near(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # sums by bucket are written before they are joined back: Spark splits a hot bucket in a join of two shuffles, not in one that also sums
     sizes = materialise(slots.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("leader")).where("size > 1"), "sizes")
     members = materialise(slots.join(sizes, "bucket"), "buckets")
-    light = classes.select("node", "n", "sketch")
+    light = classes.select("node", "n", "sketch", "parity")
     sets = _sets(docs, classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id"), id_of)
     stars = members.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v"))
     groups = components(_verified(_likely(stars.distinct(), light), sets))
@@ -160,23 +169,23 @@ def _near(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     turn = 0
     while True:
         turn += 1
-        placed = crowded.join(groups, "node", "left").select("bucket", "part", "node", "n", "pos", "prev", "sketch", F.coalesce("component", "node").alias("component"))
+        placed = crowded.join(groups, "node", "left").select("bucket", "part", "node", "n", "pos", "prev", "sketch", "parity", F.coalesce("component", "node").alias("component"))
         held = placed.groupBy("bucket", "component").agg(F.count("*").alias("held"))
         most = held.groupBy("bucket").agg(F.max_by("component", F.struct("held", "component")).alias("largest"), (F.sum("held") - F.max("held")).alias("others"), _parts(F.sum("held")).alias("parts")).where("others > 0")
         outside = placed.join(most.withColumn("part", F.explode(every_part)), ["bucket", "part"]).where("component <> largest").join(done, ["bucket", "node"], "left_anti")
         # all of a few, else one of each hash slot: a bounded number of leaders for a bucket of any size
         limit = LEADERS << min(turn - 1, 4)
         slot = F.when(F.col("others") <= limit, F.col("node")).otherwise(F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(limit)))
-        chosen = outside.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "n", "pos", "prev", "sketch", "component", "parts")).alias("x"))
+        chosen = outside.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "n", "pos", "prev", "sketch", "parity", "component", "parts")).alias("x"))
         chosen = materialise(chosen.select("bucket", "x.*"), "leaders")
         if chosen.isEmpty():
             break
         done = done.unionAll(chosen.select("bucket", "node"))
-        theirs = chosen.select("bucket", F.explode(every_part).alias("part"), F.col("node").alias("leader"), F.col("n").alias("n_l"), F.col("pos").alias("pos_l"), F.col("prev").alias("prev_l"), F.col("sketch").alias("s_l"), F.col("component").alias("c_l"))
+        theirs = chosen.select("bucket", F.explode(every_part).alias("part"), F.col("node").alias("leader"), F.col("n").alias("n_l"), F.col("pos").alias("pos_l"), F.col("prev").alias("prev_l"), F.col("sketch").alias("s_l"), F.col("parity").alias("p_l"), F.col("component").alias("c_l"))
         # with the same shingle before this one, both meet there
         pairs = placed.join(theirs, ["bucket", "part"]).where((F.col("component") != F.col("c_l")) & F.coalesce(F.col("prev") != F.col("prev_l"), F.lit(True)))
         # what both may share lies at or after this shingle
-        pairs = pairs.where((F.least(F.col("n") - F.col("pos"), F.col("n_l") - F.col("pos_l")) * 175 >= (F.col("n") + F.col("n_l")) * 75) & may_link("n", "n_l", "sketch", "s_l"))
+        pairs = pairs.where((F.least(F.col("n") - F.col("pos"), F.col("n_l") - F.col("pos_l")) * 175 >= (F.col("n") + F.col("n_l")) * 75) & may_link("n", "n_l", "parity", "p_l", "sketch", "s_l"))
         of = [F.least("component", "c_l").alias("a"), F.greatest("component", "c_l").alias("b"), xor_count("sketch", "s_l").alias("x")]
         pairs = materialise(pairs.select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v"), *of).distinct(), "candidates")
         # of two components the likeliest pair goes first: if it links, the others need no look
@@ -211,7 +220,7 @@ def _classes(features: DataFrame) -> tuple[DataFrame, DataFrame, Callable[[Colum
 
     while True:
         named = features.withColumn("node", id_of(F.col("sig")))
-        wanted = (F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc_id"), F.min("sig").alias("sig"), F.max("sig").alias("last"))
+        wanted = (F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("parity").alias("parity"), F.min("doc_id").alias("doc_id"), F.min("sig").alias("sig"), F.max("sig").alias("last"))
         classes = materialise(named.where("n_shingles > 0").groupBy("node").agg(*wanted), "classes")
         mixed = classes.where("sig <> last").select("node", F.col("sig").alias("least"))
         again = [bytes(r["sig"]) for r in named.where("n_shingles > 0").join(mixed, "node").where("sig <> least").select("sig").distinct().collect()] if not mixed.isEmpty() else []
@@ -286,10 +295,10 @@ def _checked_sets(batches):
 
 
 def _likely(pairs: DataFrame, light: DataFrame) -> DataFrame:
-    """The pairs (u, v) that sizes and sketches let pass."""
-    a = light.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("sketch").alias("s_u"))
-    b = light.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("sketch").alias("s_v"))
-    return pairs.join(a, "u").join(b, "v").where(may_link("n_u", "n_v", "s_u", "s_v")).select("u", "v")
+    """The pairs (u, v) that sizes, parities and sketches let pass."""
+    a = light.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("parity").alias("p_u"), F.col("sketch").alias("s_u"))
+    b = light.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("parity").alias("p_v"), F.col("sketch").alias("s_v"))
+    return pairs.join(a, "u").join(b, "v").where(may_link("n_u", "n_v", "p_u", "p_v", "s_u", "s_v")).select("u", "v")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
