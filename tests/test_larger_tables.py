@@ -1,17 +1,20 @@
 """What only shows on tables of several partitions, several machines or many files."""
 
+import gc
 import subprocess
 import sys
+import tracemalloc
 from pathlib import Path
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
 
 from toolgraph import cli
-from toolgraph.functions import licenses
-from toolgraph.operators import components, matching
+from toolgraph.functions import jsonld, licenses
+from toolgraph.operators import components, matching, triples
 from toolgraph.plans import catalog, documents, files
 from toolgraph.sources import readers, sinks
 
@@ -133,3 +136,35 @@ def test_neighbours_are_joined_before_rounds(spark, tmp_path, monkeypatch):
     far = [(i * 7919 % 10007, (i + 1) * 7919 % 10007) for i in range(600)]
     found = components.components(spark.createDataFrame(far, "u long, v long").repartition(4), f"{tmp_path}/b")
     assert found.count() == 601 and [r.component for r in found.select("component").distinct().collect()] == [0]
+
+
+def turtle_document(n: int) -> str:
+    return "@prefix e: <http://e.example/> .\n" + "\n".join(f'e:x{i} a e:Thing ; e:size {i} ; e:name "x", "thing {i}"@en ; e:at [ e:in ( e:a "b" ) ] .' for i in range(n))
+
+
+def test_turtle_documents_leave_nothing_behind():
+    text = turtle_document(2_000)
+    gc.collect()
+    gc.disable()
+    try:
+        found = list(jsonld.turtle_triples(text))
+        assert gc.collect() == 0  # what only a collection would free
+        tracemalloc.start()
+        before = tracemalloc.get_traced_memory()[0]
+        assert sum(1 for _ in jsonld.turtle_triples(text)) == len(found) == 2_000 * 6 + 2_000 * 4
+        assert tracemalloc.get_traced_memory()[1] - before < 2 * len(text)  # neither its tokens nor its triples at once
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+    assert len(set(found)) == 2_000 * 5 + 1 + 4
+
+
+def test_triples_of_one_document_are_handed_on_in_batches():
+    class Texts:
+        def mapInArrow(self, rows, _):
+            texts = pa.array(["many", None, "long", "none"])
+            return list(rows([pa.RecordBatch.from_arrays([texts], ["t"])]))
+
+    read = {"many": [("s", "p", "o", "iri", None, None)] * 25_000, "long": [("s", "p", "o" * 1_000_000, "literal", None, None)] * 20, "none": []}
+    batches = triples._parsed(Texts(), lambda text: iter(read[text]))
+    assert sum(len(b) for b in batches) == 25_020 and max(len(b) for b in batches) <= 10_000 and max(b.nbytes for b in batches) < 6_000_000

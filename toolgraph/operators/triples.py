@@ -304,13 +304,17 @@ def _parsed(texts: DataFrame, read) -> DataFrame:
         import pyarrow as pa
 
         names = [f.split(" ")[0] for f in TAGGED.split(", ")]
+        columns = lambda found: pa.RecordBatch.from_arrays([pa.array([t[i] for t in found], pa.string()) for i in range(len(names))], names)
         for batch in batches:
-            found = []
-            for n, text in enumerate(batch.column(0), 1):
-                found += read(text.as_py()) if text.is_valid else []
-                if len(found) >= 10_000 or n == len(batch):
-                    yield pa.RecordBatch.from_arrays([pa.array([t[i] for t in found], pa.string()) for i in range(len(names))], names)
-                    found = []
+            found, held = [], 0
+            for text in batch.column(0):
+                for t in read(text.as_py()) if text.is_valid else ():
+                    found.append(t)
+                    held += len(t[0]) + len(t[2] or "")
+                    if len(found) == 10_000 or held > 4 << 20:  # of a large document some triples at once
+                        yield columns(found)
+                        found, held = [], 0
+            yield columns(found)
 
     return texts.mapInArrow(rows, TAGGED)
 
