@@ -168,3 +168,11 @@ def test_triples_of_one_document_are_handed_on_in_batches():
     read = {"many": [("s", "p", "o", "iri", None, None)] * 25_000, "long": [("s", "p", "o" * 1_000_000, "literal", None, None)] * 20, "none": []}
     batches = triples._parsed(Texts(), lambda text: iter(read[text]))
     assert sum(len(b) for b in batches) == 25_020 and max(len(b) for b in batches) <= 10_000 and max(b.nbytes for b in batches) < 6_000_000
+
+
+def test_turtle_files_are_parsed_where_they_are_read(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.ttl").write_text(turtle_document(i + 1))
+    found = readers.turtle(spark, f"{tmp_path}/*.ttl", tagged=True)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1  # no text goes through the JVM to another Python process
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, set(jsonld.turtle_triples(turtle_document(3)))))

@@ -292,13 +292,13 @@ def expand(curie: Column, prefixes: dict[str, str] | None = None) -> Column:
 TAGGED = "s string, p string, o string, o_kind string, lang string, datatype string"
 
 
-def _graph(rows: DataFrame, tagged: bool) -> DataFrame:
-    """Distinct triples; tagged: with the language and the datatype of literals."""
+def distinct_graph(rows: DataFrame, tagged: bool) -> DataFrame:
+    """Distinct triples of rows of TAGGED; tagged: with the language and the datatype of literals."""
     return (rows if tagged else rows.select("s", "p", "o", "o_kind")).where("o is not null").distinct()
 
 
-def _parsed(texts: DataFrame, read) -> DataFrame:
-    """read(text) of each row of a table with one text column, as rows of TAGGED."""
+def parser(read):
+    """A function for mapInArrow that gives read(text) of each row's first column, a text, as rows of TAGGED."""
 
     def rows(batches):
         import pyarrow as pa
@@ -316,7 +316,12 @@ def _parsed(texts: DataFrame, read) -> DataFrame:
                         found, held = [], 0
             yield columns(found)
 
-    return texts.mapInArrow(rows, TAGGED)
+    return rows
+
+
+def _parsed(texts: DataFrame, read) -> DataFrame:
+    """read(text) of each row of a table with one text column, as rows of TAGGED."""
+    return texts.mapInArrow(parser(read), TAGGED)
 
 
 def from_jsonld(docs: DataFrame, prefixes: dict[str, str] | None = None, vocabulary: str | None = SC, contexts: dict[str, dict] | None = None, tagged: bool = False) -> DataFrame:
@@ -329,14 +334,14 @@ def from_jsonld(docs: DataFrame, prefixes: dict[str, str] | None = None, vocabul
     from ..functions.jsonld import triples_of
 
     known, named = PREFIXES if prefixes is None else prefixes, contexts or {}
-    return _graph(_parsed(docs.where("doc is not null").select(F.to_json("doc")), lambda text: triples_of(text, known, vocabulary, named)), tagged)
+    return distinct_graph(_parsed(docs.where("doc is not null").select(F.to_json("doc")), lambda text: triples_of(text, known, vocabulary, named)), tagged)
 
 
 def from_turtle(texts: DataFrame, tagged: bool = False) -> DataFrame:
     """(s, p, o, o_kind), tagged: and (lang, datatype), of Turtle documents, one a row of the table's only column. One that isn't Turtle fails the job."""
     from ..functions.jsonld import turtle_triples
 
-    return _graph(_parsed(texts, turtle_triples), tagged)
+    return distinct_graph(_parsed(texts, turtle_triples), tagged)
 
 
 def _quoted(c: Column) -> Column:

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import recipes
+from ..functions.jsonld import turtle_triples
 from ..operators.storage import stored, workspace
-from ..operators.triples import from_jsonld, from_turtle
+from ..operators.triples import TAGGED, distinct_graph, from_jsonld, parser
 from . import service
 from .sinks import address
 
@@ -118,12 +119,16 @@ def files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame
     return stored(reduce(DataFrame.unionAll, found), f"{folder}/files")
 
 
-def texts(spark: SparkSession, path: str) -> DataFrame:
-    """(path, value): one row a file. Tasks list the files (see files) and each reads up to FILES of them; Spark's own reader, which lists them on the driver and gives a task 32 small ones, is left those that only it reaches."""
+def texts(spark: SparkSession, path: str, then: Callable | None = None, schema: str = "") -> DataFrame:
+    """(path, value): one row a file. Tasks list the files (see files) and each reads up to FILES of them; Spark's own reader, which lists them on the driver and gives a task 32 small ones, is left those that only it reaches.
+
+    then: a function for mapInArrow that takes the texts (value) and gives rows of the schema. It gets them where they are read, HELD bytes at once: sent through the JVM to another Python process, they would be held there in batches of 64 MB.
+    """
     found = files(spark, path)
     n, size = found.agg(F.count("*"), F.sum("length")).first() if found is not None else (0, 0)
     if not n:  # it also says what is wrong with a path that names nothing
-        return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+        found = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+        return found.select("value").mapInArrow(then, schema) if then else found
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(held):
@@ -144,6 +149,8 @@ def texts(spark: SparkSession, path: str) -> DataFrame:
 
     tasks = max(n // FILES, size // READ_BYTES) + 1
     dealt = found.select("path").repartition(max(tasks, min(n, spark.sparkContext.defaultParallelism)))
+    if then:
+        return dealt.mapInArrow(lambda batches: then(pa.RecordBatch.from_arrays([b.column("value").cast(pa.string())], ["value"]) for b in read(batches)), schema)
     return dealt.mapInArrow(read, "path string, value binary").select("path", F.col("value").cast("string").alias("value"))
 
 
@@ -307,8 +314,8 @@ def jsonld(spark: SparkSession, path: str, prefixes: dict[str, str] | None = Non
 
 
 def turtle(spark: SparkSession, path: str, tagged: bool = False) -> DataFrame:
-    """(s, p, o, o_kind) of all Turtle files."""
-    return from_turtle(texts(spark, path).select("value"), tagged)
+    """(s, p, o, o_kind) of all Turtle files, as from_turtle reads them."""
+    return distinct_graph(texts(spark, path, parser(turtle_triples), TAGGED), tagged)
 
 
 def fetched_graphs(urls: DataFrame, cache: DataFrame, fetch: Callable[[str], str | None], **how) -> DataFrame:
